@@ -105,12 +105,8 @@ def apply_recency(
     knobs = (settings.recency_lambda, settings.recency_unit, settings.recency_max_age_days)
     if reference is not None:
         return df.withColumn(name, recency_weight("timestamp", F.lit(reference), *knobs))
-    newest = df.agg(F.max("timestamp").alias("_ref"))  # one row
-    return (
-        df.join(F.broadcast(newest))
-        .withColumn(name, recency_weight("timestamp", F.col("_ref"), *knobs))
-        .drop("_ref")
-    )
+    newest = df.agg(F.max("timestamp")).scalar()
+    return df.withColumn(name, recency_weight("timestamp", newest, *knobs))
 
 
 def filter_low_activity_users(df: DataFrame, min_interactions: int) -> DataFrame:
