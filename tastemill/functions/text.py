@@ -167,9 +167,13 @@ def detect_categories(c: Column) -> Column:
     return F.aggregate(aliases, start, step, lambda s: s["found"])
 
 
+def strip(c: Column) -> Column:
+    return F.trim(c, F.lit(" \t\n\r\x0b\x0c"))
+
+
 def joined_text(*cols: Column) -> Column:
     """Trimmed non-empty parts joined by one space."""
-    return F.concat_ws(" ", *[F.nullif(F.trim(c), F.lit("")) for c in cols])
+    return F.concat_ws(" ", *[F.nullif(strip(c), F.lit("")) for c in cols])
 
 
 def item_text(fields: tuple[str, ...] = ("title", "category", "tags")) -> Column:

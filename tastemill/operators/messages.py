@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tastemill.functions.events import literal_map
 from tastemill.functions.hashing import request_key
-from tastemill.functions.text import squeeze
+from tastemill.functions.text import squeeze, strip
 from tastemill.schemas import PREFERENCE
 
 # Markers of prompt injection.
@@ -91,9 +91,7 @@ def validate_structured_output(df: DataFrame, raw: str = "raw") -> DataFrame:
     variant = F.try_parse_json(text)
     is_object = F.schema_of_variant(variant).startswith("OBJECT")
     p = F.from_json(text, PREFERENCE)
-    clean = {
-        c: F.nullif(F.trim(F.lower(p[c])), F.lit("")) for c in ("color", "style")
-    }
+    clean = {c: F.nullif(strip(F.lower(p[c])), F.lit("")) for c in ("color", "style")}
 
     def not_text(name: str) -> Column:
         kind = F.schema_of_variant(F.try_variant_get(variant, f"$.{name}", "variant"))
