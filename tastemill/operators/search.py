@@ -224,7 +224,8 @@ def order_reranked(scored: DataFrame, k: int = 20, cap_before_sort: bool = False
     best = top_k_per_group(
         scored.withColumn("_key", F.round(key, 9)), ["request_id"], [F.desc("_key"), F.asc("item_id")], k
     )
-    return best.withColumn("score", F.round(F.least(F.lit(1.0), F.col("final")), 4)).drop("_key")
+    capped = F.least(F.lit(1.0), F.col("final"))
+    return best.withColumn("score", F.round(capped, 4)).withColumn("final", capped).drop("_key")
 
 
 def without(requests: DataFrame, other: DataFrame, key: str = "request_id") -> DataFrame:

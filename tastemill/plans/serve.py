@@ -86,8 +86,10 @@ def semantic_search(
 ) -> DataFrame:
     scored = semantic_candidates(requests, catalog, item_vectors, encoder)
     best = order_reranked(scored.withColumnRenamed("q", "request_id"), k, cap_before_sort)
-    best = best.withColumnRenamed("request_id", "q").drop("final")
-    return requests.join(best, "q").select("request_id", "q", "rank", "item_id", "title", "category", "score")
+    best = best.withColumnRenamed("request_id", "q")
+    return requests.join(best, "q").select(
+        "request_id", "q", "rank", "item_id", "title", "category", "score", "final"
+    )
 
 
 def search_with_fallback(
@@ -122,7 +124,7 @@ def hybrid_recommend(
     sem = semantic_search(
         requests.select("request_id", "q"), catalog, text_vectors, encoder, 20, cap_before_sort=True
     )
-    sem = materialize(sem.select("request_id", "item_id", "score"), "intent")
+    sem = materialize(sem.select("request_id", "item_id", F.col("final").alias("score")), "intent")
     asked = requests.select("user_id").distinct()
     known = user_vectors.join(asked, "user_id", "left_semi").withColumnRenamed("user_id", "query_id")
     per_user = enrich_with_catalog(

@@ -207,24 +207,27 @@ def rolling_drift(
     )
 
 
-def run_to_table(stream: DataFrame, label: str, mode: str = "complete") -> DataFrame:
-    """Drain a stream of aggregates and return the final table.
+def run_updates(stream: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """Drain a keyed aggregate in update mode and return the last value of every key.
 
-    Update-mode rows carry the batch they came from, so the last value per key can be told apart.
+    Each batch writes only the keys it changed, to a folder of its own; repeating a batch
+    overwrites the same folder.
     """
     spark = stream.sparkSession
     out, checkpoint = scratch_path(spark, label), scratch_path(spark, f"{label}-checkpoint")
 
     def step(batch: DataFrame, epoch: int) -> None:
-        target = out if mode == "complete" else f"{out}/batch={epoch}"
-        batch.write.mode("overwrite").parquet(target)
+        batch.write.mode("overwrite").parquet(f"{out}/batch={epoch}")
 
     query = (
-        stream.writeStream.outputMode(mode)
+        stream.writeStream.outputMode("update")
         .foreachBatch(step)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(out)
+    written = spark.read.parquet(out)
+    rest = [c for c in written.columns if c not in (*keys, "batch")]
+    last = F.max_by(F.struct(*rest), F.col("batch")).alias("r")
+    return written.groupBy(*keys).agg(last).select(*keys, "r.*")
