@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import sys
 import unicodedata
 from functools import lru_cache
@@ -9,8 +10,6 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tastemill.functions.events import literal_map
-
 # Filler words dropped from a query.
 FILLERS = [
     "toi", "muon", "xem", "thich", "tim", "can", "mot", "nhung", "nao", "gi", "vay", "cho",
@@ -99,14 +98,30 @@ def _fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
     return "".join(single_from + dropped), "".join(single_to), several
 
 
+def _words(words: list[str]) -> Column:
+    """Constant array as one literal, to keep plans that use it many times small."""
+    return F.split(F.lit("|".join(words)), r"\|")
+
+
+def _mapping(table: dict[str, str]) -> Column:
+    return F.str_to_map(
+        F.lit("|".join(f"{a}={b}" for a, b in table.items())), F.lit(r"\|"), F.lit("=")
+    )
+
+
+def _pairs(pairs: list[tuple[str, str]]) -> Column:
+    """Constant array of ``(a, b)`` as one literal."""
+    text = json.dumps([{"a": a, "b": b} for a, b in pairs], ensure_ascii=False)
+    return F.from_json(F.lit(text), "array<struct<a: string, b: string>>")
+
+
 def strip_accents(c: Column) -> Column:
     """Case-folded text without combining marks; d with stroke becomes d."""
     source, target, several = _fold_tables()
-    expand = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in several])
-    special = "[" + "".join(a for a, _ in several) + "]"
+    special = "".join(a for a, _ in several)
     # The long replacement list only runs on the rare rows that hold such a character.
     expanded = F.when(
-        c.rlike(special), F.aggregate(expand, c, lambda s, p: F.replace(s, p["a"], p["b"]))
+        F.translate(c, special, "") != c, F.aggregate(_pairs(several), c, lambda s, p: F.replace(s, p["a"], p["b"]))
     ).otherwise(c)
     return F.translate(expanded, source, target)
 
@@ -119,7 +134,7 @@ def squeeze(c: Column) -> Column:
 def content_tokens(c: Column) -> Column:
     """Accent-free alphanumeric tokens of three or more characters, stop words removed."""
     tokens = F.regexp_extract_all(strip_accents(F.lower(c)), F.lit("([a-z0-9]+)"), F.lit(1))
-    stop = F.array(*[F.lit(w) for w in STOPWORDS])
+    stop = _words(STOPWORDS)
     return F.filter(tokens, lambda t: (F.length(t) >= 3) & ~F.array_contains(stop, t))
 
 
@@ -129,11 +144,11 @@ def normalize_query(c: Column) -> Column:
     out = key
     for phrase, english in longest_first(PHRASES):
         out = F.replace(out, F.lit(phrase), F.lit(english))
-    fillers = F.array(*[F.lit(w) for w in FILLERS])
+    fillers = _words(FILLERS)
     words = F.filter(
         F.split(squeeze(out), " "), lambda w: (w != "") & ~F.array_contains(fillers, w)
     )
-    table = literal_map(WORDS)
+    table = _mapping(WORDS)
     mapped = F.transform(words, lambda w: F.coalesce(F.try_element_at(table, w), w))
     return F.coalesce(F.nullif(F.array_join(mapped, " "), F.lit("")), key)
 
@@ -141,26 +156,21 @@ def normalize_query(c: Column) -> Column:
 def detect_categories(c: Column) -> Column:
     """Category labels named in the text, longest alias first; matched text is used up."""
     key = strip_accents(c)
-    aliases = F.array(
-        *[
-            F.struct(F.lit(f" {a} ").alias("phrase"), F.lit(label).alias("label"))
-            for a, label in longest_first(CATEGORY_ALIASES)
-        ]
-    )
+    aliases = _pairs([(f" {a} ", label) for a, label in longest_first(CATEGORY_ALIASES)])
     start = F.struct(
         F.concat(F.lit(" "), key, F.lit(" ")).alias("rest"),
         F.array().cast("array<string>").alias("found"),
     )
 
     def step(state: Column, alias: Column) -> Column:
-        hit = ~F.array_contains(state["found"], alias["label"]) & F.contains(
-            state["rest"], alias["phrase"]
+        hit = ~F.array_contains(state["found"], alias["b"]) & F.contains(
+            state["rest"], alias["a"]
         )
         return F.when(
             hit,
             F.struct(
-                F.replace(state["rest"], alias["phrase"], F.lit(" ")).alias("rest"),
-                F.array_append(state["found"], alias["label"]).alias("found"),
+                F.replace(state["rest"], alias["a"], F.lit(" ")).alias("rest"),
+                F.array_append(state["found"], alias["b"]).alias("found"),
             ),
         ).otherwise(state)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column
@@ -10,6 +12,11 @@ from pyspark.sql import functions as F
 EPS = 1e-12
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value computed once per row, also where the body uses it inside a lambda."""
+    return F.transform(F.array(value), body)[0]
+
+
 def as_double(v: Column) -> Column:
     return v.cast("array<double>")
 
@@ -26,8 +33,10 @@ def norm(v: Column) -> Column:
 
 def l2_normalize(v: Column, eps: float = EPS) -> Column:
     """Unit vector; a zero vector stays zero."""
-    n = F.greatest(norm(v), F.lit(eps))
-    return F.transform(as_double(v), lambda x: x / n)
+    return let(
+        as_double(v),
+        lambda w: let(F.greatest(norm(w), F.lit(eps)), lambda n: F.transform(w, lambda x: x / n)),
+    )
 
 
 def cosine(a: Column, b: Column, eps: float = EPS) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastemill.functions.events import event_weight
-from tastemill.functions.vectors import dot, vector_mean, zeros
+from tastemill.functions.vectors import dot, l2_normalize, let, vector_mean, zeros
 from tastemill.operators.ordering import head_by_order, with_global_index
 from tastemill.operators.validate import apply_recency
 from tastemill.schemas import DEFAULTS, Settings
@@ -191,8 +191,11 @@ def contrastive_loss(
     per = scored.groupBy("pos_id").agg(
         F.max(F.when(F.col("is_pos"), F.col("s"))).alias("s_pos"), F.collect_list("s").alias("ss")
     )
-    top = F.array_max("ss")
-    lse = top + F.log(F.aggregate("ss", F.lit(0.0), lambda acc, s: acc + F.exp(s - top)))
+    lse = let(
+        F.array_max("ss"),
+        lambda top: top
+        + F.log(F.aggregate("ss", F.lit(0.0), lambda acc, s: acc + F.exp(s - top))),
+    )
     return (
         per.where(F.col("s_pos").isNotNull())
         .select((lse - F.col("s_pos")).alias("loss"))
@@ -227,8 +230,6 @@ def user_embedding(
 
 def mean_pool(tokens: DataFrame, dim: int, key: Sequence[str] = ("text_id",)) -> DataFrame:
     """Masked mean of the token vectors ``(key.., vector, mask)`` per text, scaled to unit length."""
-    from tastemill.functions.vectors import l2_normalize
-
     kept = F.col("mask").cast("double")
     summed = tokens.groupBy(*key).agg(
         vector_mean(F.col("vector"), kept).alias("_m"), F.sum(kept).alias("_n")

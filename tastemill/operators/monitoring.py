@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastemill.functions.vectors import vector_mean, vector_sum, zeros
+from tastemill.functions.vectors import l2_normalize, vector_mean, vector_sum, zeros
 from tastemill.operators.ordering import exact_percentiles, with_group_running_total
 
 COSINE_EPS = 1e-9
@@ -28,13 +28,6 @@ def catalog_coverage(recs: DataFrame, catalog_size: int) -> DataFrame:
     )
 
 
-def _unit(v: Column) -> Column:
-    n = F.greatest(
-        F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)), F.lit(COSINE_EPS)
-    )
-    return F.transform(v, lambda x: x / n)
-
-
 def _square(v: Column) -> Column:
     return F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)
 
@@ -50,7 +43,7 @@ def intra_list_diversity(recs: DataFrame, vectors: DataFrame, by: str = "user_id
 
     Items without a vector are left out; one item listed twice counts twice.
     """
-    unit = _unit(F.col("vector").cast("array<double>"))
+    unit = l2_normalize(F.col("vector"), COSINE_EPS)
     rows = recs.select(by, "item_id").join(vectors.select("item_id", unit.alias("_v")), "item_id")
     agg = rows.groupBy(by).agg(
         vector_sum(F.col("_v")).alias("_s"), F.sum(_square(F.col("_v"))).alias("_q"), F.count("*").alias("_n")
@@ -65,7 +58,7 @@ def personalization(recs: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
     rows = recs.select("user_id", "item_id").join(vectors.select("item_id", "vector"), "item_id")
     means = rows.groupBy("user_id").agg(vector_mean(F.col("vector"), F.lit(1.0)).alias("_m"))
     users = recs.select("user_id").distinct().join(means, "user_id", "left")
-    unit = users.select(_unit(F.coalesce("_m", zeros(F.lit(dim)))).alias("_v"))
+    unit = users.select(l2_normalize(F.coalesce("_m", zeros(F.lit(dim))), COSINE_EPS).alias("_v"))
     agg = unit.agg(
         vector_sum(F.col("_v")).alias("_s"), F.sum(_square(F.col("_v"))).alias("_q"), F.count("*").alias("_n")
     )

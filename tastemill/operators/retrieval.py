@@ -12,7 +12,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastemill.functions.vectors import l2_normalize
+from tastemill.functions.vectors import EPS, l2_normalize
 from tastemill.operators.ordering import top_k_per_group
 from tastemill.session import materialize
 
@@ -31,7 +31,11 @@ def _unpack(rows: pa.StructScalar, dim: int) -> tuple[list, np.ndarray]:
     return ids, flat.astype(np.float64).reshape(len(ids), dim)
 
 
-def _scorer(k: int, dim: int, drop_seen: bool):
+def _unit_rows(m: np.ndarray) -> np.ndarray:
+    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), EPS)
+
+
+def _scorer(k: int, dim: int, drop_seen: bool, cosine: bool):
     """Arrow function: per row one block of queries against one block of items, top k per query."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -40,6 +44,8 @@ def _scorer(k: int, dim: int, drop_seen: bool):
             for r in range(batch.num_rows):
                 q_ids, q = _unpack(cols["q_rows"][r], dim)
                 i_ids, m = _unpack(cols["i_rows"][r], dim)
+                if cosine:
+                    q, m = _unit_rows(q), _unit_rows(m)
                 # Rounded, so that equal vectors tie and the id decides.
                 scores = np.round(q @ m.T, 9)
                 gone = np.zeros(scores.shape, dtype=bool)
@@ -81,48 +87,38 @@ def _bucket(id_col: Column, n) -> Column:
     return F.pmod(F.xxhash64(id_col), n if isinstance(n, Column) else F.lit(n)).cast("int")
 
 
-def _rows(id_col: str, vec: Column) -> Column:
-    return F.array_sort(
-        F.collect_list(F.struct(F.col(id_col).cast("string").alias("id"), vec.alias("v")))
-    )
-
-
-def _prepared(vec: Column, metric: str) -> Column:
-    if metric not in ("cosine", "dot"):
-        raise ValueError(f"unsupported metric {metric!r}; use 'cosine' or 'dot'")
-    return l2_normalize(vec) if metric == "cosine" else vec.cast("array<double>")
+def _rows(id_col: str) -> Column:
+    return F.array_sort(F.collect_list(F.struct(F.col(id_col).alias("id"), F.col("_v").alias("v"))))
 
 
 def _search_blocks(
     q: DataFrame,
     items: DataFrame,
-    cells: DataFrame,
     n_items: int,
     dim: int,
     k: int,
     n_query_blocks: int,
-    seen: DataFrame | None,
-    drop_seen: bool,
+    metric: str = "cosine",
+    seen: DataFrame | None = None,
+    drop_seen: bool = False,
 ) -> DataFrame:
     """Score query blocks against the item blocks of their cell and keep k per query.
 
-    ``q`` is (query_id, _v, cell), ``items`` (item_id, _v, cell), ``cells`` (cell, n_blocks).
-    A block holds a bounded number of rows, whatever the size of its cell, and only k rows per
-    query and block leave a task. ``seen`` needs the single cell of the exact search.
+    ``q`` is (query_id, _v, cell, n_blocks), ``items`` (item_id, _v, cell, n_blocks). A block holds
+    a bounded number of rows, whatever the size of its cell, and only k rows per query and block
+    leave a task. ``seen`` needs the single cell of the exact search.
     """
     small = n_items * (dim * 8 + 64) <= BROADCAST_BYTES
     copies = 1 if small else max(1, math.ceil(MIN_JOIN_KEYS * ITEM_BLOCK / n_items))
     item_blocks = (
-        items.join(F.broadcast(cells), "cell")
-        .withColumn("block", _bucket(F.col("item_id"), F.col("n_blocks")))
+        items.withColumn("block", _bucket(F.col("item_id"), F.col("n_blocks")))
         .groupBy("cell", "block")
-        .agg(_rows("item_id", F.col("_v")).alias("i_rows"))
+        .agg(_rows("item_id").alias("i_rows"))
     )
     q_blocks = (
         q.withColumn("q_block", _bucket(F.col("query_id"), n_query_blocks))
-        .groupBy("cell", "q_block")
-        .agg(_rows("query_id", F.col("_v")).alias("q_rows"))
-        .join(F.broadcast(cells), "cell")
+        .groupBy("cell", "n_blocks", "q_block")
+        .agg(_rows("query_id").alias("q_rows"))
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
     )
     if seen is not None:
@@ -150,7 +146,7 @@ def _search_blocks(
         )
     cols = ["q_rows", "i_rows"] + (["seen"] if seen is not None else [])
     hits = joined.select(*cols).mapInArrow(
-        _scorer(k, dim, drop_seen), "query_id string, item_id string, score double"
+        _scorer(k, dim, drop_seen, metric == "cosine"), "query_id string, item_id string, score double"
     )
     return top_k_per_group(hits, ["query_id"], [F.desc("score"), F.asc("item_id")], k)
 
@@ -168,8 +164,13 @@ def retrieve_top_k(
     ``queries`` is (query_id, vector), ``items`` (item_id, vector). Pairs in ``seen``
     (query_id, item_id) score -1 ("sentinel") or leave the result ("drop").
     """
+    if metric not in ("cosine", "dot"):
+        raise ValueError(f"unsupported metric {metric!r}; use 'cosine' or 'dot'")
     if seen_mode not in ("sentinel", "drop"):
         raise ValueError(f"unsupported seen mode {seen_mode!r}; use 'sentinel' or 'drop'")
+    # Both sides are counted and then scored: written once, not computed twice.
+    queries = materialize(queries.select("query_id", "vector"), "queries")
+    items = materialize(items.select("item_id", "vector"), "items")
     size = items.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dim")).first()
     n_items, dim = size["n"], size["dim"]
     if not n_items:
@@ -177,22 +178,11 @@ def retrieve_top_k(
             [], "query_id string, item_id string, score double, rank int"
         )
     n_queries = max(1, queries.count())
-    spark = items.sparkSession
-    cells = spark.range(1).select(
-        F.lit(0).alias("cell"), F.lit(math.ceil(n_items / ITEM_BLOCK)).alias("n_blocks")
-    )
-    q = queries.select(
-        F.col("query_id").cast("string").alias("query_id"),
-        _prepared(F.col("vector"), metric).alias("_v"),
-        F.lit(0).alias("cell"),
-    )
-    i = items.select(
-        F.col("item_id").cast("string").alias("item_id"),
-        _prepared(F.col("vector"), metric).alias("_v"),
-        F.lit(0).alias("cell"),
-    )
+    cell = [F.lit(0).alias("cell"), F.lit(math.ceil(n_items / ITEM_BLOCK)).alias("n_blocks")]
+    q = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("vector").alias("_v"), *cell)
+    i = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("vector").alias("_v"), *cell)
     return _search_blocks(
-        q, i, cells, n_items, dim, k, math.ceil(n_queries / QUERY_BLOCK), seen, seen_mode == "drop"
+        q, i, n_items, dim, k, math.ceil(n_queries / QUERY_BLOCK), metric, seen, seen_mode == "drop"
     )
 
 
@@ -213,6 +203,7 @@ def approx_vector_search(
     A cell that holds a large share of the items is cut into blocks like any other, so its size
     sets the work but never the size of one task.
     """
+    queries = materialize(queries.select("query_id", "vector"), "queries")
     unit = items.select(
         F.col("item_id").cast("string").alias("item_id"), l2_normalize(F.col("vector")).alias("_v")
     )
@@ -228,8 +219,7 @@ def approx_vector_search(
     centers = np.array(model.clusterCenters())
     centroid = [F.array(*[F.lit(float(x)) for x in c]) for c in centers]
     q = queries.select(
-        F.col("query_id").cast("string").alias("query_id"),
-        l2_normalize(F.col("vector")).alias("_v"),
+        F.col("query_id").cast("string").alias("query_id"), l2_normalize(F.col("vector")).alias("_v")
     )
 
     def distance(c: Column) -> Column:
@@ -249,8 +239,12 @@ def approx_vector_search(
     )
     n_queries = max(1, queries.count())
     return _search_blocks(
-        probes, placed, cells, size["n"], size["dim"], limit,
-        math.ceil(n_queries / QUERY_BLOCK), None, False,
+        probes.join(F.broadcast(cells), "cell"),
+        placed.join(F.broadcast(cells), "cell"),
+        size["n"],
+        size["dim"],
+        limit,
+        math.ceil(n_queries / QUERY_BLOCK),
     )
 
 

@@ -12,6 +12,7 @@ from tastemill.functions.text import (
     strip_accents,
 )
 from tastemill.operators.ordering import top_k_per_group
+from tastemill.session import materialize
 
 # Re-ranking bonuses, the cap on title evidence and the cap on the whole bonus.
 CATEGORY_BONUS = 0.15
@@ -115,8 +116,8 @@ def keyword_search(queries: DataFrame, catalog: DataFrame, limit: int = 20) -> D
     ``queries`` is (request_id, q). Equal texts are searched once. Items go by the position of
     their category among those the query names (9 if none), then by id; the score is 1.
     """
-    texts = queries.select("q").distinct()
-    terms = query_terms(texts)
+    texts = materialize(queries.select("q").distinct(), "texts")
+    terms = materialize(query_terms(texts), "terms")
     # An item among a query's first `limit` is among the first `limit` of its category for some
     # term, since within a category items go by id: the cut per term loses nothing.
     matches = term_matches(terms, catalog, limit)

@@ -297,7 +297,7 @@ def _(spark, d):
  per AS (SELECT user_id AS request_id, item_id, score FROM hits JOIN ({B.ITEMS}) USING (item_id)),
  sem AS (SELECT '' AS request_id, '' AS item_id, 0.0::DOUBLE AS score WHERE false),
  w AS (SELECT DISTINCT request_id, 0.3::DOUBLE AS w_sem FROM per)
- {fuse_sql('SELECT * FROM sem', 'SELECT * FROM per', 'SELECT * FROM w', 10).replace('round(fused, 4) AS score', 'round(fused, 3) AS score')}""",
+ {fuse_sql('SELECT * FROM sem', 'SELECT * FROM per', 'SELECT * FROM w', 10)}""",
 )
 def _(spark, d):
     """The personal side alone, as for a message without any intent."""
@@ -310,8 +310,7 @@ def _(spark, d):
         F.col("query_id").alias("request_id"), "item_id", "score"
     )
     weights = per.select("request_id").distinct().withColumn("w_sem", F.lit(0.3))
-    out = E.fuse_rankings(per.limit(0), per, weights, 10)
-    return out.withColumn("score", F.round("score", 3))
+    return E.fuse_rankings(per.limit(0), per, weights, 10)
 
 
 # Messages

@@ -67,7 +67,8 @@ def semantic_candidates(
 
     Text without any known word has a zero vector and yields no candidates.
     """
-    texts = requests.select("q").distinct().withColumn("normalized", normalize_query(F.col("q")))
+    texts = materialize(requests.select("q").distinct(), "texts")
+    texts = materialize(texts.withColumn("normalized", normalize_query(F.col("q"))), "texts")
     coded = encode_text(encoder, texts.select("normalized").distinct(), "normalized")
     known = coded.where(F.exists("vector", lambda x: x != 0))
     near = vector_search(known.withColumnRenamed("normalized", "query_id"), item_vectors, CANDIDATES)

@@ -5,8 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+import tastemill
+
+# Functions run by Python workers travel inside the job, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(tastemill)
+
 _LOCAL_ROOTS: dict[str, str] = {}
 
 
