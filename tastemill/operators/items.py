@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastemill.operators.ordering import top_k_per_group
+from tastemill.operators.ordering import head_by_order, top_k_per_group
 
 
 def top_tags_per_item(tags: DataFrame, n: int = 8) -> DataFrame:
@@ -107,4 +107,5 @@ def profile_dataset(interactions: DataFrame, items: DataFrame, users: DataFrame)
 
 def sample_rows(df: DataFrame, keys: Sequence[str], n: int = 5, seed: int = 42) -> DataFrame:
     """Seeded sample: the ``n`` rows with the smallest key hash."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *keys), *keys).limit(n)
+    hashed = df.withColumn("_h", F.xxhash64(F.lit(seed), *keys))
+    return head_by_order(hashed, ["_h", *keys], n).drop("_h")

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tastemill.operators.ordering import head_by_order
+
 METRICS = ("recall", "ndcg", "hit")
 
 
@@ -23,13 +25,16 @@ def ground_truth(test: DataFrame, train: DataFrame, catalog: DataFrame | None =
 
 
 def select_eval_users(
-    truth: DataFrame, max_users: int = 2000, restrict: DataFrame | None = None
+    truth: DataFrame, max_users: int | None = 2000, restrict: DataFrame | None = None
 ) -> DataFrame:
-    """Users with the largest truth, ties by id; optionally only known users."""
+    """Users with the largest truth, ties by id; optionally only known users, or all of them."""
     sizes = truth.groupBy("user_id").agg(F.count("*").alias("n"))
     if restrict is not None:
         sizes = sizes.join(restrict.select("user_id"), "user_id", "left_semi")
-    return sizes.orderBy(F.desc("n"), "user_id").limit(max_users)
+    if max_users is None:
+        return sizes
+    ranked = sizes.withColumn("_neg", -F.col("n"))
+    return head_by_order(ranked, ["_neg", "user_id"], max_users).drop("_neg")
 
 
 def _ideal(size: Column, k: int) -> Column:
@@ -149,4 +154,5 @@ def popular_recs_for_users(scores: DataFrame, users: DataFrame, k: int) -> DataF
 def sample_common_users(train: DataFrame, test: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """Seeded sample of the users present on both sides."""
     both = train.select("user_id").intersect(test.select("user_id"))
-    return both.orderBy(F.xxhash64(F.lit(seed), "user_id"), "user_id").limit(n)
+    hashed = both.withColumn("_h", F.xxhash64(F.lit(seed), "user_id"))
+    return head_by_order(hashed, ["_h", "user_id"], n).drop("_h")

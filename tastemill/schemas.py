@@ -78,7 +78,7 @@ class Settings:
     als_alpha: float = 5.0
     top_k: int = 20
     eval_k: tuple = (10, 20)
-    eval_max_users: int = 2000
+    eval_max_users: int | None = 2000
 
 
 DEFAULTS = Settings()
