@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastemill.operators.ordering import exact_percentiles
+from tastemill.session import materialize
 
 FLOOR = 1e-6
 ALERT = 0.1
@@ -111,7 +112,7 @@ def psi_long(
     approximate: bool = False,
 ) -> DataFrame:
     """Population stability index per feature of two long ``(feature, value)`` tables."""
-    edges = quantile_edges(expected, features, bins, approximate)
+    edges = materialize(quantile_edges(expected, features, bins, approximate), "edges")
     return psi_from_edges(actual, expected, edges)
 
 

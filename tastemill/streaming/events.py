@@ -172,6 +172,13 @@ def keep_recent(
     )
 
 
+def newest_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the last batch folder."""
+    rows = spark.read.parquet(path)
+    last = rows.agg(F.max("batch")).first()[0]
+    return rows.where(F.col("batch") == last).drop("batch")
+
+
 def rolling_drift(
     events: DataFrame,
     baseline: DataFrame,
