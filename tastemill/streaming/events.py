@@ -110,9 +110,15 @@ def capped_user_state(events: DataFrame, cap: int) -> DataFrame:
     """Streaming state of at most the ``cap`` newest events per user, emitted on each change.
 
     Events are (user_id, item_id, event_type, timestamp, event_id); rows come back per user with
-    ``position`` 0 for the newest.
+    ``position`` 0 for the newest. Each Arrow batch is cut to the cap per user before the shuffle:
+    older events of a batch could not survive anyway, and a hot user stays a small group.
     """
     cols = ["event_id", "item_id", "event_type", "timestamp"]
+    order = ["timestamp", "event_id"]
+
+    def trim(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for chunk in chunks:
+            yield chunk.sort_values(order, ascending=False).groupby("user_id", sort=False).head(cap)
 
     def update(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         kept = pd.DataFrame(
@@ -121,7 +127,7 @@ def capped_user_state(events: DataFrame, cap: int) -> DataFrame:
         for chunk in chunks:
             both = pd.concat([kept, chunk[cols]], ignore_index=True) if len(kept) else chunk[cols]
             both = both.drop_duplicates("event_id")
-            kept = both.sort_values(["timestamp", "event_id"], ascending=False).head(cap)
+            kept = both.sort_values(order, ascending=False).head(cap)
         state.update(tuple(kept[c].tolist() for c in cols))
         out = kept.reset_index(drop=True)
         out.insert(0, "user_id", key[0])
@@ -131,7 +137,7 @@ def capped_user_state(events: DataFrame, cap: int) -> DataFrame:
     micros = events.select(
         "user_id", "event_id", "item_id", "event_type", F.unix_micros("timestamp").alias("timestamp")
     )
-    return micros.groupBy("user_id").applyInPandasWithState(
+    return micros.mapInPandas(trim, micros.schema).groupBy("user_id").applyInPandasWithState(
         update,
         "user_id string, event_id bigint, item_id string, event_type string, timestamp bigint, position int",
         "event_id array<bigint>, item_id array<string>, event_type array<string>, timestamp array<bigint>",
