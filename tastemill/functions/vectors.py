@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EPS = 1e-12
@@ -48,10 +48,17 @@ def vector_sum(v: Column) -> Column:
     return vector_to_array(Summarizer.sum(array_to_vector(as_double(v))))
 
 
-def vector_mean(v: Column, weight: Column) -> Column:
-    """Weighted element-wise mean as an aggregate with map-side combine."""
-    return vector_to_array(Summarizer.mean(array_to_vector(as_double(v)), weight))
-
-
 def zeros(dim: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), dim), lambda _: F.lit(0.0))
+
+
+def weighted_means(
+    df: DataFrame, keys: Sequence[str], vector: str, weight: Column, dim: int, name: str = "vector"
+) -> DataFrame:
+    """Weighted element-wise mean per group; zeros where the weights sum to 0."""
+    scaled = let(weight, lambda w: F.transform(as_double(F.col(vector)), lambda x: x * w))
+    sums = df.groupBy(*keys).agg(vector_sum(scaled).alias("_s"), F.sum(weight).alias("_w"))
+    mean = F.transform("_s", lambda x: x / F.col("_w"))
+    return sums.select(
+        *keys, F.when(F.col("_w") != 0, mean).otherwise(zeros(F.lit(dim))).alias(name)
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastemill.functions.events import event_weight
-from tastemill.functions.vectors import dot, l2_normalize, let, vector_mean, zeros
+from tastemill.functions.vectors import dot, l2_normalize, let, weighted_means, zeros
 from tastemill.operators.ordering import head_by_order, with_global_index
 from tastemill.operators.validate import apply_recency
 from tastemill.schemas import DEFAULTS, Settings
@@ -122,8 +122,8 @@ def sample_negatives(
     base = positives.select("pos_id", "user_id").join(per_user, "user_id", "left")
     n_seen = F.coalesce("n_seen", F.lit(0))
     # A user with no unseen item is treated as having seen nothing.
-    base = base.withColumn("n_seen", F.when(n_seen >= n_items, F.lit(0)).otherwise(n_seen)).withColumn(
-        "exhausted", n_seen >= n_items
+    base = base.withColumn("exhausted", n_seen >= n_items).withColumn(
+        "n_seen", F.when(F.col("exhausted"), F.lit(0)).otherwise(n_seen)
     )
     gap = prime - n_items
     certain = F.least(F.lit(prime), F.lit(n + gap) + F.col("n_seen"))
@@ -221,7 +221,7 @@ def user_embedding(
         w = w * F.col("_recency")
     weighted = rows.groupBy("user_id", "item_id").agg(F.sum(w).alias("w"))
     known = weighted.join(item_vectors.select("item_id", "vector"), "item_id")
-    means = known.groupBy("user_id").agg(vector_mean(F.col("vector"), F.col("w")).alias("vector"))
+    means = weighted_means(known, ["user_id"], "vector", F.col("w"), dim)
     users = interactions.select("user_id").distinct()
     return users.join(means, "user_id", "left").select(
         "user_id", F.coalesce("vector", zeros(F.lit(dim))).alias("vector")
@@ -230,12 +230,8 @@ def user_embedding(
 
 def mean_pool(tokens: DataFrame, dim: int, key: Sequence[str] = ("text_id",)) -> DataFrame:
     """Masked mean of the token vectors ``(key.., vector, mask)`` per text, scaled to unit length."""
-    kept = F.col("mask").cast("double")
-    summed = tokens.groupBy(*key).agg(
-        vector_mean(F.col("vector"), kept).alias("_m"), F.sum(kept).alias("_n")
-    )
-    pooled = F.when(F.col("_n") > 0, F.col("_m")).otherwise(zeros(F.lit(dim)))
-    return summed.select(*key, l2_normalize(pooled).alias("vector"))
+    pooled = weighted_means(tokens, key, "vector", F.col("mask").cast("double"), dim)
+    return pooled.select(*key, l2_normalize(F.col("vector")).alias("vector"))
 
 
 def top_from_scores(scores: DataFrame, k: int) -> DataFrame:

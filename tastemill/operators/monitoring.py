@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastemill.functions.vectors import l2_normalize, vector_mean, vector_sum, zeros
+from tastemill.functions.vectors import l2_normalize, vector_sum, weighted_means, zeros
 from tastemill.operators.ordering import exact_percentiles, with_group_running_total
 
 COSINE_EPS = 1e-9
@@ -56,7 +56,7 @@ def intra_list_diversity(recs: DataFrame, vectors: DataFrame, by: str = "user_id
 def personalization(recs: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
     """1 - mean pairwise cosine of the users' mean item vectors, linear in the users."""
     rows = recs.select("user_id", "item_id").join(vectors.select("item_id", "vector"), "item_id")
-    means = rows.groupBy("user_id").agg(vector_mean(F.col("vector"), F.lit(1.0)).alias("_m"))
+    means = weighted_means(rows, ["user_id"], "vector", F.lit(1.0), dim, "_m")
     users = recs.select("user_id").distinct().join(means, "user_id", "left")
     unit = users.select(l2_normalize(F.coalesce("_m", zeros(F.lit(dim))), COSINE_EPS).alias("_v"))
     agg = unit.agg(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastemill.functions.text import ITEM_TEXT_FIELDS, item_text, normalize_query, strip_accents
@@ -65,7 +65,7 @@ def semantic_candidates(
 ) -> DataFrame:
     """Re-ranked nearest items per request of ``(request_id, q)``; equal texts are scored once.
 
-    Text without any known word has a zero vector and yields no candidates.
+    A text whose nearest item has cosine 0 shares no word with the catalog: it gets no candidates.
     """
     texts = materialize(requests.select("q").distinct(), "texts")
     texts = materialize(texts.withColumn("normalized", normalize_query(F.col("q"))), "texts")
@@ -73,6 +73,8 @@ def semantic_candidates(
     known = coded.where(F.exists("vector", lambda x: x != 0))
     near = vector_search(known.withColumnRenamed("normalized", "query_id"), item_vectors, CANDIDATES)
     near = near.select(F.col("query_id").alias("normalized"), "item_id", F.col("score").alias("semantic"))
+    best = F.max("semantic").over(Window.partitionBy("normalized"))  # at most CANDIDATES rows
+    near = near.withColumn("_best", best).where(F.col("_best") > 0).drop("_best")
     scored = rerank(texts.join(near, "normalized").join(catalog, "item_id"))
     return scored.select("q", "item_id", "title", "category", "final")
 
