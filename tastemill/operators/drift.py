@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastemill.operators.ordering import exact_percentiles
@@ -64,44 +64,44 @@ def _features(spark, names: Sequence[str]) -> DataFrame:
     return spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("feature"))
 
 
-def bin_proportions(values: DataFrame, edges: DataFrame) -> DataFrame:
-    """Share of each bin per feature: rows ``(feature, bin, n, p, outside)``.
+def bin_proportions(
+    values: DataFrame, edges: DataFrame, bins: int = 10, by: Sequence[str] = ()
+) -> DataFrame:
+    """Share of each bin per feature: rows ``(by.., feature, bin, n, p, outside)``.
 
     Bins are right-open but the last; values outside the edges are left out of the shares and
-    counted in ``outside``. Shares are floored and scaled to sum to 1.
+    counted in ``outside``. Shares are floored and scaled to sum to 1. ``bins`` is the largest
+    number of bins a feature has.
     """
+    keys = [*by, "feature"]
     e, v = F.col("edges"), F.col("value")
     n_bins = F.size(e) - 1
-    at = F.least(F.size(F.filter(e, lambda x: x <= v)), n_bins)
-    inside = (v >= e[0]) & (v <= F.element_at(e, -1))
+    # Plain comparisons instead of a lambda over the edges: they compile.
+    at = F.lit(0)
+    for i in range(bins + 1):
+        at = at + F.when(F.get(e, F.lit(i)) <= v, 1).otherwise(0)
+    inside = (v >= F.get(e, F.lit(0))) & (v <= F.get(e, n_bins))
     counted = (
-        values.join(F.broadcast(edges), "feature")
-        .groupBy("feature", F.when(inside, at).otherwise(F.lit(0)).alias("bin"))
+        values.join(F.broadcast(edges), "feature")  # one row per feature
+        .groupBy(*keys, F.when(inside, F.least(at, n_bins)).otherwise(F.lit(0)).alias("bin"))
         .agg(F.count("*").alias("n"))
     )
-    bins = edges.select("feature", F.explode(F.sequence(F.lit(1), n_bins)).alias("bin"))
-    totals = counted.groupBy("feature").agg(
+    totals = counted.groupBy(*keys).agg(
         F.sum(F.when(F.col("bin") > 0, F.col("n")).otherwise(0)).alias("inside"),
         F.sum(F.when(F.col("bin") == 0, F.col("n")).otherwise(0)).alias("outside"),
     )
+    empty = edges.select("feature", F.explode(F.sequence(F.lit(1), n_bins)).alias("bin"))
     shares = (
-        bins.join(counted, ["feature", "bin"], "left")
-        .join(totals, "feature", "left")
+        totals.join(empty, "feature")
+        .join(counted, [*keys, "bin"], "left")
         .withColumn("n", F.coalesce("n", F.lit(0)))
-        .withColumn("outside", F.coalesce("outside", F.lit(0)))
         .withColumn(
-            "_p",
-            F.greatest(
-                F.lit(FLOOR),
-                F.col("n") / F.greatest(F.coalesce("inside", F.lit(0)), F.lit(1)),
-            ),
+            "_p", F.greatest(F.lit(FLOOR), F.col("n") / F.greatest(F.col("inside"), F.lit(1)))
         )
     )
-    # At most bins rows per feature.
-    whole = shares.groupBy("feature").agg(F.sum("_p").alias("_s"))
-    return shares.join(whole, "feature").select(
-        "feature", "bin", "n", (F.col("_p") / F.col("_s")).alias("p"), "outside"
-    )
+    # At most `bins` rows per feature and side.
+    whole = F.sum("_p").over(Window.partitionBy(*keys))
+    return shares.select(*keys, "bin", "n", (F.col("_p") / whole).alias("p"), "outside")
 
 
 def psi_long(
@@ -113,39 +113,24 @@ def psi_long(
 ) -> DataFrame:
     """Population stability index per feature of two long ``(feature, value)`` tables."""
     edges = materialize(quantile_edges(expected, features, bins, approximate), "edges")
-    return psi_from_edges(actual, expected, edges)
+    return psi_from_edges(actual, expected, edges, bins)
 
 
-def psi_from_edges(actual: DataFrame, expected: DataFrame, edges: DataFrame) -> DataFrame:
-    side = F.struct
-    tagged = actual.select(F.concat(F.lit("a:"), "feature").alias("feature"), "value").unionByName(
-        expected.select(F.concat(F.lit("e:"), "feature").alias("feature"), "value")
-    )
-    both_edges = edges.select(
-        F.explode(F.array(F.concat(F.lit("a:"), "feature"), F.concat(F.lit("e:"), "feature"))).alias(
-            "feature"
-        ),
-        "edges",
-    )
-    shares = bin_proportions(tagged, both_edges).select(
-        F.substring("feature", 1, 1).alias("which"),
-        F.expr("substring(feature, 3)").alias("feature"),
-        "bin",
-        "n",
-        "outside",
-        "p",
+def psi_from_edges(
+    actual: DataFrame, expected: DataFrame, edges: DataFrame, bins: int = 10
+) -> DataFrame:
+    """Index per feature over given edges; a side without values gives 0."""
+    tagged = actual.select("feature", "value", F.lit("a").alias("side")).unionByName(
+        expected.select("feature", "value", F.lit("e").alias("side"))
     )
+    shares = bin_proportions(tagged, edges, bins, ["side"])
     pivoted = shares.groupBy("feature", "bin").agg(
-        F.max(F.when(F.col("which") == "a", side("p", "n", "outside"))).alias("a"),
-        F.max(F.when(F.col("which") == "e", side("p", "n", "outside"))).alias("e"),
-    )
-    term = (F.col("a.p") - F.col("e.p")) * F.log(F.col("a.p") / F.col("e.p"))
-    # Outside counts repeat on every bin of a feature.
-    any_a = F.sum("a.n") + F.max("a.outside")
-    any_e = F.sum("e.n") + F.max("e.outside")
-    return pivoted.groupBy("feature").agg(
-        F.when((any_a > 0) & (any_e > 0), F.sum(term)).otherwise(F.lit(0.0)).alias("psi")
+        F.max(F.when(F.col("side") == "a", F.col("p"))).alias("a"),
+        F.max(F.when(F.col("side") == "e", F.col("p"))).alias("e"),
     )
+    term = (F.col("a") - F.col("e")) * F.log(F.col("a") / F.col("e"))
+    scores = pivoted.groupBy("feature").agg(F.sum(term).alias("psi"))  # null without both sides
+    return edges.select("feature").join(scores, "feature", "left").fillna(0.0, ["psi"])
 
 
 def psi(actual: DataFrame, expected: DataFrame, column: str, bins: int = 10) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastemill.functions.vectors import l2_normalize, vector_sum, weighted_means, zeros
-from tastemill.operators.ordering import exact_percentiles, with_group_running_total
+from tastemill.operators.ordering import exact_percentiles, rank_values
 
 COSINE_EPS = 1e-9
 POPULARITY_FLOOR = 1e-9
@@ -148,7 +148,7 @@ def load_summary(
     """Summary of a load run per group of ``log``.
 
     Percentiles pick the value at rank round(n q / 100) of the sorted latencies; the median
-    averages the two middle ones. Ranks come from a running total over range partitions.
+    averages the two middle ones.
     """
     keys = list(by)
     base = log.groupBy(*keys).agg(
@@ -159,19 +159,16 @@ def load_summary(
         F.avg(latency).alias("mean_ms"),
         elapsed.alias("elapsed_s"),
     )
-    counted = log.groupBy(*keys, F.col(latency).alias("_v")).agg(F.count("*").alias("_c"))
-    ranked = with_group_running_total(counted, keys, ["_v"], "_c", "_lo", "_n")
-
-    def at(rank: Column) -> Column:
-        pos = F.greatest(F.lit(0), F.least(F.col("_n") - 1, rank)).cast("bigint")
-        return F.max(F.when((F.col("_lo") <= pos) & (pos < F.col("_lo") + F.col("_c")), F.col("_v")))
-
-    middle = (F.col("_n") - 1) / F.lit(2.0)
-    picks = ranked.groupBy(*keys).agg(
-        *[at(F.rint(F.col("_n") * F.lit(float(q)) / 100.0)).alias(f"p{q}") for q in (50, 95, 99)],
-        at(F.floor(middle)).alias("_m1"),
-        at(F.ceil(middle)).alias("_m2"),
-    )
+
+    def ranked(q: int):
+        return lambda n: F.greatest(
+            F.lit(0), F.least(n - 1, F.rint(n * F.lit(float(q)) / 100.0).cast("bigint"))
+        )
+
+    wanted = {f"p{q}": ranked(q) for q in (50, 95, 99)}
+    wanted["_m1"] = lambda n: F.floor((n - 1) / F.lit(2.0))
+    wanted["_m2"] = lambda n: F.ceil((n - 1) / F.lit(2.0))
+    picks = rank_values(log, latency, wanted, keys).drop("n")
     return base.join(picks, keys).select(
         *keys,
         "requests",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -110,46 +110,67 @@ def top_k_per_group(
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
 
-def exact_percentiles(
-    df: DataFrame, value: str, probabilities: Sequence[float], group: Sequence[str] = ()
+def rank_values(
+    df: DataFrame,
+    value: str,
+    picks: dict[str, Callable[[Column], Column]],
+    group: Sequence[str] = (),
 ) -> DataFrame:
-    """Linearly interpolated percentiles: rows ``(group.., p, value, n)``.
+    """Values at given sorted positions per group: columns ``group.., n`` and one per pick.
 
-    Values are counted first (map-side combine) and ranked by a running total over range
-    partitions, so neither a group nor its distinct values ever sit in one aggregation buffer.
+    A pick maps the group's row count to a 0-based position. Values are counted first (map-side
+    combine) and ranged over partitions; partition sums then tell which partitions hold a wanted
+    position, and only their rows are ranked. Neither a group nor its values sit in one buffer.
     """
     keys = list(group) or ["_all"]
     src = df if group else df.withColumn("_all", F.lit(0))
     counted = (
         src.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
+        .groupBy(*keys, F.col(value).alias("_v"))
         .agg(F.count("*").alias("_c"))
     )
-    ranked = with_group_running_total(counted, keys, ["_v"], "_c", "_lo", "n")
-    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-
-    def covers(pos: Column) -> Column:
-        return (F.col("_lo") <= pos) & (pos < F.col("_lo") + F.col("_c"))
-
-    def near(p: Column) -> Column:
-        at = p * (F.col("n") - 1)
-        return covers(F.floor(at)) | covers(F.ceil(at))
-
-    # Each distinct value keeps only the probabilities whose lower or upper rank it covers.
-    hits = (
-        ranked.select(*keys, "_v", "_c", "_lo", "n", F.explode(F.filter(wanted, near)).alias("p"))
-        .withColumn("_at", F.col("p") * (F.col("n") - 1))
-        .withColumn("_is_lo", covers(F.floor("_at")))
-        .withColumn("_is_hi", covers(F.ceil("_at")))
+    rows = _range_sorted(counted, [F.col(c) for c in [*keys, "_v"]])
+    # One row per partition a group touches.
+    pieces = rows.groupBy(*keys, "_pid").agg(F.sum("_c").alias("_piece"))
+    earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.withColumn("_carry", F.coalesce(F.sum("_piece").over(earlier), F.lit(0)))
+    pieces = pieces.withColumn("n", F.sum("_piece").over(Window.partitionBy(*keys)))
+    at = {name: pick(F.col("n")) for name, pick in picks.items()}
+    wanted = F.lit(False)
+    for pos in at.values():
+        wanted = wanted | ((F.col("_carry") <= pos) & (pos < F.col("_carry") + F.col("_piece")))
+    near = rows.join(pieces.where(wanted), [*keys, "_pid"])
+    upto = Window.partitionBy("_pid", *keys).orderBy("_pos")
+    upto = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = near.withColumn("_hi", F.col("_carry") + F.sum("_c").over(upto))
+    near = near.withColumn("_lo", F.col("_hi") - F.col("_c"))
+    out = near.groupBy(*keys).agg(
+        F.max("n").alias("n"),
+        *[
+            F.max(F.when((F.col("_lo") <= pos) & (pos < F.col("_hi")), F.col("_v"))).alias(name)
+            for name, pos in at.items()
+        ],
     )
-    out = (
-        hits.groupBy(*keys, "p")
-        .agg(
-            F.max(F.when(F.col("_is_lo"), F.col("_v"))).alias("_a"),
-            F.max(F.when(F.col("_is_hi"), F.col("_v"))).alias("_b"),
-            F.max(F.col("_at") - F.floor("_at")).alias("_t"),
-            F.max("n").alias("n"),
-        )
-        .withColumn("value", F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_t"))
+    return out.select(*group, "n", *picks)
+
+
+def exact_percentiles(
+    df: DataFrame, value: str, probabilities: Sequence[float], group: Sequence[str] = ()
+) -> DataFrame:
+    """Linearly interpolated percentiles: rows ``(group.., p, value, n)``."""
+    probs = [float(p) for p in probabilities]
+    picks = {}
+    for i, p in enumerate(probs):
+        picks[f"_lo{i}"] = lambda n, p=p: F.floor(F.lit(p) * (n - 1))
+        picks[f"_hi{i}"] = lambda n, p=p: F.ceil(F.lit(p) * (n - 1))
+    found = rank_values(
+        df.select(*group, F.col(value).cast("double").alias("_x")), "_x", picks, group
     )
-    return out.select(*group, "p", "value", "n")
+
+    def point(i: int, p: float) -> Column:
+        at = F.lit(p) * (F.col("n") - 1)
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        return F.struct(F.lit(p).alias("p"), (lo + (hi - lo) * (at - F.floor(at))).alias("value"))
+
+    points = F.explode(F.array(*[point(i, p) for i, p in enumerate(probs)])).alias("x")
+    return found.select(*group, points, "n").select(*group, "x.p", "x.value", "n")

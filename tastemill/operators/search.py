@@ -141,25 +141,45 @@ def keyword_search(queries: DataFrame, catalog: DataFrame, limit: int = 20) -> D
     )
 
 
-def rerank(candidates: DataFrame) -> DataFrame:
-    """Add the six score components to ``(q, semantic, title, category, tags, text_description)``."""
-    tokens = content_tokens(F.col("q"))
-    cats = detect_categories(F.col("q"))
+def query_features(texts: DataFrame) -> DataFrame:
+    """Content tokens and named categories of each distinct text ``q``."""
+    return texts.select("q").distinct().select(
+        "q",
+        content_tokens(F.col("q")).alias("_tokens"),
+        detect_categories(F.col("q")).alias("_cats"),
+    )
+
+
+def folded_catalog(items: DataFrame) -> DataFrame:
+    """Catalog with accent-free copies of the texts re-ranking looks at."""
 
     def text(name: str) -> Column:
         return strip_accents(F.lower(F.coalesce(F.col(name), F.lit(""))))
 
+    return (
+        items.withColumn("_title", text("title"))
+        .withColumn("_tags", text("tags"))
+        .withColumn("_desc", text("text_description"))
+    )
+
+
+def rerank(candidates: DataFrame) -> DataFrame:
+    """Add the six score components to ``(q, semantic, title, category, tags, text_description)``.
+
+    A text's features are worked out once, however many candidates it has; candidates taken from a
+    ``folded_catalog`` bring their folded texts with them.
+    """
+    if "_tokens" not in candidates.columns:
+        candidates = candidates.join(query_features(candidates), "q")
+    if "_title" not in candidates.columns:
+        candidates = folded_catalog(candidates)
+
     def hits(name: str) -> Column:
         return F.size(F.filter("_tokens", lambda t: F.contains(F.col(name), t)))
 
     category = F.lower(F.trim(F.coalesce("category", F.lit(""))))
     rows = (
-        candidates.withColumn("_tokens", tokens)
-        .withColumn("_cats", cats)
-        .withColumn("_title", text("title"))
-        .withColumn("_tags", text("tags"))
-        .withColumn("_desc", text("text_description"))
-        .withColumn("_hits", hits("_title"))
+        candidates.withColumn("_hits", hits("_title"))
         .withColumn("category_match", F.exists("_cats", lambda c: F.lower(c) == category).cast("double"))
         .withColumn("tag_match", (hits("_tags") > 0).cast("double"))
         .withColumn("description_match", (hits("_desc") > 0).cast("double"))

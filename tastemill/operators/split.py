@@ -35,15 +35,22 @@ def split_time_global(
     hist = df.groupBy(hour.alias("h")).agg(F.count("*").alias("c"))
     # One row per hour of history: a bounded table.
     upto = Window.orderBy(F.col("h").asc_nulls_last())
-    hist = hist.withColumn("hi", F.sum("c").over(upto)).withColumn("lo", F.col("hi") - F.col("c"))
-    n = hist.agg(F.sum("c")).first()[0] or 0
-    cut1 = int(n * ratios[0])
-    cut2 = cut1 + int(n * ratios[1])
+    everything = Window.partitionBy(F.lit(0))
+    hist = (
+        hist.withColumn("hi", F.sum("c").over(upto))
+        .withColumn("lo", F.col("hi") - F.col("c"))
+        .withColumn("n", F.sum("c").over(everything))
+        .withColumn("cut1", F.floor(F.col("n") * F.lit(float(ratios[0]))))
+        .withColumn("cut2", F.col("cut1") + F.floor(F.col("n") * F.lit(float(ratios[1]))))
+    )
+    found = hist.where(
+        "(lo <= cut1 AND cut1 < hi) OR (lo <= cut2 AND cut2 < hi)"
+    ).collect()  # the two cut hours at most
+    cut1 = cut2 = None
     at = {}
-    for cut in {cut1, cut2}:
-        row = hist.where((F.col("lo") <= cut) & (F.col("hi") > cut)).first()
-        if row is not None:
-            at[cut] = row
+    for row in found:
+        cut1, cut2 = row["cut1"], row["cut2"]
+        at.update({cut: row for cut in (cut1, cut2) if row["lo"] <= cut < row["hi"]})
     by_hour = F.lit("train")
     for cut, name in ((cut1, "validation"), (cut2, "test")):
         if cut in at:

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from tastemill.functions.text import ITEM_TEXT_FIELDS, item_text, normalize_query, strip_accents
 from tastemill.operators.retrieval import enrich_with_catalog, retrieve_top_k, vector_search
 from tastemill.operators.search import (
+    folded_catalog,
     fuse_rankings,
     fusion_weight,
     keyword_search,
     order_reranked,
+    query_features,
     rerank,
     without,
 )
@@ -68,14 +70,15 @@ def semantic_candidates(
     A text whose nearest item has cosine 0 shares no word with the catalog: it gets no candidates.
     """
     texts = materialize(requests.select("q").distinct(), "texts")
-    texts = materialize(texts.withColumn("normalized", normalize_query(F.col("q"))), "texts")
+    texts = texts.withColumn("normalized", normalize_query(F.col("q")))
+    texts = materialize(texts.join(query_features(texts), "q"), "texts")
     coded = encode_text(encoder, texts.select("normalized").distinct(), "normalized")
     known = coded.where(F.exists("vector", lambda x: x != 0))
     near = vector_search(known.withColumnRenamed("normalized", "query_id"), item_vectors, CANDIDATES)
     near = near.select(F.col("query_id").alias("normalized"), "item_id", F.col("score").alias("semantic"))
     best = F.max("semantic").over(Window.partitionBy("normalized"))  # at most CANDIDATES rows
     near = near.withColumn("_best", best).where(F.col("_best") > 0).drop("_best")
-    scored = rerank(texts.join(near, "normalized").join(catalog, "item_id"))
+    scored = rerank(texts.join(near, "normalized").join(folded_catalog(catalog), "item_id"))
     return scored.select("q", "item_id", "title", "category", "final")
 
 
