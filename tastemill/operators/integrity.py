@@ -75,14 +75,22 @@ def require_ok(report: DataFrame) -> None:
         )
 
 
+def _distinct_ids(ids: DataFrame, column: str) -> DataFrame:
+    return ids.select(F.col(column).cast("string").alias("id")).distinct()
+
+
+def _hash_size(distinct: DataFrame) -> int:
+    return distinct.agg(F.sum(F.octet_length("id") + 17)).first()[0] or 0
+
+
 def id_set_hash(ids: DataFrame, column: str) -> DataFrame:
     """SHA-256 of the sorted distinct ids joined by newlines, one row ``(n, sha256)``.
 
     The hash is defined over one string, so it suits id sets that fit in one; larger sets are
-    refused and compared by ``id_set_fingerprint``.
+    refused here and get their digest from ``id_set_digest``.
     """
-    distinct = ids.select(F.col(column).cast("string").alias("id")).distinct()
-    size = distinct.agg(F.sum(F.octet_length("id") + 17)).first()[0] or 0
+    distinct = _distinct_ids(ids, column)
+    size = _hash_size(distinct)
     if size > MAX_HASHED_BYTES:
         raise ValueError(f"id set of {size} bytes is too large to hash as one string")
     listed = F.array_sort(F.collect_list("id"))
@@ -91,13 +99,25 @@ def id_set_hash(ids: DataFrame, column: str) -> DataFrame:
     )
 
 
+def id_set_digest(ids: DataFrame, column: str) -> DataFrame:
+    """``(n, sha256)`` of an id set of any size.
+
+    Sets beyond the size one string can hold are digested from their order-free fingerprint,
+    which every task adds to in parallel.
+    """
+    if _hash_size(_distinct_ids(ids, column)) <= MAX_HASHED_BYTES:
+        return id_set_hash(ids, column)
+    parts = id_set_fingerprint(ids, column)
+    text = F.concat_ws("-", *[F.col(c).cast("string") for c in parts.columns])
+    return parts.select("n", F.sha2(text, 256).alias("sha256"))
+
+
 def id_set_fingerprint(ids: DataFrame, column: str) -> DataFrame:
     """Order-free fingerprint of an id set of any size: count, sum and xor of 32-bit md5 parts."""
     part = F.conv(F.substring(F.md5(F.col("id")), 1, 8), 16, 10).cast("bigint")
     rest = F.conv(F.substring(F.md5(F.col("id")), 9, 8), 16, 10).cast("bigint")
     return (
-        ids.select(F.col(column).cast("string").alias("id"))
-        .distinct()
+        _distinct_ids(ids, column)
         .agg(
             F.count("*").alias("n"),
             F.coalesce(F.sum(part), F.lit(0)).alias("sum32"),
@@ -122,7 +142,7 @@ def artifact_manifest(
         info = df.agg(
             F.count("*").alias(f"{tag}_count"), F.max(F.size("vector")).alias(f"{tag}_dim")
         )
-        h = id_set_hash(df, "id").select(F.col("sha256").alias(f"{tag}_ids_sha256"))
+        h = id_set_digest(df, "id").select(F.col("sha256").alias(f"{tag}_ids_sha256"))
         return info.withColumn(f"{tag}_ids_sha256", h.scalar())
 
     u, i = side(user_vectors, "user"), side(item_vectors, "item")

@@ -16,8 +16,8 @@ from tastemill.functions.vectors import EPS, l2_normalize
 from tastemill.operators.ordering import top_k_per_group
 from tastemill.session import materialize
 
-QUERY_BLOCK = 512
-ITEM_BLOCK = 4096
+QUERY_BLOCK = 256
+ITEM_BLOCK = 2048
 # Item blocks are broadcast only while the whole table is below this many bytes.
 BROADCAST_BYTES = 64 << 20
 # Beyond it, item blocks are copied so that at least this many join keys exist.

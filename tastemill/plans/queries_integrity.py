@@ -38,7 +38,7 @@ def _(spark, d):
     "SELECT count(*) AS n, sha256(string_agg(id, chr(10) ORDER BY id)) AS sha256 FROM (SELECT DISTINCT CAST(vec_id AS VARCHAR) AS id FROM embeddings)",
 )
 def _(spark, d):
-    return K.id_set_hash(B.vectors(spark, d), "item_id")
+    return K.id_set_digest(B.vectors(spark, d), "item_id")
 
 
 @query(

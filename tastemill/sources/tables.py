@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from urllib.parse import urlparse
+from urllib.request import url2pathname
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -202,12 +206,34 @@ def load_processed(spark: SparkSession, path: str, splits: Sequence[str] = SPLIT
     return out
 
 
+def _hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """SHA-256 of files on a mounted path, read in chunks."""
+    for files in batches:
+        digests = []
+        for path in files["path"]:
+            digest = hashlib.sha256()
+            with open(url2pathname(urlparse(path).path), "rb") as f:
+                while chunk := f.read(1 << 20):
+                    digest.update(chunk)
+            digests.append(digest.hexdigest())
+        yield files.assign(sha256=digests)
+
+
 def file_checksums(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 of each file below a path: rows ``(name, sha256, size_bytes)``."""
+    """SHA-256 of each file below a path: rows ``(name, sha256, size_bytes)``.
+
+    Files spread over the tasks. Those on a mounted file system are hashed in chunks whatever
+    their size; object stores hand a file over whole, so there a file must fit in a task.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(
+    mounted = F.col("path").startswith("file:")
+    local = files.where(mounted).select("path", "length").mapInPandas(
+        _hash_files, "path string, length long, sha256 string"
+    )
+    remote = files.where(~mounted).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    return local.unionByName(remote).select(
         F.element_at(F.split("path", "/"), -1).alias("name"),
-        F.sha2("content", 256).alias("sha256"),
+        "sha256",
         F.col("length").alias("size_bytes"),
     )
 

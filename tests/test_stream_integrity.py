@@ -146,6 +146,8 @@ def test_id_hash(make, monkeypatch):
     monkeypatch.setattr(K, "MAX_HASHED_BYTES", 10)
     with pytest.raises(ValueError, match="too large"):
         K.id_set_hash(ids, "id")
+    big = K.id_set_digest(ids, "id").first()
+    assert big.n == 2 and big == K.id_set_digest(ids.repartition(3), "id").first()
 
 
 def test_manifest(make):
