@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tastemill.functions.events import event_weight
 from tastemill.functions.vectors import dot, l2_normalize, let, weighted_means, zeros
-from tastemill.operators.ordering import head_by_order, with_global_index
+from tastemill.operators.ordering import head_by_order, with_global_index, with_group_running_total
 from tastemill.operators.validate import apply_recency
 from tastemill.schemas import DEFAULTS, Settings
 from tastemill.session import materialize
@@ -111,6 +111,9 @@ def sample_negatives(
     nearly all positives; the few left short repeat the walk far enough to be certain:
     ``n + seen`` distinct items hold at least ``n`` unseen ones. Users who have seen the whole
     catalog draw from all of it; a pool smaller than ``n`` is returned whole.
+
+    Users who have seen half the catalog or more would walk long. Their unseen items are listed
+    once per user (no more rows than they have seen) and positives draw places in that list.
     """
     items = materialize(item_index.select("item_id", "item_idx"), "catalog")
     n_items = items.count()
@@ -125,6 +128,9 @@ def sample_negatives(
     base = base.withColumn("exhausted", n_seen >= n_items).withColumn(
         "n_seen", F.when(F.col("exhausted"), F.lit(0)).otherwise(n_seen)
     )
+    dense = ~F.col("exhausted") & (F.col("n_seen") * 2 >= n_items)
+    crowded = base.where(dense)
+    base = base.where(~dense)
     gap = prime - n_items
     certain = F.least(F.lit(prime), F.lit(n + gap) + F.col("n_seen"))
     share = (F.lit(n_items) - F.col("n_seen")) / F.lit(float(prime))
@@ -169,9 +175,42 @@ def sample_negatives(
     out = full.select("pos_id", "user_id", F.explode("picked").alias("p")).select(
         "pos_id", "user_id", "p.item_idx"
     )
+    many = per_user.where((F.col("n_seen") * 2 >= n_items) & (F.col("n_seen") < n_items))
+    if not many.isEmpty():
+        out = out.unionByName(_draw_from_pools(crowded, many, seen, n_items, n, seed))
     return out.join(items, "item_idx").select("pos_id", "user_id", "item_id")
 
 
+def _draw_from_pools(
+    positives: DataFrame, users: DataFrame, seen: DataFrame, n_items: int, n: int, seed: int
+) -> DataFrame:
+    """Evenly spaced places, from a random start, in each user's list of unseen items."""
+    chunk = 1 << 16
+    pages = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit((n_items - 1) // chunk).cast("bigint")))
+    catalog = users.select("user_id", pages.alias("page")).select(
+        "user_id",
+        F.explode(
+            F.sequence(
+                F.col("page") * chunk,
+                F.least(F.col("page") * chunk + (chunk - 1), F.lit(n_items - 1).cast("bigint")),
+            )
+        ).alias("item_idx"),
+    )
+    unseen = catalog.join(seen, ["user_id", "item_idx"], "left_anti")
+    pool = with_group_running_total(unseen, ["user_id"], ["item_idx"], name="slot", total="_pool")
+    size = F.lit(n_items) - F.col("n_seen")
+    take = F.least(F.lit(n), size)
+    start = F.pmod(F.xxhash64(F.lit(seed), "pos_id", "user_id"), size)
+    spaced = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), take - 1),
+        lambda j: F.pmod(start + F.floor(j * size / take), size),
+    )
+    draws = positives.select("pos_id", "user_id", F.explode(spaced).alias("slot"))
+    return draws.join(pool.select("user_id", "slot", "item_idx"), ["user_id", "slot"]).select(
+        "pos_id", "user_id", "item_idx"
+    )
+
+
 def contrastive_loss(
     positives: DataFrame, negatives: DataFrame, user_vectors: DataFrame, item_vectors: DataFrame
 ) -> DataFrame:

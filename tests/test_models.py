@@ -190,6 +190,7 @@ def test_negatives(spark):
     )
     rows = [("all", i) for i in range(n_items)] + [("most", i) for i in range(n_items - 2)]
     rows += [("hot", i % 20) for i in range(400)] + [("one", 5)]
+    rows += [("half", i) for i in range(0, n_items, 2)]
     pos = spark.createDataFrame(
         [(p, u, f"i{i}") for p, (u, i) in enumerate(rows)], "pos_id long, user_id string, item_id string"
     )
