@@ -27,7 +27,11 @@ def assign_variant(user: Column, weights: list[tuple[str, float]], n_buckets: in
     return out.otherwise(weights[-1][0])
 
 
-def point_id(item: Column, prefix: str = "recsys:") -> Column:
+# Fixed value: prefix of the names vector-point ids are derived from.
+POINT_PREFIX = "recsys:"
+
+
+def point_id(item: Column, prefix: str = POINT_PREFIX) -> Column:
     """Version-5 UUID of ``prefix + item`` in the URL namespace."""
     name = F.concat(F.unhex(F.lit(uuid.NAMESPACE_URL.hex)), F.encode(F.concat(F.lit(prefix), item), "UTF-8"))
     h = F.sha1(name)

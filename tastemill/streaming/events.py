@@ -26,7 +26,7 @@ def parse_events(raw: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def kafka_events(spark: SparkSession, servers: str, topic: str = "recsys-events") -> DataFrame:
+def kafka_events(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     """Events of a topic from the earliest offset. Needs the Kafka connector on the class path."""
     raw = (
         spark.readStream.format("kafka")
