@@ -188,10 +188,23 @@ def _(spark, d):
     return R.sample_common_users(B.train(spark, d), B.test(spark, d), 50)
 
 
-@query("train_popularity")
+_REACHABLE = f"""SELECT * FROM ({TRUTH}) WHERE item_id IN (SELECT item_id FROM ({B.TRAIN}))
+ AND user_id IN (SELECT user_id FROM ({B.TRAIN}))"""
+_JUDGED = f"""SELECT * FROM ({_REACHABLE}) WHERE user_id IN (
+ SELECT user_id FROM ({_REACHABLE}) GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 2000)"""
+_JUDGED_RECS = f"SELECT user_id, item_id, rank FROM (SELECT DISTINCT user_id FROM ({_JUDGED})) CROSS JOIN ({_TOP})"
+
+
+@query(
+    "train_popularity",
+    f"""SELECT m.*, c.coverage, v.diversity FROM ({means_sql(metrics_sql(_JUDGED_RECS, _JUDGED))}) m,
+ (SELECT round(count(*) FILTER (WHERE item_id IN (SELECT item_id FROM ({_JUDGED_RECS}))) / count(*), 6) AS coverage FROM (SELECT DISTINCT item_id FROM ({B.TRAIN}))) c,
+ (SELECT round(avg(n / 10.0::DOUBLE), 6) AS diversity FROM (SELECT user_id, count(DISTINCT category) AS n
+ FROM ({_JUDGED_RECS}) JOIN ({B.ITEMS}) USING (item_id) WHERE rank <= 10 GROUP BY user_id)) v""",
+)
 def _(spark, d):
     """Popularity model, its ranking metrics, coverage and diversity."""
-    return T.train_popularity(B.train(spark, d), B.test(spark, d), B.items(spark, d))
+    return _rounded(T.train_popularity(B.train(spark, d), B.test(spark, d), B.items(spark, d)))
 
 
 @query("train_als")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tastemill.operators.drift import quantile_edges, unpivot_numeric
 from tastemill.plans import bindings as B
+from tastemill.plans.queries_monitor import psi_sql
 from tastemill.plans.registry import query
 from tastemill.schemas import SERVING_EVENTS
 from tastemill.session import materialize, scratch_path
@@ -131,7 +132,14 @@ def _(spark, d):
     return S.newest_snapshot(spark, out).select("event_id", "user_id", "item_id")
 
 
-@query("rolling_drift")
+@query(
+    "rolling_drift",
+    f"""SELECT 'value' AS feature, round(psi, 6) AS psi FROM ({psi_sql(
+        'value',
+        'SELECT * FROM events ORDER BY ts DESC, event_id DESC LIMIT 1000',
+        f"SELECT * FROM events WHERE ts < TIMESTAMP '{B.CUT}'",
+    )})""",
+)
 def _(spark, d):
     """Drift of the newest thousand events' values against the events before the cut date."""
     before = B.table(spark, d, "events").where(F.col("ts").cast("timestamp") < F.lit(B.CUT).cast("timestamp"))
@@ -141,4 +149,4 @@ def _(spark, d):
     S.rolling_drift(
         B.event_stream(spark, d), baseline, edges, ["value"], out, checkpoint, 1000
     ).awaitTermination()
-    return spark.read.parquet(f"{out}/drift")
+    return S.newest_snapshot(spark, f"{out}/drift").withColumn("psi", F.round("psi", 6))

@@ -62,8 +62,11 @@ def cap_rows(df: DataFrame, max_rows: int | None, keys: Sequence[str]) -> DataFr
     return df if max_rows is None else head_by_order(df, keys, max_rows)
 
 
-def _csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", False)
+def _csv(
+    spark: SparkSession, path: str, schema: str | None = None, multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header; only dimension files may hold line breaks, as those cannot be split."""
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
@@ -121,9 +124,8 @@ def read_retail(spark: SparkSession, path: str, max_rows: int | None = None) ->
     """Transactions, articles and customers CSV files; ids are read as text."""
     transactions = _csv(spark, f"{path}/transactions_train.csv")
     transactions = cap_rows(transactions, max_rows, ["t_dat", "customer_id", "article_id"])
-    return retail_dataset(
-        transactions, _csv(spark, f"{path}/articles.csv"), _csv(spark, f"{path}/customers.csv")
-    )
+    articles = _csv(spark, f"{path}/articles.csv", multi_line=True)
+    return retail_dataset(transactions, articles, _csv(spark, f"{path}/customers.csv"))
 
 
 def pick_column(columns: Sequence[str], hints: Sequence[str]) -> str | None:
