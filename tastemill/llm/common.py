@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tastemill.session import scratch_path
 
 #: Bytes of text that a task holds as arrays at once; a longer single text is a chunk of its own.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
