@@ -34,12 +34,20 @@ def _row(docs: DataFrame):
     return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")))
 
 
+def _fresh(docs: DataFrame, name: str) -> str:
+    """A column name that the documents don't have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches LEAST_SCORE; empty texts are not worth keeping either."""
     configure(spark)
     ranker = quality.train_ranker(docs, table(spark, sf_dir, "labels"), F.lit(True))
-    scored = quality.score_quality(docs, ranker, "_score")
-    return scored.where((F.col("_score") >= LEAST_SCORE) & (F.length("text") > 0)).select(*_columns(docs))
+    score = _fresh(docs, "_score")
+    scored = quality.score_quality(docs, ranker, score)
+    return scored.where((F.col(score) >= LEAST_SCORE) & (F.length("text") > 0)).select(*_columns(docs))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,11 +66,12 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that occur elsewhere; documents of which nothing is left go."""
     configure(spark)
-    rows = docs.withColumn("_row", _row(docs))
-    found = suffix.repeated_bytes(rows.select("_row", "doc_id", "text"))
-    per_row = found.groupBy(F.col("row").alias("_row")).agg(F.collect_list("ranges").alias("_ranges"))
+    key, spans = _fresh(docs, "_row"), _fresh(docs, "_ranges")
+    rows = docs.withColumn(key, _row(docs))
+    found = suffix.repeated_bytes(rows.select(F.col(key).alias("_row"), "doc_id", "text"))
+    per_row = found.groupBy(F.col("row").alias(key)).agg(F.collect_list("ranges").alias(spans))
     n = partitions(spark)
-    joined = rows.repartition(n, "_row").join(per_row, "_row", "left").drop("_row")
+    joined = rows.repartition(n, key).join(per_row, key, "left").drop(key)
     schema = docs.schema
     index = docs.columns.index("text")
     count = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
@@ -70,20 +79,20 @@ def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for k, blobs in enumerate(batch.column("_ranges").to_pylist()):
+            for k, blobs in enumerate(batch.column(spans).to_pylist()):
                 if blobs and texts[k]:
                     data, parts, last = texts[k].encode(), [], 0
                     for a, b in zip(*(x.tolist() for x in covered(blobs, suffix.WIDTH))):
                         parts.append(data[last:a])
                         last = b
                     texts[k] = b"".join([*parts, data[last:]]).decode("utf-8", "ignore")
-            columns = batch.drop_columns(["_ranges"]).columns
+            columns = batch.drop_columns([spans]).columns
             columns[index] = pa.array(texts, pa.string())
             if count is not None:
                 columns[count] = pa.array([None if t is None else len(t) for t in texts], pa.int64()).cast(columns[count].type)
-            yield pa.RecordBatch.from_arrays(columns, batch.drop_columns(["_ranges"]).schema.names)
+            yield pa.RecordBatch.from_arrays(columns, batch.drop_columns([spans]).schema.names)
 
-    cut = joined.select(*_columns(docs), "_ranges").mapInArrow(run, schema)
+    cut = joined.select(*_columns(docs), spans).mapInArrow(run, schema)
     return cut.where(F.length(F.btrim("text", F.lit(" \t\r\n\f\v"))) > 0)
 
 

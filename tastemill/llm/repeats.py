@@ -65,11 +65,17 @@ class Parse:
 
 
 def positions(first: np.ndarray) -> Parse:
-    """Round 0: a boundary before every symbol and at the end."""
+    """Round 0: a boundary before every symbol and at the end. Single symbols need no context, so
+    here the edges of a document are as sure as other boundaries; after a round they are not."""
     at = np.arange(first[-1] + 1, dtype=np.int64)
     edge = np.zeros(len(at), bool)
     edge[first] = True
-    return Parse(at, np.where(edge, -FAR, at), np.where(edge, FAR, at), edge)
+    return Parse(at, at, at, edge)
+
+
+def _next(p: Parse, keep: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> Parse:
+    lo, hi = np.where(p.edge, -FAR, lo), np.where(p.edge, FAR, hi)
+    return Parse(p.at[keep], lo[keep], hi[keep], p.edge[keep])
 
 
 def recompress(p: Parse, spans: SpanHash, level: int) -> Parse:
@@ -85,7 +91,7 @@ def recompress(p: Parse, spans: SpanHash, level: int) -> Parse:
     lo, hi = p.lo.copy(), p.hi.copy()
     lo[1:] = np.minimum(p.lo[:-1], p.lo[1:])
     hi[:-1] = np.maximum(p.hi[1:], p.hi[:-1])
-    return Parse(p.at[keep], lo[keep], hi[keep], p.edge[keep])
+    return _next(p, keep, lo, hi)
 
 
 def leftmost_minima(p: Parse, names: np.ndarray) -> Parse:
@@ -103,11 +109,11 @@ def leftmost_minima(p: Parse, names: np.ndarray) -> Parse:
         keep[j] = True
         lo[j] = np.minimum(p.lo[j - 1], p.lo[j])
         hi[j] = np.maximum(p.hi[after], p.hi[j])
-        # Edges inside the run of equal blocks, or beside it, leave the boundary uncertified.
+        # An edge between the blocks that were compared leaves the boundary uncertified.
         sums = np.concatenate([[0], np.cumsum(p.edge)])
-        broken = sums[after + 1] - sums[j - 1] > 0
+        broken = sums[after] - sums[j] > 0
         lo[j[broken]], hi[j[broken]] = -FAR, FAR
-    return Parse(p.at[keep], lo[keep], hi[keep], p.edge[keep])
+    return _next(p, keep, lo, hi)
 
 
 @dataclass
