@@ -64,21 +64,20 @@ def _features(spark, names: Sequence[str]) -> DataFrame:
     return spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("feature"))
 
 
-def bin_proportions(
-    values: DataFrame, edges: DataFrame, bins: int = 10, by: Sequence[str] = ()
-) -> DataFrame:
+def bin_proportions(values: DataFrame, edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Share of each bin per feature: rows ``(by.., feature, bin, n, p, outside)``.
 
     Bins are right-open but the last; values outside the edges are left out of the shares and
-    counted in ``outside``. Shares are floored and scaled to sum to 1. ``bins`` is the largest
-    number of bins a feature has.
+    counted in ``outside``. Shares are floored and scaled to sum to 1. Features may have any
+    number of bins; the largest is read from ``edges``, which has one row per feature.
     """
+    most = edges.agg(F.max(F.size("edges"))).first()[0] or 0
     keys = [*by, "feature"]
     e, v = F.col("edges"), F.col("value")
     n_bins = F.size(e) - 1
     # Plain comparisons instead of a lambda over the edges: they compile.
     at = F.lit(0)
-    for i in range(bins + 1):
+    for i in range(most):
         at = at + F.when(F.get(e, F.lit(i)) <= v, 1).otherwise(0)
     inside = (v >= F.get(e, F.lit(0))) & (v <= F.get(e, n_bins))
     counted = (
@@ -113,35 +112,46 @@ def psi_long(
 ) -> DataFrame:
     """Population stability index per feature of two long ``(feature, value)`` tables."""
     edges = materialize(quantile_edges(expected, features, bins, approximate), "edges")
-    return psi_from_edges(actual, expected, edges, bins)
+    return psi_from_edges(actual, expected, edges)
 
 
-def psi_from_edges(
-    actual: DataFrame, expected: DataFrame, edges: DataFrame, bins: int = 10
-) -> DataFrame:
+def psi_from_edges(actual: DataFrame, expected: DataFrame, edges: DataFrame) -> DataFrame:
     """Index per feature over given edges; a side without values gives 0."""
     tagged = actual.select("feature", "value", F.lit("a").alias("side")).unionByName(
         expected.select("feature", "value", F.lit("e").alias("side"))
     )
-    shares = bin_proportions(tagged, edges, bins, ["side"])
-    pivoted = shares.groupBy("feature", "bin").agg(
-        F.max(F.when(F.col("side") == "a", F.col("p"))).alias("a"),
-        F.max(F.when(F.col("side") == "e", F.col("p"))).alias("e"),
+    shares = bin_proportions(tagged, edges, ["side"])
+    side = {s: shares.where(F.col("side") == s).drop("side") for s in "ae"}
+    return psi_from_shares(side["a"], side["e"], edges)
+
+
+def psi_from_shares(actual: DataFrame, expected: DataFrame, edges: DataFrame) -> DataFrame:
+    """Index per feature of two tables of bin shares ``(feature, bin, p)``; 0 where one is absent."""
+    both = actual.select("feature", "bin", F.col("p").alias("a")).join(
+        expected.select("feature", "bin", F.col("p").alias("e")), ["feature", "bin"]
     )
     term = (F.col("a") - F.col("e")) * F.log(F.col("a") / F.col("e"))
-    scores = pivoted.groupBy("feature").agg(F.sum(term).alias("psi"))  # null without both sides
+    scores = both.groupBy("feature").agg(F.sum(term).alias("psi"))
     return edges.select("feature").join(scores, "feature", "left").fillna(0.0, ["psi"])
 
 
-def psi(actual: DataFrame, expected: DataFrame, column: str, bins: int = 10) -> DataFrame:
+def psi(
+    actual: DataFrame, expected: DataFrame, column: str, bins: int = 10, approximate: bool = False
+) -> DataFrame:
     return psi_long(
-        unpivot_numeric(actual, [column]), unpivot_numeric(expected, [column]), [column], bins
+        unpivot_numeric(actual, [column]),
+        unpivot_numeric(expected, [column]),
+        [column],
+        bins,
+        approximate,
     )
 
 
-def kl_divergence(reference: DataFrame, current: DataFrame, column: str, bins: int = 10) -> DataFrame:
+def kl_divergence(
+    reference: DataFrame, current: DataFrame, column: str, bins: int = 10, approximate: bool = False
+) -> DataFrame:
     """Symmetrised (Jeffreys) divergence: the stability index with swapped arguments."""
-    return psi(current, reference, column, bins).withColumnRenamed("psi", "kl")
+    return psi(current, reference, column, bins, approximate).withColumnRenamed("psi", "kl")
 
 
 def _shares(df: DataFrame, column: str, top: int, name: str) -> DataFrame:
@@ -187,13 +197,23 @@ def detect_drift(
     numeric: Sequence[str] = (),
     categorical: Sequence[str] = (),
     bins: int = 10,
+    top: int = 20,
+    approximate: bool = False,
 ) -> DataFrame:
-    """One row per feature: numeric ones with an alert above the threshold, categorical scores."""
+    """One row per feature: numeric ones with an alert above the threshold, categorical scores.
+
+    Categories beyond the ``top`` of either side don't count. Without a feature on both sides the
+    report is empty. ``approximate`` takes bin edges from a quantile sketch.
+    """
     parts = []
     numeric = [c for c in numeric if c in reference.columns and c in current.columns]
     if numeric:
         scores = psi_long(
-            unpivot_numeric(current, numeric), unpivot_numeric(reference, numeric), numeric, bins
+            unpivot_numeric(current, numeric),
+            unpivot_numeric(reference, numeric),
+            numeric,
+            bins,
+            approximate,
         )
         parts.append(
             scores.select(
@@ -206,7 +226,7 @@ def detect_drift(
     for c in categorical:
         if c in reference.columns and c in current.columns:
             parts.append(
-                categorical_shift(reference, current, c).select(
+                categorical_shift(reference, current, c, top).select(
                     F.lit(c).alias("feature"),
                     F.lit("categorical").alias("kind"),
                     "score",
@@ -214,7 +234,8 @@ def detect_drift(
                 )
             )
     if not parts:
-        raise ValueError("no feature is present on both sides")
+        report = "feature string, kind string, score double, alert boolean"
+        return reference.sparkSession.createDataFrame([], report)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -41,7 +41,7 @@ def offline_ab(
     truth: DataFrame,
     weights: Sequence[tuple[str, float]],
     k_values: Sequence[int] = (10, 20),
-    max_users: int | None = 2000,
+    max_users: int | None = None,
     n_buckets: int = 100,
 ) -> DataFrame:
     """Metrics per variant, each evaluation user judged only by the variant they are routed to.

@@ -25,7 +25,7 @@ def ground_truth(test: DataFrame, train: DataFrame, catalog: DataFrame | None =
 
 
 def select_eval_users(
-    truth: DataFrame, max_users: int | None = 2000, restrict: DataFrame | None = None
+    truth: DataFrame, max_users: int | None = None, restrict: DataFrame | None = None
 ) -> DataFrame:
     """Users with the largest truth, ties by id; optionally only known users, or all of them."""
     sizes = truth.groupBy("user_id").agg(F.count("*").alias("n"))

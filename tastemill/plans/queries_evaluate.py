@@ -165,24 +165,32 @@ def _(spark, d):
     )
 
 
-_RICH = f"SELECT user_id FROM ({TRUTH}) WHERE item_id IN (SELECT item_id FROM ({B.VECTORS})) AND user_id IN (SELECT user_id FROM ({B.TRAIN})) GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 2000"
-
-
-@query(
-    "evaluate_retrieval",
-    means_sql(
+def _retrieval_sql(limit: str) -> str:
+    rich = f"SELECT user_id FROM ({TRUTH}) WHERE item_id IN (SELECT item_id FROM ({B.VECTORS})) AND user_id IN (SELECT user_id FROM ({B.TRAIN})) GROUP BY user_id ORDER BY count(*) DESC, user_id {limit}"
+    return means_sql(
         metrics_sql(
             top_k_sql(USER_VECTORS.format(src=B.TRAIN), 20, SEEN),
-            f"SELECT * FROM ({TRUTH}) WHERE item_id IN (SELECT item_id FROM ({B.VECTORS})) AND user_id IN ({_RICH})",
+            f"SELECT * FROM ({TRUTH}) WHERE item_id IN (SELECT item_id FROM ({B.VECTORS})) AND user_id IN ({rich})",
         )
-    ),
-)
+    )
+
+
+@query("evaluate_retrieval", _retrieval_sql(""))
 def _(spark, d):
     return _rounded(
         T.evaluate_retrieval(B.train(spark, d), B.test(spark, d), user_vectors(spark, d), B.vectors(spark, d))
     )
 
 
+@query("evaluate_retrieval_richest", _retrieval_sql("LIMIT 30"))
+def _(spark, d):
+    """The same over the 30 users with most truth, an explicit limit."""
+    settings = replace(DEFAULTS, eval_max_users=30)
+    return _rounded(
+        T.evaluate_retrieval(B.train(spark, d), B.test(spark, d), user_vectors(spark, d), B.vectors(spark, d), settings)
+    )
+
+
 @query("sample_common_users")
 def _(spark, d):
     return R.sample_common_users(B.train(spark, d), B.test(spark, d), 50)
@@ -190,23 +198,31 @@ def _(spark, d):
 
 _REACHABLE = f"""SELECT * FROM ({TRUTH}) WHERE item_id IN (SELECT item_id FROM ({B.TRAIN}))
  AND user_id IN (SELECT user_id FROM ({B.TRAIN}))"""
-_JUDGED = f"""SELECT * FROM ({_REACHABLE}) WHERE user_id IN (
- SELECT user_id FROM ({_REACHABLE}) GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 2000)"""
-_JUDGED_RECS = f"SELECT user_id, item_id, rank FROM (SELECT DISTINCT user_id FROM ({_JUDGED})) CROSS JOIN ({_TOP})"
 
 
-@query(
-    "train_popularity",
-    f"""SELECT m.*, c.coverage, v.diversity FROM ({means_sql(metrics_sql(_JUDGED_RECS, _JUDGED))}) m,
- (SELECT round(count(*) FILTER (WHERE item_id IN (SELECT item_id FROM ({_JUDGED_RECS}))) / count(*), 6) AS coverage FROM (SELECT DISTINCT item_id FROM ({B.TRAIN}))) c,
+def _popularity_sql(limit: str) -> str:
+    judged = f"""SELECT * FROM ({_REACHABLE}) WHERE user_id IN (
+ SELECT user_id FROM ({_REACHABLE}) GROUP BY user_id ORDER BY count(*) DESC, user_id {limit})"""
+    recs = f"SELECT user_id, item_id, rank FROM (SELECT DISTINCT user_id FROM ({judged})) CROSS JOIN ({_TOP})"
+    return f"""SELECT m.*, c.coverage, v.diversity FROM ({means_sql(metrics_sql(recs, judged))}) m,
+ (SELECT round(count(*) FILTER (WHERE item_id IN (SELECT item_id FROM ({recs}))) / count(*), 6) AS coverage FROM (SELECT DISTINCT item_id FROM ({B.TRAIN}))) c,
  (SELECT round(avg(n / 10.0::DOUBLE), 6) AS diversity FROM (SELECT user_id, count(DISTINCT category) AS n
- FROM ({_JUDGED_RECS}) JOIN ({B.ITEMS}) USING (item_id) WHERE rank <= 10 GROUP BY user_id)) v""",
-)
+ FROM ({recs}) JOIN ({B.ITEMS}) USING (item_id) WHERE rank <= 10 GROUP BY user_id)) v"""
+
+
+@query("train_popularity", _popularity_sql(""))
 def _(spark, d):
-    """Popularity model, its ranking metrics, coverage and diversity."""
+    """Popularity model, its ranking metrics, coverage and diversity; every user is judged."""
     return _rounded(T.train_popularity(B.train(spark, d), B.test(spark, d), B.items(spark, d)))
 
 
+@query("train_popularity_richest", _popularity_sql("LIMIT 40"))
+def _(spark, d):
+    """The same over the 40 users with most truth, an explicit limit."""
+    settings = replace(DEFAULTS, eval_max_users=40)
+    return _rounded(T.train_popularity(B.train(spark, d), B.test(spark, d), B.items(spark, d), settings))
+
+
 @query("train_als")
 def _(spark, d):
     return T.train_als(B.train(spark, d), B.test(spark, d), B.items(spark, d), ALS_SETTINGS)
@@ -304,7 +320,7 @@ _RVT = f"SELECT variant, user_id, item_id FROM ({TRUTH}) JOIN ({_ROUTED}) USING
 )
 def _(spark, d):
     return _rounded(
-        G.offline_ab(_variant_recs(spark, d), _truth(spark, d), WEIGHTS, max_users=None)
+        G.offline_ab(_variant_recs(spark, d), _truth(spark, d), WEIGHTS)
     )
 
 

@@ -37,6 +37,18 @@ def _(spark, d):
     "id_set_hash",
     "SELECT count(*) AS n, sha256(string_agg(id, chr(10) ORDER BY id)) AS sha256 FROM (SELECT DISTINCT CAST(vec_id AS VARCHAR) AS id FROM embeddings)",
 )
+def _(spark, d):
+    return K.id_set_hash(B.vectors(spark, d), "item_id")
+
+
+def _digest_sql(ids: str) -> str:
+    """Digest of a query of distinct ids: SHA-256 of its count, sum and xors of md5 parts."""
+    return f"""SELECT n, sha256(concat_ws('-', n, s, x, y)) AS sha256 FROM (
+ SELECT count(*) AS n, CAST(coalesce(sum(a), 0) AS BIGINT) AS s, coalesce(bit_xor(a), 0) AS x, coalesce(bit_xor(b), 0) AS y FROM (
+ SELECT CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) AS a, CAST('0x' || substr(md5(id), 9, 8) AS BIGINT) AS b FROM ({ids})))"""
+
+
+@query("id_set_digest", _digest_sql("SELECT DISTINCT CAST(vec_id AS VARCHAR) AS id FROM embeddings"))
 def _(spark, d):
     return K.id_set_digest(B.vectors(spark, d), "item_id")
 
@@ -62,10 +74,9 @@ def _manifest(spark, d):
 
 @query(
     "artifact_manifest",
-    f"""SELECT 1 AS schema_version, 'local' AS release_version, u.n AS user_count, 64 AS user_dim, u.h AS user_ids_sha256,
- i.n AS item_count, 64 AS item_dim, i.h AS item_ids_sha256 FROM (
- SELECT count(*) AS n, sha256(string_agg(id, chr(10) ORDER BY id)) AS h FROM (SELECT DISTINCT user_id AS id FROM ({B.TRAIN}))) u,
- (SELECT count(*) AS n, sha256(string_agg(id, chr(10) ORDER BY id)) AS h FROM (SELECT CAST(vec_id AS VARCHAR) AS id FROM embeddings)) i""",
+    f"""SELECT 1 AS schema_version, 'local' AS release_version, u.n AS user_count, 64 AS user_dim, u.sha256 AS user_ids_sha256,
+ i.n AS item_count, 64 AS item_dim, i.sha256 AS item_ids_sha256 FROM ({_digest_sql(f"SELECT DISTINCT user_id AS id FROM ({B.TRAIN})")}) u,
+ ({_digest_sql("SELECT DISTINCT CAST(vec_id AS VARCHAR) AS id FROM embeddings")}) i""",
 )
 def _(spark, d):
     return _manifest(spark, d)[0].drop("artifacts")

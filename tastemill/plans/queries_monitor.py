@@ -202,11 +202,10 @@ def _(spark, d):
 @query(
     "list_novelty",
     f"""SELECT user_id, round(avg(-log2(greatest(coalesce(p, 1e-9), 1e-9))), 6) AS novelty FROM ({_LISTS}) LEFT JOIN (
- SELECT item_id, score / sum(score) OVER () AS p FROM ({POP.format(src=f"SELECT * FROM ({B.TRAIN}) WHERE event_type <> 'view' AND user_id < '3'")})) USING (item_id) GROUP BY user_id""",
+ SELECT item_id, score / sum(score) OVER () AS p FROM ({POP.format(src=B.TRAIN)})) USING (item_id) GROUP BY user_id""",
 )
 def _(spark, d):
-    some = B.train(spark, d).where((F.col("event_type") != "view") & (F.col("user_id") < "3"))
-    scores = popularity(some)
+    scores = popularity(B.train(spark, d))
     pop = scores.withColumn("p", F.col("score") / scores.agg(F.sum("score")).scalar())
     return H.list_novelty(_lists(spark, d), pop).withColumn("novelty", F.round("novelty", 6))
 

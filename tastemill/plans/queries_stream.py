@@ -8,7 +8,6 @@ from tastemill.operators.drift import quantile_edges, unpivot_numeric
 from tastemill.plans import bindings as B
 from tastemill.plans.queries_monitor import psi_sql
 from tastemill.plans.registry import query
-from tastemill.schemas import SERVING_EVENTS
 from tastemill.session import materialize, scratch_path
 from tastemill.streaming import events as S
 
@@ -24,35 +23,48 @@ _ITEM_OK = "item_id IN (SELECT CAST(p_partkey AS VARCHAR) FROM part WHERE p_bran
 _EV = "SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, json_extract_string(props, '$.k') AS item_id, event_type, ts, value FROM events"
 
 
+_BROKEN, _BAD_TIME = "event_id % 50 = 3", "event_id % 50 = 7"
+
+
 def _json_folder(spark, d):
-    """The events as JSON lines with the serving columns, upper-case types included."""
+    """The events as JSON lines with the serving columns: upper-case types, some lines cut short and
+    some times that are none."""
     path = scratch_path(spark, "json-events")
-    B.table(spark, d, "events").select(
-        F.col("user_id").cast("string").alias("user_id"),
-        F.get_json_object("props", "$.k").alias("item_id"),
-        F.when(F.col("event_id") % 2 == 0, F.upper("event_type")).otherwise(F.col("event_type")).alias("event_type"),
-        F.when(F.col("value") > 10, F.col("ts").cast("string")).alias("timestamp"),
-        F.col("ts").cast("string").alias("received_at"),
-    ).write.json(path)
+    time = F.when(F.expr(_BAD_TIME), "not a time").when(F.col("value") > 10, F.col("ts").cast("string"))
+    line = F.to_json(
+        F.struct(
+            F.col("user_id").cast("string").alias("user_id"),
+            F.get_json_object("props", "$.k").alias("item_id"),
+            F.when(F.col("event_id") % 2 == 0, F.upper("event_type")).otherwise(F.col("event_type")).alias("event_type"),
+            time.alias("timestamp"),
+            F.col("ts").cast("string").alias("received_at"),
+        )
+    )
+    cut = F.when(F.expr(_BROKEN), F.lit('{"user_id": ')).otherwise(line)
+    B.table(spark, d, "events").select(cut.alias("value")).write.text(path)
     return path
 
 
 @query(
     "event_source",
-    "SELECT lower(event_type) AS event_type, count(*) AS n FROM events GROUP BY 1",
+    f"SELECT lower(event_type) AS event_type, false AS payload_error, count(*) AS n FROM events WHERE NOT ({_BROKEN}) GROUP BY 1"
+    f" UNION ALL SELECT '', true, count(*) FROM events WHERE {_BROKEN}",
 )
 def _(spark, d):
-    """JSON lines read as a stream, parsed and counted."""
+    """JSON lines read as a stream, parsed and counted, broken ones apart."""
     events = S.json_events(spark, _json_folder(spark, d))
-    counted = S.event_counters(events.withColumn("event_type", F.lower("event_type")))
-    return S.run_updates(counted, ["event_type"], "counters")
+    kind = F.coalesce(F.lower("event_type"), F.lit(""))
+    counted = events.groupBy(kind.alias("event_type"), "payload_error").agg(F.count("*").alias("n"))
+    return S.run_updates(counted, ["event_type", "payload_error"], "counters")
 
 
 @query(
     "validate_events",
-    f"""SELECT user_id, item_id, lower(event_type) AS event_type, CAST(epoch_us(ts) AS BIGINT) AS ts_us,
- CASE WHEN NOT ({_KNOWN}) THEN 'event_type' WHEN NOT ({_ITEM_OK}) THEN 'item_id' ELSE '' END AS reject_reason,
- CAST(user_id AS BIGINT) % 10 > 0 AS known_user FROM ({_EV})""",
+    f"""SELECT user_id, item_id, lower(event_type) AS event_type,
+ CASE WHEN {_BAD_TIME} THEN -1 ELSE CAST(epoch_us(ts) AS BIGINT) END AS ts_us,
+ CASE WHEN NOT ({_KNOWN}) THEN 'event_type' WHEN NOT ({_ITEM_OK}) THEN 'item_id' WHEN {_BAD_TIME} THEN 'timestamp' ELSE '' END AS reject_reason,
+ CAST(user_id AS BIGINT) % 10 > 0 AS known_user FROM ({_EV}) WHERE NOT ({_BROKEN})
+ UNION ALL SELECT '', '', '', -1, 'payload', false FROM events WHERE {_BROKEN}""",
 )
 def _(spark, d):
     """Validated stream written through the file sink; every event keeps its reason."""
@@ -60,14 +72,11 @@ def _(spark, d):
     users = B.raw_interactions(spark, d).select("user_id").distinct().where(F.col("user_id").cast("int") % 10 > 0)
     checked = S.validate_events(S.json_events(spark, _json_folder(spark, d)), _catalog(spark, d), users)
     S.append_history(checked, out, checkpoint).awaitTermination()
-    return spark.read.parquet(out).select(
-        "user_id",
-        "item_id",
-        "event_type",
-        F.unix_micros("timestamp").alias("ts_us"),
-        F.coalesce("reject_reason", F.lit("")).alias("reject_reason"),
-        "known_user",
-    )
+    text = [F.coalesce(c, F.lit("")).alias(c) for c in ("user_id", "item_id", "event_type", "reject_reason")]
+    # A broken payload has no event time; its arrival time is the clock's.
+    lost = F.coalesce("reject_reason", F.lit("")) == "payload"
+    time = F.when(~lost, F.unix_micros("timestamp"))
+    return spark.read.parquet(out).select(*text, F.coalesce(time, F.lit(-1)).alias("ts_us"), "known_user")
 
 
 @query(
@@ -91,13 +100,12 @@ def _(spark, d):
 @query(
     "user_state",
     f"""SELECT user_id, event_id, item_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS seq,
- count(*) OVER (PARTITION BY user_id) AS n_events FROM ({_EV}) WHERE {_KNOWN}""",
+ count(*) OVER (PARTITION BY user_id) AS n_events FROM ({_EV})""",
 )
 def _(spark, d):
     """Events streamed to the history table, then read as ordered per-user state."""
     out, checkpoint = scratch_path(spark, "history"), scratch_path(spark, "history-checkpoint")
-    events = B.event_stream(spark, d).where(F.col("event_type").isin(*SERVING_EVENTS))
-    S.append_history(events, out, checkpoint).awaitTermination()
+    S.append_history(B.event_stream(spark, d), out, checkpoint).awaitTermination()
     return S.user_state(spark.read.parquet(out)).select(
         "user_id", "event_id", "item_id", "event_type", "seq", "n_events"
     )

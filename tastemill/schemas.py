@@ -64,7 +64,7 @@ UNIT_SECONDS = {"days": 86400.0, "hours": 3600.0, "minutes": 60.0, "seconds": 1.
 class Settings:
     """Defaults of the batch jobs."""
 
-    max_rows: int = 5_000_000
+    max_rows: int | None = None
     min_interactions_per_user: int = 2
     event_weights: dict = field(default_factory=lambda: dict(EVENT_WEIGHTS))
     recency_lambda: float = 0.035
@@ -78,7 +78,7 @@ class Settings:
     als_alpha: float = 5.0
     top_k: int = 20
     eval_k: tuple = (10, 20)
-    eval_max_users: int | None = 2000
+    eval_max_users: int | None = None
 
 
 DEFAULTS = Settings()

@@ -7,22 +7,33 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tastemill.operators.drift import psi_from_edges, unpivot_numeric
+from tastemill.operators.drift import bin_proportions, psi_from_shares, unpivot_numeric
 from tastemill.operators.ordering import with_group_running_total
 from tastemill.schemas import SERVING_EVENTS, STREAM_EVENT
-from tastemill.session import scratch_path
+from tastemill.session import materialize, scratch_path
+
+
+# Process all that is there, then stop. A service passes its own, e.g. {"processingTime": "5 seconds"}.
+DRAIN = {"availableNow": True}
 
 
 def parse_events(raw: DataFrame, value: str = "value") -> DataFrame:
-    """Event columns of a JSON payload; null payloads are skipped."""
+    """Event columns of a JSON payload and ``payload_error``, true where it is no JSON object.
+
+    Null payloads are skipped; others stay, so that validation can reject them by name.
+    """
     text = F.col(value).cast("string")
+    schema = T.StructType([*STREAM_EVENT.fields, T.StructField("_corrupt", T.StringType())])
+    parsed = F.from_json(text, schema, {"columnNameOfCorruptRecord": "_corrupt"})
     return (
         raw.where(F.col(value).isNotNull())
-        .select(F.from_json(text, STREAM_EVENT).alias("e"))
-        .where(F.col("e").isNotNull())
+        .select(parsed.alias("e"))
         .select("e.*")
+        .withColumn("payload_error", F.col("_corrupt").isNotNull())
+        .drop("_corrupt")
     )
 
 
@@ -50,19 +61,28 @@ def validate_events(events: DataFrame, catalog: DataFrame, users: DataFrame | No
     """Normalise events and name the reason a row is rejected (null when accepted).
 
     Types are lower-cased and must be known, items must be in the catalog. Unknown users are kept
-    and flagged. A missing event time becomes the arrival time. Works on batches and streams.
+    and flagged. A missing event time becomes the arrival time; one that is no time is rejected and
+    left null, as is a payload that did not parse. Works on batches and streams.
     """
     kind = F.lower("event_type")
     known_items = catalog.select("item_id").distinct().withColumn("_item", F.lit(True))
     rows = events.withColumn("event_type", kind).join(known_items, "item_id", "left")
-    arrived = F.coalesce(F.col("received_at").cast("timestamp"), F.current_timestamp())
-    out = rows.withColumn("received_at", arrived).withColumn(
-        "timestamp", F.coalesce(F.col("timestamp").cast("timestamp"), F.col("received_at"))
+    arrived = F.coalesce(F.col("received_at").try_cast("timestamp"), F.current_timestamp())
+    when = F.col("timestamp").try_cast("timestamp")
+    bad_time = F.col("timestamp").isNotNull() & when.isNull()
+    broken = F.col("payload_error") if "payload_error" in events.columns else F.lit(False)
+    reason = (
+        F.when(broken, "payload")
+        .when(~F.coalesce(kind.isin(*SERVING_EVENTS), F.lit(False)), "event_type")
+        .when(F.col("_item").isNull(), "item_id")
+        .when(bad_time, "timestamp")
     )
-    reason = F.when(~F.coalesce(kind.isin(*SERVING_EVENTS), F.lit(False)), "event_type").when(
-        F.col("_item").isNull(), "item_id"
+    out = (
+        rows.withColumn("reject_reason", reason)
+        .withColumn("received_at", arrived)
+        .withColumn("timestamp", F.when(bad_time, None).otherwise(F.coalesce(when, "received_at")))
+        .drop("_item", "payload_error")
     )
-    out = out.withColumn("reject_reason", reason).drop("_item")
     if users is None:
         return out
     known = users.select("user_id").distinct().withColumn("known_user", F.lit(True))
@@ -81,7 +101,9 @@ def latest_event_per_user(events: DataFrame, order_by: tuple[str, ...] = ("times
     return events.groupBy("user_id").agg(newest).select("user_id", "e.*")
 
 
-def append_history(events: DataFrame, path: str, checkpoint: str, buckets: int = 16):
+def append_history(
+    events: DataFrame, path: str, checkpoint: str, buckets: int = 16, trigger: dict | None = None
+):
     """Stream events to the history table the per-user state is read from.
 
     The file sink commits each batch once, so a restart from the checkpoint neither loses nor
@@ -94,7 +116,7 @@ def append_history(events: DataFrame, path: str, checkpoint: str, buckets: int =
         .option("checkpointLocation", checkpoint)
         .partitionBy("bucket")
         .outputMode("append")
-        .trigger(availableNow=True)
+        .trigger(**(trigger or DRAIN))
         .start(path)
     )
 
@@ -156,11 +178,12 @@ def keep_recent(
     checkpoint: str,
     n: int = 2000,
     order_by: tuple[str, ...] = ("timestamp", "event_id"),
+    trigger: dict | None = None,
 ):
     """Stream into snapshots of the ``n`` newest events, one folder per batch.
 
     A batch reads the snapshot before it and writes its own, so repeating a batch after a failure
-    writes the same rows again.
+    writes the same rows again. Older snapshots than these two are removed.
     """
 
     def step(batch: DataFrame, epoch: int) -> None:
@@ -169,20 +192,34 @@ def keep_recent(
         if epoch > 0:
             rows = spark.read.schema(batch.schema).parquet(f"{path}/batch={epoch - 1}").unionByName(batch)
         newest(rows, n, order_by).write.mode("overwrite").parquet(f"{path}/batch={epoch}")
+        _drop_before(spark, path, epoch - 1)
 
     return (
         events.writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or DRAIN))
         .start()
     )
 
 
+def _batches(spark: SparkSession, path: str) -> dict[int, object]:
+    """Batch number and path of each snapshot folder, from a listing of the folder alone."""
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = (s.getPath() for s in fs.listStatus(top))
+    return {int(p.getName().split("=")[1]): p for p in found if p.getName().startswith("batch=")}
+
+
+def _drop_before(spark: SparkSession, path: str, epoch: int) -> None:
+    for number, folder in _batches(spark, path).items():
+        if number < epoch:
+            fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            fs.delete(folder, True)
+
+
 def newest_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the last batch folder."""
-    rows = spark.read.parquet(path)
-    last = rows.agg(F.max("batch")).first()[0]
-    return rows.where(F.col("batch") == last).drop("batch")
+    """Rows of the last batch folder; no other folder is read."""
+    return spark.read.parquet(f"{path}/batch={max(_batches(spark, path))}")
 
 
 def rolling_drift(
@@ -194,12 +231,15 @@ def rolling_drift(
     checkpoint: str,
     n: int = 1000,
     order_by: tuple[str, ...] = ("timestamp", "event_id"),
+    trigger: dict | None = None,
 ):
     """Per batch, drift of the ``n`` newest events so far against a stored baseline.
 
-    ``baseline`` is long ``(feature, value)`` and ``edges`` its stored bin edges. Windows go to
-    ``path/window``, scores to ``path/drift``, one folder per batch each.
+    ``baseline`` is long ``(feature, value)`` and ``edges`` its stored bin edges; its bin shares are
+    computed and stored once. Windows go to ``path/window`` (the last two stay), scores to
+    ``path/drift``, one folder per batch each.
     """
+    expected = materialize(bin_proportions(baseline, edges), "baseline-shares")
 
     def step(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
@@ -209,13 +249,15 @@ def rolling_drift(
             rows = spark.read.schema(batch.schema).parquet(f"{window}/batch={epoch - 1}").unionByName(batch)
         newest(rows, n, order_by).write.mode("overwrite").parquet(f"{window}/batch={epoch}")
         recent = spark.read.schema(batch.schema).parquet(f"{window}/batch={epoch}")
-        scores = psi_from_edges(unpivot_numeric(recent, features), baseline, edges)
+        shares = bin_proportions(unpivot_numeric(recent, features), edges)
+        scores = psi_from_shares(shares, expected, edges)
         scores.write.mode("overwrite").parquet(f"{path}/drift/batch={epoch}")
+        _drop_before(spark, window, epoch - 1)
 
     return (
         events.writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or DRAIN))
         .start()
     )
 

@@ -153,8 +153,16 @@ def test_detect_drift(make, normal):
     b = make([(float(v), "red") for v in shifted], "score double, color string")
     got = {r.feature: r for r in D.detect_drift(a, b, ["score", "nope"], ["color"]).collect()}
     assert got["score"].alert and got["color"].score > 0 and len(got) == 2
-    with pytest.raises(ValueError, match="no feature"):
-        D.detect_drift(a, b, ["nope"])
+    empty = D.detect_drift(a, b, ["nope"])
+    assert empty.count() == 0 and empty.columns == ["feature", "kind", "score", "alert"]
+
+
+def test_bins_come_from_the_edges(make):
+    values = make([("x", float(k)) for k in range(1000)], "feature string, value double")
+    edges = D.quantile_edges(values, ["x"], 20)
+    shares = D.bin_proportions(values, edges).collect()
+    assert len(shares) == 20 and {r.n for r in shares} <= {49, 50, 51} and sum(r.n for r in shares) == 1000
+    assert D.psi_from_edges(values.where("value > 500"), values, edges).first().psi > 1
 
 
 def test_categories(make):
