@@ -194,13 +194,14 @@ def approx_vector_search(
     queries: DataFrame,
     items: DataFrame,
     limit: int = 10,
-    n_cells: int = 16,
-    n_probe: int = 4,
+    n_cells: int | None = None,
+    n_probe: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
     """Approximate search: k-means cells over unit vectors, each query looks into ``n_probe``.
 
-    A cell that holds a large share of the items is cut into blocks like any other, so its size
+    By default there are as many cells as the square root of the items, and a query looks into a
+    third of them; probing all cells is the exact search. A cell that holds a large share of the items is cut into blocks like any other, so its size
     sets the work but never the size of one task.
     """
     queries = materialize(queries.select("query_id", "vector"), "queries")
@@ -209,6 +210,8 @@ def approx_vector_search(
     )
     unit = materialize(unit.withColumn("_f", array_to_vector("_v")), "unit")
     size = unit.agg(F.count("*").alias("n"), F.max(F.size("_v")).alias("dim")).first()
+    n_cells = n_cells or max(2, math.ceil(math.sqrt(size["n"])))
+    n_probe = min(n_cells, n_probe or max(1, math.ceil(n_cells / 3)))
     model = KMeans(k=n_cells, seed=seed, featuresCol="_f", predictionCol="cell").fit(unit)
     placed = model.transform(unit).select("item_id", "_v", "cell")
     placed = materialize(placed, "cells")
@@ -216,26 +219,15 @@ def approx_vector_search(
     cells = placed.groupBy("cell").agg(
         F.ceil(F.count("*") / F.lit(ITEM_BLOCK)).cast("int").alias("n_blocks")
     )
-    centers = np.array(model.clusterCenters())
-    centroid = [F.array(*[F.lit(float(x)) for x in c]) for c in centers]
+    # One row per cell; the block scorer finds the cells nearest to each query.
+    centers = [(str(i), [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+    centers = queries.sparkSession.createDataFrame(centers, "item_id string, vector array<float>")
     q = queries.select(
         F.col("query_id").cast("string").alias("query_id"), l2_normalize(F.col("vector")).alias("_v")
     )
-
-    def distance(c: Column) -> Column:
-        return F.aggregate(
-            F.zip_with(F.col("_v"), c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x
-        )
-
-    near = F.slice(
-        F.array_sort(
-            F.array(*[F.struct(distance(c).alias("d"), F.lit(i).alias("cell")) for i, c in enumerate(centroid)])
-        ),
-        1,
-        n_probe,
-    )
-    probes = q.withColumn("_near", near).select(
-        "query_id", "_v", F.explode(F.transform("_near", lambda s: s["cell"])).alias("cell")
+    near = retrieve_top_k(queries, centers, n_probe)
+    probes = q.join(
+        near.select("query_id", F.col("item_id").cast("int").alias("cell")), "query_id"
     )
     n_queries = max(1, queries.count())
     return _search_blocks(

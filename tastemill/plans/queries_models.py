@@ -321,6 +321,17 @@ def _(spark, d):
     return R.approx_vector_search(v.withColumnRenamed("item_id", "query_id"), v, 10)
 
 
+@query(
+    "approx_vector_search_all_cells",
+    top_k_sql(_SELF, 10).replace("SELECT user_id,", "SELECT user_id AS query_id,", 1),
+)
+def _(spark, d):
+    """With every cell probed the approximate search is the exact one."""
+    v = B.vectors(spark, d)
+    hits = R.approx_vector_search(v.withColumnRenamed("item_id", "query_id"), v, 10, n_cells=12, n_probe=12)
+    return hits.withColumn("score", F.round("score", 6))
+
+
 @query(
     "point_id",
     f"""SELECT item_id, concat_ws('-', substr(h, 1, 8), substr(h, 9, 4), '5' || substr(h, 14, 3),

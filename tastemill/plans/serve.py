@@ -62,21 +62,59 @@ def embed_items(items: DataFrame, encoder: PipelineModel | Encoder | None = None
     return encoder(texts)
 
 
+def known_words(texts: DataFrame, text: str, catalog: DataFrame) -> DataFrame:
+    """``(text, known)``: the words of each text that the catalog's texts have, in their order.
+
+    Texts without such a word are left out. The vocabulary is exact, whatever space the words are
+    hashed to later.
+    """
+
+    def words(column):
+        return F.regexp_extract_all(strip_accents(column), F.lit("[a-z0-9]+"), F.lit(0))
+
+    vocabulary = catalog.select(F.explode(words(item_text(ITEM_TEXT_FIELDS))).alias("w")).distinct()
+    placed = texts.select(text, F.posexplode(words(F.col(text))).alias("at", "w"))
+    found = placed.join(vocabulary, "w").groupBy(text).agg(
+        F.array_sort(F.collect_list(F.struct("at", "w"))).alias("l")
+    )
+    return found.select(text, F.concat_ws(" ", F.transform("l", lambda x: x["w"])).alias("known"))
+
+
+def encode_queries(
+    texts: DataFrame, text: str, catalog: DataFrame, encoder: PipelineModel | Encoder
+) -> DataFrame:
+    """``(query_id, vector)`` of distinct texts by the encoder that the items were embedded with.
+
+    A function gets ``(item_id, text)`` and returns ``(item_id, vector)``, as for items. The native
+    encoder sees only words of the catalog; a text without one has no vector.
+    """
+    if isinstance(encoder, PipelineModel):
+        known = known_words(texts, text, catalog)
+        return encode_text(encoder, known, "known").select(F.col(text).alias("query_id"), "vector")
+    coded = encoder(texts.select(F.col(text).alias("item_id"), F.col(text).alias("text")))
+    return coded.select(F.col("item_id").alias("query_id"), "vector")
+
+
 def semantic_candidates(
-    requests: DataFrame, catalog: DataFrame, item_vectors: DataFrame, encoder: PipelineModel
+    requests: DataFrame,
+    catalog: DataFrame,
+    item_vectors: DataFrame,
+    encoder: PipelineModel | Encoder,
+    candidates: int = CANDIDATES,
 ) -> DataFrame:
     """Re-ranked nearest items per request of ``(request_id, q)``; equal texts are scored once.
 
-    A text whose nearest item has cosine 0 shares no word with the catalog: it gets no candidates.
+    A text that shares no word with the catalog, or whose nearest item has no positive cosine, gets
+    no candidates. ``candidates`` nearest items of a text are re-ranked.
     """
     texts = materialize(requests.select("q").distinct(), "texts")
     texts = texts.withColumn("normalized", normalize_query(F.col("q")))
     texts = materialize(texts.join(query_features(texts), "q"), "texts")
-    coded = encode_text(encoder, texts.select("normalized").distinct(), "normalized")
+    coded = encode_queries(texts.select("normalized").distinct(), "normalized", catalog, encoder)
     known = coded.where(F.exists("vector", lambda x: x != 0))
-    near = vector_search(known.withColumnRenamed("normalized", "query_id"), item_vectors, CANDIDATES)
+    near = vector_search(known, item_vectors, candidates)
     near = near.select(F.col("query_id").alias("normalized"), "item_id", F.col("score").alias("semantic"))
-    best = F.max("semantic").over(Window.partitionBy("normalized"))  # at most CANDIDATES rows
+    best = F.max("semantic").over(Window.partitionBy("normalized"))  # at most `candidates` rows
     near = near.withColumn("_best", best).where(F.col("_best") > 0).drop("_best")
     scored = rerank(texts.join(near, "normalized").join(folded_catalog(catalog), "item_id"))
     return scored.select("q", "item_id", "title", "category", "final")
@@ -86,11 +124,12 @@ def semantic_search(
     requests: DataFrame,
     catalog: DataFrame,
     item_vectors: DataFrame,
-    encoder: PipelineModel,
+    encoder: PipelineModel | Encoder,
     k: int = 20,
     cap_before_sort: bool = False,
+    candidates: int = CANDIDATES,
 ) -> DataFrame:
-    scored = semantic_candidates(requests, catalog, item_vectors, encoder)
+    scored = semantic_candidates(requests, catalog, item_vectors, encoder, max(k, candidates))
     best = order_reranked(scored.withColumnRenamed("q", "request_id"), k, cap_before_sort)
     best = best.withColumnRenamed("request_id", "q")
     return requests.join(best, "q").select(
@@ -99,7 +138,7 @@ def semantic_search(
 
 
 def search_with_fallback(
-    requests: DataFrame, catalog: DataFrame, item_vectors: DataFrame | None, encoder: PipelineModel | None
+    requests: DataFrame, catalog: DataFrame, item_vectors: DataFrame | None, encoder: PipelineModel | Encoder | None
 ) -> DataFrame:
     """Semantic search, and keyword search for the requests it leaves unanswered."""
     cols = ["request_id", "q", "rank", "item_id", "title", "category", "score"]
@@ -118,23 +157,24 @@ def hybrid_recommend(
     requests: DataFrame,
     catalog: DataFrame,
     text_vectors: DataFrame,
-    encoder: PipelineModel,
+    encoder: PipelineModel | Encoder,
     user_vectors: DataFrame,
     item_vectors: DataFrame,
     k: int = 10,
+    depth: int = 20,
 ) -> DataFrame:
     """Fuse intent and personal rankings per ``(request_id, user_id, q, preset)``.
 
-    Unknown users get the intent side alone; a request with neither side gets the catalog head.
+    Both sides give their first ``depth`` items, or ``k`` if that is more. Unknown users get the intent side alone; a request with neither side gets the catalog head.
     """
     sem = semantic_search(
-        requests.select("request_id", "q"), catalog, text_vectors, encoder, 20, cap_before_sort=True
+        requests.select("request_id", "q"), catalog, text_vectors, encoder, max(k, depth), cap_before_sort=True
     )
     sem = materialize(sem.select("request_id", "item_id", F.col("final").alias("score")), "intent")
     asked = requests.select("user_id").distinct()
     known = user_vectors.join(asked, "user_id", "left_semi").withColumnRenamed("user_id", "query_id")
     per_user = enrich_with_catalog(
-        retrieve_top_k(known, item_vectors, max(k, 20)).withColumnRenamed("query_id", "user_id"), catalog
+        retrieve_top_k(known, item_vectors, max(k, depth)).withColumnRenamed("query_id", "user_id"), catalog
     )
     per = requests.select("request_id", "user_id").join(per_user, "user_id")
     per = materialize(per.select("request_id", "item_id", "score"), "personal")

@@ -153,11 +153,35 @@ def test_semantic_and_fallback(make, shop):
     out = serve.search_with_fallback(asked, items, vectors, encoder)
     best = {r.request_id: (r.item_id, r.source) for r in out.where("rank = 1").collect()}
     assert best["a"] == ("2", "semantic") and best["b"] == best["d"] == ("1", "semantic")
+    assert "c" not in best  # no word of the catalog, no piece of one: unanswered by both
     assert max(r.score for r in out.collect()) <= 1.0
     only = serve.search_with_fallback(asked, items, None, None).collect()
     assert {r.source for r in only} == {"keyword"} and {r.request_id for r in only} == {"a", "b", "d"}
 
 
+def test_unknown_words_have_no_place(make, shop):
+    items, encoder, vectors = shop
+    odd = [("x", "blorptang"), ("y", "zzyzx qwfp"), ("z", "blorptang alien"), ("p", "lov")]
+    out = serve.search_with_fallback(make(odd, "request_id string, q string"), items, vectors, encoder)
+    got = {(r.request_id, r.source) for r in out.collect()}
+    assert got == {("z", "semantic"), ("p", "keyword")}
+
+
+def test_search_with_another_encoder(make, shop):
+    """Items and queries go through one function; here letter counts."""
+    items, _encoder, _vectors = shop
+
+    def letters(df):
+        low = F.lower("text")
+        count = [F.regexp_count(low, F.lit(chr(97 + k))).cast("float") for k in range(26)]
+        return df.select("item_id", F.array(*count).alias("vector"))
+
+    asked = make([("a", "toy story toys animation toys come alive"), ("b", "1 2 3")], "request_id string, q string")
+    out = serve.search_with_fallback(asked, items, serve.embed_items(items, letters), letters)
+    best = {r.request_id: (r.item_id, r.source) for r in out.where("rank = 1").collect()}
+    assert best == {"a": ("3", "semantic")}
+
+
 def test_hybrid(make, shop):
     items, encoder, vectors = shop
     v = make([("1", [1.0, 0.0]), ("2", [0.9, 0.1]), ("3", [0.0, 1.0]), ("4", [0.1, 0.9])], "item_id string, vector array<double>")
