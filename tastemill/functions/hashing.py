@@ -3,9 +3,23 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
+
+
+def seeded_order(df: DataFrame, keys: Sequence[str], seed: int) -> Column:
+    """md5 of the seed and the keys as text: an order any engine can repeat. Times count as
+    microseconds; null keys are empty."""
+
+    def text(name: str) -> Column:
+        c = F.col(name)
+        c = F.unix_micros(c) if isinstance(df.schema[name].dataType, TimestampType) else c
+        return F.coalesce(c.cast("string"), F.lit(""))
+
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[text(k) for k in keys]))
 
 
 def assign_bucket(user: Column, n_buckets: int = 100) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tastemill.functions.hashing import seeded_order
 from tastemill.operators.ordering import head_by_order, top_k_per_group
 
 
@@ -107,5 +108,5 @@ def profile_dataset(interactions: DataFrame, items: DataFrame, users: DataFrame)
 
 def sample_rows(df: DataFrame, keys: Sequence[str], n: int = 5, seed: int = 42) -> DataFrame:
     """Seeded sample: the ``n`` rows with the smallest key hash."""
-    hashed = df.withColumn("_h", F.xxhash64(F.lit(seed), *keys))
+    hashed = df.withColumn("_h", seeded_order(df, keys, seed))
     return head_by_order(hashed, ["_h", *keys], n).drop("_h")

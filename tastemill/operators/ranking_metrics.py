@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tastemill.functions.hashing import seeded_order
 from tastemill.operators.ordering import head_by_order
 
 METRICS = ("recall", "ndcg", "hit")
@@ -154,5 +155,5 @@ def popular_recs_for_users(scores: DataFrame, users: DataFrame, k: int) -> DataF
 def sample_common_users(train: DataFrame, test: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """Seeded sample of the users present on both sides."""
     both = train.select("user_id").intersect(test.select("user_id"))
-    hashed = both.withColumn("_h", F.xxhash64(F.lit(seed), "user_id"))
+    hashed = both.withColumn("_h", seeded_order(both, ["user_id"], seed))
     return head_by_order(hashed, ["_h", "user_id"], n).drop("_h")

@@ -382,9 +382,14 @@ def _(spark, d):
     return out.select("split", "rows", "users", _us("min_time", "min_us"), _us("max_time", "max_us"))
 
 
-@query("sample_rows")
+@query(
+    "sample_rows",
+    f"""SELECT user_id, item_id, event_type, CAST(epoch_us("timestamp") AS BIGINT) AS ts_us FROM ({B.VALID})
+ ORDER BY md5(concat_ws('|', '42', user_id, item_id, CAST(epoch_us("timestamp") AS VARCHAR))) LIMIT 100""",
+)
 def _(spark, d):
-    return I.sample_rows(B.interactions(spark, d), ["user_id", "item_id", "timestamp"], 100)
+    out = I.sample_rows(B.interactions(spark, d), ["user_id", "item_id", "timestamp"], 100)
+    return out.select("user_id", "item_id", "event_type", _us())
 
 
 @query(

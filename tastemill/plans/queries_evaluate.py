@@ -191,7 +191,11 @@ def _(spark, d):
     )
 
 
-@query("sample_common_users")
+@query(
+    "sample_common_users",
+    f"""SELECT user_id FROM (SELECT user_id FROM ({B.TRAIN}) INTERSECT SELECT user_id FROM ({B.TEST}))
+ ORDER BY md5(concat_ws('|', '42', user_id)) LIMIT 50""",
+)
 def _(spark, d):
     return R.sample_common_users(B.train(spark, d), B.test(spark, d), 50)
 
