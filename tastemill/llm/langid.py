@@ -27,7 +27,7 @@ from tastemill.llm.common import LOWER, SPACE, as_bytes, chunks, mix, split_word
 MAX_PER_LANGUAGE = 3_000
 BITS = 15
 SWITCH_PENALTY = 12.0
-CHUNK = 12 << 20
+CHUNK = 4 << 20
 
 # First bytes of UTF-8 sequences and the script they mostly start.
 _SCRIPT = np.zeros(256, np.uint8)
