@@ -168,8 +168,11 @@ def test_lattices_agree_with_each_other_and_the_library(spark):
     assert {r["word"]: r["ids"] for r in sentencepiece.encode_words(table, pieces).collect()} == lattice
     model = unigram_model()
     for word in words:
-        if word.startswith(" ") and word.isascii() and not word.startswith("  "):
-            assert lattice[word] == model.nbest_encode_as_ids(word[1:], 1)[0]
+        if word.isascii() and word[1:].strip() and not word.startswith("  "):
+            # The library adds up in single precision and may miss the best path, but lists it.
+            score = lambda ids: sum(map(model.get_score, ids))
+            paths = model.nbest_encode_as_ids(word[1:], 32)
+            assert lattice[word] in paths and score(lattice[word]) == max(map(score, paths))
 
 
 def test_sentencepiece_round_trip(docs, corpus):
