@@ -69,7 +69,7 @@ def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     key, spans = _fresh(docs, "_row"), _fresh(docs, "_ranges")
     rows = docs.withColumn(key, _row(docs))
     found = suffix.repeated_bytes(rows.select(F.col(key).alias("_row"), "doc_id", "text"))
-    per_row = found.groupBy(F.col("row").alias(key)).agg(F.collect_list("ranges").alias(spans))
+    per_row = found.select(F.col("_row").alias(key), F.col("ranges").alias(spans))
     n = partitions(spark)
     joined = rows.repartition(n, key).join(per_row, key, "left").drop(key)
     schema = docs.schema
@@ -79,10 +79,10 @@ def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for k, blobs in enumerate(batch.column(spans).to_pylist()):
-                if blobs and texts[k]:
+            for k, blob in enumerate(batch.column(spans).to_pylist()):
+                if blob and texts[k]:
                     data, parts, last = texts[k].encode(), [], 0
-                    for a, b in zip(*(x.tolist() for x in covered(blobs, suffix.WIDTH))):
+                    for a, b in zip(*(x.tolist() for x in covered(blob, suffix.WIDTH))):
                         parts.append(data[last:a])
                         last = b
                     texts[k] = b"".join([*parts, data[last:]]).decode("utf-8", "ignore")

@@ -177,9 +177,9 @@ def _anchor_records(first, seg: Segments, spans: SpanHash, width: int, row_id: n
 
 
 def repeated_anchors(docs: DataFrame, scan: Scan, width: int, hot: int) -> DataFrame:
-    """row, spans: packed (lo, width) of the row's anchors whose name occurs at least twice.
+    """bucket, blob: packed (row, lo, width) of the anchors whose name occurs at least twice.
 
-    Rows without ``row`` name the keys that occur in more than ``hot`` records: key, size.
+    Rows without ``bucket`` name the keys that occur in more than ``hot`` records: key, size.
     """
     n = partitions(docs.sparkSession)
     buckets = n * SPREAD
@@ -211,33 +211,50 @@ def repeated_anchors(docs: DataFrame, scan: Scan, width: int, hot: int) -> DataF
         size = np.diff(np.append(start, len(order)))
         twice = flag > 0
         twice[order] |= np.repeat(size > 1, size)
-        row_, lo_, w_ = row[twice], lo[twice], w[twice]
-        order_ = np.argsort(row_, kind="stable")
-        row_, pairs = row_[order_], np.column_stack([lo_[order_], w_[order_].astype(np.int32)])
-        cuts = np.flatnonzero(np.append(True, row_[1:] != row_[:-1])[: len(row_)])
-        offsets = np.append(cuts, len(row_)).astype(np.int64) * 8 if len(cuts) else np.zeros(1, np.int64)
-        held = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(cuts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(np.ascontiguousarray(pairs, "<i4").tobytes())]
-        ).cast(pa.binary())
-        none = pa.nulls(len(cuts), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(row_[cuts]), held, none, none], ["row", "spans", "key", "size"])
+        out = pair_blobs(row[twice], lo[twice], w[twice], buckets)
+        none = pa.nulls(out.num_rows, pa.int64())
+        yield pa.RecordBatch.from_arrays([*out.columns, none, none], ["bucket", "blob", "key", "size"])
         many = start[size > hot]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.nulls(len(many), pa.int64()),
+                pa.nulls(len(many), pa.int32()),
                 pa.nulls(len(many), pa.binary()),
                 pa.array(key[order][many].view(np.int64)),
                 pa.array(size[size > hot].astype(np.int64)),
             ],
-            ["row", "spans", "key", "size"],
+            ["bucket", "blob", "key", "size"],
         )
 
     met = docs.select("_row", "text").mapInArrow(emit, "bucket int, blob binary").repartition(n, "bucket")
-    return store(met.mapInArrow(find, "row long, spans binary, key long, size long"), "anchors")
+    return store(met.mapInArrow(find, "bucket int, blob binary, key long, size long"), "anchors")
 
 
-def spans_by_row(found: DataFrame) -> DataFrame:
-    return found.where("row IS NOT NULL").groupBy(F.col("row").alias("_row")).agg(F.collect_list("spans").alias("spans"))
+def pair_blobs(row: np.ndarray, a: np.ndarray, b: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """bucket, blob: pairs of numbers that belong to rows, packed by a bucket of the row key."""
+    where = (mix(row.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    out = list(bucketed(where, row.astype("<i8"), a.astype("<i4"), b.astype("<i4")))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([k for k, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], ["bucket", "blob"]
+    )
+
+
+def pairs_by_row(found: DataFrame, name: str) -> DataFrame:
+    """_row and its packed pairs, one row each, from ``bucket, blob``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row, a, b = unpack([x for batch in batches for x in batch.column("blob").to_pylist()], ("<i8", "<i4", "<i4"))
+        order = np.lexsort((a, row))
+        row, pairs = row[order], np.column_stack([a[order], b[order]])
+        cuts = np.flatnonzero(np.append(True, row[1:] != row[:-1])[: len(row)])
+        for k in range(0, len(cuts), 10_000):
+            ends = np.append(cuts, len(row))[k : k + 10_001]
+            offsets = ((ends - ends[0]) * 8).astype(np.int32)
+            data = np.ascontiguousarray(pairs[ends[0] : ends[-1]])
+            held = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+            yield pa.RecordBatch.from_arrays([pa.array(row[ends[:-1]]), held], ["_row", name])
+
+    met = found.where("bucket IS NOT NULL").select("bucket", "blob").repartition(partitions(found.sparkSession), "bucket")
+    return met.mapInArrow(run, f"_row long, `{name}` binary")
 
 
 def hot_keys(found: DataFrame, most: int = 100_000) -> np.ndarray:
@@ -249,10 +266,10 @@ def hot_keys(found: DataFrame, most: int = 100_000) -> np.ndarray:
 def windows_around(table: pa.Table, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Ranges [start, stop) of window starts of a chunk that hold a repeated anchor, merged."""
     a, b = [], []
-    for k, blobs in enumerate(table["spans"].to_pylist()):
-        if not blobs:
+    for k, blob in enumerate(table["spans"].to_pylist()):
+        if not blob:
             continue
-        pairs = np.frombuffer(b"".join(blobs), "<i4").reshape(-1, 2).astype(np.int64)
+        pairs = np.frombuffer(blob, "<i4").reshape(-1, 2).astype(np.int64)
         lo, hi = pairs[:, 0] + first[k], pairs[:, 0] + pairs[:, 1] + first[k]
         start = np.maximum(hi - width, first[k])
         stop = np.minimum(lo, first[k + 1] - width) + 1
@@ -278,29 +295,47 @@ def merge_ranges(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.nd
 
 # ---- step 2: windows ------------------------------------------------------------------------
 
-_WINDOW = ("<u8", "<i8", "<i8", "<i4", "u1")
+_WINDOW = ("<u8", "<u4", "<i8", "<i8", "<i4", "u1")
+#: Second base of a window's name: 96 bits stand for its symbols.
+CHECK_BASE = 0x2545F4914F6CDD1D
+
 
+def check_names(names: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """32 more bits of the names of spans, from another running sum."""
+    return (SpanHash(mix(names), CHECK_BASE)(lo, hi) >> np.uint64(32)).astype(np.uint32)
 
-def window_blobs(name: np.ndarray, row: np.ndarray, rank: np.ndarray, start: np.ndarray, buckets: int) -> list[tuple[int, bytes]]:
+
+def fresh(*columns: np.ndarray) -> np.ndarray:
+    """True where a row of sorted columns differs from the row before it."""
+    n = len(columns[0])
+    out = np.ones(n, bool)
+    if n:
+        out[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return out
+
+
+def window_blobs(
+    name: np.ndarray, check: np.ndarray, row: np.ndarray, rank: np.ndarray, start: np.ndarray, buckets: int
+) -> list[tuple[int, bytes]]:
     """Records of windows by name. Flag 0: alone in the chunk; 1: the first of several; 2: known to
     repeat (a later row of the chunk's least rank) and not compared again."""
-    order = np.lexsort((rank, name))
-    name, row, rank, start = name[order], row[order], rank[order], start[order]
-    new = np.append(True, name[1:] != name[:-1])[: len(name)]
+    order = np.lexsort((rank, check, name))
+    name, check, row, rank, start = name[order], check[order], row[order], rank[order], start[order]
+    new = fresh(name, check)
     group = np.cumsum(new) - 1
     least = rank[new][group] if len(name) else rank
     several = np.bincount(group, minlength=1)[group] > 1 if len(name) else new
     flag = np.where(rank > least, 2, several).astype(np.uint8)
     where = np.where(flag == 2, mix(row.view(np.uint64)), name) % np.uint64(buckets)
-    return list(bucketed(where.astype(np.int64), name, row, rank, start.astype(np.int32), flag))
+    return list(bucketed(where.astype(np.int64), name, check, row, rank, start.astype(np.int32), flag))
 
 
 def resolve_windows(blobs: list[bytes], smaller: bool) -> tuple[np.ndarray, np.ndarray]:
     """Rows and starts of the windows whose name also has a smaller rank, or occurs again at all."""
-    name, row, rank, start, flag = unpack(blobs, _WINDOW)
+    name, check, row, rank, start, flag = unpack(blobs, _WINDOW)
     compared = np.flatnonzero(flag < 2)
-    order = compared[np.lexsort((rank[compared], name[compared]))]
-    new = np.append(True, name[order][1:] != name[order][:-1])[: len(order)]
+    order = compared[np.lexsort((rank[compared], check[compared], name[compared]))]
+    new = fresh(name[order], check[order])
     group = np.cumsum(new) - 1
     hit = flag == 2
     if len(order):
@@ -308,18 +343,6 @@ def resolve_windows(blobs: list[bytes], smaller: bool) -> tuple[np.ndarray, np.n
     return row[hit], start[hit]
 
 
-def range_batches(row: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.RecordBatch:
-    """One Arrow row per document row with its ranges packed."""
-    order = np.lexsort((start, row))
-    row, pairs = row[order], np.column_stack([start[order], stop[order]]).astype("<i4")
-    cuts = np.flatnonzero(np.append(True, row[1:] != row[:-1])[: len(row)])
-    offsets = (np.append(cuts, len(row)) * 8).astype(np.int64) if len(cuts) else np.zeros(1, np.int64)
-    held = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(cuts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(np.ascontiguousarray(pairs).tobytes())]
-    ).cast(pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(row[cuts]), held], ["row", "ranges"])
-
-
 def runs(row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Consecutive starts of a row as ranges: row, start, stop."""
     order = np.lexsort((start, row))
@@ -332,11 +355,11 @@ def runs(row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return row[at], start[at], start[last] + 1
 
 
-def covered(blobs: list[bytes] | None, width: int) -> tuple[np.ndarray, np.ndarray]:
+def covered(blob: bytes | None, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Symbol ranges covered by the windows of packed start ranges, merged."""
-    if not blobs:
+    if not blob:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    pairs = np.frombuffer(b"".join(blobs), "<i4").reshape(-1, 2).astype(np.int64)
+    pairs = np.frombuffer(blob, "<i4").reshape(-1, 2).astype(np.int64)
     order = np.argsort(pairs[:, 0], kind="stable")
     return merge_ranges(pairs[order, 0], pairs[order, 1] + width - 1)
 

@@ -21,7 +21,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tastemill.llm import repeats as R
 from tastemill.llm.common import SpanHash, as_bytes, chunks, partitions, ranges, split_words, word_names
@@ -45,50 +44,50 @@ def _scan(width: int, rounds: int) -> R.Scan:
 
 
 def repeated_words(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:
-    """_row, ranges: packed [start, stop) ranges of window starts that a smaller doc_id has too."""
+    """_row, ranges: packed [start, stop) pairs of window starts that a smaller doc_id has too."""
     spark = docs.sparkSession
     n = partitions(spark)
     found = R.repeated_anchors(docs, _scan(width, rounds), width, hot=1 << 62)
-    joined = docs.repartition(n, "_row").join(R.spans_by_row(found), "_row", "left")
+    joined = docs.repartition(n, "_row").join(R.pairs_by_row(found, "spans"), "_row", "left")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some = (b.filter(b.column("spans").is_valid()) for b in batches)
         for table in chunks(some):
             data, offsets = as_bytes(table["text"])
             starts, _, first = split_words(data, offsets)
-            spans = SpanHash(word_names(data, starts))
+            names = word_names(data, starts)
+            spans = SpanHash(names)
             at, _ = ranges(*R.windows_around(table, first, width))
             row = np.searchsorted(first, at, side="right") - 1
             rank = table["doc_id"].fill_null(_LAST).to_numpy()[row]
             out = R.window_blobs(
-                spans(at, at + width), table["_row"].to_numpy()[row], rank, at - first[row], n * R.SPREAD
-            )
+                spans(at, at + width), R.check_names(names, at, at + width), table["_row"].to_numpy()[row], rank,
+                at - first[row], n * R.SPREAD,
+            )
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], ["bucket", "blob"]
             )
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, start = R.resolve_windows([x for b in batches for x in b.column("blob").to_pylist()], True)
-        yield R.range_batches(*R.runs(row, start))
+        yield R.pair_blobs(*R.runs(row, start), n * R.SPREAD)
 
     met = joined.mapInArrow(emit, "bucket int, blob binary").repartition(n, "bucket")
-    return met.mapInArrow(resolve, "row long, ranges binary")
+    return R.pairs_by_row(met.mapInArrow(resolve, "bucket int, blob binary"), "ranges")
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text (kept words joined by one space), kept_sha256."""
     rows = R.with_row(docs)
     n = partitions(docs.sparkSession)
-    found = repeated_words(rows, width, rounds)
-    per_row = found.groupBy(F.col("row").alias("_row")).agg(F.collect_list("ranges").alias("ranges"))
-    joined = rows.repartition(n, "_row").join(per_row, "_row", "left")
+    joined = rows.repartition(n, "_row").join(repeated_words(rows, width, rounds), "_row", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_removed, kept_texts, digests = [], [], [], []
-            for text, blobs in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist()):
+            for text, blob in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist()):
                 words = (text or "").encode().split()
-                a, b = R.covered(blobs, width)
+                a, b = R.covered(blob, width)
                 kept, last = [], 0
                 for x, y in zip(a.tolist(), b.tolist()):
                     kept += words[last:x]

@@ -28,7 +28,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tastemill.llm import repeats as R
 from tastemill.llm.common import BYTE_NAMES, SpanHash, as_bytes, chunks, mix, partitions, ranges
@@ -132,13 +131,13 @@ def as_bytes_binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repeated_bytes(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS, hot_limit: int = HOT) -> DataFrame:
-    """row, ranges: packed [start, stop) ranges of window starts that occur elsewhere too."""
+    """_row, ranges: packed [start, stop) pairs of window starts that occur elsewhere too."""
     spark = docs.sparkSession
     n = partitions(spark)
     scan = _scan(width, rounds)
     found = R.repeated_anchors(docs, scan, width, hot_limit)
     hot = R.hot_keys(found)
-    joined = docs.repartition(n, "_row").join(R.spans_by_row(found), "_row", "left")
+    joined = docs.repartition(n, "_row").join(R.pairs_by_row(found, "spans"), "_row", "left")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some = (b.filter(b.column("spans").is_valid()) for b in batches)
@@ -147,8 +146,8 @@ def repeated_bytes(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS, ho
             data, _ = as_bytes(table["text"])
             row_id = table["_row"].to_numpy()
             marks = []
-            for k, blobs in enumerate(table["spans"].to_pylist()):
-                pairs = np.frombuffer(b"".join(blobs), "<i4").reshape(-1, 2).astype(np.int64)
+            for k, blob in enumerate(table["spans"].to_pylist()):
+                pairs = np.frombuffer(blob, "<i4").reshape(-1, 2).astype(np.int64)
                 marks.append(((pairs[:, 0] + first[k]) << 16) | pairs[:, 1])
             marks = np.unique(np.concatenate(marks))
             held = seg.anchor >= 0
@@ -159,7 +158,8 @@ def repeated_bytes(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS, ho
             by_hash[held] = (twice & hot_anchor)[seg.anchor[held]]
             w, _ = ranges(seg.start[by_hash], seg.stop[by_hash])
             row = np.searchsorted(first, w, side="right") - 1
-            yield _window_tuples(spans(w, w + width), row_id[row], w - first[row], n * R.SPREAD)
+            check = R.check_names(BYTE_NAMES[data], w, w + width) if len(w) else np.zeros(0, np.uint32)
+            yield _window_tuples(spans(w, w + width), check, row_id[row], w - first[row], n * R.SPREAD)
             # All others: one tuple per occurrence of an anchor, with the bytes its windows need.
             use = held.copy()
             use[held] = (twice & ~hot_anchor)[seg.anchor[held]]
@@ -182,11 +182,10 @@ def repeated_bytes(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS, ho
                 row_id[row[lead]], at[lead] - first[row[lead]], stop[lead] - 1 - first[row[lead]], 0,
             )
             if len(known):
-                out = R.range_batches(
-                    row_id[row[known]], start[known] - first[row[known]], stop[known] - first[row[known]]
-                )
+                at_row = first[row[known]]
+                out = R.pair_blobs(row_id[row[known]], start[known] - at_row, stop[known] - at_row, n * R.SPREAD)
                 zero = np.zeros(out.num_rows, np.int32)
-                yield _tuples(out["row"].to_numpy(), out["ranges"], None, out["row"], zero, zero, 2)
+                yield _tuples(out["bucket"].cast(pa.int64()), out["blob"], None, zero.astype(np.int64), zero, zero, 2)
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -196,14 +195,15 @@ def repeated_bytes(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS, ho
             t, x = induce(table["part"].to_numpy(), table["suffix"], table["prefix"], width)
             start = table["at"].to_numpy()[t] - x
             inside = start <= table["last"].to_numpy()[t]
-            return R.range_batches(*R.runs(table["row"].to_numpy()[t][inside], start[inside]))
+            return R.pair_blobs(*R.runs(table["row"].to_numpy()[t][inside], start[inside]), n * R.SPREAD)
 
         for batch in batches:
             kind = batch.column("kind").to_numpy()
             blobs += batch.filter(pa.array(kind == 1)).column("suffix").to_pylist()
             known = batch.filter(pa.array(kind == 2))
             if known.num_rows:
-                yield pa.RecordBatch.from_arrays([known.column("row"), known.column("suffix")], ["row", "ranges"])
+                part = known.column("part").cast(pa.int32())
+                yield pa.RecordBatch.from_arrays([part, known.column("suffix")], ["bucket", "blob"])
             batch = batch.filter(pa.array(kind == 0))
             if not batch.num_rows:
                 continue
@@ -218,24 +218,25 @@ def repeated_bytes(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS, ho
         if held:
             yield ranked(pa.Table.from_batches(held).combine_chunks())
         row, start = R.resolve_windows(blobs, False)
-        yield R.range_batches(*R.runs(row, start))
+        yield R.pair_blobs(*R.runs(row, start), n * R.SPREAD)
 
     met = joined.mapInArrow(emit, _TUPLE).repartition(n, "part").sortWithinPartitions("kind", "part", "suffix")
-    return met.mapInArrow(resolve, "row long, ranges binary")
+    return R.pairs_by_row(met.mapInArrow(resolve, "bucket int, blob binary"), "ranges")
 
 
-def _window_tuples(name, row, start, buckets: int) -> pa.RecordBatch:
+def _window_tuples(name, check, row, start, buckets: int) -> pa.RecordBatch:
     """Windows compared by hash, as blobs in the place of suffixes."""
-    order = np.argsort(name, kind="stable")
-    name, row, start = name[order], row[order], start[order]
-    new = np.append(True, name[1:] != name[:-1])[: len(name)]
+    order = np.lexsort((check, name))
+    name, check, row, start = name[order], check[order], row[order], start[order]
+    new = R.fresh(name, check)
     several = np.bincount(np.cumsum(new) - 1, minlength=1)[np.cumsum(new) - 1] > 1 if len(name) else new
     # A name that repeats in the chunk is known for all its rows; its first also goes to the others.
     keep = np.concatenate([np.flatnonzero(several), np.flatnonzero(new)])
     flag = np.concatenate([np.full(several.sum(), 2), np.full(new.sum(), 0)]).astype(np.uint8)
-    name, row, start = name[keep], row[keep], start[keep]
+    name, check, row, start = name[keep], check[keep], row[keep], start[keep]
     where = np.where(flag == 2, mix(row.view(np.uint64)), name) % np.uint64(buckets)
-    out = list(R.bucketed(where.astype(np.int64), name, row, np.zeros(len(row), np.int64), start.astype(np.int32), flag))
+    none = np.zeros(len(row), np.int64)
+    out = list(R.bucketed(where.astype(np.int64), name, check, row, none, start.astype(np.int32), flag))
     part = np.array([b for b, _ in out], np.int64)
     zero = np.zeros(len(out), np.int32)
     return _tuples(part, pa.array([x for _, x in out], pa.binary()), None, np.zeros(len(out), np.int64), zero, zero, 1)
@@ -245,16 +246,14 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS, ho
     """doc_id, n_bytes, n_removed, n_spans, removed (byte spans), kept (bytes), kept_text, kept_sha256."""
     rows = R.with_row(docs)
     n = partitions(docs.sparkSession)
-    found = repeated_bytes(rows, width, rounds, hot_limit)
-    per_row = found.groupBy(F.col("row").alias("_row")).agg(F.collect_list("ranges").alias("ranges"))
-    joined = rows.repartition(n, "_row").join(per_row, "_row", "left")
+    joined = rows.repartition(n, "_row").join(repeated_bytes(rows, width, rounds, hot_limit), "_row", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for text, blobs in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist()):
+            for text, blob in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist()):
                 data = (text or "").encode()
-                a, b = R.covered(blobs, width)
+                a, b = R.covered(blob, width)
                 parts, last = [], 0
                 for x, y in zip(a.tolist(), b.tolist()):
                     parts.append(data[last:x])
