@@ -7,9 +7,9 @@ least estimated cost: a longer prefix means more postings, but a candidate must
 them. A pair is a candidate when it shares at least the smaller l of the two.
 
 Equal sets are one class and meet by signature, without pairs. Links are found in two passes.
-Stars: in each group of a name, all members against the member with the fewest rare names. Then,
-over components of the verified stars, the pairs of different components only, with size and
-position filters. So large groups of near copies cost a pass, not their square. Groups of
+Stars, in a few rounds: each class against the member with the fewest rare names of a group it is
+in and not yet linked with. Then, over components of the verified stars, the pairs of different
+components only, with size and position filters. So large groups of near copies cost a pass, not their square. Groups of
 frequent names are cut into blocks by salt; each pair of blocks is a group of its own.
 
 Defined cases: a text without words (or null) has the empty set and links with nothing; fewer words
@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastemill.llm import graph
@@ -36,6 +36,8 @@ from tastemill.llm.repeats import SPREAD, bucketed, unpack, with_row
 FREQUENT = 1 << 17
 #: Members of one block of a name's group.
 BLOCK = 20_000
+#: Rounds of stars before pairs; a second one found almost nothing in trials.
+STARS = 1
 _LENGTHS = np.array([1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64])
 _POSTING = ("<u8", "<i8", "<i4", "<i4", "<i4")
 
@@ -172,7 +174,9 @@ def prefix(names: np.ndarray, listed: np.ndarray, counts: np.ndarray, rule: Rule
 
 
 def postings(docs: DataFrame, listed: np.ndarray, counts: np.ndarray, rule: Rule) -> DataFrame:
-    """Groups of names that at least two classes have in their prefixes: name, sig, size, at, need, block."""
+    """Groups of names that at least two classes have in their prefixes: name, sig, size, at (place in
+    the prefix), before (shared names among the places before it), need, many (size of the group) and
+    lead (the member with the earliest place)."""
     spark = docs.sparkSession
     n = partitions(spark)
     shared = spark.sparkContext.broadcast((listed, counts))
@@ -214,20 +218,26 @@ def postings(docs: DataFrame, listed: np.ndarray, counts: np.ndarray, rule: Rule
         name, sig, size, at, need = (x[fresh] for x in (name, sig, size, at, need))
         new = np.append(True, name[1:] != name[:-1])[: len(name)]
         many = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1] if len(name) else np.zeros(0, int)
+        lead = sig
+        if len(name):
+            by = np.lexsort((sig, at, name))
+            lead = sig[by][np.flatnonzero(new)][np.cumsum(new) - 1]
         some = many > 1
         for k in range(0, int(some.sum()), 50_000):
             pick = np.flatnonzero(some)[k : k + 50_000]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(name[pick].view(np.int64)), pa.array(sig[pick]), pa.array(size[pick]), pa.array(at[pick]),
-                    pa.array(need[pick]), pa.array(many[pick].astype(np.int64)),
+                    pa.array(need[pick]), pa.array(many[pick].astype(np.int64)), pa.array(lead[pick]),
                 ],
-                ["name", "sig", "size", "at", "need", "many"],
+                ["name", "sig", "size", "at", "need", "many", "lead"],
             )
 
     met = docs.select("text").mapInArrow(emit, "bucket int, blob binary").repartition(n, "bucket")
-    found = met.mapInArrow(group, "name long, sig long, size int, at int, need int, many long")
-    return store(found, "postings")
+    found = met.mapInArrow(group, "name long, sig long, size int, at int, need int, many long, lead long")
+    # At most one row per name of a prefix.
+    places = Window.partitionBy("sig").orderBy("at")
+    return store(found.withColumn("before", F.row_number().over(places) - 1), "postings")
 
 
 def _pair_counts(a, b, need) -> pa.RecordBatch:
@@ -244,8 +254,12 @@ def _pair_counts(a, b, need) -> pa.RecordBatch:
 _PAIRS = "a long, b long, need int, n long"
 
 
-def _sorted_groups(rows: DataFrame, *keys: str) -> DataFrame:
-    return rows.repartition(partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys)
+def _sorted_groups(rows: DataFrame) -> DataFrame:
+    """Whole (name, block) groups, those of one leader together: their pairs are mostly the same and
+    are counted before they leave the task. Blocks of large groups are dealt one by one."""
+    where = F.when(F.col("salts") > 1, F.xxhash64("name", "block")).otherwise(F.col("lead"))
+    placed = rows.withColumn("part", where).repartition(partitions(rows.sparkSession), "part")
+    return placed.sortWithinPartitions("part", "name", "block")
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch], least: int = 100_000) -> Iterator[dict[str, np.ndarray]]:
@@ -276,10 +290,12 @@ def _salts(block: int):
     return F.ceil(F.col("many") / block).cast("int")
 
 
-def star_candidates(groups: DataFrame, rule: Rule, block: int = BLOCK) -> DataFrame:
-    """Members of a (salted) group against its member whose place of the name is earliest: that one
-    has the fewest names that are rarer, so it is the least changed copy."""
-    salted = groups.withColumn("block", F.pmod(F.xxhash64("sig"), _salts(block)).cast("int"))
+def star_candidates(groups: DataFrame, labels: DataFrame | None, rule: Rule, block: int = BLOCK) -> DataFrame:
+    """Each class against one hub (a: class, b: hub). The hub of a (salted) group is its member whose
+    place of the name is earliest: it has the fewest rarer names, so it is the least changed copy.
+    Of the hubs of its groups a class takes the one it shares most names with."""
+    named = _labelled(groups, labels)
+    salted = named.withColumn("salts", _salts(block)).withColumn("block", F.pmod(F.xxhash64("sig"), F.col("salts")).cast("int"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in _whole_groups(batches):
@@ -287,41 +303,66 @@ def star_candidates(groups: DataFrame, rule: Rule, block: int = BLOCK) -> DataFr
             g = {c: v[order] for c, v in g.items()}
             new = np.append(True, (g["name"][1:] != g["name"][:-1]) | (g["block"][1:] != g["block"][:-1]))
             hub = np.flatnonzero(new)[np.cumsum(new) - 1]
-            k = np.flatnonzero(~new)
+            k = np.flatnonzero(~new & (g["label"] != g["label"][hub]))
             h = hub[k]
             fit = _filter(g, k, h, rule)
             k, h = k[fit], h[fit]
             yield _pair_counts(g["sig"][k], g["sig"][h], np.minimum(g["need"][k], g["need"][h]))
 
-    return _sorted_groups(salted, "name", "block").mapInArrow(run, _PAIRS)
+    counted = _sorted_groups(salted).mapInArrow(run, _PAIRS)
+    shared = counted.groupBy("a", "b").agg(F.sum("n").alias("n"))
+    best = shared.groupBy("a").agg(F.max(F.struct("n", "b")).alias("hub"))
+    return best.select("a", F.col("hub.b").alias("b"))
+
+
+def _labelled(groups: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return groups.withColumn("label", F.col("sig"))
+    named = groups.join(labels.withColumnRenamed("node", "sig"), "sig", "left")
+    return named.withColumn("label", F.coalesce("component", "sig")).drop("component")
 
 
 def _filter(g: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, rule: Rule) -> np.ndarray:
-    """Size and position filter: can the pair still reach the overlap it needs?"""
+    """Size and position filter: can the pair still reach the overlap it needs?
+
+    Names before this one that no other prefix has are in neither partner: a name that is smaller
+    than one of the partner's prefix would stand in that prefix too.
+    """
     a, b = g["size"][i].astype(np.int64), g["size"][j].astype(np.int64)
     p, q = g["at"][i].astype(np.int64), g["at"][j].astype(np.int64)
-    most = np.minimum(p, q) + 1 + np.minimum(a - p - 1, b - q - 1)
+    most = np.minimum(g["before"][i], g["before"][j]) + 1 + np.minimum(a - p - 1, b - q - 1)
     return most >= rule.overlap(a, b)
 
 
+def _hopeful(g: dict[str, np.ndarray], rule: Rule) -> np.ndarray:
+    """Rows that could reach the overlap with the smallest member of their group."""
+    start = np.flatnonzero(np.append(True, (g["name"][1:] != g["name"][:-1]) | (g["block"][1:] != g["block"][:-1])))
+    least = np.repeat(np.minimum.reduceat(g["size"], start), np.diff(np.append(start, len(g["name"]))))
+    size = g["size"].astype(np.int64)
+    return size - g["at"] + g["before"] >= rule.overlap(size, least.astype(np.int64))
+
+
 def cross_candidates(groups: DataFrame, labels: DataFrame, rule: Rule, block: int = BLOCK) -> DataFrame:
     """Pairs of one group whose components differ. Groups larger than a block are dealt as pairs of
     blocks: a member goes to every pair that its block is part of."""
-    named = groups.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
-        "label", F.coalesce("component", "sig")
-    )
+    named = _labelled(groups, labels)
     salt = F.pmod(F.xxhash64("sig"), F.col("salts")).cast("int")
     dealt = (
         named.withColumn("salts", _salts(block)).withColumn("own", salt)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
         .withColumn("block", F.least("own", "other") * F.col("salts") + F.greatest("own", "other"))
-        .select("name", "block", "sig", "size", "at", "need", "label", "own", "other")
+        .select("name", "block", "salts", "lead", "sig", "size", "at", "before", "need", "label", "own", "other")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in _whole_groups(batches):
             order = np.lexsort((g["size"], g["label"], g["block"], g["name"]))
             g = {c: v[order] for c, v in g.items()}
+            fit = _hopeful(g, rule)
+            g = {c: v[fit] for c, v in g.items()}
+            order = order[fit]
+            if not len(order):
+                continue
             same = (g["name"][1:] == g["name"][:-1]) & (g["block"][1:] == g["block"][:-1])
             cuts = np.flatnonzero(np.append(True, ~same))
             ends = np.append(cuts[1:], len(order))
@@ -338,7 +379,7 @@ def cross_candidates(groups: DataFrame, labels: DataFrame, rule: Rule, block: in
             if out:
                 yield _counts_of(g, out)
 
-    return _sorted_groups(dealt, "name", "block").mapInArrow(run, _PAIRS)
+    return _sorted_groups(dealt).mapInArrow(run, _PAIRS)
 
 
 def _cross(g: dict[str, np.ndarray], a: int, b: int, rule: Rule) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -412,11 +453,16 @@ def join_classes(docs: DataFrame, rule: Rule = Rule(), frequent: int = FREQUENT,
     classes = store(described.where("kind = 0").where("sig <> 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row")), "classes")
     listed, counts = frequent_names(described, frequent)
     groups = postings(docs, listed, counts, rule)
-    stars = store(candidates(star_candidates(groups, rule, block)), "stars")
-    found = store(verify(stars, docs, classes, rule), "star-links")
-    labels = graph.components(found)
-    crossed = candidates(cross_candidates(groups, labels, rule, block)).join(stars, ["a", "b"], "left_anti")
-    more = store(verify(store(crossed, "crossed"), docs, classes, rule), "cross-links")
+    found, labels = None, None
+    for _ in range(STARS):
+        stars = store(star_candidates(groups, labels, rule, block), "stars")
+        links = store(verify(stars, docs, classes, rule), "star-links")
+        if links.isEmpty() and labels is not None:
+            break
+        found = links if found is None else found.unionAll(links)
+        labels = store(graph.components(found), "star-components")
+    crossed = store(candidates(cross_candidates(groups, labels, rule, block)), "crossed")
+    more = store(verify(crossed, docs, classes, rule), "cross-links")
     nodes = graph.components(found.unionAll(more))
     joined = classes.join(nodes, classes["sig"] == nodes["node"], "left").select(
         "sig", "rep", F.coalesce("component", "sig").alias("component")
