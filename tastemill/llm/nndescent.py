@@ -4,8 +4,10 @@ Equal vectors are one class (least vec_id). A neighbour graph over the classes s
 hyperplane signs and is refined by local joins: the neighbours (and reverse neighbours) of a node
 are compared with each other, and pairs better than a node's worst neighbour go into its list.
 Lists rank by vectors rounded to 8 bits; every link is decided by the cosine in double precision.
-A list whose worst neighbour is still a link is saturated: its whole component is then compared
-block by block, where only counts leave the tasks. Recall is audited against brute force over a
+A list whose worst neighbour is still a link is saturated: its whole component is dense and compared
+block by block with itself, with all other dense components and with all other nodes, less the
+blocks whose angles rule out a link; only counts and merged components leave the tasks. Links among
+the other nodes come from the lists. Their recall is audited against brute force over a
 bounded sample; while it is below the target, the graph gets more start tables and rounds.
 
 Defined cases: null, empty or zero vectors and such with null or non-finite components link with
@@ -231,36 +233,122 @@ def audit(links: DataFrame, nodes: DataFrame, threshold: float, rows: int = AUDI
     return (got["h"] or 0) / got["n"] if got["n"] else 1.0
 
 
-def dense_counts(nodes: DataFrame, member: DataFrame, threshold: float) -> DataFrame:
-    """node, n: vectors linked to each node inside its component, by pairs of blocks.
+def in_blocks(nodes: DataFrame, inside: DataFrame) -> DataFrame:
+    """id, component, dim, rows (node, size, x) of blocks of about BLOCK nodes, written.
 
-    ``member`` has node and component. Tasks hold two blocks and give one count a row.
+    Members of a dense component share its blocks; the blocks of all other nodes have no component.
     """
-    n = partitions(nodes.sparkSession)
-    rows = nodes.join(member, "node").select("component", "node", "size", "dim", "x")
-    sizes = rows.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = store(rows.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "dense")
-    packed = rows.groupBy("component", "block", "blocks").agg(F.collect_list(F.struct("node", "size", "dim", "x")).alias("rows"))
-    left = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).repartition(n, "component", "block", "other")
-    right = packed.select("component", F.col("block").alias("other"), F.col("rows").alias("others"))
+    rows = nodes.join(inside, "node").select("component", "dim", "node", "size", "x")
+    rest = nodes.join(inside, "node", "left_anti").select(F.lit(None).cast("long").alias("component"), "dim", "node", "size", "x")
+    blocks = F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")
+    dealt = rows.join(rows.groupBy("component").agg(blocks), "component").unionByName(
+        rest.join(F.broadcast(rest.groupBy("dim").agg(blocks)), "dim")
+    )
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    packed = dealt.groupBy("component", "dim", "block").agg(F.collect_list(F.struct("node", "size", "x")).alias("rows"))
+    return store(packed.select(F.monotonically_increasing_id().alias("id"), "component", "dim", "rows"), "blocks")
+
+
+def _doubles(column: pa.Array, dim: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist())).reshape(-1, dim)
+
+
+def _units(column: pa.Array, dim: int) -> np.ndarray:
+    x = _doubles(column, dim)
+    x = x / np.abs(x).max(1, keepdims=True)
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
+
+
+def block_balls(blocks: DataFrame) -> DataFrame:
+    """id, dim, dense, c, r: a centre and the largest angle to it of each dense block; each other node with angle 0."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, dense, dim, rows in zip(*(batch.column(c).to_pylist() for c in ("id", "dense", "dim")), batch.column("rows")):
+                c = _units(rows.values.field("x"), dim)
+                r = np.zeros(len(c))
+                if dense:
+                    mean = c.sum(0)
+                    length = np.sqrt(mean @ mean)
+                    mean = mean / length if length > 1e-9 else c[0]
+                    c, r = mean[None, :], np.arccos(np.clip(c @ mean, -1, 1)).max(keepdims=True)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(c), key), pa.int64()), pa.array(np.full(len(c), dim), pa.int32()), pa.array([dense] * len(c)),
+                        pa.array([v.tobytes() for v in c], pa.binary()), pa.array(r),
+                    ],
+                    ["id", "dim", "dense", "c", "r"],
+                )
+
+    return blocks.select("id", F.col("component").isNotNull().alias("dense"), "dim", "rows").mapInArrow(
+        run, "id long, dim int, dense boolean, c binary, r double"
+    )
+
+
+def near_blocks(blocks: DataFrame, threshold: float) -> DataFrame:
+    """id (a dense block), other (any block): pairs that the angles between their balls don't rule out.
+
+    Two vectors can only link if the angle of their centres is at most that of the threshold and both
+    radii. Balls are compared in sheets by all pairs; only ids leave the tasks.
+    """
+    balls = store(block_balls(blocks), "balls")
+    sheets = F.broadcast(balls.groupBy("dim", "dense").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("sheets")))
+    dealt = balls.join(sheets, ["dim", "dense"]).withColumn("sheet", F.pmod(F.xxhash64("c"), F.col("sheets")).cast("int"))
+    packed = store(dealt.groupBy("dim", "dense", "sheet").agg(F.collect_list(F.struct("id", "c", "r")).alias("rows")), "sheets")
+    left = packed.where("dense").select(F.col("dim").alias("d"), F.col("rows").alias("mine"))
+    limit = float(np.arccos(np.clip(threshold, -1, 1))) + 1e-6
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for dim, mine, theirs in zip(batch.column("dim").to_pylist(), batch.column("mine"), batch.column("rows")):
+                a, b = mine.values, theirs.values
+                angle = np.arccos(np.clip(_doubles(a.field("c"), dim) @ _doubles(b.field("c"), dim).T, -1, 1))
+                i, j = np.nonzero(angle <= limit + a.field("r").to_numpy()[:, None] + b.field("r").to_numpy()[None, :])
+                met = np.unique(np.stack([a.field("id").to_numpy()[i], b.field("id").to_numpy()[j]]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(met[0]), pa.array(met[1])], ["id", "other"])
+
+    pairs = left.crossJoin(packed).where("d = dim").select("dim", "mine", "rows")
+    return store(pairs.mapInArrow(run, "id long, other long").distinct(), "near-blocks")
+
+
+def dense_counts(blocks: DataFrame, threshold: float) -> DataFrame:
+    """node, n, meets: vectors linked to a node in one pair of blocks of which one is dense, and a
+    component that the node is thereby linked to, if it is in another one or in none that is dense.
+
+    Tasks hold two blocks and give one count a row.
+    """
+    n = partitions(blocks.sparkSession)
+    pairs = near_blocks(blocks, threshold).repartition(n, "id", "other")
+    left = blocks.select("id", "dim", "component", F.col("rows").alias("mine"))
+    right = blocks.select(F.col("id").alias("other"), F.col("component").alias("their"), F.col("rows").alias("theirs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for mine, theirs in zip(batch.column("rows"), batch.column("others")):
-                a, b = mine.values.flatten(), theirs.values.flatten()
-                ids, others = a[0].to_numpy(), b[0].to_numpy()
-                size, da, db = b[1].to_numpy(), a[2].to_numpy(), b[2].to_numpy()
-                count = np.zeros(len(ids), np.int64)
-                for d in np.intersect1d(da, db):
-                    i, j = np.flatnonzero(da == d), np.flatnonzero(db == d)
-                    x = np.frombuffer(b"".join(a[3].take(pa.array(i)).to_pylist())).reshape(-1, int(d))
-                    y = np.frombuffer(b"".join(b[3].take(pa.array(j)).to_pylist())).reshape(-1, int(d))
-                    linked = (cosines(x, y) >= threshold) & (ids[i][:, None] != others[j][None, :])
-                    count[i] += (linked * size[j][None, :]).sum(1)
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(count)], ["node", "n"])
-
-    met = left.join(right, ["component", "other"]).select("rows", "others").mapInArrow(run, "node long, n long")
-    return met.groupBy("node").agg(F.sum("n").alias("n"))
+            known = (batch.column(c).to_pylist() for c in ("dim", "component", "their"))
+            for dim, component, their, mine, theirs in zip(*known, batch.column("mine"), batch.column("theirs")):
+                a, b = mine.values, theirs.values
+                ids, others = a.field("node").to_numpy(), b.field("node").to_numpy()
+                linked = cosines(_doubles(a.field("x"), dim), _doubles(b.field("x"), dim)) >= threshold
+                linked &= ids[:, None] != others[None, :]
+                yield some(ids, linked @ b.field("size").to_numpy(), None if their == component else their)
+                if their is None:  # the other side's pair is not listed
+                    yield some(others, linked.T @ a.field("size").to_numpy(), component)
+
+    def some(ids: np.ndarray, count: np.ndarray, meets: int | None) -> pa.RecordBatch:
+        ids, count = ids[count > 0], count[count > 0]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array(count, pa.int64()), pa.array([meets] * len(ids), pa.int64())], ["node", "n", "meets"]
+        )
+
+    both = pairs.join(left, "id").join(right, "other").select("dim", "component", "their", "mine", "theirs")
+    return store(both.mapInArrow(run, "node long, n long, meets long"), "dense")
+
+
+def joined(member: DataFrame, counted: DataFrame) -> DataFrame:
+    """component, top: the least node of what each component is part of, where that is another one."""
+    met = counted.where("meets IS NOT NULL").select("node", "meets").distinct().join(member, "node", "left")
+    met = met.select(F.coalesce("component", "node").alias("a"), F.col("meets").alias("b")).distinct()
+    return graph.components(met).select(F.col("node").alias("component"), F.col("component").alias("top"))
 
 
 def near_duplicates(
@@ -282,20 +370,22 @@ def near_duplicates(
         full = full.where((F.col("have") >= k) & (F.col("low") >= threshold - SLACK)).select("node")
         member = store(graph.components(links), "vector-components")
         dense = member.join(full, "node").select("component").distinct()
-        # Links inside a component with a saturated list are counted in full below: audit the others.
+        # All links of a component with a saturated list are counted in full below: audit the others.
         open_nodes = nodes.join(member.join(dense, "component").select("node"), "node", "left_anti")
         if audit(links, open_nodes, threshold) >= AUDIT_RECALL:
             break
     inside = member.join(dense, "component").select("node", "component")
-    counted = dense_counts(nodes, inside, threshold)
+    counted = dense_counts(in_blocks(nodes, inside), threshold)
     both = links.select(F.col("a").alias("node"), F.col("b").alias("nbr")).unionAll(links.select(F.col("b").alias("node"), F.col("a").alias("nbr")))
     listed = (
         both.join(inside.select("node"), "node", "left_anti")
-        .join(nodes.select(F.col("node").alias("nbr"), "size"), "nbr").groupBy("node").agg(F.sum("size").alias("n"))
+        .join(nodes.select(F.col("node").alias("nbr"), "size"), "nbr").select("node", F.col("size").alias("n"))
     )
-    per_node = nodes.select("node", "size", "x").join(counted.unionAll(listed), "node", "left").join(member, "node", "left")
+    count = counted.select("node", "n").unionAll(listed).groupBy("node").agg(F.sum("n").alias("n"))
+    per_node = nodes.select("node", "size", "x").join(count, "node", "left").join(member, "node", "left")
+    per_node = per_node.withColumn("component", F.coalesce("component", "node")).join(joined(member, counted), "component", "left")
     per_node = per_node.select(
-        "x", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id")
+        "x", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("top", "component").alias("component_id")
     )
     pack = valid_vectors(df, vec_id, vector)
 

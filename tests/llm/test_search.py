@@ -126,6 +126,24 @@ def test_vectors(spark):
     assert nndescent.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_vectors_link_across_saturated_groups(spark):
+    """Groups that fill each other's lists still link with other groups and with single vectors."""
+    rng = np.random.default_rng(9)
+    unit = lambda v: v / np.sqrt(v @ v)
+    rows = [rng.normal(size=32) for _ in range(100)]
+    for _ in range(8):
+        centre = unit(rng.normal(size=32))
+        for _ in range(2):  # about 0.996 inside, 0.93 between the two
+            near = unit(centre + 0.2 * unit(rng.normal(size=32)))
+            rows += [near + 0.05 * unit(rng.normal(size=32)) for _ in range(20)]
+        rows.append(centre + 0.3 * unit(rng.normal(size=32)))
+    order = rng.permutation(len(rows)).tolist()
+    rows = [(k, rows[j].tolist()) for k, j in enumerate(order)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in nndescent.near_duplicates(df).collect()}
+    assert got == vectors_by_hand(rows)
+
+
 def test_pipeline(spark, tmp_path):
     rng = random.Random(12)
     text = lambda n: passage(rng, n, 3000)
