@@ -8,7 +8,8 @@ A list whose worst neighbour is still a link is saturated: its whole component i
 block by block with itself, with all other dense components and with all other nodes, less the
 blocks whose angles rule out a link; only counts and merged components leave the tasks. Links among
 the other nodes come from the lists. Their recall is audited against brute force over a
-bounded sample; while it is below the target, the graph gets more start tables and rounds.
+sample that holds enough true links; while it is below the target, the graph gets twice as many more
+start tables, and after the last attempt all pairs of these nodes are compared in blocks.
 
 Defined cases: null, empty or zero vectors and such with null or non-finite components link with
 nothing; vectors of different lengths never link; repeated rows of one vec_id count as vectors of
@@ -35,6 +36,8 @@ BLOCK = 256
 SLACK = 0.03
 AUDIT_ROWS = 1_000
 AUDIT_RECALL = 0.98
+#: So many true links a sample holds at least before its share counts.
+AUDIT_LINKS = 100
 
 
 def valid_vectors(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
@@ -209,28 +212,43 @@ def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x @ y.T) / np.outer(np.sqrt((x * x).sum(1)), np.sqrt((y * y).sum(1)))
 
 
-def audit(links: DataFrame, nodes: DataFrame, threshold: float, rows: int = AUDIT_ROWS) -> float:
-    """Share of the true links of at most ``rows`` nodes that ``links`` holds (1 if there are none)."""
-    sample = nodes.select("node", "dim", "x").orderBy(F.xxhash64("node"), "node").limit(rows).toArrow()
-    ids, dims, raw = sample["node"].to_numpy(), sample["dim"].to_numpy(), sample["x"].to_pylist()
+def all_links(some: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """a, b: every link of a node of ``some`` (part of ``nodes``) with one of ``nodes``, by all pairs of blocks."""
+    none = nodes.sparkSession.createDataFrame([], "node long, component long")
+    theirs = in_blocks(nodes, none).select(F.col("dim").alias("d"), F.col("rows").alias("theirs"))
+    pairs = in_blocks(some, none).select("dim", F.col("rows").alias("mine")).crossJoin(theirs).where("d = dim")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            dim = batch.column("dim").to_numpy()
-            for d in np.intersect1d(dim, dims):
-                own = batch.filter(pa.array(dim == d))
-                pick = np.flatnonzero(dims == d)
-                x = np.frombuffer(b"".join(raw[k] for k in pick)).reshape(-1, int(d))
-                y = np.frombuffer(b"".join(own.column("x").to_pylist())).reshape(-1, int(d))
-                i, j = np.nonzero(cosines(x, y) >= threshold)
-                a, b = ids[pick][i], own.column("node").to_numpy()[j]
-                yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], ["s", "t"])
-
-    true = nodes.select("node", "dim", "x").mapInArrow(run, "s long, t long")
-    true = true.select(F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b")).distinct()
-    hit = links.select("a", "b", F.lit(1).alias("hit"))
-    got = true.join(hit, ["a", "b"], "left").agg(F.count("*").alias("n"), F.sum("hit").alias("h")).first()
-    return (got["h"] or 0) / got["n"] if got["n"] else 1.0
+            for dim, mine, theirs in zip(batch.column("dim").to_pylist(), batch.column("mine"), batch.column("theirs")):
+                x, y = mine.values, theirs.values
+                i, j = np.nonzero(cosines(_doubles(x.field("x"), dim), _doubles(y.field("x"), dim)) >= threshold)
+                a, b = x.field("node").to_numpy()[i], y.field("node").to_numpy()[j]
+                a, b = a[a != b], b[a != b]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    found = pairs.select("dim", "mine", "theirs").mapInArrow(run, "a long, b long")
+    return store(found.distinct(), "true-links")
+
+
+def audit(
+    links: DataFrame, nodes: DataFrame, threshold: float, rows: int = AUDIT_ROWS, least: int = AUDIT_LINKS
+) -> tuple[float, DataFrame | None]:
+    """Share of the true links of a sample that ``links`` holds; all true links, if the sample became the whole.
+
+    The sample has about ``rows`` nodes and grows until it holds ``least`` true links.
+    """
+    total = nodes.count()
+    while True:
+        share = min(1.0, rows / max(total, 1))
+        place = F.pmod(F.xxhash64(F.lit("audit"), "node"), F.lit(1 << 30))
+        true = all_links(nodes if share == 1 else nodes.where(place < int(share * (1 << 30))), nodes, threshold)
+        n = true.count()
+        if n >= least or share == 1:
+            break
+        rows *= 8
+    hit = true.join(links.select("a", "b"), ["a", "b"], "left_semi").count()
+    return (hit / n if n else 1.0), (true if share == 1 else None)
 
 
 def in_blocks(nodes: DataFrame, inside: DataFrame) -> DataFrame:
@@ -359,8 +377,9 @@ def near_duplicates(
     nodes = store(vector_classes(vectors), "vector-classes")
     lists, links, tables = None, None, 0
     for attempt in range(audits):
-        start = start_lists(nodes, range(tables, tables + TABLES), k).withColumn("fresh", F.lit(True))
-        tables += TABLES
+        more = range(tables, tables + (TABLES << attempt))
+        start = start_lists(nodes, more, k).withColumn("fresh", F.lit(True))
+        tables = more.stop
         lists = store(keep_best(start if lists is None else lists.withColumn("fresh", F.lit(False)).unionAll(start), k), "lists")
         for _ in range(ROUNDS):
             lists = store(refine(lists, nodes, k), "lists")
@@ -372,8 +391,15 @@ def near_duplicates(
         dense = member.join(full, "node").select("component").distinct()
         # All links of a component with a saturated list are counted in full below: audit the others.
         open_nodes = nodes.join(member.join(dense, "component").select("node"), "node", "left_anti")
-        if audit(links, open_nodes, threshold) >= AUDIT_RECALL:
+        recall, true = audit(links, open_nodes, threshold)
+        if true is not None or recall >= AUDIT_RECALL:
             break
+    if true is None and recall < AUDIT_RECALL:
+        true = all_links(open_nodes, open_nodes, threshold)
+    if true is not None:
+        links = store(links.unionAll(true).distinct(), "vector-links")
+        member = store(graph.components(links), "vector-components")
+        dense = member.join(full, "node").select("component").distinct()
     inside = member.join(dense, "component").select("node", "component")
     counted = dense_counts(in_blocks(nodes, inside), threshold)
     both = links.select(F.col("a").alias("node"), F.col("b").alias("nbr")).unionAll(links.select(F.col("b").alias("node"), F.col("a").alias("nbr")))

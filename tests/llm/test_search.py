@@ -144,6 +144,38 @@ def test_vectors_link_across_saturated_groups(spark):
     assert got == vectors_by_hand(rows)
 
 
+def test_vectors_missed_by_the_lists(spark, monkeypatch):
+    """Links that the lists don't hold are found by comparing blocks, in place of a silent end."""
+    rng = np.random.default_rng(10)
+    rows = [rng.normal(size=24) for _ in range(400)]
+    rows += [r + rng.normal(size=24) * 0.05 for r in rows[:150]]
+    rows = [(k, rows[j].tolist()) for k, j in enumerate(rng.permutation(len(rows)).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(nndescent, "ROUNDS", 0)
+    whole = nndescent.start_lists
+    monkeypatch.setattr(nndescent, "start_lists", lambda *a: whole(*a).where("pmod(node + nbr, 3) > 0"))
+    want, size = vectors_by_hand(rows), nndescent.audit
+
+    def few(links, nodes, threshold):
+        return size(links, nodes, threshold, rows=100, least=20)
+
+    for judge in (few, size):  # a sample of the nodes, and all of them
+        monkeypatch.setattr(nndescent, "audit", judge)
+        got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in nndescent.near_duplicates(df, audits=1).collect()}
+        assert got == want
+
+
+def test_audit_sample_grows_until_it_holds_links(spark):
+    rng = np.random.default_rng(11)
+    rows = [rng.normal(size=24) for _ in range(300)]
+    rows += [r + rng.normal(size=24) * 0.05 for r in rows[:4]]
+    nodes = nndescent.vector_classes(spark.createDataFrame([(k, r.tolist()) for k, r in enumerate(rows)], "vec_id long, v array<double>"))
+    none = spark.createDataFrame([], "a long, b long")
+    recall, true = nndescent.audit(none, nodes, 0.9, rows=5, least=4)
+    assert recall == 0.0
+    assert true is None or {(r["a"], r["b"]) for r in true.collect()} == {(k, 300 + k) for k in range(4)}
+
+
 def test_pipeline(spark, tmp_path):
     rng = random.Random(12)
     text = lambda n: passage(rng, n, 3000)
