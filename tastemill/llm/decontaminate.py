@@ -1,11 +1,13 @@
 """Benchmark decontamination in DataFrame operations only.
 
 1. Places of a document whose word shingle stands in some benchmark item give windows of that
-   item's size, aligned with it. No window with a similarity above zero is without such a place.
+   item's size, aligned with it; items of fewer words than a shingle are looked up at their own width. No window with a similarity above zero is without such a place.
 2. Windows (equal ones once) and items get 64-bit SimHash fingerprints of their weighted shingles.
 3. Multi-index Hamming join: of ``BLOCKS`` parts of the fingerprint at least one differs in at most
-   RADIUS // BLOCKS bits when the whole differs in at most ``RADIUS``. Items are filed under every value
+   radius // BLOCKS bits when the whole differs in at most the radius. Items are filed under every value
    that close to each part, windows under their own parts, so no fingerprint within the radius is missed.
+   A fingerprint sums square roots of weights: weighted Jaccard J then bounds the cosine by 2J / (1 + J),
+   and the radius is the number of bits that a pair of similarity J exceeds with a chance of ``MISS``.
 4. Exact weighted Jaccard of the shingle sets decides. A shingle weighs ln(1 + items / items that have
    it), in thousandths; one that no item has weighs as much as one that a single item has.
 
@@ -16,6 +18,8 @@ the first window; extra columns are left out; an empty table gives an empty resu
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +27,11 @@ from tastemill.llm.common import store
 
 SHINGLE = 5
 SIMILARITY = 0.8
+#: Of a join that is given no radius; leaks() takes it from the similarity.
 RADIUS = 15
 BLOCKS = 8
+#: Chance that a pair just similar enough differs in more bits than the radius.
+MISS = 2e-5
 #: A table is sent to all tasks only up to this many counted rows; larger ones are shuffled.
 SMALL_ROWS = 500_000
 _BLANK = "\\u0020\\u0009\\u000A\\u000B\\u000C\\u000D"
@@ -58,10 +65,21 @@ def weights(items: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(n)).select("h", F.round(F.log1p(F.col("n") / F.col("df")) * 1000).cast("long").alias("weight"))
 
 
+def radius_of(similarity: float, miss: float = MISS) -> int:
+    """Bits of 64 that fingerprints of a pair of at least this similarity exceed with a chance of ``miss``."""
+    p = math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
+    tail, radius = 1.0, -1
+    while tail > miss and radius < 64:
+        radius += 1
+        tail -= math.comb(64, radius) * p**radius * (1 - p) ** (64 - radius)
+    return radius
+
+
 def fingerprints(rows: DataFrame, key: str, prefix: str) -> DataFrame:
-    """key, simhash of the distinct weighted shingles (key, h, weight)."""
-    bits = [F.sum(F.when(F.shiftright("h", b).bitwiseAND(1) == 1, F.col("weight")).otherwise(-F.col("weight"))).alias(f"b{b}") for b in range(64)]
-    summed = rows.groupBy(key).agg(*bits)
+    """key, simhash of the distinct weighted shingles (key, h, weight), by square roots of the weights."""
+    part = F.col("root")
+    bits = [F.sum(F.when(F.shiftright("h", b).bitwiseAND(1) == 1, part).otherwise(-part)).alias(f"b{b}") for b in range(64)]
+    summed = rows.withColumn("root", F.round(F.sqrt("weight") * 1000).cast("long")).groupBy(key).agg(*bits)
     parts = [F.shiftleft((F.col(f"b{b}") > 0).cast("long"), b) for b in range(64)]
     value = parts[0]
     for p in parts[1:]:
@@ -95,9 +113,13 @@ def hamming_candidates(left: DataFrame, right: DataFrame, radius: int = RADIUS,
 
 def leaks(
     docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, n: int = SHINGLE,
-    radius: int = RADIUS, blocks: int = BLOCKS,
+    radius: int | None = None, blocks: int = BLOCKS,
 ) -> DataFrame:
-    """doc_id, item_id, start (word), n_words of the best window of each item in each document, similarity."""
+    """doc_id, item_id, start (word), n_words of the best window of each item in each document, similarity.
+
+    Without a ``radius`` it follows from the similarity.
+    """
+    radius = radius_of(similarity) if radius is None else radius
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn(
         "row", F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
     )
@@ -112,7 +134,10 @@ def leaks(
     # 1. Places that share a shingle with an item, then windows aligned with it.
     known = _checked(weight.select("h"))
     split = docs.select("row", words_of("text").alias("words"))
-    places = store(shingle_rows(split, "words", n, ["row"]).join(known, "h"), "places")
+    of_docs = shingle_rows(split, "words", n, ["row"])
+    for r in items.where(F.col("n_item") < n).select("n_item").distinct().collect():
+        of_docs = of_docs.unionAll(shingle_rows(split.where(F.size("words") >= r["n_item"]), "words", r["n_item"], ["row"]))
+    places = store(of_docs.join(known, "h"), "places")
     aligned = places.join(of_items.withColumnRenamed("at", "offset"), "h").select(
         "row", (F.col("at") - F.col("offset")).alias("start"), "n_item"
     ).distinct()

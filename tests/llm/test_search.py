@@ -78,6 +78,23 @@ def test_leaks(spark, docs):
     assert decontaminate.leaks(docs(rows), bench.limit(0)).count() == 0
 
 
+def test_leaks_of_items_with_common_text(spark, docs):
+    """Items that share a template and differ in one rare word, and items of fewer words than a shingle."""
+    rng = random.Random(13)
+    template = passage(rng, 104, 10**6)
+    items = [(k, f"{template} own{k}") for k in range(60)] + [(100, "alpha beta"), (101, "gamma"), (102, "one two three four")]
+    rows = [(k, f"{passage(rng, 5, 3000)} {template} other{k} {passage(rng, 5, 3000)}") for k in range(2)]
+    rows += [(10, "Here Alpha beta and one two three four five"), (11, "beta alpha then gamma"), (12, "alpha beta"), (13, "one two three")]
+    got = decontaminate.leaks(docs(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = leaks_by_hand(rows, items)
+    assert {(k, j) for k in range(2) for j in range(60)} | {(10, 100), (10, 102), (11, 101), (12, 100)} == want.keys()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want.keys()
+
+
+def test_radius_follows_the_similarity():
+    assert [decontaminate.radius_of(s) for s in (1.0, 0.8)] == [0, 23]
+
+
 def test_hamming_join_misses_nothing(spark):
     rng = np.random.default_rng(4)
     base = rng.integers(-(2**63), 2**63 - 1, 30)
