@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -19,7 +18,7 @@ from tastemill.schemas import DEFAULTS
 from tastemill.session import materialize, scratch_path
 from tastemill.sources.tables import read_vectors, write_vectors
 
-ALS_SETTINGS = replace(DEFAULTS, als_factors=16, als_iterations=8)
+ALS_SETTINGS = DEFAULTS
 
 
 def _norm(v: str) -> str:

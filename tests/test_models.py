@@ -14,7 +14,7 @@ from tastemill.functions.vectors import cosine, l2_normalize
 from tastemill.operators import models as M
 from tastemill.operators import ordering as O
 from tastemill.operators import retrieval as R
-from tastemill.plans import serve
+from tastemill.plans import queries_models, serve
 from tastemill.plans.train import als_recommend, train_als, train_popularity
 from tastemill.schemas import DEFAULTS
 
@@ -221,6 +221,10 @@ def taste(spark):
     )
 
 
+def test_als_queries_fit_the_documented_model():
+    assert (queries_models.ALS_SETTINGS.als_factors, queries_models.ALS_SETTINGS.als_iterations) == (64, 40)
+
+
 def test_als(spark, taste):
     settings = replace(DEFAULTS, als_factors=4, als_iterations=5, eval_k=(5,), top_k=5)
     fitted = M.fit_als(M.implicit_matrix(taste), settings)
