@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from conftest import make_corpus
+from corpora import make_corpus
 from tastemill.llm import counts, langid, quality, sentencepiece, tokenbin
 from tastemill.llm.bpe import PieceEncoder
 

@@ -6,7 +6,7 @@ import pytest
 from brute import words
 
 import corpus_pipeline
-from conftest import DOCS, passage
+from corpora import DOCS, passage
 from tastemill.llm import decontaminate, graph, nndescent
 
 

@@ -5,7 +5,7 @@ import pytest
 from brute import jaccard, substring, suffix
 
 import brute
-from conftest import make_corpus, passage
+from corpora import make_corpus, passage
 from tastemill.llm import ngram_join
 from tastemill.llm import substring as S
 from tastemill.llm import suffix as X
