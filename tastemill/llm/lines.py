@@ -61,7 +61,7 @@ def crowded(lines: DataFrame, parts: int) -> DataFrame:
     # Sketches of fixed size; those of many tasks meet in groups first.
     some = lines.select("h", F.pmod(F.spark_partition_id(), F.lit(64)).alias("g"))
     part = some.groupBy("g").agg(F.count("*").alias("n"), F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("sketch"))
-    top = part.groupBy(F.lit(0)).agg(F.sum("n").alias("n"), F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch), {tracked // 4})").alias("top"))
+    top = part.groupBy(F.lit("all").alias("all")).agg(F.sum("n").alias("n"), F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch), {tracked // 4})").alias("top"))
     return top.select("n", F.explode("top").alias("x")).where(F.col("x.count") * (tracked // 4) > F.col("n")).select("x.item").toDF("h")
 
 
