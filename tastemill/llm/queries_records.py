@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastemill.llm import lines
+from tastemill.llm import divergence, lines
 from tastemill.llm.registry import query, table
 
 _LINES_SQL = r"""
@@ -24,3 +24,41 @@ FROM k LEFT JOIN f USING (key) GROUP BY doc_id
 @query("op12_line_dedup", _LINES_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_repeated_lines(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+_AUDIT_SQL = r"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+t AS MATERIALIZED (
+  SELECT lang, source, doc_id, translate(term, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term, count(*) AS n
+  FROM (SELECT lang, source, doc_id, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d)
+  GROUP BY ALL),
+k AS MATERIALIZED (SELECT lang, term, sum(n) AS all_n FROM t GROUP BY ALL HAVING count(DISTINCT doc_id) >= 10),
+v AS (SELECT lang, count(*) AS v, sum(all_n) AS total FROM k GROUP BY ALL),
+c AS (SELECT lang, source, term, sum(n) AS n FROM t JOIN k USING (lang, term) GROUP BY ALL),
+g AS MATERIALIZED (
+  SELECT lang, source, total FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL) USING (lang, source)),
+p AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(n, 0) + 2)) // (coalesce(g.total, 0) + 2 * v) AS p,
+    1 + (1000000000::HUGEINT * (all_n + 2)) // (v.total + 2 * v) AS q
+  FROM g JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+f AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query("op13_source_divergence", _AUDIT_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
