@@ -4,9 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tastemill.llm import divergence, lines
+from tastemill.llm import conversations, divergence, lines
 from tastemill.llm.registry import query, table
 
+
+@query("op11_conversation_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
 _LINES_SQL = r"""
 WITH l AS (
   SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS p
