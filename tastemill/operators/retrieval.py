@@ -1,18 +1,17 @@
-"""Exact and approximate nearest-item search over blocks of vectors."""
+"""Exact nearest-item search over blocks of vectors."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastemill.functions.vectors import EPS, l2_normalize
+from tastemill.functions.vectors import EPS
 from tastemill.operators.ordering import top_k_per_group
 from tastemill.session import materialize
 
@@ -22,6 +21,12 @@ ITEM_BLOCK = 2048
 BROADCAST_BYTES = 64 << 20
 # Beyond it, item blocks are copied so that at least this many join keys exist.
 MIN_JOIN_KEYS = 512
+# From this many item blocks on, blocks are formed around pivots and skipped by bounds; pivots are held by all tasks.
+PRUNE_FROM = 8
+MAX_PIVOTS = 1024
+# Block descriptions that meet a query block in one row, and the rounding that a bound allows for.
+SHELF = 1024
+SLACK = 1e-6
 
 
 def _unpack(rows: pa.StructScalar, dim: int) -> tuple[list, np.ndarray]:
@@ -91,64 +96,227 @@ def _rows(id_col: str) -> Column:
     return F.array_sort(F.collect_list(F.struct(F.col(id_col).alias("id"), F.col("_v").alias("v"))))
 
 
-def _search_blocks(
-    q: DataFrame,
+def _directions(m: np.ndarray, cosine: bool, longest: float | None) -> np.ndarray:
+    """Rows as unit vectors whose angles order the scores.
+
+    Cosine: the rows over their lengths (a zero row stays zero). Inner product: items get one more number that
+    fills them up to the length of the longest one, queries get a zero; then ``q . x = |q| longest cos``.
+    """
+    if cosine:
+        return _unit_rows(m)
+    if longest is None:
+        return _unit_rows(np.column_stack([m, np.zeros(len(m))]))
+    rest = np.sqrt(np.maximum(longest**2 - (m * m).sum(axis=1), 0.0))
+    return np.column_stack([m, rest]) / max(longest, EPS)
+
+
+@dataclass(frozen=True)
+class Geometry:
+    """How vectors become directions, and the pivots whose nearest one is a vector's cell."""
+
+    dim: int
+    cosine: bool
+    longest: float
+    pivots: np.ndarray  # at most MAX_PIVOTS rows
+
+    def items(self, m: np.ndarray) -> np.ndarray:
+        return _directions(m, self.cosine, self.longest)
+
+    def queries(self, m: np.ndarray) -> np.ndarray:
+        return _directions(m, self.cosine, None)
+
+
+def _geometry(items: DataFrame, n_items: int, dim: int, cosine: bool, item_block: int) -> Geometry:
+    longest = 0.0
+    if not cosine:
+        squares = F.aggregate(F.col("vector").cast("array<double>"), F.lit(0.0), lambda s, x: s + x * x)
+        longest = float(items.agg(F.sqrt(F.max(squares))).first()[0] or 0.0)
+    wanted = min(math.ceil(n_items / item_block), MAX_PIVOTS)
+    pivots = np.zeros((0, dim))
+    if wanted >= PRUNE_FROM:
+        some = items.orderBy(F.xxhash64("item_id"), "item_id").limit(wanted).collect()
+        pivots = np.array([r["vector"] for r in some], np.float64).reshape(len(some), dim)
+    found = Geometry(dim, cosine, longest, pivots)
+    return replace(found, pivots=found.items(pivots)) if len(pivots) else found
+
+
+def _in_blocks(
+    df: DataFrame, id_col: str, geometry: Geometry, size: int, is_item: bool, n: int
+) -> tuple[DataFrame, DataFrame]:
+    """Vectors in blocks of about ``size`` near each other: (id, block), and (block, rows) with rows by id."""
+    placed = df.select(F.col(id_col).cast("string").alias("id"), F.col("vector").alias("_v"))
+    if not len(geometry.pivots):
+        placed = placed.withColumn("block", _bucket(F.col("id"), math.ceil(n / size)).cast("long"))
+        return placed.select("id", "block"), placed.groupBy("block").agg(_rows("id").alias("rows"))
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = batch.column("_v").flatten().to_numpy(zero_copy_only=False)
+            m = flat.astype(np.float64).reshape(batch.num_rows, geometry.dim)
+            unit = geometry.items(m) if is_item else geometry.queries(m)
+            cell = np.argmax(unit @ geometry.pivots.T, axis=1) if len(m) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32())], ["id", "_v", "cell"])
+
+    kind = df.schema["vector"].dataType.simpleString()
+    placed = materialize(placed.mapInArrow(nearest, f"id string, _v {kind}, cell int"), "placed")
+    # One row per cell. A crowded cell is cut into more blocks.
+    cells = placed.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(size)).alias("_n"))
+    block = F.col("cell").cast("long") * (1 << 32) + _bucket(F.col("id"), F.col("_n"))
+    placed = placed.join(F.broadcast(cells), "cell").select("id", "_v", block.alias("block"))
+    return placed.select("id", "block"), materialize(placed.groupBy("block").agg(_rows("id").alias("rows")), "blocks")
+
+
+def _described(blocks: DataFrame, geometry: Geometry) -> DataFrame:
+    """block, center, radius (largest angle to the center), n of each item block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            centers, radii, sizes = [], [], []
+            for r in batch.column("rows"):
+                unit = geometry.items(_unpack(r, geometry.dim)[1])
+                center = _unit_rows(unit.mean(axis=0, keepdims=True))
+                cos = np.clip(unit @ center[0], -1.0, 1.0)
+                # A zero vector has no direction: it scores 0 with every query, so it is no nearer than a right angle.
+                centers.append(center[0].tolist())
+                radii.append(float(np.arccos(cos).max()))
+                sizes.append(len(unit))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("block"), pa.array(centers, pa.list_(pa.float64())), pa.array(radii), pa.array(sizes, pa.int32())],
+                ["block", "center", "radius", "n"],
+            )
+
+    return blocks.select("block", "rows").mapInArrow(run, "block long, center array<double>, radius double, n int")
+
+
+def _ceilings(q: np.ndarray, metas: list[dict], geometry: Geometry) -> np.ndarray:
+    """Upper bound of the score of each query with any item of each block."""
+    centers = np.array([m["center"] for m in metas])
+    radii = np.array([m["radius"] for m in metas])
+    angle = np.arccos(np.clip(geometry.queries(q) @ centers.T, -1.0, 1.0))
+    best = np.cos(np.maximum(angle - radii, 0.0))
+    if not geometry.cosine:
+        best = best * (np.linalg.norm(q, axis=1) * geometry.longest)[:, None]
+    return np.where(np.isfinite(best), best, np.inf)
+
+
+def _block_pairs(
+    q_blocks: DataFrame, shelves: DataFrame, n_shelves: int, geometry: Geometry, k: int, floors: DataFrame | None
+) -> DataFrame:
+    """(q_block, block) worth scoring.
+
+    Without ``floors`` (query id and its k-th score so far): the blocks nearest to the query block that hold k items.
+    With them: every other block in which some query may still find a better item.
+    """
+    second = floors is not None
+    work = q_blocks.join(floors, "q_block", "left") if second else q_blocks
+    # Descriptions of item blocks, a thousand to a row, meet the query blocks; no item vectors.
+    each = F.explode(F.sequence(F.lit(0), F.lit(n_shelves - 1)))
+    work = work.withColumn("shelf", each).join(shelves, "shelf")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                ids, q = _unpack(batch.column("q_rows")[r], geometry.dim)
+                metas = batch.column("metas")[r].as_py()
+                name = batch.column("q_block")[r].as_py()
+                top = _ceilings(q, metas, geometry)
+                sizes = np.array([m["n"] for m in metas])
+                middle = _unit_rows(geometry.queries(q).mean(axis=0, keepdims=True))[0]
+                near = np.argsort(-(np.array([m["center"] for m in metas]) @ middle), kind="stable")
+                enough = np.searchsorted(np.cumsum(sizes[near]), k) + 1
+                first = near[:enough]
+                if second:
+                    floor = {x["query_id"]: x["score"] for x in batch.column("floors")[r].as_py() or []}
+                    least = np.array([floor.get(i, -np.inf) for i in ids])[:, None]
+                    keep = (top + SLACK * np.maximum(1.0, np.abs(top)) >= least).any(axis=0)
+                    keep[first] = False
+                    chosen = np.flatnonzero(keep)
+                else:
+                    chosen = first
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(chosen), pa.int64()), pa.array([metas[c]["block"] for c in chosen], pa.int64())],
+                    ["q_block", "block"],
+                )
+
+    columns = ["q_block", "q_rows", "metas"] + (["floors"] if second else [])
+    return work.select(*columns).mapInArrow(run, "q_block long, block long")
+
+
+def block_search(
+    queries: DataFrame,
     items: DataFrame,
-    n_items: int,
-    dim: int,
     k: int,
-    n_query_blocks: int,
-    metric: str = "cosine",
     seen: DataFrame | None = None,
     drop_seen: bool = False,
-) -> DataFrame:
-    """Score query blocks against the item blocks of their cell and keep k per query.
-
-    ``q`` is (query_id, _v, cell, n_blocks), ``items`` (item_id, _v, cell, n_blocks). A block holds
-    a bounded number of rows, whatever the size of its cell, and only k rows per query and block
-    leave a task. ``seen`` needs the single cell of the exact search.
+    cosine: bool = True,
+    item_block: int | None = None,
+    query_block: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Exact top k by blocks: hits, and a row (pairs, scored) of block pairs there are and that were scored.
+
+    Blocks hold vectors near each other. Each query block is scored against the nearest item blocks first; the k-th
+    score found is a floor, and blocks whose center and radius rule out a better score for all its queries are
+    skipped, which changes no result. Few blocks are all scored.
     """
+    item_block, query_block = item_block or ITEM_BLOCK, query_block or QUERY_BLOCK
+    spark = queries.sparkSession
+    # Both sides are counted and then scored: written once, not computed twice.
+    queries = materialize(queries.select("query_id", "vector"), "queries")
+    items = materialize(items.select("item_id", "vector"), "items")
+    size = items.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dim")).first()
+    n_items, dim = size["n"], size["dim"]
+    if not n_items:
+        none = "query_id string, item_id string, score double, rank int"
+        return spark.createDataFrame([], none), spark.createDataFrame([(0, 0)], "pairs long, scored long")
+    geometry = _geometry(items, n_items, dim, cosine, item_block)
+    of_item, blocks = _in_blocks(items, "item_id", geometry, item_block, True, n_items)
+    of_query, q_blocks = _in_blocks(queries, "query_id", geometry, query_block, False, max(1, queries.count()))
+    q_blocks = q_blocks.select(F.col("block").alias("q_block"), F.col("rows").alias("q_rows"))
     small = n_items * (dim * 8 + 64) <= BROADCAST_BYTES
-    copies = 1 if small else max(1, math.ceil(MIN_JOIN_KEYS * ITEM_BLOCK / n_items))
-    item_blocks = (
-        items.withColumn("block", _bucket(F.col("item_id"), F.col("n_blocks")))
-        .groupBy("cell", "block")
-        .agg(_rows("item_id").alias("i_rows"))
-    )
-    q_blocks = (
-        q.withColumn("q_block", _bucket(F.col("query_id"), n_query_blocks))
-        .groupBy("cell", "n_blocks", "q_block")
-        .agg(_rows("query_id").alias("q_rows"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    )
+    copies = 1 if small else max(1, math.ceil(MIN_JOIN_KEYS * item_block / n_items))
+    held = blocks.withColumnRenamed("rows", "i_rows")
     if seen is not None:
-        pairs = (
-            seen.select(
-                F.col("query_id").cast("string").alias("q"),
-                F.col("item_id").cast("string").alias("i"),
-            )
-            .distinct()
-            .select(
-                _bucket(F.col("q"), n_query_blocks).alias("q_block"),
-                _bucket(F.col("i"), math.ceil(n_items / ITEM_BLOCK)).alias("block"),
-                F.struct("q", "i").alias("pair"),
-            )
-            .groupBy("q_block", "block")
-            .agg(F.collect_list("pair").alias("seen"))  # at most block area entries
-        )
-        q_blocks = q_blocks.join(pairs, ["q_block", "block"], "left")
-    if small:
-        joined = q_blocks.join(F.broadcast(item_blocks), ["cell", "block"])
-    else:
-        copied = item_blocks.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-        joined = q_blocks.withColumn("copy", F.pmod("q_block", F.lit(copies))).join(
-            copied, ["cell", "block", "copy"]
-        )
-    cols = ["q_rows", "i_rows"] + (["seen"] if seen is not None else [])
-    hits = joined.select(*cols).mapInArrow(
-        _scorer(k, dim, drop_seen, metric == "cosine"), "query_id string, item_id string, score double"
-    )
-    return top_k_per_group(hits, ["query_id"], [F.desc("score"), F.asc("item_id")], k)
+        pairs = seen.select(F.col("query_id").cast("string").alias("q"), F.col("item_id").cast("string").alias("i")).distinct()
+        met = of_query.select(F.col("id").alias("q"), F.col("block").alias("q_block"))
+        where = of_item.select(F.col("id").alias("i"), "block")
+        pairs = pairs.join(met, "q").join(where, "i").groupBy("q_block", "block")
+        pairs = materialize(pairs.agg(F.collect_list(F.struct("q", "i")).alias("seen")), "seen")  # at most block area entries
+
+    def scored(wanted: DataFrame) -> DataFrame:
+        work = wanted.join(q_blocks, "q_block")
+        if seen is not None:
+            work = work.join(pairs, ["q_block", "block"], "left")
+        if small:
+            work = work.join(F.broadcast(held), "block")
+        else:
+            copied = held.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+            work = work.withColumn("copy", F.pmod(F.xxhash64("q_block"), F.lit(copies)).cast("int")).join(copied, ["block", "copy"])
+        cols = ["q_rows", "i_rows"] + (["seen"] if seen is not None else [])
+        hits = work.select(*cols).mapInArrow(_scorer(k, dim, drop_seen, cosine), "query_id string, item_id string, score double")
+        return top_k_per_group(hits, ["query_id"], order, k)
+
+    order = [F.desc("score"), F.asc("item_id")]
+    if not len(geometry.pivots):
+        # A handful of blocks: all of them.
+        n_blocks = math.ceil(n_items / item_block)
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long")))
+        share = q_blocks.agg((F.count("*") * n_blocks).alias("pairs")).withColumn("scored", F.col("pairs"))
+        return scored(q_blocks.select("q_block", every.alias("block"))), share
+    metas = materialize(_described(blocks, geometry), "described")
+    n_blocks = metas.count()
+    n_shelves = math.ceil(n_blocks / SHELF)
+    shelf = F.pmod(F.xxhash64("block"), F.lit(n_shelves)).cast("int").alias("shelf")
+    described = F.array_sort(F.collect_list(F.struct("block", "center", "radius", "n"))).alias("metas")
+    shelves = materialize(metas.groupBy(shelf).agg(described), "shelves")
+    first = materialize(_block_pairs(q_blocks, shelves, n_shelves, geometry, k, None), "first-pairs")
+    found = materialize(scored(first), "first-hits")
+    floors = found.where(F.col("rank") == k).join(of_query.withColumnRenamed("id", "query_id"), "query_id")
+    floors = floors.groupBy(F.col("block").alias("q_block")).agg(F.collect_list(F.struct("query_id", "score")).alias("floors"))
+    more = materialize(_block_pairs(q_blocks, shelves, n_shelves, geometry, k, floors), "more-pairs")
+    both = found.drop("rank").unionByName(scored(more).drop("rank"))
+    share = first.unionByName(more).agg(F.count("*").alias("scored"))
+    share = share.join(q_blocks.agg((F.count("*") * n_blocks).alias("pairs"))).select("pairs", "scored")
+    return top_k_per_group(both, ["query_id"], order, k), share
 
 
 def retrieve_top_k(
@@ -168,78 +336,13 @@ def retrieve_top_k(
         raise ValueError(f"unsupported metric {metric!r}; use 'cosine' or 'dot'")
     if seen_mode not in ("sentinel", "drop"):
         raise ValueError(f"unsupported seen mode {seen_mode!r}; use 'sentinel' or 'drop'")
-    # Both sides are counted and then scored: written once, not computed twice.
-    queries = materialize(queries.select("query_id", "vector"), "queries")
-    items = materialize(items.select("item_id", "vector"), "items")
-    size = items.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dim")).first()
-    n_items, dim = size["n"], size["dim"]
-    if not n_items:
-        return queries.sparkSession.createDataFrame(
-            [], "query_id string, item_id string, score double, rank int"
-        )
-    n_queries = max(1, queries.count())
-    cell = [F.lit(0).alias("cell"), F.lit(math.ceil(n_items / ITEM_BLOCK)).alias("n_blocks")]
-    q = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("vector").alias("_v"), *cell)
-    i = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("vector").alias("_v"), *cell)
-    return _search_blocks(
-        q, i, n_items, dim, k, math.ceil(n_queries / QUERY_BLOCK), metric, seen, seen_mode == "drop"
-    )
+    return block_search(queries, items, k, seen, seen_mode == "drop", metric == "cosine")[0]
 
 
 def vector_search(queries: DataFrame, items: DataFrame, limit: int = 10) -> DataFrame:
     return retrieve_top_k(queries, items, limit)
 
 
-def approx_vector_search(
-    queries: DataFrame,
-    items: DataFrame,
-    limit: int = 10,
-    n_cells: int | None = None,
-    n_probe: int | None = None,
-    seed: int = 42,
-) -> DataFrame:
-    """Approximate search: k-means cells over unit vectors, each query looks into ``n_probe``.
-
-    By default there are as many cells as the square root of the items, and a query looks into a
-    third of them; probing all cells is the exact search. A cell that holds a large share of the items is cut into blocks like any other, so its size
-    sets the work but never the size of one task.
-    """
-    queries = materialize(queries.select("query_id", "vector"), "queries")
-    unit = items.select(
-        F.col("item_id").cast("string").alias("item_id"), l2_normalize(F.col("vector")).alias("_v")
-    )
-    unit = materialize(unit.withColumn("_f", array_to_vector("_v")), "unit")
-    size = unit.agg(F.count("*").alias("n"), F.max(F.size("_v")).alias("dim")).first()
-    n_cells = n_cells or max(2, math.ceil(math.sqrt(size["n"])))
-    n_probe = min(n_cells, n_probe or max(1, math.ceil(n_cells / 3)))
-    model = KMeans(k=n_cells, seed=seed, featuresCol="_f", predictionCol="cell").fit(unit)
-    placed = model.transform(unit).select("item_id", "_v", "cell")
-    placed = materialize(placed, "cells")
-    # One row per cell.
-    cells = placed.groupBy("cell").agg(
-        F.ceil(F.count("*") / F.lit(ITEM_BLOCK)).cast("int").alias("n_blocks")
-    )
-    # One row per cell; the block scorer finds the cells nearest to each query.
-    centers = [(str(i), [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    centers = queries.sparkSession.createDataFrame(centers, "item_id string, vector array<float>")
-    q = queries.select(
-        F.col("query_id").cast("string").alias("query_id"), l2_normalize(F.col("vector")).alias("_v")
-    )
-    near = retrieve_top_k(queries, centers, n_probe)
-    probes = q.join(
-        near.select("query_id", F.col("item_id").cast("int").alias("cell")), "query_id"
-    )
-    n_queries = max(1, queries.count())
-    return _search_blocks(
-        probes.join(F.broadcast(cells), "cell"),
-        placed.join(F.broadcast(cells), "cell"),
-        size["n"],
-        size["dim"],
-        limit,
-        math.ceil(n_queries / QUERY_BLOCK),
-    )
-
-
 def seen_items(interactions: DataFrame, catalog: DataFrame) -> DataFrame:
     """Distinct (user, item) pairs whose item is in the catalog."""
     return (

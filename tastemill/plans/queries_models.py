@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tastemill.functions.hashing import point_id
 from tastemill.functions.vectors import l2_normalize
 from tastemill.operators import models as M
 from tastemill.operators import retrieval as R
+from tastemill.operators import vector_index as V
 from tastemill.plans import bindings as B
 from tastemill.plans.registry import query
 from tastemill.plans.serve import embed_items
@@ -122,6 +124,27 @@ def _(spark, d):
     return als_recommend(u, i, train.select("user_id").distinct(), R.seen_items(train, i), 10)
 
 
+@query(
+    "als_lists",
+    f"""WITH seen AS (SELECT DISTINCT user_id, item_id FROM ({B.TRAIN})), n AS (SELECT count(DISTINCT item_id) AS n FROM seen)
+ SELECT user_id, least(10, n - count(*)) AS n_items, 0::BIGINT AS n_seen, 0::BIGINT AS out_of_order FROM seen, n GROUP BY user_id, n
+ HAVING n > count(*)""",
+)
+def _(spark, d):
+    """What every list of the factor model keeps to: ten unseen items (or all there are), best first."""
+    u, i = _fitted(spark, d)
+    train = B.train(spark, d)
+    seen = R.seen_items(train, i)
+    recs = materialize(als_recommend(u, i, train.select("user_id").distinct(), seen, 10), "als-lists")
+    before = F.lag("score").over(Window.partitionBy("user_id").orderBy("rank"))
+    marked = recs.withColumn("late", (before < F.col("score")).cast("int")).join(seen.withColumn("gone", F.lit(1)), ["user_id", "item_id"], "left")
+    return marked.groupBy("user_id").agg(
+        F.countDistinct("item_id").alias("n_items"),
+        F.coalesce(F.sum("gone"), F.lit(0)).alias("n_seen"),
+        F.coalesce(F.sum("late"), F.lit(0)).alias("out_of_order"),
+    )
+
+
 @query("sample_negatives")
 def _(spark, d):
     """Four unseen items per training event."""
@@ -314,10 +337,83 @@ def _(spark, d):
     return hits.withColumn("score", F.round("score", 6))
 
 
+_GROUPED = """SELECT CAST(vec_id AS VARCHAR) AS item_id, list_transform(list_zip(CAST(embedding AS DOUBLE[]), range(1, len(embedding) + 1)),
+ lambda x: round(x[1], 3) + ((label * 7 + x[2] * 3) % 11 - 5) * 4) AS vector FROM embeddings"""
+
+
+def _grouped(spark, d):
+    """The item vectors, moved apart by label."""
+    shift = lambda x, j: F.round(x.cast("double"), 3) + (F.pmod(F.col("label") * 7 + (j + 1) * 3, F.lit(11)) - 5) * 4
+    return B.table(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("item_id"), F.transform("embedding", shift).alias("vector"))
+
+
+def _grouped_top(spark, d, cosine: bool):
+    v = _grouped(spark, d)
+    asked = v.withColumnRenamed("item_id", "query_id")
+    return R.block_search(asked, v, 10, cosine=cosine, item_block=32, query_block=32)
+
+
+_DOT = """SELECT a.item_id AS query_id, b.item_id, round(list_dot_product(a.vector, b.vector), 9) AS score FROM g a CROSS JOIN g b"""
+
+
+@query(
+    "vector_search_pruned",
+    top_k_sql(f"SELECT item_id AS user_id, vector FROM ({_GROUPED})", 10).replace(B.VECTORS, _GROUPED).replace("SELECT user_id,", "SELECT user_id AS query_id,", 1),
+)
+def _(spark, d):
+    """Exact cosine search over grouped vectors in small blocks, most of which are skipped."""
+    return _grouped_top(spark, d, True)[0].withColumn("score", F.round("score", 6))
+
+
+@query(
+    "inner_product_search_pruned",
+    f"""WITH g AS ({_GROUPED}) SELECT query_id, item_id, CAST(rank AS INTEGER) AS rank, round(score, 3) AS score FROM (
+ SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM ({_DOT})) WHERE rank <= 10""",
+)
+def _(spark, d):
+    return _grouped_top(spark, d, False)[0].withColumn("score", F.round("score", 3))
+
+
+@query(
+    "search_blocks_skipped",
+    "SELECT unnest(['cosine', 'dot']) AS metric, n >= 500 AS many_pairs, true AS most_are_skipped FROM (SELECT count(*) AS n FROM embeddings)",
+)
+def _(spark, d):
+    """Share of block pairs that the two pruned searches score."""
+    out = None
+    for metric in ("cosine", "dot"):
+        share = _grouped_top(spark, d, metric == "cosine")[1]
+        row = share.select(F.lit(metric).alias("metric"), (F.col("pairs") > 100).alias("many_pairs"), (F.col("scored") * 2 < F.col("pairs")).alias("most_are_skipped"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query("approx_vector_search")
 def _(spark, d):
+    """Every vector looks for its nearest ten, with the settings that the index measured."""
     v = B.vectors(spark, d)
-    return R.approx_vector_search(v.withColumnRenamed("item_id", "query_id"), v, 10)
+    return V.approx_vector_search(v.withColumnRenamed("item_id", "query_id"), v, 10)
+
+
+@query(
+    "approx_search_recall",
+    """SELECT count(*) AS n_queries, true AS recall_reached, true AS under_a_tenth_read, true AS reopened_alike FROM embeddings""",
+)
+def _(spark, d):
+    """All vectors against the exact search: recall at 10 of 0.95 or more, reading less than a tenth of the vectors."""
+    v = B.vectors(spark, d)
+    asked = v.withColumnRenamed("item_id", "query_id")
+    index = V.build_index(v)
+    near = materialize(index.search(asked, 10), "near")
+    again = V.open_index(spark, index.path).search(asked, 10)
+    other = near.exceptAll(again).union(again.exceptAll(near)).agg(F.count("*").alias("n"))
+    found = V.recall(near, R.vector_search(asked, v, 10))
+    return found.select(
+        "n_queries",
+        (F.col("recall") >= 0.95).alias("recall_reached"),
+        F.lit(index.share_read(10) < 0.1).alias("under_a_tenth_read"),
+        (other.scalar() == 0).alias("reopened_alike"),
+    )
 
 
 @query(
@@ -325,9 +421,10 @@ def _(spark, d):
     top_k_sql(_SELF, 10).replace("SELECT user_id,", "SELECT user_id AS query_id,", 1),
 )
 def _(spark, d):
-    """With every cell probed the approximate search is the exact one."""
+    """With every cell probed and every item a candidate the approximate search is the exact one."""
     v = B.vectors(spark, d)
-    hits = R.approx_vector_search(v.withColumnRenamed("item_id", "query_id"), v, 10, n_cells=12, n_probe=12)
+    asked = v.withColumnRenamed("item_id", "query_id")
+    hits = V.approx_vector_search(asked, v, 10, n_cells=12, n_probe=12, candidates=v.count())
     return hits.withColumn("score", F.round("score", 6))
 
 

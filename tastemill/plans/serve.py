@@ -22,6 +22,7 @@ from tastemill.operators.search import (
     rerank,
     without,
 )
+from tastemill.operators.vector_index import VectorIndex
 from tastemill.session import materialize
 
 TEXT_DIM = 256
@@ -101,18 +102,20 @@ def semantic_candidates(
     item_vectors: DataFrame,
     encoder: PipelineModel | Encoder,
     candidates: int = CANDIDATES,
+    index: VectorIndex | None = None,
 ) -> DataFrame:
     """Re-ranked nearest items per request of ``(request_id, q)``; equal texts are scored once.
 
     A text that shares no word with the catalog, or whose nearest item has no positive cosine, gets
-    no candidates. ``candidates`` nearest items of a text are re-ranked.
+    no candidates. ``candidates`` nearest items of a text are re-ranked, found exactly or through an ``index``
+    of the item vectors.
     """
     texts = materialize(requests.select("q").distinct(), "texts")
     texts = texts.withColumn("normalized", normalize_query(F.col("q")))
     texts = materialize(texts.join(query_features(texts), "q"), "texts")
     coded = encode_queries(texts.select("normalized").distinct(), "normalized", catalog, encoder)
     known = coded.where(F.exists("vector", lambda x: x != 0))
-    near = vector_search(known, item_vectors, candidates)
+    near = index.search(known, candidates) if index else vector_search(known, item_vectors, candidates)
     near = near.select(F.col("query_id").alias("normalized"), "item_id", F.col("score").alias("semantic"))
     best = F.max("semantic").over(Window.partitionBy("normalized"))  # at most `candidates` rows
     near = near.withColumn("_best", best).where(F.col("_best") > 0).drop("_best")
@@ -128,8 +131,9 @@ def semantic_search(
     k: int = 20,
     cap_before_sort: bool = False,
     candidates: int = CANDIDATES,
+    index: VectorIndex | None = None,
 ) -> DataFrame:
-    scored = semantic_candidates(requests, catalog, item_vectors, encoder, max(k, candidates))
+    scored = semantic_candidates(requests, catalog, item_vectors, encoder, max(k, candidates), index)
     best = order_reranked(scored.withColumnRenamed("q", "request_id"), k, cap_before_sort)
     best = best.withColumnRenamed("request_id", "q")
     return requests.join(best, "q").select(
@@ -138,13 +142,17 @@ def semantic_search(
 
 
 def search_with_fallback(
-    requests: DataFrame, catalog: DataFrame, item_vectors: DataFrame | None, encoder: PipelineModel | Encoder | None
+    requests: DataFrame,
+    catalog: DataFrame,
+    item_vectors: DataFrame | None,
+    encoder: PipelineModel | Encoder | None,
+    index: VectorIndex | None = None,
 ) -> DataFrame:
     """Semantic search, and keyword search for the requests it leaves unanswered."""
     cols = ["request_id", "q", "rank", "item_id", "title", "category", "score"]
     if item_vectors is None or encoder is None:
         return keyword_search(requests, catalog).select(*cols, F.lit("keyword").alias("source"))
-    found = materialize(semantic_search(requests, catalog, item_vectors, encoder), "semantic")
+    found = materialize(semantic_search(requests, catalog, item_vectors, encoder, index=index), "semantic")
     rest = keyword_search(without(requests, found), catalog)
     return (
         found.select(*cols)
@@ -162,20 +170,23 @@ def hybrid_recommend(
     item_vectors: DataFrame,
     k: int = 10,
     depth: int = 20,
+    text_index: VectorIndex | None = None,
+    item_index: VectorIndex | None = None,
 ) -> DataFrame:
     """Fuse intent and personal rankings per ``(request_id, user_id, q, preset)``.
 
-    Both sides give their first ``depth`` items, or ``k`` if that is more. Unknown users get the intent side alone; a request with neither side gets the catalog head.
+    Both sides give their first ``depth`` items, or ``k`` if that is more, found exactly or through an index of
+    the text or item vectors. Unknown users get the intent side alone; a request with neither side gets the catalog head.
     """
     sem = semantic_search(
-        requests.select("request_id", "q"), catalog, text_vectors, encoder, max(k, depth), cap_before_sort=True
+        requests.select("request_id", "q"), catalog, text_vectors, encoder, max(k, depth), cap_before_sort=True, index=text_index
     )
     sem = materialize(sem.select("request_id", "item_id", F.col("final").alias("score")), "intent")
     asked = requests.select("user_id").distinct()
     known = user_vectors.join(asked, "user_id", "left_semi").withColumnRenamed("user_id", "query_id")
-    per_user = enrich_with_catalog(
-        retrieve_top_k(known, item_vectors, max(k, depth)).withColumnRenamed("query_id", "user_id"), catalog
-    )
+    depth = max(k, depth)
+    near = item_index.search(known, depth) if item_index else retrieve_top_k(known, item_vectors, depth)
+    per_user = enrich_with_catalog(near.withColumnRenamed("query_id", "user_id"), catalog)
     per = requests.select("request_id", "user_id").join(per_user, "user_id")
     per = materialize(per.select("request_id", "item_id", "score"), "personal")
     weights = requests.select("request_id", fusion_weight(F.col("preset"), F.col("q")).alias("w_sem"))

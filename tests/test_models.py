@@ -109,16 +109,6 @@ def test_batch_recommend(space):
     assert sorted(r["rank"] for r in out if r.known_user) == [1, 2, 3, 4]
 
 
-def test_approximate_recall(space):
-    _users, _items, q, i = space
-    exact = as_lists(R.vector_search(q, i, 10))
-    every = as_lists(R.approx_vector_search(q, i, 10, n_cells=5, n_probe=9))
-    assert every == exact
-    near = as_lists(R.approx_vector_search(q, i, 10, n_cells=6, n_probe=4))
-    hit = sum(len({a for a, _ in exact[u]} & {a for a, _ in near.get(u, [])}) for u in exact)
-    assert hit / sum(len(v) for v in exact.values()) >= 0.8
-
-
 def test_upsert(make):
     s = "point_id string, item_id string, vector array<double>, version int"
     now = make([("p", "i", [1.0], 1), ("q", "j", [2.0], 1)], s)
