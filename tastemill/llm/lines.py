@@ -94,7 +94,8 @@ def repeated_lines(
     totals = seen.where(sliced & F.col("head")).groupBy("h", "h2").agg(
         F.sum("n_docs").alias("all_docs"), F.min(F.struct(*order)).alias("lead")
     )
-    cut = seen.where(sliced).join(totals.where(F.col("all_docs") >= min_docs), ["h", "h2"])
+    # Sliced keys come from the list of crowded ones, which has a fixed size.
+    cut = seen.where(sliced).join(F.broadcast(totals.where(F.col("all_docs") >= min_docs)), ["h", "h2"])
     if keep_first:
         whole = whole.where(~F.col("head"))
         cut = cut.where(F.struct(*order) != F.col("lead"))
