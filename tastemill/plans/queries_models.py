@@ -19,6 +19,7 @@ from tastemill.plans.train import als_recommend
 from tastemill.schemas import DEFAULTS
 from tastemill.session import materialize, scratch_path
 from tastemill.sources.tables import read_vectors, write_vectors
+from tastemill.sources.vector_table import VectorTable, bucket_of
 
 ALS_SETTINGS = DEFAULTS
 
@@ -464,6 +465,53 @@ def _(spark, d):
     return out.select("item_id", "version", F.round(F.col("vector")[0].cast("double"), 6).alias("head"))
 
 
+_VERSIONS = """SELECT CAST(vec_id AS VARCHAR) AS item_id, CAST(CASE WHEN label % 2 = 0 THEN 3 WHEN label = 1 THEN 2 ELSE 1 END AS BIGINT) AS version,
+ round(CASE WHEN label % 2 = 0 THEN embedding[3] WHEN label = 1 THEN embedding[2] ELSE embedding[1] END::DOUBLE, 6) AS head
+ FROM embeddings WHERE NOT (label = 5 OR (label = 1 AND vec_id % 2 = 1))"""
+
+
+def _point_table(spark, d):
+    """Loaded, changed, cut by tombstones and replayed; returns the table and the buckets its second merge rewrote."""
+    e = B.table(spark, d, "embeddings")
+    item = F.col("vec_id").cast("string")
+
+    def rows(of, n: int):
+        return of.select(item.alias("point_id"), item.alias("item_id"), F.slice("embedding", n, 2).alias("vector"), F.lit(n).alias("version"))
+
+    points = VectorTable(spark, scratch_path(spark, "points"), 128)
+    points.apply("load", rows(e, 1))
+    points.merge()
+    second = rows(e.where("label % 2 = 0 OR label = 1"), 2)
+    points.apply("second", second)
+    points.delete("gone", e.where("label = 5 OR (label = 1 AND vec_id % 2 = 1)").select(item.alias("point_id")), 2)
+    points.apply("third", rows(e.where("label % 2 = 0"), 3))
+    points.apply("second", second)
+    rewritten = points.merge()
+    points.apply("late", rows(e, 1))  # older versions, sent again after the tombstones
+    points.apply("load", rows(e, 9))  # a known name changes nothing
+    return points, rewritten
+
+
+@query("vector_table", _VERSIONS)
+def _(spark, d):
+    points, _ = _point_table(spark, d)
+    return points.read().select("item_id", "version", F.round(F.col("vector")[0].cast("double"), 6).alias("head"))
+
+
+@query(
+    "vector_table_rewritten",
+    """SELECT CAST(CAST('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 8) AS BIGINT) % 128 AS INTEGER) AS bucket, count(*) AS n_changed
+ FROM embeddings WHERE label % 2 = 0 OR label IN (1, 5) GROUP BY 1""",
+)
+def _(spark, d):
+    """Buckets that the second merge rewrote: those that a change or a tombstone touched, and no other."""
+    points, rewritten = _point_table(spark, d)
+    changed = B.table(spark, d, "embeddings").where("label % 2 = 0 OR label IN (1, 5)")
+    n = changed.groupBy(bucket_of(F.col("vec_id").cast("string"), points.buckets).alias("bucket")).agg(F.count("*").alias("n_changed"))
+    written = spark.createDataFrame([(b,) for b in rewritten], "bucket int")
+    return written.join(n, "bucket", "full")
+
+
 @query(
     "vectors_round_trip",
     """SELECT CAST(vec_id AS VARCHAR) AS id, CAST(len(embedding) AS INTEGER) AS dim, 'v1' AS version,
