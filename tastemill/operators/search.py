@@ -11,6 +11,7 @@ from tastemill.functions.text import (
     normalize_query,
     strip_accents,
 )
+from tastemill.operators.keyword_index import KeywordIndex, build_keyword_index
 from tastemill.operators.ordering import top_k_per_group
 from tastemill.session import materialize
 
@@ -28,23 +29,6 @@ FUSION_STRONG = 0.70
 FUSION_WEAK = 0.30
 
 NO_CATEGORY_RANK = 9
-_FIELDS = ("title", "tags", "category", "text_description")
-_SALTS = 16
-
-
-def _folded(name: str) -> Column:
-    return F.lower(strip_accents(F.coalesce(F.col(name), F.lit(""))))
-
-
-def _grams(text: Column, size: int) -> Column:
-    """Distinct substrings of ``size`` characters; empty for shorter text."""
-    n = F.length(text) - F.lit(size - 1)
-    return F.when(
-        n > 0,
-        F.array_distinct(
-            F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(text, i, F.lit(size)))
-        ),
-    ).otherwise(F.array().cast("array<string>"))
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -64,63 +48,21 @@ def query_terms(queries: DataFrame) -> DataFrame:
     )
 
 
-def term_matches(terms: DataFrame, catalog: DataFrame, keep: int) -> DataFrame:
-    """Per distinct (term, in_cat) and category, the ``keep`` first items containing the term.
-
-    A containing item holds every 3-character piece of the term (2 for two-character terms, 1 for
-    one), so each term meets items on its rarest piece only and is then checked exactly. Pieces
-    are salted, as one piece may occur in a large share of the items.
-    """
-    fields = [c for c in _FIELDS if c in catalog.columns]
-    folded = catalog.select(
-        "item_id", F.col("category").alias("cat"), *[_folded(c).alias(c) for c in fields]
-    )
-    pieces = F.array_distinct(
-        F.flatten(F.array(*[_grams(F.col(c), n) for c in fields for n in (1, 2, 3)]))
-    )
-    # Ids only: the texts join once per candidate, not once per piece.
-    index = folded.select("item_id", F.explode(pieces).alias("gram"))
-    counts = index.groupBy("gram").agg(F.count("*").alias("df"))
-    size = F.least(F.length("term"), F.lit(3))
-    own = (
-        F.when(size == 3, _grams(F.col("term"), 3))
-        .when(size == 2, _grams(F.col("term"), 2))
-        .otherwise(_grams(F.col("term"), 1))
-    )
-    df = F.coalesce("df", F.lit(0))
-    rarest = (
-        terms.select("term", "in_cat")
-        .distinct()
-        .withColumn("gram", F.explode(own))
-        .join(counts, "gram", "left")
-        .groupBy("term", "in_cat")
-        .agg(F.min(F.struct(df.alias("df"), F.col("gram"))).alias("best"))
-        .where("best.df > 0")  # a piece no item holds: the term matches nothing
-        .select("term", "in_cat", "best.gram")
-    )
-    salted_terms = rarest.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(_SALTS)])))
-    salted_items = index.withColumn("salt", F.pmod(F.xxhash64("item_id"), F.lit(_SALTS)).cast("int"))
-    pairs = salted_terms.join(salted_items, ["gram", "salt"]).select("term", "in_cat", "item_id")
-    t = F.col("term")
-    found = F.lit(False)
-    for c in fields:
-        inside = F.contains(F.col(c), t)
-        found = found | (inside & F.col("in_cat") if c == "category" else inside)
-    hits = pairs.join(folded, "item_id").where(found).select("term", "in_cat", "cat", "item_id")
-    return top_k_per_group(hits, ["term", "in_cat", "cat"], [F.asc("item_id")], keep).drop("rank")
-
-
-def keyword_search(queries: DataFrame, catalog: DataFrame, limit: int = 20) -> DataFrame:
+def keyword_search(
+    queries: DataFrame, catalog: DataFrame, limit: int = 20, index: KeywordIndex | None = None
+) -> DataFrame:
     """Items containing the query phrase or any of its content tokens, best categories first.
 
     ``queries`` is (request_id, q). Equal texts are searched once. Items go by the position of
-    their category among those the query names (9 if none), then by id; the score is 1.
+    their category among those the query names (9 if none), then by id; the score is 1. Without a stored
+    ``index`` of the catalog one is built for this call.
     """
+    index = index or build_keyword_index(catalog)
     texts = materialize(queries.select("q").distinct(), "texts")
     terms = materialize(query_terms(texts), "terms")
     # An item among a query's first `limit` is among the first `limit` of its category for some
     # term, since within a category items go by id: the cut per term loses nothing.
-    matches = term_matches(terms, catalog, limit)
+    matches = index.matches(terms, limit)
     cats = texts.select(
         "q", F.transform(detect_categories(F.col("q")), lambda c: F.lower(c)).alias("cats")
     )
@@ -262,6 +204,5 @@ __all__ = [
     "order_reranked",
     "query_terms",
     "rerank",
-    "term_matches",
     "without",
 ]

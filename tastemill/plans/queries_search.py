@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tastemill.functions import text as X
 from tastemill.operators import messages as J
 from tastemill.operators import search as E
+from tastemill.operators.keyword_index import build_keyword_index
 from tastemill.plans import bindings as B
 from tastemill.plans import serve
 from tastemill.plans.queries_models import USER_VECTORS, top_k_sql, user_vectors
@@ -121,6 +122,19 @@ def _(spark, d):
     return E.keyword_search(B.requests(spark, d), B.items(spark, d))
 
 
+@query("keyword_search_grown_index", keyword_sql(f"SELECT request_id, q FROM ({B.REQUESTS})"))
+def _(spark, d):
+    """The same search over an index that got the catalog in three batches: other texts, the first half, the rest."""
+    items = B.items(spark, d)
+    half = F.pmod(F.col("item_id").cast("long"), F.lit(2))
+    other = items.where(half == 1).withColumn("title", F.reverse("title")).withColumn("text_description", F.lit("show me a jacket"))
+    index = build_keyword_index(other, name="other")
+    index.add("even", items.where(half == 0))
+    index.add("odd", items.where(half == 1))
+    index.add("odd", other)  # a known batch changes nothing
+    return E.keyword_search(B.requests(spark, d), items, index=index)
+
+
 @query(
     "keyword_search_messages",
     keyword_sql(f"SELECT request_id, message AS q FROM ({B.MESSAGES})").replace("q, item_id, title", "md5(q) AS q, item_id, title", 1),

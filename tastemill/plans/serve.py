@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastemill.functions.text import ITEM_TEXT_FIELDS, item_text, normalize_query, strip_accents
+from tastemill.operators.keyword_index import KeywordIndex
 from tastemill.operators.retrieval import enrich_with_catalog, retrieve_top_k, vector_search
 from tastemill.operators.search import (
     folded_catalog,
@@ -147,13 +148,14 @@ def search_with_fallback(
     item_vectors: DataFrame | None,
     encoder: PipelineModel | Encoder | None,
     index: VectorIndex | None = None,
+    keywords: KeywordIndex | None = None,
 ) -> DataFrame:
     """Semantic search, and keyword search for the requests it leaves unanswered."""
     cols = ["request_id", "q", "rank", "item_id", "title", "category", "score"]
     if item_vectors is None or encoder is None:
-        return keyword_search(requests, catalog).select(*cols, F.lit("keyword").alias("source"))
+        return keyword_search(requests, catalog, index=keywords).select(*cols, F.lit("keyword").alias("source"))
     found = materialize(semantic_search(requests, catalog, item_vectors, encoder, index=index), "semantic")
-    rest = keyword_search(without(requests, found), catalog)
+    rest = keyword_search(without(requests, found), catalog, index=keywords)
     return (
         found.select(*cols)
         .withColumn("source", F.lit("semantic"))

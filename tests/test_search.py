@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tastemill.functions import text as X
 from tastemill.operators import messages as J
 from tastemill.operators import search as E
+from tastemill.operators.keyword_index import KeywordIndex, build_keyword_index
 from tastemill.plans import serve
 
 ITEMS = "item_id string, title string, category string, tags string, text_description string"
@@ -131,7 +132,23 @@ def test_keyword_search_brute_force(make):
     plain = queries.select(
         "request_id", "q", X.normalize_query(F.col("q")), X.detect_categories(F.col("q"))
     ).collect()
-    assert got == brute_keyword([tuple(r) for r in plain], items, 20)
+    want = brute_keyword([tuple(r) for r in plain], items, 20)
+    assert got == want
+    # The same from an index that got other texts first, and that is opened again.
+    index = build_keyword_index(make([(i, "lord aa wars", "War", "star", None) for i, *_ in items[:60]], ITEMS), name="old")
+    assert index.add("new", make(items[:100], ITEMS)) and index.add("rest", make(items[100:], ITEMS))
+    assert not index.add("new", make(items[:3], ITEMS))
+    again = KeywordIndex(queries.sparkSession, index.root)
+    assert again.batches() == ["old", "new", "rest"]
+    grown = {}
+    for r in E.keyword_search(queries, make(items, ITEMS), 20, again).orderBy("request_id", "rank").collect():
+        grown.setdefault(r.request_id, []).append(r.item_id)
+    assert grown == want
+
+
+def test_an_empty_keyword_index(make):
+    queries = make([("q", "star")], "request_id string, q string")
+    assert E.keyword_search(queries, make([], ITEMS)).count() == 0
 
 
 @pytest.fixture(scope="module")
