@@ -76,7 +76,7 @@ def test_against_plain_counting(table, least):
 
 def test_small_bounds_change_nothing(table, monkeypatch):
     rows = corpus(7)
-    for name, bound in (("HELD", 5), ("CELLS", 12), ("SOURCES", 2)):
+    for name, bound in (("HELD_BYTES", 300), ("HELD_ROWS", 7), ("CELLS", 12), ("SOURCES", 2)):
         monkeypatch.setattr(D, name, bound)
     assert got(D.audit_sources(table(rows), 8, 3)) == brute(rows, 8, 3)
 
