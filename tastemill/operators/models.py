@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -94,11 +93,19 @@ def als_factors(model: ALSModel, users: DataFrame, items: DataFrame) -> tuple[Da
     return u, i
 
 
-def _next_prime(n: int) -> int:
-    n = max(n, 2)
-    while any(n % d == 0 for d in range(2, math.isqrt(n) + 1)):
-        n += 1
-    return n
+def _distinct_ranks(n: int, size, seed: int, *keys: str):
+    """``n`` distinct places below ``size`` (all of them if there are fewer), every set of them equally likely.
+
+    Floyd's method: the j-th step draws below ``size - n + j + 1`` and takes the last of these where the draw is taken.
+    """
+    take = F.least(F.lit(n).cast("bigint"), size)
+
+    def step(chosen, j):
+        top = size - take + j
+        drawn = F.pmod(F.xxhash64(F.lit(seed), *keys, j), top + 1)
+        return F.array_append(chosen, F.when(F.array_contains(chosen, drawn), top).otherwise(drawn))
+
+    return F.when(take > 0, F.aggregate(F.sequence(F.lit(0).cast("bigint"), take - 1), F.array().cast("array<bigint>"), step))
 
 
 def sample_negatives(
@@ -106,109 +113,33 @@ def sample_negatives(
 ) -> DataFrame:
     """Per positive ``(pos_id, user_id, item_id)``, ``n`` distinct items its user never touched.
 
-    Each positive walks the catalog in its own seeded order (a full cycle modulo a prime, so no
-    item repeats). The first steps of the walk, sized from the user's unseen share, are enough for
-    nearly all positives; the few left short repeat the walk far enough to be certain:
-    ``n + seen`` distinct items hold at least ``n`` unseen ones. Users who have seen the whole
-    catalog draw from all of it; a pool smaller than ``n`` is returned whole.
+    One law for all users: each positive draws a uniform set of ranks among its user's unseen items, and a rank
+    becomes a catalog position by the number of seen positions before it. If ``s(i)`` is the i-th seen position,
+    ``s(i) - i`` unseen items lie before it, so the position of rank ``r`` is ``r`` plus the number of i with
+    ``s(i) - i <= r``. Both counts are running totals over (user, position), which no single task holds for a user.
 
-    Users who have seen half the catalog or more would walk long. Their unseen items are listed
-    once per user (no more rows than they have seen) and positives draw places in that list.
+    Users who have seen the whole catalog draw from all of it; a pool smaller than ``n`` is returned whole.
     """
-    items = materialize(item_index.select("item_id", "item_idx"), "catalog")
+    items = materialize(item_index.select("item_id", F.col("item_idx").cast("bigint").alias("item_idx")), "catalog")
     n_items = items.count()
-    prime = _next_prime(n_items)
-    seen = materialize(
-        positives.join(items, "item_id").select("user_id", "item_idx").distinct(), "seen"
-    )
-    per_user = seen.groupBy("user_id").agg(F.count("*").alias("n_seen"))
-    base = positives.select("pos_id", "user_id").join(per_user, "user_id", "left")
-    n_seen = F.coalesce("n_seen", F.lit(0))
-    # A user with no unseen item is treated as having seen nothing.
-    base = base.withColumn("exhausted", n_seen >= n_items).withColumn(
-        "n_seen", F.when(F.col("exhausted"), F.lit(0)).otherwise(n_seen)
-    )
-    dense = ~F.col("exhausted") & (F.col("n_seen") * 2 >= n_items)
-    crowded = base.where(dense)
-    base = base.where(~dense)
-    gap = prime - n_items
-    certain = F.least(F.lit(prime), F.lit(n + gap) + F.col("n_seen"))
-    share = (F.lit(n_items) - F.col("n_seen")) / F.lit(float(prime))
-    likely = F.least(certain, F.ceil(F.lit(n + 4.0 * math.sqrt(n) + 4.0) / share).cast("bigint"))
-    h = lambda k: F.xxhash64(F.lit(seed + k), "pos_id", "user_id")
-    walk = base.withColumn("_a", F.pmod(h(0), F.lit(prime - 1)) + 1).withColumn(
-        "_b", F.pmod(h(1), F.lit(prime))
-    )
-
-    def draw(rows: DataFrame, steps) -> DataFrame:
-        cand = (
-            rows.select(
-                "pos_id",
-                "user_id",
-                "exhausted",
-                "_a",
-                "_b",
-                F.explode(F.sequence(F.lit(0).cast("bigint"), steps - 1)).alias("step"),
-            )
-            .withColumn("item_idx", F.pmod(F.col("_a") * F.col("step") + F.col("_b"), F.lit(prime)))
-            .where(F.col("item_idx") < n_items)
-        )
-        fresh = cand.where(~F.col("exhausted")).join(seen, ["user_id", "item_idx"], "left_anti")
-        whole = cand.where("exhausted").select(fresh.columns)
-        best = F.slice(
-            F.array_sort(F.collect_list(F.struct("step", "item_idx"))), 1, n
-        )  # at most `steps` entries per positive
-        return fresh.unionByName(whole).groupBy("pos_id", "user_id").agg(best.alias("picked"))
-
-    first = materialize(draw(walk, likely), "negatives")
-    need = F.least(F.lit(n), F.lit(n_items) - F.col("n_seen"))
-    short = (
-        walk.join(
-            first.select("pos_id", F.size("picked").alias("_got")), "pos_id", "left"
+    seen = positives.join(items, "item_id").select("user_id", "item_idx").distinct()
+    seen = with_group_running_total(seen, ["user_id"], ["item_idx"], name="_i", total="n_seen")
+    seen = materialize(seen.where(F.col("n_seen") < n_items), "seen")
+    per_user = seen.groupBy("user_id").agg(F.max("n_seen").alias("n_seen"))
+    size = F.lit(n_items).cast("bigint") - F.coalesce("n_seen", F.lit(0))
+    drawn = positives.select("pos_id", "user_id").join(per_user, "user_id", "left").select(
+        "pos_id", "user_id", F.explode(_distinct_ranks(n, size, seed, "pos_id", "user_id")).alias("_at")
+    )
+    # Seen positions sort before the ranks they precede and carry the weight.
+    events = drawn.withColumn("_w", F.lit(0).cast("bigint")).unionByName(
+        seen.select(
+            F.lit(None).cast(positives.schema["pos_id"].dataType).alias("pos_id"), "user_id",
+            (F.col("item_idx") - F.col("_i")).alias("_at"), F.lit(1).cast("bigint").alias("_w"),
         )
-        .where(F.coalesce("_got", F.lit(0)) < need)
-        .drop("_got")
-    )
-    short = materialize(short, "short")
-    second = draw(short, certain)
-    full = first.join(short.select("pos_id"), "pos_id", "left_anti").unionByName(second)
-    out = full.select("pos_id", "user_id", F.explode("picked").alias("p")).select(
-        "pos_id", "user_id", "p.item_idx"
-    )
-    many = per_user.where((F.col("n_seen") * 2 >= n_items) & (F.col("n_seen") < n_items))
-    if not many.isEmpty():
-        out = out.unionByName(_draw_from_pools(crowded, many, seen, n_items, n, seed))
-    return out.join(items, "item_idx").select("pos_id", "user_id", "item_id")
-
-
-def _draw_from_pools(
-    positives: DataFrame, users: DataFrame, seen: DataFrame, n_items: int, n: int, seed: int
-) -> DataFrame:
-    """Evenly spaced places, from a random start, in each user's list of unseen items."""
-    chunk = 1 << 16
-    pages = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit((n_items - 1) // chunk).cast("bigint")))
-    catalog = users.select("user_id", pages.alias("page")).select(
-        "user_id",
-        F.explode(
-            F.sequence(
-                F.col("page") * chunk,
-                F.least(F.col("page") * chunk + (chunk - 1), F.lit(n_items - 1).cast("bigint")),
-            )
-        ).alias("item_idx"),
-    )
-    unseen = catalog.join(seen, ["user_id", "item_idx"], "left_anti")
-    pool = with_group_running_total(unseen, ["user_id"], ["item_idx"], name="slot", total="_pool")
-    size = F.lit(n_items) - F.col("n_seen")
-    take = F.least(F.lit(n), size)
-    start = F.pmod(F.xxhash64(F.lit(seed), "pos_id", "user_id"), size)
-    spaced = F.transform(
-        F.sequence(F.lit(0).cast("bigint"), take - 1),
-        lambda j: F.pmod(start + F.floor(j * size / take), size),
-    )
-    draws = positives.select("pos_id", "user_id", F.explode(spaced).alias("slot"))
-    return draws.join(pool.select("user_id", "slot", "item_idx"), ["user_id", "slot"]).select(
-        "pos_id", "user_id", "item_idx"
-    )
+    ).withColumn("_draw", F.lit(1) - F.col("_w"))
+    ranked = with_group_running_total(events, ["user_id"], ["_at", "_draw", "pos_id"], weight="_w", name="_before", total="_all")
+    placed = ranked.where(F.col("_draw") == 1).select("pos_id", "user_id", (F.col("_at") + F.col("_before")).alias("item_idx"))
+    return placed.join(items, "item_idx").select("pos_id", "user_id", "item_id")
 
 
 def contrastive_loss(

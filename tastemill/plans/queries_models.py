@@ -146,14 +146,35 @@ def _(spark, d):
     )
 
 
-@query("sample_negatives")
-def _(spark, d):
-    """Four unseen items per training event."""
+def _negatives(spark, d):
     pos = B.train(spark, d).withColumn(
         "pos_id", F.xxhash64("user_id", "item_id", "event_type", "timestamp")
-    )
+    ).select("pos_id", "user_id", "item_id")
     index = M.index_ids(B.vectors(spark, d), "item_id", "item_idx")
-    return M.sample_negatives(pos.select("pos_id", "user_id", "item_id"), index, 4)
+    return pos, M.sample_negatives(pos, index, 4)
+
+
+@query("sample_negatives")
+def _(spark, d):
+    """Four unseen items per training event."""
+    return _negatives(spark, d)[1]
+
+
+@query(
+    "sample_negatives_kept_rules",
+    f"""SELECT user_id, count(*) AS positives, 4 * count(*) AS negatives, 0::BIGINT AS repeats, 0::BIGINT AS seen, 0::BIGINT AS unknown_items
+ FROM ({B.TRAIN}) GROUP BY user_id""",
+)
+def _(spark, d):
+    """Per user: draws there are, draws that repeat within a positive, seen ones, and items that don't exist."""
+    pos, out = _negatives(spark, d)
+    out = materialize(out, "negatives")
+    per = out.groupBy("user_id", "pos_id").agg((F.count("*") - F.countDistinct("item_id")).alias("r"), F.count("*").alias("n"))
+    per = per.groupBy("user_id").agg(F.sum("n").alias("negatives"), F.sum("r").alias("repeats"))
+    bad = out.join(pos.select("user_id", "item_id").distinct(), ["user_id", "item_id"], "left_semi").groupBy("user_id").agg(F.count("*").alias("seen"))
+    strange = out.join(B.vectors(spark, d), "item_id", "left_anti").groupBy("user_id").agg(F.count("*").alias("unknown_items"))
+    all_of = pos.groupBy("user_id").agg(F.count("*").alias("positives"))
+    return all_of.join(per, "user_id", "left").join(bad, "user_id", "left").join(strange, "user_id", "left").fillna(0)
 
 
 USER_VECTORS = f"""SELECT user_id, list(x ORDER BY pos) AS vector FROM (

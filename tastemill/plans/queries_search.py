@@ -152,9 +152,9 @@ def _candidates(spark, d):
         F.get_json_object("props", "$.k").alias("item_id"),
         (F.col("value") / 1000).alias("semantic"),
     )
-    return B.requests(spark, d).select("request_id", "q").join(e, "request_id").join(
-        B.items(spark, d), "item_id"
-    )
+    # Each item's texts are folded once, however often it is a candidate.
+    catalog = E.folded_catalog(B.items(spark, d))
+    return B.requests(spark, d).select("request_id", "q").join(e, "request_id").join(catalog, "item_id")
 
 
 _CANDIDATES = f"""SELECT request_id, q, item_id, title, category, tags, coalesce(text_description, '') AS description,

@@ -201,6 +201,24 @@ def test_negatives(spark):
     assert sorted(map(tuple, got)) == sorted(map(tuple, again))
 
 
+@pytest.mark.parametrize("n_seen", [1, 10, 14])
+def test_negatives_are_uniform_sets(spark, n_seen):
+    """Every unseen item, and every pair of them, comes up alike often, however many items a user has seen."""
+    n_items, draws = 16, 3000
+    index = spark.range(n_items).select(F.concat(F.lit("i"), "id").alias("item_id"), F.col("id").alias("item_idx"))
+    seen = [(k * 7) % n_items for k in range(n_seen)]
+    pos = spark.range(draws).selectExpr("id AS pos_id", "'u' AS user_id").withColumn(
+        "item_id", F.concat(F.lit("i"), F.element_at(F.array(*[F.lit(x) for x in seen]), (F.col("pos_id") % n_seen + 1).cast("int")))
+    )
+    got = M.sample_negatives(pos, index, 2).groupBy("pos_id").agg(F.array_sort(F.collect_list("item_id")).alias("s"))
+    counts = {tuple(r["s"]): r["n"] for r in got.groupBy("s").agg(F.count("*").alias("n")).collect()}
+    free = n_items - n_seen
+    pairs = free * (free - 1) // 2
+    assert sum(counts.values()) == draws and len(counts) == pairs
+    chi = sum((c - draws / pairs) ** 2 / (draws / pairs) for c in counts.values())
+    assert chi < pairs + 4 * (2 * pairs) ** 0.5 + 4
+
+
 @pytest.fixture(scope="module")
 def taste(spark):
     """Two groups of users with their own half of the catalog."""
