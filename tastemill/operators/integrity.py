@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tastemill.sources.file_tree import compare_trees
+
 SCHEMA_VERSION = 1
 # A sorted id list is hashed as one string only while it stays below this size.
 MAX_HASHED_BYTES = 256 << 20
@@ -165,9 +167,17 @@ def artifact_manifest(
     )
 
 
-def verify_manifest(stored: DataFrame | None, current: DataFrame) -> DataFrame:
+def verify_manifest(
+    stored: DataFrame | None,
+    current: DataFrame,
+    stored_files: DataFrame | None = None,
+    current_files: DataFrame | None = None,
+) -> DataFrame:
     """Compare a stored manifest with the current one: rows ``(check, expected, actual, ok)``.
 
+    Files of any number and size are checked by their leaves (``file_tree.chunk_hashes``) if both sides give them: a
+    stored file that has changed or is gone is not ok.
+
     An absent manifest is reported as skipped. Id hashes and file entries the stored manifest
     does not name are not checked; its schema version must be 1.
     """
@@ -189,7 +199,11 @@ def verify_manifest(stored: DataFrame | None, current: DataFrame) -> DataFrame:
         for name, meta in sorted((old["artifacts"] or {}).items())
         if name in known
     ]
-    return spark.createDataFrame([(c, e, a, e == a) for c, e, a in rows], schema)
+    checks = spark.createDataFrame([(c, e, a, e == a) for c, e, a in rows], schema)
+    if stored_files is None or current_files is None:
+        return checks
+    files = compare_trees(stored_files, current_files).where(F.col("expected").isNotNull())
+    return checks.unionByName(files.select(F.concat(F.lit("file:"), "name").alias("check"), "expected", "actual", "ok"))
 
 
 def register_model(
