@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tastemill.functions.events import (
@@ -23,6 +24,7 @@ from tastemill.schemas import (
     ITEMS,
     Settings,
 )
+from tastemill.session import materialize
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -44,6 +46,40 @@ def validate_schema(df: DataFrame, columns: Sequence[str], required: Sequence[st
         raise ValueError(f"{name} has null values in required columns: {fatal}")
 
 
+def land(
+    df: DataFrame,
+    columns: Sequence[str],
+    required: Sequence[str],
+    name: str,
+    shape: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    forbidden: dict[str, Column] | None = None,
+) -> DataFrame:
+    """``shape(df)`` written once to the scratch area, the source checked by the same pass.
+
+    Nulls in required columns, and rows for which a ``forbidden`` condition holds (by the error's text), are counted while
+    the rows go by; any of them raises. No row is read twice for the checks.
+    """
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{name} missing required columns: {missing}")
+    forbidden = forbidden or {}
+    seen = Observation()
+    counts = [F.count_if(F.col(c).isNull()).alias(f"null:{c}") for c in required]
+    counts += [F.count_if(condition).alias(f"bad:{text}") for text, condition in forbidden.items()]
+    out = materialize(shape(df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts)), name)
+    try:
+        got = seen.get
+    except Py4JJavaError:  # Spark left the pass out, as it saw that there are no rows: counted by itself
+        got = df.agg(*counts).first().asDict() if counts else {}
+    fatal = [c for c in required if got.get(f"null:{c}")]
+    if fatal:
+        raise ValueError(f"{name} has null values in required columns: {fatal}")
+    for text in forbidden:
+        if got.get(f"bad:{text}"):
+            raise ValueError(text)
+    return out
+
+
 def dedupe_interactions(df: DataFrame) -> DataFrame:
     return df.dropDuplicates(INTERACTION_KEYS)
 
@@ -62,36 +98,52 @@ def clean_interactions(df: DataFrame) -> DataFrame:
 def validate_interactions(
     df: DataFrame, drop_unknown: bool = True, check_nulls: bool = True
 ) -> DataFrame:
-    """Known event types only (or an error), each (user, item, type, time) once."""
-    validate_schema(
-        df, INTERACTION_KEYS, ["user_id", "item_id"] if check_nulls else [], "interactions"
-    )
-    rows = clean_interactions(df)
-    known = F.coalesce(F.col("event_type").isin(*BATCH_EVENTS), F.lit(False))
-    if not drop_unknown and not rows.where(~known).isEmpty():
-        raise ValueError("interactions contain unsupported event types")
-    return dedupe_interactions(rows.where(known))
+    """Known event types only (or an error), each (user, item, type, time) once.
+
+    With a check the rows are written once, by the pass that makes it; without any the result is lazy.
+    """
+    known = F.coalesce(F.col("event_type").cast("string").isin(*BATCH_EVENTS), F.lit(False))
+
+    def shape(rows: DataFrame) -> DataFrame:
+        return dedupe_interactions(clean_interactions(rows).where(known))
+
+    required = ["user_id", "item_id"] if check_nulls else []
+    refused = {} if drop_unknown else {"interactions contain unsupported event types": ~known}
+    if not required and not refused:
+        validate_schema(df, INTERACTION_KEYS, [], "interactions")
+        return shape(df)
+    return land(df, INTERACTION_KEYS, required, "interactions", shape, refused)
 
 
 def validate_items(df: DataFrame, check_nulls: bool = True) -> DataFrame:
-    validate_schema(df, ITEMS.names, ["item_id"] if check_nulls else [], "items")
     built = item_text(("title", "category", "tags"))
-    return df.select(
-        F.col("item_id").cast("string").alias("item_id"),
-        "title",
-        "category",
-        "tags",
-        F.coalesce("text_description", built).alias("text_description"),
-    )
+
+    def shape(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            F.col("item_id").cast("string").alias("item_id"),
+            "title",
+            "category",
+            "tags",
+            F.coalesce("text_description", built).alias("text_description"),
+        )
+
+    if not check_nulls:
+        validate_schema(df, ITEMS.names, [], "items")
+        return shape(df)
+    return land(df, ITEMS.names, ["item_id"], "items", shape)
 
 
 def validate_users(df: DataFrame, order_by: Sequence[str], check_nulls: bool = True) -> DataFrame:
     """First row per user in ``order_by`` order; ``metadata`` is kept where present."""
-    validate_schema(df, ["user_id"], ["user_id"] if check_nulls else [], "users")
+    validate_schema(df, ["user_id"], [], "users")
     kept = [c for c in USERS.names if c in df.columns]
     row = F.struct(F.col("user_id").cast("string").alias("user_id"), *[F.col(c) for c in kept[1:]])
     first = F.min_by(row, F.struct(*[F.col(c) for c in order_by]))
-    return df.groupBy(F.col("user_id").cast("string").alias("_u")).agg(first.alias("r")).select("r.*")
+
+    def shape(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(F.col("user_id").cast("string").alias("_u")).agg(first.alias("r")).select("r.*")
+
+    return land(df, ["user_id"], ["user_id"], "users", shape) if check_nulls else shape(df)
 
 
 def apply_event_weights(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:

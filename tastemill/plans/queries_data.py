@@ -366,8 +366,8 @@ def _(spark, d):
 
 @query("file_checksums")
 def _(spark, d):
-    """Hash of every data file of the events table."""
-    return T.file_checksums(spark, f"{d}/events.parque[t]")
+    """Hash of every data file of every table."""
+    return T.file_checksums(spark, d)
 
 
 @query(

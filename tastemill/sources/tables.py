@@ -29,6 +29,7 @@ from tastemill.operators.items import (
 from tastemill.operators.ordering import head_by_order
 from tastemill.operators.split import SPLITS
 from tastemill.schemas import DEFAULTS, MOVIES_CSV, RATINGS_CSV, TAGS_CSV, Settings
+from tastemill.session import materialize
 
 # Column-name hints of unknown datasets, in matching order.
 COLUMN_HINTS = {
@@ -93,10 +94,11 @@ def rated_dataset(
 
 
 def read_ratings(
-    spark: SparkSession, path: str, max_rows: int | None = None, settings: Settings = DEFAULTS
+    spark: SparkSession, path: str, max_rows: int | None = None, settings: Settings = DEFAULTS, land: bool = False
 ) -> Dataset:
-    """Ratings, movies and tags CSV files of one folder."""
+    """Ratings, movies and tags CSV files of one folder; with ``land`` the ratings are parsed once and written."""
     ratings = _csv(spark, f"{path}/ratings.csv", RATINGS_CSV)
+    ratings = materialize(ratings, "ratings") if land else ratings
     ratings = cap_rows(ratings, max_rows, ["userId", "movieId", "timestamp", "rating"])
     movies = _csv(spark, f"{path}/movies.csv", MOVIES_CSV)
     tags = _csv(spark, f"{path}/tags.csv", TAGS_CSV).select("movieId", "tag")
@@ -120,9 +122,10 @@ def retail_dataset(transactions: DataFrame, articles: DataFrame, customers: Data
     return Dataset(interactions, items, users, {"source": "kaggle"})
 
 
-def read_retail(spark: SparkSession, path: str, max_rows: int | None = None) -> Dataset:
-    """Transactions, articles and customers CSV files; ids are read as text."""
+def read_retail(spark: SparkSession, path: str, max_rows: int | None = None, land: bool = False) -> Dataset:
+    """Transactions, articles and customers CSV files; ids are read as text. ``land`` parses the transactions once."""
     transactions = _csv(spark, f"{path}/transactions_train.csv")
+    transactions = materialize(transactions, "transactions") if land else transactions
     transactions = cap_rows(transactions, max_rows, ["t_dat", "customer_id", "article_id"])
     articles = _csv(spark, f"{path}/articles.csv", multi_line=True)
     return retail_dataset(transactions, articles, _csv(spark, f"{path}/customers.csv"))

@@ -283,3 +283,34 @@ def test_experiment_log(spark, tmp_path):
     assert (row.version, row.recall_20, row.coverage) == ("v2", 0.2, 0.0)
     last = T.ablation_table(T.read_experiments(spark, path), require_metrics=False).first()
     assert last.version == "v3"
+
+
+def test_checks_ride_on_the_one_pass_that_lands_the_rows(spark):
+    """Rows are counted by a function that each pass would run again."""
+    from tastemill.operators import validate as V
+
+    passed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            passed.add(b.num_rows)
+            yield b
+
+    rows = spark.range(1000).selectExpr(
+        "concat('u', id % 7) AS user_id", "IF(id = 500, NULL, concat('i', id % 50)) AS item_id", "'view' AS event_type",
+        "timestamp'2024-01-01' + id * interval 1 hour AS timestamp",
+    )
+    seen = rows.mapInArrow(count, rows.schema)
+    with pytest.raises(ValueError, match=r"interactions has null values in required columns: \['item_id'\]"):
+        V.validate_interactions(seen)
+    assert passed.value == 1000
+    good = seen.where("item_id IS NOT NULL")
+    out = V.validate_interactions(good)
+    assert passed.value == 2000
+    assert out.count() == 999 and out.distinct().count() == 999 and passed.value == 2000
+    with pytest.raises(ValueError, match="unsupported event types"):
+        V.validate_interactions(good.withColumn("event_type", F.lit("odd")), drop_unknown=False)
+    assert V.validate_interactions(rows.limit(0)).count() == 0
+    assert V.validate_interactions(spark.createDataFrame([], rows.schema)).count() == 0
+    with pytest.raises(ValueError, match="missing required columns"):
+        V.validate_users(rows.drop("user_id"), [])
