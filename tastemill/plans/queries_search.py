@@ -8,10 +8,13 @@ from tastemill.functions import text as X
 from tastemill.operators import messages as J
 from tastemill.operators import search as E
 from tastemill.operators.keyword_index import build_keyword_index
+from tastemill.operators.sparse_text import SparseText, catalog_texts, embed_items_sparse
+from tastemill.operators.vector_index import IndexSettings, build_index
 from tastemill.plans import bindings as B
 from tastemill.plans import serve
 from tastemill.plans.queries_models import USER_VECTORS, top_k_sql, user_vectors
 from tastemill.plans.registry import query
+from tastemill.session import materialize
 
 
 def fold(x: str) -> str:
@@ -187,22 +190,104 @@ def _(spark, d):
     )
 
 
-@query("semantic_search")
-def _(spark, d):
+# Words of the catalog with their weights, and unit vectors of its items.
+_ITEM_WORDS = f"""SELECT item_id, w, count(*) AS n FROM (SELECT item_id, unnest(regexp_extract_all(
+ {fold("concat_ws(' ', title, category, tags, text_description)")}, '[a-z0-9]+')) AS w FROM ({B.ITEMS})) GROUP BY ALL"""
+_WORD_WEIGHTS = f"""SELECT w, ln(((SELECT count(*) FROM part) + 1) / (count(*) + 1)) AS idf FROM ({_ITEM_WORDS}) GROUP BY w"""
+
+
+def sparse_sql(counted: str, key: str) -> str:
+    """Unit vectors of ``counted`` (key, w, n)."""
+    weighed = f"SELECT {key}, w, n * idf AS x FROM ({counted}) JOIN ({_WORD_WEIGHTS}) USING (w) WHERE idf > 0"
+    return f"SELECT {key}, w, x / sqrt(sum(x * x) OVER (PARTITION BY {key})) AS x FROM ({weighed})"
+
+
+def semantic_sql(src: str, k: int, capped: bool = False) -> str:
+    """Semantic search of the distinct texts of ``src`` (q): q, rank, item_id, title, category, score, final."""
+    texts = f"SELECT q, {normalized_sql('q')} AS norm FROM (SELECT DISTINCT q FROM ({src}))"
+    counted = f"""SELECT norm, w, count(*) AS n FROM (SELECT norm, unnest(regexp_extract_all({fold('norm')}, '[a-z0-9]+')) AS w
+ FROM (SELECT DISTINCT norm FROM ({texts}))) GROUP BY ALL"""
+    near = f"""SELECT norm, item_id, semantic FROM (
+ SELECT *, row_number() OVER (PARTITION BY norm ORDER BY semantic DESC, item_id) AS place FROM (
+ SELECT norm, item_id, round(sum(a.x * b.x), 9) AS semantic FROM ({sparse_sql(counted, 'norm')}) a
+ JOIN ({sparse_sql(_ITEM_WORDS, 'item_id')}) b USING (w) GROUP BY ALL) WHERE semantic > 0) WHERE place <= 50"""
+    candidates = f"""SELECT q, item_id, title, category, tags, coalesce(text_description, '') AS description, semantic
+ FROM ({texts}) JOIN ({near}) USING (norm) JOIN ({B.ITEMS}) USING (item_id)"""
+    key = "least(1.0::DOUBLE, final)" if capped else "final"
+    return f"""SELECT q, CAST(rank AS INTEGER) AS rank, item_id, title, category, round(least(1.0::DOUBLE, final), 4) AS score,
+ least(1.0::DOUBLE, final) AS final FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY round({key}, 9) DESC, item_id) AS rank
+ FROM ({rerank_sql(candidates, 'q, item_id, title, category')})) WHERE rank <= {k}"""
+
+
+def _sparse(spark, d):
+    """The catalog, its encoder and its vectors, numbered and written once."""
     items = B.items(spark, d)
-    encoder = serve.fit_text_encoder(items)
-    out = serve.semantic_search(B.requests(spark, d), items, serve.embed_items(items, encoder), encoder)
-    return out.drop("final")
+    encoder = SparseText.fit(catalog_texts(items))
+    return items, encoder, materialize(embed_items_sparse(items, encoder), "item-words")
 
 
-@query("search_with_fallback")
+@query(
+    "embed_items_sparse",
+    f"SELECT item_id, w AS word, round(x, 6) AS weight FROM ({sparse_sql(_ITEM_WORDS, 'item_id')})",
+)
 def _(spark, d):
+    _, encoder, vectors = _sparse(spark, d)
+    named = vectors.join(encoder.vocabulary.select("word_idx", "word"), "word_idx")
+    return named.select("item_id", "word", F.round("weight", 6).alias("weight"))
+
+
+@query(
+    "vocabulary",
+    f"""SELECT w AS word, row_number() OVER (ORDER BY w) - 1 AS word_idx, df, round(idf, 9) AS idf FROM (
+ SELECT w, count(*) AS df FROM ({_ITEM_WORDS}) GROUP BY w) JOIN ({_WORD_WEIGHTS}) USING (w)""",
+)
+def _(spark, d):
+    """Every word has a number of its own."""
+    words = _sparse(spark, d)[1].vocabulary
+    return words.select("word", "word_idx", "df", F.round("idf", 9).alias("idf"))
+
+
+_SEMANTIC = semantic_sql(f"SELECT q FROM ({B.REQUESTS})", 20)
+
+
+@query(
+    "semantic_search",
+    f"SELECT request_id, q, rank, item_id, title, category, score FROM ({B.REQUESTS}) JOIN ({_SEMANTIC}) USING (q)",
+)
+def _(spark, d):
+    items, encoder, vectors = _sparse(spark, d)
+    return serve.semantic_search(B.requests(spark, d), items, vectors, encoder).drop("final")
+
+
+@query("semantic_search_dense")
+def _(spark, d):
+    """The same with hashed vectors, found through a stored index."""
     items = B.items(spark, d)
     encoder = serve.fit_text_encoder(items)
+    vectors = materialize(serve.embed_items(items, encoder), "item-vectors")
+    index = build_index(vectors, settings=IndexSettings(k=serve.CANDIDATES))
+    return serve.semantic_search(B.requests(spark, d), items, vectors, encoder, index=index).drop("final")
+
+
+_ASKED_ALL = f"SELECT request_id, q FROM ({B.REQUESTS}) UNION ALL SELECT request_id, message AS q FROM ({B.MESSAGES})"
+
+
+def fallback_sql(asked: str) -> str:
+    found = f"SELECT request_id, q, rank, item_id, title, category, score FROM ({asked}) JOIN ({semantic_sql(asked, 20)}) USING (q)"
+    rest = keyword_sql("SELECT * FROM rest")
+    return f"""WITH asked AS MATERIALIZED ({asked}), found AS MATERIALIZED ({found}),
+ rest AS MATERIALIZED (SELECT * FROM asked WHERE request_id NOT IN (SELECT request_id FROM found))
+ SELECT request_id, md5(q) AS q, rank, item_id, title, category, score, 'semantic' AS source FROM found
+ UNION ALL SELECT request_id, md5(q) AS q, rank, item_id, title, category, score, 'keyword' AS source FROM ({rest})"""
+
+
+@query("search_with_fallback", fallback_sql(_ASKED_ALL))
+def _(spark, d):
+    items, encoder, vectors = _sparse(spark, d)
     asked = B.requests(spark, d).select("request_id", "q").unionByName(
         B.messages(spark, d).withColumnRenamed("message", "q")
     )
-    return serve.search_with_fallback(asked, items, serve.embed_items(items, encoder), encoder)
+    return serve.search_with_fallback(asked, items, vectors, encoder).withColumn("q", F.md5("q"))
 
 
 @query("search_keyword_only", "SELECT request_id, q, rank, item_id, title, category, score, 'keyword' AS source FROM ("
@@ -289,20 +374,28 @@ def _(spark, d):
     return E.fuse_rankings(sem, per, weights, 10)
 
 
-@query("hybrid_recommend")
+_HYBRID_ASKED = f"SELECT request_id, user_id, q, {_PRESET} AS preset FROM ({B.REQUESTS})"
+_HYBRID = f"""WITH asked AS MATERIALIZED ({_HYBRID_ASKED}),
+ sem AS MATERIALIZED (SELECT request_id, item_id, final AS score FROM asked JOIN ({semantic_sql(f"SELECT q FROM ({B.REQUESTS})", 20, True)}) USING (q)),
+ per AS MATERIALIZED (SELECT request_id, item_id, score FROM asked JOIN (
+ {top_k_sql(USER_VECTORS.format(src=B.TRAIN), 20).replace("round(score, 6) AS score FROM (", "score FROM (", 1)}) USING (user_id)
+ WHERE item_id IN (SELECT CAST(p_partkey AS VARCHAR) FROM part)),
+ w AS MATERIALIZED (SELECT request_id, CASE preset WHEN 'A' THEN 0.7 WHEN 'B' THEN 0.5 WHEN 'C' THEN 0.3
+ ELSE CASE WHEN len(cats) = 0 AND len(toks) = 0 THEN 0.3 ELSE 0.7 END END::DOUBLE AS w_sem FROM ({categories_sql(f"SELECT *, {tokens_sql('q')} AS toks FROM asked", 'q')})),
+ fused AS MATERIALIZED ({fuse_sql('SELECT * FROM sem', 'SELECT * FROM per', 'SELECT * FROM w', 10)}),
+ head AS (SELECT item_id, CAST(row_number() OVER (ORDER BY item_id) AS INTEGER) AS rank, 1.0::DOUBLE AS score FROM ({B.ITEMS}) ORDER BY item_id LIMIT 10)
+ SELECT request_id, rank, item_id, title, category, score FROM (
+ SELECT request_id, item_id, rank, score FROM fused
+ UNION ALL SELECT request_id, item_id, rank, score FROM asked, head WHERE request_id NOT IN (SELECT request_id FROM fused))
+ JOIN ({B.ITEMS}) USING (item_id)"""
+
+
+@query("hybrid_recommend", _HYBRID)
 def _(spark, d):
     """Each event's user asks its question; intent and personal lists are fused."""
-    items = B.items(spark, d)
-    encoder = serve.fit_text_encoder(items)
+    items, encoder, vectors = _sparse(spark, d)
     asked = B.requests(spark, d).withColumn("preset", _preset(F.col("user_id")))
-    return serve.hybrid_recommend(
-        asked,
-        items,
-        serve.embed_items(items, encoder),
-        encoder,
-        user_vectors(spark, d),
-        B.vectors(spark, d),
-    )
+    return serve.hybrid_recommend(asked, items, vectors, encoder, user_vectors(spark, d), B.vectors(spark, d))
 
 
 @query(

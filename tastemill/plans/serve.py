@@ -23,6 +23,7 @@ from tastemill.operators.search import (
     rerank,
     without,
 )
+from tastemill.operators.sparse_text import SparseText
 from tastemill.operators.vector_index import VectorIndex
 from tastemill.session import materialize
 
@@ -101,7 +102,7 @@ def semantic_candidates(
     requests: DataFrame,
     catalog: DataFrame,
     item_vectors: DataFrame,
-    encoder: PipelineModel | Encoder,
+    encoder: PipelineModel | Encoder | SparseText,
     candidates: int = CANDIDATES,
     index: VectorIndex | None = None,
 ) -> DataFrame:
@@ -109,14 +110,19 @@ def semantic_candidates(
 
     A text that shares no word with the catalog, or whose nearest item has no positive cosine, gets
     no candidates. ``candidates`` nearest items of a text are re-ranked, found exactly or through an ``index``
-    of the item vectors.
+    of the item vectors. With a ``SparseText`` encoder, ``item_vectors`` are its sparse vectors of the items.
     """
     texts = materialize(requests.select("q").distinct(), "texts")
     texts = texts.withColumn("normalized", normalize_query(F.col("q")))
     texts = materialize(texts.join(query_features(texts), "q"), "texts")
-    coded = encode_queries(texts.select("normalized").distinct(), "normalized", catalog, encoder)
-    known = coded.where(F.exists("vector", lambda x: x != 0))
-    near = index.search(known, candidates) if index else vector_search(known, item_vectors, candidates)
+    asked = texts.select("normalized").distinct()
+    if isinstance(encoder, SparseText):
+        coded = encoder.encode(asked.select(F.col("normalized").alias("id"), F.col("normalized").alias("text")))
+        near = encoder.search(coded.withColumnRenamed("id", "query_id"), item_vectors, candidates)
+    else:
+        coded = encode_queries(asked, "normalized", catalog, encoder)
+        known = coded.where(F.exists("vector", lambda x: x != 0))
+        near = index.search(known, candidates) if index else vector_search(known, item_vectors, candidates)
     near = near.select(F.col("query_id").alias("normalized"), "item_id", F.col("score").alias("semantic"))
     best = F.max("semantic").over(Window.partitionBy("normalized"))  # at most `candidates` rows
     near = near.withColumn("_best", best).where(F.col("_best") > 0).drop("_best")
@@ -128,7 +134,7 @@ def semantic_search(
     requests: DataFrame,
     catalog: DataFrame,
     item_vectors: DataFrame,
-    encoder: PipelineModel | Encoder,
+    encoder: PipelineModel | Encoder | SparseText,
     k: int = 20,
     cap_before_sort: bool = False,
     candidates: int = CANDIDATES,
@@ -146,7 +152,7 @@ def search_with_fallback(
     requests: DataFrame,
     catalog: DataFrame,
     item_vectors: DataFrame | None,
-    encoder: PipelineModel | Encoder | None,
+    encoder: PipelineModel | Encoder | SparseText | None,
     index: VectorIndex | None = None,
     keywords: KeywordIndex | None = None,
 ) -> DataFrame:
@@ -167,7 +173,7 @@ def hybrid_recommend(
     requests: DataFrame,
     catalog: DataFrame,
     text_vectors: DataFrame,
-    encoder: PipelineModel | Encoder,
+    encoder: PipelineModel | Encoder | SparseText,
     user_vectors: DataFrame,
     item_vectors: DataFrame,
     k: int = 10,
