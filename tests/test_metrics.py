@@ -212,3 +212,27 @@ def test_load_summary(make):
     log = make([("s", float(v), v != 3) for v in (5, 1, 3, 2, 4, 6)], "ep string, ms double, ok boolean")
     r = H.load_summary(log, ["ep"], "ms", F.col("ok"), F.lit(2.0)).first()
     assert (r.p50_ms, r.p95_ms, r.median_ms, r.success_rate, r.throughput_rps) == (4.0, 6.0, 3.5, 0.8333, 3.0)
+
+
+def test_sketches_of_parts_stand_for_the_whole(spark):
+    rows = spark.range(40_000).selectExpr("id % 8 AS part", "'x' AS feature", "pow(rand(5), 3) * 100 AS value").localCheckpoint()
+    flat = spark.range(500).selectExpr("id % 8 AS part", "'flat' AS feature", "7.0D AS value")
+    few = spark.range(4000).selectExpr("id % 8 AS part", "'few' AS feature", "CAST(id % 4 AS DOUBLE) AS value")
+    odd = spark.sql("SELECT 0L AS part, 'x' AS feature, CAST('NaN' AS DOUBLE) AS value")
+    values = rows.unionByName(flat).unionByName(few).unionByName(odd)
+    merged = D.merge_sketches(D.sketch_values(values, ["part"]))
+    assert {r["feature"]: r["n"] for r in merged.collect()} == {"x": 40_000, "flat": 500, "few": 4000}
+    edges = {r["feature"]: list(r["edges"]) for r in D.edges_of_sketches(merged, ["x", "flat", "few", "none"], 10).collect()}
+    ranks = [rows.where(F.col("value") <= e).count() / 40_000 for e in edges["x"]]
+    assert all(abs(r - i / 10) <= 4 * D.RANK_ERROR for i, r in enumerate(ranks))
+    assert edges["flat"][0] == 6.0 and edges["flat"][-1] == 8.0 and edges["few"] == [0.0, 1.0, 2.0, 3.0]
+    assert edges["none"][0] == 0.0 and edges["none"][-1] == 1.0
+    table = D.edges_of_sketches(merged, ["few"], 10)
+    shares = {r["bin"]: r["p"] for r in D.shares_of_sketches(merged, table).collect()}
+    assert shares == pytest.approx({1: 0.25, 2: 0.25, 3: 0.5}, abs=1e-3)
+    exact = {r["bin"]: r["p"] for r in D.bin_proportions(few.drop("part"), table).collect()}
+    assert shares == pytest.approx(exact, abs=1e-3)
+    moved = D.sketch_values(rows.withColumn("value", F.col("value") + 20))
+    same = {r["feature"]: r["psi"] for r in D.psi_of_sketches(merged, merged, ["x", "few"]).collect()}
+    assert same == {"x": 0.0, "few": 0.0}
+    assert D.psi_of_sketches(moved, merged, ["x"]).first()["psi"] > 1
