@@ -10,6 +10,7 @@ from tastemill.plans.queries_monitor import psi_sql
 from tastemill.plans.registry import query
 from tastemill.session import materialize, scratch_path
 from tastemill.streaming import events as S
+from tastemill.streaming.user_days import keep_days, read_days
 
 _KNOWN = "event_type IN ('view', 'click', 'like', 'purchase', 'rate')"
 
@@ -111,6 +112,19 @@ def _(spark, d):
     )
 
 
+_DAY_STATE = f"""SELECT user_id, event_id, item_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS seq,
+ count(*) OVER (PARTITION BY user_id) AS n_events FROM ({_EV})"""
+
+
+@query("user_day_state", _DAY_STATE)
+def _(spark, d):
+    """Events kept as list state of each user and day, sent twice; read without a sort of the history."""
+    out, checkpoint = scratch_path(spark, "days"), scratch_path(spark, "days-checkpoint")
+    events = B.event_stream(spark, d)
+    keep_days(events.unionByName(events), out, checkpoint).awaitTermination()
+    return read_days(spark, out).drop("at")
+
+
 @query(
     "capped_user_state",
     f"""SELECT * FROM (SELECT user_id, event_id, item_id, event_type, CAST(epoch_us(ts) AS BIGINT) AS ts_us,
