@@ -115,8 +115,35 @@ def _pairs(pairs: list[tuple[str, str]]) -> Column:
     return F.from_json(F.lit(text), "array<struct<a: string, b: string>>")
 
 
+# First Hangul syllable and its parts: 19 leading consonants, 21 vowels, 27 final consonants or none.
+_SYLLABLE, _LEAD, _VOWEL, _TAIL = 0xAC00, 0x1100, 0x1161, 0x11A7
+
+
+def _jamo(point: Column) -> Column:
+    """The character U+1100 to U+11FF of a code point, by its three UTF-8 bytes."""
+    code = F.lit(0xE18080) + F.shiftleft(F.shiftright(point, 6).bitwiseAND(63), 8) + point.bitwiseAND(63)
+    return F.decode(F.unhex(F.hex(code)), "UTF-8")
+
+
+def split_hangul(c: Column) -> Column:
+    """Hangul syllables taken apart into their letters, as Unicode decomposition does."""
+
+    def parts(ch: Column) -> Column:
+        at = F.ascii(ch) - _SYLLABLE
+        tail = at % 28
+        letters = F.concat(
+            _jamo(F.lit(_LEAD) + F.floor(at / 588).cast("int")),
+            _jamo(F.lit(_VOWEL) + F.floor((at % 588) / 28).cast("int")),
+            F.when(tail > 0, _jamo(F.lit(_TAIL) + tail)).otherwise(""),
+        )
+        return F.when(ch.between("\uac00", "\ud7a3"), letters).otherwise(ch)
+
+    return F.when(F.rlike(c, F.lit("[\uac00-\ud7a3]")), F.array_join(F.transform(F.split(c, ""), parts), "")).otherwise(c)
+
+
 def strip_accents(c: Column) -> Column:
-    """Case-folded text without combining marks; d with stroke becomes d."""
+    """Case-folded text without combining marks; d with stroke becomes d, Hangul syllables become letters."""
+    c = split_hangul(c)
     source, target, several = _fold_tables()
     special = "".join(a for a, _ in several)
     # The long replacement list only runs on the rare rows that hold such a character.

@@ -15,6 +15,7 @@ FLOOR = 1e-6
 ALERT = 0.1
 #: Size parameter of quantile sketches, and the rank error it stands for in 99 of 100 cases.
 KLL_K = 1600
+_DELTAS = "array<struct<category:string,delta:double>>"
 RANK_ERROR = 0.0025
 
 
@@ -249,7 +250,10 @@ def category_deltas(reference: DataFrame, current: DataFrame, column: str, top:
 
 def categorical_shift(reference: DataFrame, current: DataFrame, column: str, top: int = 20) -> DataFrame:
     """Smoothed divergence of the category shares, one row."""
-    d = category_deltas(reference, current, column, top)
+    return shift_of_deltas(category_deltas(reference, current, column, top))
+
+
+def shift_of_deltas(d: DataFrame) -> DataFrame:
     r, c = F.col("ref") + FLOOR, F.col("cur") + FLOOR
     sums = d.agg(F.sum(r).alias("sr"), F.sum(c).alias("sc"), F.collect_list(F.struct(r.alias("r"), c.alias("c"))).alias("l"))
 
@@ -273,7 +277,7 @@ def detect_drift(
 ) -> DataFrame:
     """One row per feature: numeric ones with an alert above the threshold, categorical scores.
 
-    Categories beyond the ``top`` of either side don't count. Without a feature on both sides the
+    ``deltas`` are the share changes of a categorical feature's categories, by category. Categories beyond the ``top`` of either side don't count. Without a feature on both sides the
     report is empty. ``approximate`` takes bin edges from a quantile sketch.
     """
     parts = []
@@ -292,20 +296,24 @@ def detect_drift(
                 F.lit("numeric").alias("kind"),
                 F.col("psi").alias("score"),
                 (F.col("psi") > ALERT).alias("alert"),
+                F.lit(None).cast(_DELTAS).alias("deltas"),
             )
         )
     for c in categorical:
         if c in reference.columns and c in current.columns:
+            shares = materialize(category_deltas(reference, current, c, top), "deltas")  # at most 2 * top rows
+            deltas = shares.agg(F.array_sort(F.collect_list(F.struct("category", "delta"))).alias("d"))
             parts.append(
-                categorical_shift(reference, current, c, top).select(
+                shift_of_deltas(shares).select(
                     F.lit(c).alias("feature"),
                     F.lit("categorical").alias("kind"),
                     "score",
                     F.lit(None).cast("boolean").alias("alert"),
+                    deltas.scalar().cast(_DELTAS).alias("deltas"),
                 )
             )
     if not parts:
-        report = "feature string, kind string, score double, alert boolean"
+        report = f"feature string, kind string, score double, alert boolean, deltas {_DELTAS}"
         return reference.sparkSession.createDataFrame([], report)
     out = parts[0]
     for p in parts[1:]:

@@ -129,6 +129,12 @@ def explanation(item: Column, attributes: Column) -> Column:
     ).otherwise(F.concat(F.lit("Recommended "), item, F.lit(".")))
 
 
+def explanations(items: DataFrame, attributes: Column) -> DataFrame:
+    """``(item_id, text, item_attributes)``: the reason with the attributes it rests on, none as an empty list."""
+    held = F.coalesce(attributes, F.array().cast("array<string>"))
+    return items.select("item_id", explanation(F.col("item_id"), held).alias("text"), held.alias("item_attributes"))
+
+
 def distinct_requests(messages: DataFrame, message: str = "message") -> DataFrame:
     """Each distinct message once, under its key."""
     return (

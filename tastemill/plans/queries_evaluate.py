@@ -24,7 +24,7 @@ from tastemill.plans.queries_models import (
 from tastemill.plans.registry import query
 from tastemill.schemas import DEFAULTS
 from tastemill.session import materialize, scratch_path
-from tastemill.sources.tables import ablation_table, read_experiments
+from tastemill.sources.tables import ablation_table, read_experiments, record_experiment
 
 WEIGHTS = G.normalized_weights({"vectors": 0.6, "popular": 0.4})
 
@@ -249,6 +249,21 @@ _RUNS = """SELECT event_type AS model, 'v' || (event_id % 7) AS version, 'events
  event_id % 11 > 0 AS measured FROM events"""
 
 
+@query(
+    "record_experiment",
+    """SELECT event_type AS model, 'v1' AS version, 'events' AS dataset, round(avg(value), 6) AS mean_value, count(*)::DOUBLE AS n
+ FROM events GROUP BY event_type""",
+)
+def _(spark, d):
+    """One run per event type appended to the log, with metrics of its events."""
+    path = scratch_path(spark, "experiments")
+    found = B.table(spark, d, "events").groupBy("event_type").agg(F.avg("value").alias("mean"), F.count("*").alias("n"))
+    for r in found.collect():  # one row per event type
+        record_experiment(spark, path, r["event_type"], "v1", "events", {"mean": r["mean"], "n": r["n"]})
+    runs = read_experiments(spark, path)
+    return runs.select("model", "version", "dataset", F.round(F.col("metrics")["mean"], 6).alias("mean_value"), F.col("metrics")["n"].alias("n"))
+
+
 @query(
     "ablation_table",
     f"""SELECT model, version, dataset, recall_20, ndcg_20, 0.0::DOUBLE AS hit_20, 0.0::DOUBLE AS coverage, 0.0::DOUBLE AS diversity FROM (

@@ -178,15 +178,18 @@ def _(spark, d):
 @query(
     "detect_drift",
     " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, 'numeric' AS kind, round(psi, 6) AS score, CASE WHEN psi > 0.1 THEN 'yes' ELSE 'no' END AS alert FROM ({psi_sql(c, _A, _B)})"
+        f"SELECT '{c}' AS feature, 'numeric' AS kind, round(psi, 6) AS score, CASE WHEN psi > 0.1 THEN 'yes' ELSE 'no' END AS alert, '' AS deltas FROM ({psi_sql(c, _A, _B)})"
         for c in NUMERIC
     )
-    + f" UNION ALL SELECT 'l_returnflag', 'categorical', round(score, 6), '' FROM ({shift_sql('l_returnflag')})",
+    + f""" UNION ALL SELECT 'l_returnflag', 'categorical', round(score, 6), '', deltas FROM ({shift_sql('l_returnflag')}),
+ (SELECT string_agg(category || ' ' || printf('%.4f', round(cur - ref, 4)), ',' ORDER BY category) AS deltas FROM ({_both_sql('l_returnflag')}))""",
 )
 def _(spark, d):
     before, after = _sides(spark, d)
     out = D.detect_drift(before, after, NUMERIC, ["l_returnflag"])
     alert = F.when(F.col("alert"), "yes").when(~F.col("alert"), "no").otherwise("")
+    deltas = F.transform("deltas", lambda x: F.format_string("%s %.4f", x["category"], x["delta"]))
+    out = out.withColumn("deltas", F.coalesce(F.array_join(deltas, ","), F.lit("")))
     return out.withColumn("score", F.round("score", 6)).withColumn("alert", alert)
 
 

@@ -547,13 +547,15 @@ def _(spark, d):
 @query(
     "explanations",
     f"""SELECT item_id, CASE WHEN text_description IS NULL THEN 'Recommended ' || item_id || '.'
- ELSE 'Recommended for ' || item_id || '.' END AS text FROM ({B.ITEMS})""",
+ ELSE 'Recommended for ' || item_id || '.' END AS text,
+ CASE WHEN text_description IS NULL THEN '' ELSE concat_ws(',', category, tags) END AS item_attributes FROM ({B.ITEMS})""",
 )
 def _(spark, d):
     attributes = F.when(F.col("text_description").isNotNull(), F.array("category", "tags")).otherwise(
         F.array().cast("array<string>")
     )
-    return B.items(spark, d).select("item_id", J.explanation(F.col("item_id"), attributes).alias("text"))
+    out = J.explanations(B.items(spark, d), attributes)
+    return out.withColumn("item_attributes", F.array_join("item_attributes", ","))
 
 
 @query(

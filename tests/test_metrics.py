@@ -153,8 +153,9 @@ def test_detect_drift(make, normal):
     b = make([(float(v), "red") for v in shifted], "score double, color string")
     got = {r.feature: r for r in D.detect_drift(a, b, ["score", "nope"], ["color"]).collect()}
     assert got["score"].alert and got["color"].score > 0 and len(got) == 2
+    assert [(d.category, d.delta) for d in got["color"].deltas] == [("blue", -0.5), ("red", 0.5)] and got["score"].deltas is None
     empty = D.detect_drift(a, b, ["nope"])
-    assert empty.count() == 0 and empty.columns == ["feature", "kind", "score", "alert"]
+    assert empty.count() == 0 and empty.columns == ["feature", "kind", "score", "alert", "deltas"]
 
 
 def test_bins_come_from_the_edges(make):

@@ -51,6 +51,17 @@ def test_fold_matches_unicode(make):
         assert r.k == folded(r.q)
 
 
+def test_hangul_is_taken_apart(make):
+    import unicodedata
+
+    texts = ["\uac00", "\ud7a3", "\uac01\ud55c\uae00 caf\u00e9", "no hangul", "", "\ud55c\uad6d\uc5b4 \u1100 \uae30"]
+    df = make([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(X.split_hangul(F.col("t"))).collect()]
+    decompose = lambda t: "".join(unicodedata.normalize("NFD", ch) if "\uac00" <= ch <= "\ud7a3" else ch for ch in t)
+    assert got == [decompose(t) for t in texts]
+    assert df.select(X.strip_accents(F.col("t")).alias("f")).collect()[2]["f"] == decompose("\uac01\ud55c\uae00") + " cafe"
+
+
 def test_tokens(make):
     assert one(make, X.content_tokens, "The Movie about STAR-wars in 2049 và tôi") == ["star", "wars", "2049"]
 
