@@ -8,7 +8,91 @@ from tastemill.llm import conversations, divergence, lines
 from tastemill.llm.registry import query, table
 
 
-@query("op11_conversation_repair")
+_BLANKS = r"\x20\x09-\x0D"
+
+
+def _crc32(x: str) -> str:
+    """crc32 of an ASCII text, bit by bit."""
+    step = "lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END"
+    one = f"list_reduce(list_prepend(xor(acc, x), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), {step})"
+    codes = f"list_transform(string_split({x}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda acc, x: {one}), 4294967295::BIGINT)"
+
+
+def _state(name: str, cost: int, edits: str, when: str | None = None, late: bool = True) -> str:
+    """The state ``name`` after some edits of row x, or one that nothing is worse than."""
+    dear = " + CASE x.f WHEN 't' THEN 3 ELSE 0 END" if late else ""
+    found = f"{{'c': q.{name}.c + {cost}{dear}, 'a': q.{name}.a || '{edits}'}}"
+    usable = "x.f NOT IN ('b', 'd')" if late else "true"
+    return f"CASE WHEN {usable} AND {when or 'true'} THEN {found} ELSE {{'c': 1000000000, 'a': ''}} END"
+
+
+def _least(*found: str) -> str:
+    return f"list_min([{', '.join(found)}])"
+
+
+#: After a row: nothing yet, after s, after u, after a. Inserted roles lead from each of them to u or to a.
+_FOLD = (
+    "{'i': '', 'f': '', "
+    f"'n': {_state('n', 4, 'D', late=False)}, "
+    f"'s': {_least(_state('s', 4, 'D', late=False), _state('n', 0, 'K', 'x.i = chr(115)'))}, "
+    "'u': " + _least(
+        _state("u", 4, "D", late=False),
+        *(_state(p, c, e, w) for p in ("n", "s", "a") for c, e, w in ((0, "K", "x.i = chr(117)"), (3, "R", None))),
+        _state("u", 3, "IK", "x.i = chr(117)"), _state("u", 6, "IR"),
+    )
+    + ", 'a': " + _least(
+        _state("a", 4, "D", late=False),
+        _state("u", 0, "K", "x.i = chr(97)"), _state("u", 3, "R"),
+        *(_state(p, c, e, w) for p in ("n", "s", "a") for c, e, w in ((3, "IK", "x.i = chr(97)"), (6, "IR", None))),
+    )
+    + "}"
+)
+_FAR = "{'c': 1000000000, 'a': ''}"
+
+_REPAIR_SQL = f"""
+WITH k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind FROM conversations),
+d AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE kind WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM k WHERE kind <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos FROM d),
+r AS MATERIALIZED (
+  SELECT *, substr(role, 1, 1) AS i, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS p,
+    CASE WHEN NOT regexp_matches(text, '[^{_BLANKS}]') THEN 'b'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'd'
+      WHEN regexp_matches(text, '[.!?][{_BLANKS}]*$') THEN '' ELSE 't' END AS f FROM o),
+g AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE f = 'b') AS blank,
+    count(*) FILTER (WHERE f = 'd') AS duplicate, count(*) FILTER (WHERE f = 't') AS truncated,
+    count(*) FILTER (WHERE p || i NOT IN ('su', 'ua', 'au')) AS illegal,
+    list({{'i': i, 'f': f, 'n': {_FAR}, 's': {_FAR}, 'u': {_FAR}, 'a': {_FAR}}} ORDER BY pos) AS rows FROM r GROUP BY conv_id),
+e AS (
+  SELECT *, list_reduce(list_prepend({{'i': '', 'f': '', 'n': {{'c': 0, 'a': ''}}, 's': {_FAR}, 'u': {_FAR}, 'a': {_FAR}}}, rows),
+    lambda q, x: {_FOLD}) AS z FROM g),
+b AS MATERIALIZED (
+  SELECT * EXCLUDE (rows, z), list_min([z.n, {{'c': z.s.c + 6, 'a': z.s.a || 'II'}}, {{'c': z.u.c + 3, 'a': z.u.a || 'I'}}, z.a]) AS best FROM e),
+t AS (
+  SELECT conv_id, unnest(string_split(best.a, '')) AS edit, generate_subscripts(string_split(best.a, ''), 1) AS step FROM b WHERE best.a <> ''),
+w AS (SELECT *, count(*) FILTER (WHERE edit <> 'I') OVER (PARTITION BY conv_id ORDER BY step) AS pos FROM t),
+m AS (
+  SELECT w.conv_id, edit, role, text, i, row_number() OVER (PARTITION BY w.conv_id ORDER BY step) AS m
+  FROM w LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.pos = w.pos AND edit <> 'I' WHERE edit <> 'D'),
+h AS (SELECT *, max(CASE WHEN m = 1 AND edit = 'K' AND i = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS lead_s FROM m),
+x AS (
+  SELECT conv_id, sha256(string_agg(CASE edit WHEN 'K' THEN role ELSE CASE (m - lead_s) % 2 WHEN 1 THEN 'user' ELSE 'assistant' END END
+    || ':' || CASE edit WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY m)) AS sha FROM h GROUP BY conv_id)
+SELECT v.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost,
+  coalesce(best.a, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) v LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM v.conv_id
+LEFT JOIN x ON x.conv_id IS NOT DISTINCT FROM v.conv_id
+"""
+
+
+@query("op11_conversation_repair", _REPAIR_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_conversations(table(spark, sf_dir, "conversations"))
 
