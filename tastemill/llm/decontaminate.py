@@ -138,9 +138,9 @@ def leaks(
     for r in items.where(F.col("n_item") < n).select("n_item").distinct().collect():
         of_docs = of_docs.unionAll(shingle_rows(split.where(F.size("words") >= r["n_item"]), "words", r["n_item"], ["row"]))
     places = store(of_docs.join(known, "h"), "places")
-    aligned = places.join(of_items.withColumnRenamed("at", "offset"), "h").select(
-        "row", (F.col("at") - F.col("offset")).alias("start"), "n_item"
-    ).distinct()
+    # Items that share a shingle at the same place ask for the same windows: each place meets an offset once.
+    offsets = of_items.select("h", F.col("at").alias("offset"), "n_item").distinct()
+    aligned = places.join(offsets, "h").select("row", (F.col("at") - F.col("offset")).alias("start"), "n_item").distinct()
     aligned = store(aligned, "windows")
     rows = _checked(aligned.select("row").distinct())
     texts = docs.join(rows, "row", "left_semi").dropDuplicates(["row"]).select("row", words_of("text").alias("words"))
