@@ -3,7 +3,8 @@
 A batch is a set of signed rows (documents put in, taken out, or counted anew: the old count with
 sign -1 and the new one with +1). Committing a batch adds its sums to the rollup under the
 batch's name; a batch that is already there is left alone, so a replay after a failure changes
-nothing. Totals are the sum over all committed batches and never need the documents again.
+nothing. Totals are the sum over all committed batches and never need the documents again; batches can be merged, so that
+totals don't read every batch there ever was.
 
 Defined cases: null source or language is a key of its own; null and empty texts count as a
 document of no tokens; repeated rows count each; a key whose documents all went away keeps no row;
@@ -12,6 +13,7 @@ an empty batch commits and changes nothing; extra columns are left out.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterator, Sequence
 
@@ -29,49 +31,99 @@ _DELTA = "source string, lang string, tokenizer string, docs long, tokens long"
 
 
 class Rollup:
-    """Additive totals in a folder: one subfolder of delta sums per committed batch."""
+    """Additive totals in a folder.
+
+    ``sums/<id>`` holds the delta sums of a batch or of merged batches, ``batches/<name>`` is the marker of a committed batch
+    and names its sums, ``heads/<n>`` says which sums stand for which batches. Markers and heads are created only if absent.
+    """
 
     def __init__(self, spark: SparkSession, root: str | None = None) -> None:
         self.spark = spark
         self.root = root or scratch_path(spark, "rollup")
         jvm = spark.sparkContext._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
+        self._io = jvm.org.apache.commons.io.IOUtils
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self._fs.mkdirs(self._path(f"{self.root}/batches"))
+        for folder in ("sums", "batches", "heads"):
+            self._fs.mkdirs(self._path(f"{self.root}/{folder}"))
+
+    def _names(self, folder: str) -> list[str]:
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.root}/{folder}")))
+
+    def _create(self, name: str, text: str) -> bool:
+        path = self._path(f"{self.root}/{name}")
+        if self._fs.exists(path):
+            return False
+        try:
+            out = self._fs.create(path, False)
+        except Exception as e:  # another writer was first
+            if self._fs.exists(path):
+                return False
+            raise e
+        out.write(bytearray(text.encode()))
+        out.close()
+        return True
+
+    def _text(self, name: str) -> str:
+        stream = self._fs.open(self._path(f"{self.root}/{name}"))
+        try:
+            return bytes(self._io.toByteArray(stream)).decode()
+        finally:
+            stream.close()
 
     def committed(self) -> list[str]:
-        found = self._fs.listStatus(self._path(f"{self.root}/batches"))
-        return sorted(s.getPath().getName() for s in found)
+        return self._names("batches")
+
+    def _head(self) -> tuple[int, dict]:
+        numbers = [int(n) for n in self._names("heads")]
+        return (max(numbers), json.loads(self._text(f"heads/{max(numbers)}"))) if numbers else (-1, {"sums": None, "merged": []})
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Add signed rows (source, lang, tokenizer, tokens, sign); False if the batch is known.
 
-        Sums are written aside and moved into place by one rename: a batch is there whole or not.
+        Sums are written aside and count from the moment their marker is there: a batch is there whole or not, and of two
+        writers of one name one alone succeeds.
         """
-        target = self._path(f"{self.root}/batches/{batch}")
-        if self._fs.exists(target):
+        if batch in self.committed():
             return False
-        aside = f"{self.root}/aside/{uuid.uuid4().hex}"
+        folder = uuid.uuid4().hex
         (
             changes.groupBy(*KEYS)
             .agg(F.sum("sign").cast("long").alias("docs"), F.sum(F.col("sign") * F.col("tokens")).alias("tokens"))
             .where("docs != 0 OR tokens != 0")
-            .write.parquet(aside)
+            .write.parquet(f"{self.root}/sums/{folder}")
         )
-        # A rename onto an existing folder would move inside it: the last check is the winner's.
-        if self._fs.exists(target) or not self._fs.rename(self._path(aside), target):
-            self._fs.delete(self._path(aside), True)
-            return False
-        return True
-
-    def totals(self) -> DataFrame:
-        names = self.committed()
-        if not names:
+        if self._create(f"batches/{batch}", folder):
+            return True
+        self._fs.delete(self._path(f"{self.root}/sums/{folder}"), True)
+        return False
+
+    def _rows(self, head: dict, names: list[str]) -> DataFrame:
+        folders = ([head["sums"]] if head["sums"] else []) + [self._text(f"batches/{n}") for n in names]
+        if not folders:
             return self.spark.createDataFrame([], _DELTA)
-        rows = self.spark.read.schema(_DELTA).parquet(*(f"{self.root}/batches/{n}" for n in names))
+        rows = self.spark.read.schema(_DELTA).parquet(*(f"{self.root}/sums/{f}" for f in folders))
         sums = rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         return sums.where("docs != 0 OR tokens != 0")
 
+    def totals(self) -> DataFrame:
+        """The merged sums and those of the batches after them."""
+        _, head = self._head()
+        return self._rows(head, [n for n in self.committed() if n not in set(head["merged"])])
+
+    def merge(self) -> int:
+        """Add the batches that are not merged into one table of sums; their number."""
+        number, head = self._head()
+        names = [n for n in self.committed() if n not in set(head["merged"])]
+        if names:
+            folder = uuid.uuid4().hex
+            self._rows(head, names).write.parquet(f"{self.root}/sums/{folder}")
+            after = {"sums": folder, "merged": sorted([*head["merged"], *names])}
+            if not self._create(f"heads/{number + 1}", json.dumps(after)):
+                self._fs.delete(self._path(f"{self.root}/sums/{folder}"), True)
+                raise RuntimeError("another merge was first; run merge again")
+        return len(names)
+
 
 def count_tokens(docs: DataFrame, tokenizers: dict[str, str | None]) -> DataFrame:
     """doc_id, source, lang, text_hash, n_bytes and one column per tokenizer version.

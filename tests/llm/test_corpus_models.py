@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -31,6 +32,17 @@ def test_pieces_equal_whole_texts(corpus):
     assert got == direct(texts)
 
 
+def test_every_white_space_character():
+    rng = random.Random(3)
+    white = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    letters = ["a", "b", "é", "10", ".", " ", " ", " "]
+    texts = ["".join(rng.choice([*letters, rng.choice(white)]) for _ in range(rng.randrange(1, 14))) for _ in range(30_000)]
+    texts += ["price \xa0 \xa0 10", "a \xa0 \xa0", "\xa0 \xa0", " \xa0a"]
+    encoder = PieceEncoder(BPE)
+    got = [np.frombuffer(x, encoder.kind).tolist() for x in encoder.encode(texts)]
+    assert got == direct(texts)
+
+
 def test_token_files(docs, spark):
     rows = [*make_corpus(2), (3, "again"), (3, "again"), (None, "no id"), *[(900 + k, t) for k, t in enumerate(ODD)]]
     tokens = tokenbin.write_tokens(docs(rows), BPE)
@@ -91,6 +103,16 @@ def test_rollup(docs, spark):
     assert total == len(distinct)
     assert rollup.commit("empty", counts.signed(counted.limit(0), list(versions), 1))
     assert sum(r["docs"] for r in rollup.totals().collect() if r["tokenizer"] == "words/1") == total
+    # Merged batches give the same totals, stay known, and later ones add to them.
+    before = sorted(map(tuple, rollup.totals().collect()), key=repr)
+    assert rollup.merge() == 4 and rollup.merge() == 0
+    assert sorted(map(tuple, rollup.totals().collect()), key=repr) == before
+    assert not rollup.commit("b", revise)
+    assert rollup.commit("d", counts.signed(counted.limit(1), list(versions), -1))
+    again = counts.Rollup(spark, rollup.root)
+    assert sum(r["docs"] for r in again.totals().collect() if r["tokenizer"] == "words/1") == total - 1
+    # Of two writers of one name the second finds the marker and changes nothing.
+    assert not again._create("batches/d", "other")
 
 
 def labelled(spark, rows):
@@ -134,6 +156,26 @@ def test_languages(spark):
     assert langid.label_languages(df.limit(0), model).count() == 0
 
 
+def test_languages_of_other_scripts(spark):
+    texts = {
+        "en": "the house and the river are old", "ka": "სახლი და მდინარე ძველია დილით", "hy": "տունը և գետը հին են առավոտյան",
+        "am": "ቤቱ እና ወንዙ አሮጌ ናቸው", "cop": "ⲡⲏⲓ ⲙⲛ ⲡⲓⲉⲣⲟ ⲥⲉⲟ ⲛⲁⲥ",
+    }
+    rows = [(5 * k + j, " ".join([t] * (1 + k % 3)), lang) for k in range(20) for j, (lang, t) in enumerate(texts.items())]
+    rows += [(500, "“ ” – … 12 🙂", None), (501, "სახლი", None), (502, "the “house” – old 🙂", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit_language_model(df, F.col("doc_id") % 4 != 2)
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.label_languages(df, model).collect()}
+    assert all(got[d] == lang for d, _, lang in rows if d < 500)
+    assert (got[500], got[501], got[502]) == ("und", "ka", "en")
+
+
+def test_viterbi_holds_more_than_255_labels():
+    rng = np.random.default_rng(5)
+    scores = rng.normal(size=(40, 400)).astype(np.float32)
+    assert langid.viterbi(scores, np.array([0, 40]), 0.0).tolist() == scores.argmax(1).tolist()
+
+
 def test_viterbi_finds_the_best_path():
     rng = np.random.default_rng(3)
     scores = rng.normal(size=(30, 3)).astype(np.float32) * 3
