@@ -2,7 +2,9 @@
 
 The pre-tokenizer of such a vocabulary never joins what stands on the two sides of a space that
 follows a non-space, and its pattern does not look back. So a text may be cut at those places and
-each piece encoded alone; equal pieces are encoded once per worker while the cache holds them.
+each piece encoded alone; equal pieces are encoded once per worker while the cache holds them. A cut between
+another white-space character and a space is as good where no token of the vocabulary holds the two side by side; texts
+with a character for which one does are not cut there.
 A piece that is a space and letters is one pre-token and goes to the BPE model directly.
 """
 
@@ -59,6 +61,11 @@ class PieceEncoder:
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.space = self.letters[32]
+        joined = {t[k - 1] for t in self.tokenizer.get_vocab(False) for k in range(1, len(t)) if t[k] == self.space}
+        white = (chr(c) for c in range(33, 0x3001) if chr(c).isspace())
+        white = [*map(chr, range(9, 14)), *map(chr, range(28, 32)), *white]
+        #: White space that some token joins with a space behind it.
+        self.mixed = [w for w in white if self.letters[w.encode()[-1]] in joined]
         self.pieces = _Pieces(self)
 
     @classmethod
@@ -87,7 +94,7 @@ class PieceEncoder:
         return signs[sign]
 
     def _one(self, text: str) -> bytes:
-        if "  " not in text:
+        if "  " not in text and not any(w in text for w in self.mixed):
             head, *rest = text.split(" ")
             return (self.direct(head) if head else b"") + b"".join(map(self.pieces.__getitem__, rest))
         return b"".join(
