@@ -208,7 +208,13 @@ def exact_links(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFra
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two that bring their largest component near 1: squares neither overflow nor vanish."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
+
+
 def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    x, y = _scaled(x), _scaled(y)
     return (x @ y.T) / np.outer(np.sqrt((x * x).sum(1)), np.sqrt((y * y).sum(1)))
 
 

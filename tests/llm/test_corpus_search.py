@@ -143,6 +143,16 @@ def test_vectors(spark):
     assert nndescent.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_vectors_of_very_large_and_very_small_numbers(spark):
+    base = [0.3, -1.0, 0.7, 0.2]
+    rows = [(k + 1, [x * s for x in base]) for k, s in enumerate((1e160, 1.5e160, 1e-170, 2e-170, 1.0, 2.0))]
+    rows += [(9, [1e308, 1e308, -1e308, 1e308]), (10, [5e-324, 0.0, 0.0, 0.0]), (11, [1.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in nndescent.near_duplicates(df).collect()}
+    assert all(got[k] == (5, 1) for k in range(1, 7))
+    assert got[9] == (0, 9) and got[10] == (1, 10) and got[11] == (1, 10)
+
+
 def test_vectors_link_across_saturated_groups(spark):
     """Groups that fill each other's lists still link with other groups and with single vectors."""
     rng = np.random.default_rng(9)
