@@ -1,14 +1,15 @@
 """N-gram Jaccard join with adaptive multi-match prefixes.
 
-A document is its set of word n-gram names. Sets are ordered by one global order: names that are
-not frequent by their hash, then the frequent ones by count. Two sets with Jaccard at least t
+A document is its set of word n-gram names. Sets are ordered by one global order: names that are not crowded by
+their hash, then the crowded ones by count. Counts are estimates of a sketch over all names of all documents; any order
+keeps the join exact. Two sets with Jaccard at least t
 share l names among the first |x| - ceil(t|x|) + l of each, for any l. Each document picks the l of
 least estimated cost: a longer prefix means more postings, but a candidate must then share l of
 them. A pair is a candidate when it shares at least the smaller l of the two.
 
 Equal sets are one class and meet by signature, without pairs. Links are found in two passes.
-Stars, in a few rounds: each class against the member with the fewest rare names of a group it is
-in and not yet linked with. Then, over components of the verified stars, the pairs of different
+Stars: each class against the members with the fewest rare names of the groups it is in, as far as it shares most names
+with them. Then, over components of the verified stars, the pairs of different
 components only, with size and position filters. So large groups of near copies cost a pass, not their square. Groups of
 frequent names are cut into blocks by salt; each pair of blocks is a group of its own.
 
@@ -20,6 +21,8 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,13 +34,18 @@ from pyspark.sql import functions as F
 from tastemill.llm import graph
 from tastemill.llm.common import SpanHash, as_bytes, chunks, mix, partitions, split_words, store, word_names
 from tastemill.llm.repeats import SPREAD, bucketed, unpack, with_row
+from tastemill.operators.ordering import top_k_per_group
 
-#: Names that the list of frequent names holds at most; others occur in at most 1/FREQUENT of all rows of names.
-FREQUENT = 1 << 17
+#: Cells of the sketch of name counts, whatever the number of names.
+CELLS = 1 << 22
+#: Steps of a count's code for each doubling.
+STEPS = 8
 #: Members of one block of a name's group.
 BLOCK = 20_000
 #: Rounds of stars before pairs; a second one found almost nothing in trials.
 STARS = 1
+#: Hubs that a class is compared with in a round: those it shares most names with.
+HUBS = 4
 _LENGTHS = np.array([1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64])
 _POSTING = ("<u8", "<i8", "<i4", "<i4", "<i4")
 
@@ -86,33 +94,35 @@ def signature(names: np.ndarray) -> int:
     return int(total.view(np.int64)[0]) or 1
 
 
-class _Frequent:
-    """Names seen more than total / size times, in bounded memory (Misra-Gries by chunks)."""
+class _Counts:
+    """How many documents have a name of each cell; a name's cell is given by its leading bits."""
 
-    def __init__(self, size: int) -> None:
-        self.size, self.names, self.counts, self.total = size, np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+    def __init__(self, cells: int) -> None:
+        self.cells, self.total = np.zeros(cells, np.uint32), 0
 
     def add(self, names: np.ndarray) -> None:
         self.total += len(names)
-        fresh, n = np.unique(names, return_counts=True)
-        joined = np.concatenate([self.names, fresh])
-        counts = np.concatenate([self.counts, n])
-        order = np.argsort(joined, kind="stable")
-        joined, counts = joined[order], counts[order]
-        at = np.flatnonzero(np.append(True, joined[1:] != joined[:-1])[: len(joined)])
-        joined, counts = joined[at], np.add.reduceat(counts, at) if len(at) else counts
-        if len(joined) > self.size:
-            counts = counts - np.partition(counts, len(counts) - self.size - 1)[len(counts) - self.size - 1]
-            joined, counts = joined[counts > 0], counts[counts > 0]
-        self.names, self.counts = joined, counts
-
-
-def describe(docs: DataFrame, rule: Rule, frequent: int = FREQUENT) -> DataFrame:
-    """One row per document (kind 0: doc_id, n_names, sig, row) and per task the frequent names (kind 1)."""
+        at, n = np.unique(cell_of(names, len(self.cells)), return_counts=True)
+        self.cells[at] += n.astype(np.uint32)
+
+    def blobs(self, parts: int) -> Iterator[tuple[int, bytes]]:
+        """Ranges of cells, one byte each, compressed; 255 stands for a number that follows at the end."""
+        for k, part in enumerate(np.array_split(self.cells, parts)):
+            large = part[part >= 255]
+            yield k, zlib.compress(np.minimum(part, 255).astype(np.uint8).tobytes() + large.astype("<u4").tobytes(), 1)
+
+
+def cell_of(names: np.ndarray, cells: int) -> np.ndarray:
+    return (names >> np.uint64(64 - (cells.bit_length() - 1))).astype(np.int64)
+
+
+def describe(docs: DataFrame, rule: Rule, cells: int = CELLS) -> DataFrame:
+    """One row per document (kind 0: doc_id, n_names, sig, row) and per task its counts (kind 1: range of cells, blob)."""
+    parts = partitions(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = _Frequent(frequent)
-        fields = ["kind", "doc_id", "n_names", "sig", "row"]
+        seen = _Counts(cells)
+        fields = ["kind", "doc_id", "n_names", "sig", "row", "blob"]
         for table in chunks(batches):
             sets = name_sets(table["text"], rule.n)
             size = np.array([len(s) for s in sets], np.int64)
@@ -121,48 +131,63 @@ def describe(docs: DataFrame, rule: Rule, frequent: int = FREQUENT) -> DataFrame
                 [
                     pa.array(np.zeros(len(sets), np.int32)), table["doc_id"].combine_chunks(), pa.array(size),
                     pa.array([signature(s) for s in sets], pa.int64()), table["_row"].combine_chunks(),
+                    pa.nulls(len(sets), pa.binary()),
                 ],
                 fields,
             )
-        n = len(seen.names)
-        # A task's total goes along in a row of its own, under kind 2.
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.append(np.ones(n, np.int32), np.int32(2))), pa.nulls(n + 1, pa.int64()),
-                pa.array(np.append(seen.counts, seen.total)), pa.array(np.append(seen.names.view(np.int64), 0)),
-                pa.nulls(n + 1, pa.int64()),
-            ],
-            fields,
-        )
-
-    return store(docs.mapInArrow(run, "kind int, doc_id long, n_names long, sig long, row long"), "name-sets")
-
-
-def frequent_names(described: DataFrame, frequent: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """Names and counts of at most ``frequent`` names, by name: a list of bounded size."""
-    total = described.where("kind = 2").agg(F.sum("n_names")).first()[0] or 0
-    rows = (
-        described.where("kind = 1").groupBy("sig").agg(F.sum("n_names").alias("n"))
-        .where(F.col("n") > max(2, total // frequent)).orderBy(F.desc("n"), "sig").limit(frequent).toArrow()
-    )
-    names = rows["sig"].to_numpy().view(np.uint64)
-    order = np.argsort(names)
-    return names[order], rows["n"].to_numpy()[order]
+        if not seen.total:
+            return
+        for k, blob in seen.blobs(parts):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([1], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([k], pa.int64()),
+                    pa.nulls(1, pa.int64()), pa.array([blob], pa.binary()),
+                ],
+                fields,
+            )
+
+    return store(docs.mapInArrow(run, "kind int, doc_id long, n_names long, sig long, row long, blob binary"), "name-sets")
+
+
+def name_counts(described: DataFrame, cells: int = CELLS) -> np.ndarray:
+    """How crowded each cell is, from the sum of all tasks' counts: one byte per cell, an array of fixed size.
 
+    0 stands for what the names that share a cell by chance explain; c for 2 ** (c / STEPS) documents beyond that.
+    """
+    parts = partitions(described.sparkSession)
+    sizes = [len(x) for x in np.array_split(np.zeros(cells, np.uint8), parts)]
+    chance = (described.where("kind = 0").agg(F.sum("n_names")).first()[0] or 0) / cells
+    least = chance + 4 * math.sqrt(chance) + 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, blob in zip(batch.column("sig").to_pylist(), batch.column("blob")):
+                raw = np.frombuffer(zlib.decompress(blob.as_buffer()), np.uint8)
+                part = raw[: sizes[k]].astype(np.uint32)
+                part[part == 255] = raw[sizes[k] :].view("<u4") if raw.nbytes > sizes[k] else 0
+                sums[k] = sums[k] + part if k in sums else part
+        for k, part in sums.items():
+            code = np.clip(np.round(STEPS * np.log2(np.maximum(part - chance, 1.0))), 1, 255)
+            code = np.where(part > least, code, 0).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([code.tobytes()], pa.binary())], ["sig", "blob"])
+
+    blobs = described.where("kind = 1").select("sig", "blob").repartition(parts, "sig")
+    out = np.zeros(cells, np.uint8)
+    starts = np.cumsum([0, *sizes])
+    for r in blobs.mapInArrow(run, "sig long, blob binary").collect():
+        out[starts[r["sig"]] : starts[r["sig"] + 1]] = np.frombuffer(r["blob"], np.uint8)
+    return out
 
-def prefix(names: np.ndarray, listed: np.ndarray, counts: np.ndarray, rule: Rule) -> tuple[np.ndarray, int]:
+
+def prefix(names: np.ndarray, counts: np.ndarray, rule: Rule) -> tuple[np.ndarray, int]:
     """The document's prefix in the global order, and the number l of names it must share."""
     size = len(names)
     base = size - int(rule.least(np.array(size))) + 1
-    if len(listed):
-        k = np.minimum(np.searchsorted(listed, names), len(listed) - 1)
-        n = np.where(listed[k] == names, counts[k], 0)
-        # Frequent names come last, rarer ones first; the others stand by name.
-        rare, often = names[n == 0], np.flatnonzero(n)
-        ordered = np.concatenate([rare, names[often][np.lexsort((names[often], n[often]))]])
-        cost = np.concatenate([np.full(len(rare), 0.05), np.sort(n[often]).astype(float)])
-    else:
-        ordered, cost = names, np.full(size, 0.05)
+    n = counts[cell_of(names, len(counts))]
+    # Crowded names come last, the fewer the sooner; the others stand by name.
+    order = np.argsort(n, kind="stable")
+    ordered, cost = names[order], np.where(n[order] > 0, np.exp2(n[order] / STEPS), 0.05)
     lengths = _LENGTHS[base + _LENGTHS - 1 <= size]
     if len(lengths) == 0:
         return ordered[:base], 1
@@ -173,16 +198,16 @@ def prefix(names: np.ndarray, listed: np.ndarray, counts: np.ndarray, rule: Rule
     return ordered[: base + int(lengths[best]) - 1], int(lengths[best])
 
 
-def postings(docs: DataFrame, listed: np.ndarray, counts: np.ndarray, rule: Rule) -> DataFrame:
+def postings(docs: DataFrame, counts: np.ndarray, rule: Rule) -> DataFrame:
     """Groups of names that at least two classes have in their prefixes: name, sig, size, at (place in
     the prefix), before (shared names among the places before it), need, many (size of the group) and
     lead (the member with the earliest place)."""
     spark = docs.sparkSession
     n = partitions(spark)
-    shared = spark.sparkContext.broadcast((listed, counts))
+    shared = spark.sparkContext.broadcast(counts)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        listed, counts = shared.value
+        counts = shared.value
         for table in chunks(batches):
             done: set[int] = set()
             names, sigs, sizes, ats, needs = [], [], [], [], []
@@ -191,7 +216,7 @@ def postings(docs: DataFrame, listed: np.ndarray, counts: np.ndarray, rule: Rule
                 if not len(one) or sig in done:
                     continue
                 done.add(sig)
-                head, need = prefix(one, listed, counts, rule)
+                head, need = prefix(one, counts, rule)
                 k = len(head)
                 names.append(head)
                 sigs.append(np.full(k, sig, np.int64))
@@ -237,21 +262,40 @@ def postings(docs: DataFrame, listed: np.ndarray, counts: np.ndarray, rule: Rule
     found = met.mapInArrow(group, "name long, sig long, size int, at int, need int, many long, lead long")
     # At most one row per name of a prefix.
     places = Window.partitionBy("sig").orderBy("at")
-    return store(found.withColumn("before", F.row_number().over(places) - 1), "postings")
+    found = found.withColumn("before", F.row_number().over(places) - 1)
+    return store(found.withColumn("named", F.count("*").over(Window.partitionBy("sig"))), "postings")
+
+
+_PAIRS = "a long, b long, need int, n long, at_a int, at_b int, size_a int, size_b int"
+_PAIR_TYPES = {"a": pa.int64(), "b": pa.int64(), "need": pa.int32(), "n": pa.int64()} | {
+    c: pa.int32() for c in ("at_a", "at_b", "size_a", "size_b")
+}
+#: Pairs that a task counts up before it passes them on.
+HELD_PAIRS = 2_000_000
+
+
+def _counted(g: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, more: tuple[str, ...] = ()) -> dict[str, np.ndarray]:
+    """Pairs of rows as pairs of classes: shared names, the last place of one in each prefix, sizes; also ``more``
+    columns of the last rows."""
+    out = {"a": g["sig"][i], "b": g["sig"][j], "need": np.minimum(g["need"][i], g["need"][j]), "n": np.ones(len(i), np.int64)}
+    for c in ("at", "size", *more):
+        out[f"{c}_a"], out[f"{c}_b"] = g[c][i], g[c][j]
+    return _summed_pairs(out)
 
 
-def _pair_counts(a, b, need) -> pa.RecordBatch:
-    order = np.lexsort((b, a))
-    a, b, need = a[order], b[order], need[order]
+def _summed_pairs(pairs: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """One row per (a, b): the sum of n, the largest value of the others (they grow with the place)."""
+    order = np.lexsort((pairs["b"], pairs["a"]))
+    pairs = {c: v[order] for c, v in pairs.items()}
+    a, b = pairs["a"], pairs["b"]
     new = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)])
-    n = np.diff(np.append(new, len(a)))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(a[new]), pa.array(b[new]), pa.array(need[new].astype(np.int32)), pa.array(n.astype(np.int64))],
-        ["a", "b", "need", "n"],
-    )
+    if not len(new):
+        return pairs
+    return {c: v[new] if c in "ab" else (np.add if c == "n" else np.maximum).reduceat(v, new) for c, v in pairs.items()}
 
 
-_PAIRS = "a long, b long, need int, n long"
+def _pair_batch(pairs: dict[str, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(pairs[c], t) for c, t in _PAIR_TYPES.items()], list(_PAIR_TYPES))
 
 
 def _sorted_groups(rows: DataFrame) -> DataFrame:
@@ -291,11 +335,12 @@ def _salts(block: int):
 
 
 def star_candidates(groups: DataFrame, labels: DataFrame | None, rule: Rule, block: int = BLOCK) -> DataFrame:
-    """Each class against one hub (a: class, b: hub). The hub of a (salted) group is its member whose
-    place of the name is earliest: it has the fewest rarer names, so it is the least changed copy.
-    Of the hubs of its groups a class takes the one it shares most names with."""
+    """Each class against a few hubs (a: class, b: hub). The hub of a (salted) group is its member whose
+    place of the name is earliest: it has the fewest rarer names, so it is the least changed copy. With ``labels`` it is
+    the nearest earlier member of another component. Of the hubs of its groups a class takes those it shares most names with."""
     named = _labelled(groups, labels)
     salted = named.withColumn("salts", _salts(block)).withColumn("block", F.pmod(F.xxhash64("sig"), F.col("salts")).cast("int"))
+    again = labels is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in _whole_groups(batches):
@@ -303,16 +348,20 @@ def star_candidates(groups: DataFrame, labels: DataFrame | None, rule: Rule, blo
             g = {c: v[order] for c, v in g.items()}
             new = np.append(True, (g["name"][1:] != g["name"][:-1]) | (g["block"][1:] != g["block"][:-1]))
             hub = np.flatnonzero(new)[np.cumsum(new) - 1]
+            if again:
+                # The nearest earlier member of another component: the last row of the run of equal labels before one's own.
+                turn = new | np.append(True, g["label"][1:] != g["label"][:-1])
+                run_start = np.flatnonzero(turn)[np.cumsum(turn) - 1]
+                hub = np.where(new[run_start], hub, run_start - 1)
             k = np.flatnonzero(~new & (g["label"] != g["label"][hub]))
             h = hub[k]
             fit = _filter(g, k, h, rule)
             k, h = k[fit], h[fit]
-            yield _pair_counts(g["sig"][k], g["sig"][h], np.minimum(g["need"][k], g["need"][h]))
+            yield _pair_batch(_counted(g, k, h))
 
     counted = _sorted_groups(salted).mapInArrow(run, _PAIRS)
     shared = counted.groupBy("a", "b").agg(F.sum("n").alias("n"))
-    best = shared.groupBy("a").agg(F.max(F.struct("n", "b")).alias("hub"))
-    return best.select("a", F.col("hub.b").alias("b"))
+    return top_k_per_group(shared, ["a"], [F.desc("n"), F.desc("b")], HUBS).select("a", "b")
 
 
 def _labelled(groups: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -351,11 +400,12 @@ def cross_candidates(groups: DataFrame, labels: DataFrame, rule: Rule, block: in
         named.withColumn("salts", _salts(block)).withColumn("own", salt)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
         .withColumn("block", F.least("own", "other") * F.col("salts") + F.greatest("own", "other"))
-        .select("name", "block", "salts", "lead", "sig", "size", "at", "before", "need", "label", "own", "other")
+        .select("name", "block", "salts", "lead", "sig", "size", "at", "before", "named", "need", "label", "own", "other")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in _whole_groups(batches):
+            g |= _places_here(g)
             order = np.lexsort((g["size"], g["label"], g["block"], g["name"]))
             g = {c: v[order] for c, v in g.items()}
             fit = _hopeful(g, rule)
@@ -367,21 +417,64 @@ def cross_candidates(groups: DataFrame, labels: DataFrame, rule: Rule, block: in
             cuts = np.flatnonzero(np.append(True, ~same))
             ends = np.append(cuts[1:], len(order))
             mixed = g["label"][cuts] != g["label"][ends - 1]
-            out: list[tuple[np.ndarray, np.ndarray]] = []
-            held = 0
+            held: list[dict[str, np.ndarray]] = []
+            size, whole = 0, True
             for a, b in zip(cuts[mixed].tolist(), ends[mixed].tolist()):
                 for i, j in _cross(g, a, b, rule):
-                    out.append((i, j))
-                    held += len(i)
-                    if held > 500_000:
-                        yield _counts_of(g, out)
-                        out, held = [], 0
-            if out:
-                yield _counts_of(g, out)
+                    turn = g["sig"][i] > g["sig"][j]
+                    held.append(_counted(g, np.where(turn, j, i), np.where(turn, i, j), _HERE))
+                    size += len(held[-1]["a"])
+                    if size > HELD_PAIRS:
+                        held = [_summed_pairs({c: np.concatenate([h[c] for h in held]) for c in held[0]})]
+                        size = len(held[0]["a"])
+                        if size > HELD_PAIRS // 2:
+                            # Too many pairs to hold: their counts go on as they are and are summed by Spark.
+                            yield _pair_batch(held[0])
+                            held, size, whole = [], 0, False
+            if held:
+                pairs = _summed_pairs({c: np.concatenate([h[c] for h in held]) for c in held[0]})
+                if whole:
+                    fit = _possible(pairs, rule)
+                    pairs = {c: v[fit] for c, v in pairs.items()}
+                yield _pair_batch(pairs)
 
     return _sorted_groups(dealt).mapInArrow(run, _PAIRS)
 
 
+_HERE = ("before", "here", "away")
+
+
+def _places_here(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Of each row's class: names of its prefix up to this place that are among the rows at hand (here), and names
+    of the whole prefix that others share and that are not (away). Names in salted groups may be anywhere."""
+    one = (g["salts"] == 1).astype(np.int64)
+    order = np.lexsort((g["at"], g["sig"]))
+    sig, total = g["sig"][order], np.cumsum(one[order])
+    first = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])[: len(sig)])
+    sizes = np.diff(np.append(first, len(sig)))
+    start = np.repeat((total - one[order])[first], sizes) if len(first) else total
+    held = np.repeat(total[first + sizes - 1], sizes) - start if len(first) else total
+    here, away = np.empty(len(sig), np.int64), np.empty(len(sig), np.int64)
+    here[order] = total - start
+    away[order] = g["named"][order] - held
+    return {"here": here, "away": away}
+
+
+def _possible(pairs: dict[str, np.ndarray], rule: Rule) -> np.ndarray:
+    """Pairs that may share enough, wherever their other names are: all they share among the rows at hand is counted.
+
+    Up to the last shared place a class has ``before + 1`` names that others share, ``here`` of them at hand: those at
+    hand that the pair doesn't share are lost. Names behind that place may all be shared.
+    """
+    n = pairs["n"]
+    fit = n + np.minimum(pairs["away_a"], pairs["away_b"]) >= pairs["need"]
+    need = rule.overlap(pairs["size_a"].astype(np.int64), pairs["size_b"].astype(np.int64))
+    for side in ("a", "b"):
+        elsewhere = pairs[f"before_{side}"].astype(np.int64) + 1 - pairs[f"here_{side}"]
+        fit &= n + elsewhere + pairs[f"size_{side}"] - pairs[f"at_{side}"] - 1 >= need
+    return fit
+
+
 def _cross(g: dict[str, np.ndarray], a: int, b: int, rule: Rule) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of rows a..b-1 (sorted by label) with different labels that pass the filters."""
     label = g["label"][a:b]
@@ -405,15 +498,19 @@ def _cross(g: dict[str, np.ndarray], a: int, b: int, rule: Rule) -> Iterator[tup
         first = last
 
 
-def _counts_of(g, out) -> pa.RecordBatch:
-    i, j = np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])
-    a, b = np.minimum(g["sig"][i], g["sig"][j]), np.maximum(g["sig"][i], g["sig"][j])
-    return _pair_counts(a, b, np.minimum(g["need"][i], g["need"][j]))
-
+def candidates(counted: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a, b, n) that share enough names of their prefixes and may still reach the overlap they need.
 
-def candidates(counted: DataFrame) -> DataFrame:
-    pairs = counted.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "need", "n")
-    return pairs.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need")).where("n >= need").select("a", "b")
+    All common names up to the last shared one stand in both prefixes and are counted; later ones stand behind its
+    place in both sets.
+    """
+    pairs = counted.groupBy("a", "b").agg(
+        F.sum("n").alias("n"), F.max("need").alias("need"), F.max("at_a").alias("at_a"), F.max("at_b").alias("at_b"),
+        F.max("size_a").alias("size_a"), F.max("size_b").alias("size_b"),
+    )
+    most = F.col("n") + F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b")) - 1
+    reach = most * (rule.num + rule.den) >= (F.col("size_a") + F.col("size_b")) * rule.num
+    return pairs.where(F.col("n") >= F.col("need")).where(reach).select("a", "b", "n")
 
 
 def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
@@ -445,23 +542,20 @@ def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule) ->
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def join_classes(docs: DataFrame, rule: Rule = Rule(), frequent: int = FREQUENT, block: int = BLOCK) -> DataFrame:
+def join_classes(docs: DataFrame, rule: Rule = Rule(), cells: int = CELLS, block: int = BLOCK) -> DataFrame:
     """doc_id, n_names, sig (class of equal sets, 0 for the empty set), component_id."""
     docs = with_row(docs)
-    described = describe(docs, rule, frequent)
+    described = describe(docs, rule, cells)
     rows = described.where("kind = 0").select("doc_id", "n_names", "sig")
     classes = store(described.where("kind = 0").where("sig <> 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row")), "classes")
-    listed, counts = frequent_names(described, frequent)
-    groups = postings(docs, listed, counts, rule)
+    groups = postings(docs, name_counts(described, cells), rule)
     found, labels = None, None
     for _ in range(STARS):
         stars = store(star_candidates(groups, labels, rule, block), "stars")
         links = store(verify(stars, docs, classes, rule), "star-links")
-        if links.isEmpty() and labels is not None:
-            break
         found = links if found is None else found.unionAll(links)
         labels = store(graph.components(found), "star-components")
-    crossed = store(candidates(cross_candidates(groups, labels, rule, block)), "crossed")
+    crossed = store(candidates(cross_candidates(groups, labels, rule, block), rule).select("a", "b"), "crossed")
     more = store(verify(crossed, docs, classes, rule), "cross-links")
     nodes = graph.components(found.unionAll(more))
     joined = classes.join(nodes, classes["sig"] == nodes["node"], "left").select(

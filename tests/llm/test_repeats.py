@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import jaccard, substring, suffix
 
@@ -87,10 +88,33 @@ def near_group(n, seed=4):
 @pytest.mark.parametrize("block", [20_000, 16])
 def test_join_large_near_group(docs, block):
     rows = near_group(120)
-    found = ngram_join.join_classes(docs(rows), frequent=64, block=block)
+    found = ngram_join.join_classes(docs(rows), cells=256, block=block)
     assert {r["doc_id"]: (r["n_names"], r["component_id"]) for r in found.collect()} == jaccard(rows)
 
 
+def test_near_copies_beside_dissimilar_documents_of_one_passage(docs, monkeypatch):
+    """Pairs that are looked at grow with the documents, not with the square of either group."""
+    rng = random.Random(12)
+    seen = []
+    held = ngram_join.verify
+    monkeypatch.setattr(ngram_join, "verify", lambda pairs, *rest: seen.append(pairs.count()) or held(pairs, *rest))
+    shared = passage(rng, 50, 5000)
+    rows = near_group(350, 3)
+    rows += [(10_000 + k, passage(rng, 60, 9000) + " " + shared + " " + passage(rng, 60, 9000)) for k in range(500)]
+    found = ngram_join.join_classes(docs(rows))
+    assert {r["doc_id"]: (r["n_names"], r["component_id"]) for r in found.collect()} == jaccard(rows)
+    assert sum(seen) < 12 * len(rows)
+
+
+def test_counts_of_names_are_summed_over_tasks(docs):
+    rows = [(k, f"the very same four words and own{k} one{k}") for k in range(700)]
+    described = ngram_join.describe(ngram_join.with_row(docs(rows)), ngram_join.Rule(), 1 << 12)
+    counts = ngram_join.name_counts(described, 1 << 12)
+    common, own = (ngram_join.name_sets(pa.array([t]), 4)[0] for t in ("the very same four words", "and own5 one5 x"))
+    assert np.allclose(np.exp2(counts[ngram_join.cell_of(common, 1 << 12)] / ngram_join.STEPS), 700, rtol=0.1)
+    assert (counts[ngram_join.cell_of(own, 1 << 12)] == 0).all()
+
+
 def test_join_other_rule(docs):
     rows = make_corpus(5)
     rule = ngram_join.Rule(n=5, num=80, den=100)
@@ -114,9 +138,8 @@ def test_prefixes_of_similar_sets_share_enough():
         b = a[rng.random(len(a)) > 0.07]
         if not len(b) or rule.den * len(b) < rule.num * len(a):
             continue
-        listed = np.sort(rng.choice(a, min(10, len(a)), replace=False))
-        counts = rng.integers(2, 500, len(listed))
-        (x, p), (y, q) = (ngram_join.prefix(s, listed, counts, rule) for s in (a, b))
+        counts = (rng.integers(2, 200, 256) * (rng.random(256) < 0.1)).astype(np.uint8)
+        (x, p), (y, q) = (ngram_join.prefix(s, counts, rule) for s in (a, b))
         assert len(np.intersect1d(x, y)) >= min(p, q)
 
 
