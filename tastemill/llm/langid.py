@@ -40,7 +40,22 @@ _SCRIPT[0xE0] = 6  # Indic, Thai and neighbours
 _SCRIPT[0xE3] = 7  # Kana
 _SCRIPT[0xE4:0xEA] = 8  # Han
 _SCRIPT[0xEA:0xEE] = 9  # Hangul
-SCRIPTS = 10
+_OTHER = 10  # letters of any other script
+_SCRIPT[[0xD4, 0xD5, 0xDC, 0xDD, 0xDE, 0xDF, 0xE1]] = _OTHER
+# Second bytes from which on a first byte starts letters; before them are signs.
+_LETTERS_FROM = {0xE2: (0xB0, 0xB8), 0xEF: (0xAC, 0xBE), 0xF0: (0x90, 0x9F)}
+SCRIPTS = 11
+
+
+def _script_codes(data: np.ndarray) -> np.ndarray:
+    """Script of the letter that each byte begins, 0 for all other bytes."""
+    codes = _SCRIPT[data]
+    for first, (low, high) in _LETTERS_FROM.items():
+        at = np.flatnonzero(data[:-1] == first)
+        codes[at[(data[at + 1] >= low) & (data[at + 1] < high)]] = _OTHER
+    at = np.flatnonzero(data[:-1] == 0xF0)
+    codes[at[data[at + 1] >= 0xA0]] = 8  # Han beyond the first plane
+    return codes
 
 
 def _trigrams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -65,7 +80,7 @@ def _scripts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     """Script of a word: that of most of its letters' first bytes, 0 for none."""
     if len(starts) == 0:
         return np.zeros(0, np.uint8)
-    codes = _SCRIPT[data]
+    codes = _script_codes(data)
     best, most = np.zeros(len(starts), np.uint8), np.zeros(len(starts), np.int64)
     for s in range(1, SCRIPTS):
         if s > 1 and not (codes == s).any():
@@ -151,19 +166,19 @@ def fit_language_model(
 def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray:
     """Best label of every word, for all texts at once: step t handles the t-th word of each."""
     n_words, n = scores.shape
-    labels = np.zeros(n_words, np.uint8)
+    labels = np.zeros(n_words, np.int16)
     sizes = np.diff(first)
     order = np.argsort(-sizes, kind="stable")
     base, sizes = first[:-1][order], sizes[order]
     if n_words == 0 or n == 1:
         return labels
     switched = np.zeros((n_words, n), bool)
-    came = np.zeros(n_words, np.uint8)
+    came = np.zeros(n_words, np.int16)
     steps = int(sizes[0])
     # alive[t]: texts with more than t words; they come first in the order.
     alive = np.searchsorted(-sizes, -np.arange(steps), side="left")
     state = np.zeros((len(base), n), np.float32)
-    last = np.zeros(len(base), np.uint8)
+    last = np.zeros(len(base), np.int16)
     for t in range(steps):
         k = alive[t]
         at = base[:k] + t

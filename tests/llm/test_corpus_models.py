@@ -1,3 +1,4 @@
+import itertools
 import random
 import zlib
 
@@ -10,6 +11,7 @@ from tokenizers import Tokenizer
 from corpora import make_corpus
 from tastemill.llm import counts, langid, quality, sentencepiece, tokenbin
 from tastemill.llm.bpe import PieceEncoder
+from tastemill.llm.common import split_words
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -170,6 +172,36 @@ def test_languages_of_other_scripts(spark):
     assert (got[500], got[501], got[502]) == ("und", "ka", "en")
 
 
+def test_whole_predictions_by_trying_all_labellings(spark):
+    vocabulary = {"en": "the house river old quiet morning", "de": "das haus fluss alt ruhig morgen", "fr": "la maison vieille est calme matin"}
+    rng = random.Random(4)
+    rows = [(3 * k + j, " ".join(rng.choices(t.split(), k=8)), lang) for k in range(25) for j, (lang, t) in enumerate(vocabulary.items())]
+    every = " ".join(vocabulary.values()).split() + ["12", "--", "haüs"]
+    mixed = [(1000 + k, " ".join(rng.choices(every, k=rng.randrange(1, 7))), None) for k in range(60)]
+    df = spark.createDataFrame(rows + mixed, "doc_id long, text string, lang string")
+    model = langid.fit_language_model(df, F.col("doc_id") < 1000, penalty=3.0)
+    got = {r["doc_id"]: r for r in langid.label_languages(df, model).collect()}
+    n = len(model.languages)
+    for d, text, _ in mixed:
+        data = np.frombuffer(text.encode(), np.uint8)
+        starts, ends, _ = split_words(data, np.array([0, len(data)]))
+        scores = model.word_scores(data, starts, ends).astype(float)
+        weight = np.where(langid._scripts(data, starts, ends) > 0, ends - starts, 0.01)
+        paths = []
+        for labels in itertools.product(range(n), repeat=len(starts)):
+            switches = sum(a != b for a, b in zip(labels, labels[1:]))
+            paths.append((scores[np.arange(len(starts)), list(labels)].sum() - 3.0 * switches, labels))
+        best = max(p for p, _ in paths)
+        possible = set()
+        for p, labels in paths:
+            if p > best - 1e-3:
+                share = np.bincount(labels, weight, n)
+                possible.add((model.languages[int(share.argmax())], round(float(share.max() / share.sum()), 6)))
+        if not any(ch.isalpha() for ch in text):
+            possible = {("und", 0.0)}
+        assert (got[d]["lang_pred"], round(got[d]["score"], 6)) in possible
+
+
 def test_viterbi_holds_more_than_255_labels():
     rng = np.random.default_rng(5)
     scores = rng.normal(size=(40, 400)).astype(np.float32)
