@@ -37,7 +37,7 @@ from tastemill.llm.repeats import SPREAD, bucketed, unpack, with_row
 from tastemill.operators.ordering import top_k_per_group
 
 #: Cells of the sketch of name counts, whatever the number of names.
-CELLS = 1 << 22
+CELLS = 1 << 20
 #: Steps of a count's code for each doubling.
 STEPS = 8
 #: Members of one block of a name's group.
@@ -271,7 +271,7 @@ _PAIR_TYPES = {"a": pa.int64(), "b": pa.int64(), "need": pa.int32(), "n": pa.int
     c: pa.int32() for c in ("at_a", "at_b", "size_a", "size_b")
 }
 #: Pairs that a task counts up before it passes them on.
-HELD_PAIRS = 2_000_000
+HELD_PAIRS = 500_000
 
 
 def _counted(g: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, more: tuple[str, ...] = ()) -> dict[str, np.ndarray]:
