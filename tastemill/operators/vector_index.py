@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass, replace
 
 import numpy as np
@@ -23,14 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastemill.functions.vectors import l2_normalize
-from tastemill.operators import retrieval
+from tastemill.operators import retrieval, tiles
 from tastemill.operators.ordering import top_k_per_group
 from tastemill.session import materialize, scratch_path
 
 #: Centers are held by all tasks: at most this many, whatever the number of items.
 MAX_CELLS = 4096
 BLOCK = 4096
-QUERY_BLOCK = 256
 #: Candidates per wanted item that the audit may choose from.
 GRID = (1.5, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64)
 
@@ -98,7 +97,7 @@ class Quantizer:
         codes = np.stack([_nearest(rest[:, p], self.books[p]) for p in range(rest.shape[1])], axis=1)
         return cell, codes.astype(np.uint8)
 
-    def decode(self, cell: int, codes: np.ndarray) -> np.ndarray:
+    def decode(self, cell: np.ndarray, codes: np.ndarray) -> np.ndarray:
         rest = np.stack([self.books[p][codes[:, p]] for p in range(len(self.books))], axis=1)
         return self.centers[cell] + rest.reshape(len(codes), -1)[:, : self.centers.shape[1]]
 
@@ -151,70 +150,107 @@ class VectorIndex:
     def _candidates(self, k: int) -> int:
         return max(k, self.settings.candidates * math.ceil(k / self.settings.k))
 
+    def _laid(self, queries: DataFrame, items: DataFrame, k: int, pairs: DataFrame | None = None) -> DataFrame:
+        """``(id, block, v)`` of both sides, and pairs (id, other), on a grid of tiles."""
+        n_queries, dim = max(1, queries.count()), self.settings.dim
+        cells = tiles.cells_for(n_queries, self.settings.n, dim, retrieval.MIN_JOIN_KEYS)
+        grid = tiles.grid_of(n_queries, self.settings.n, dim, k, cells)
+        asked = queries.withColumn("tile", tiles.tile_of(F.col("id"), grid.across))
+        held = items.withColumn("tile", tiles.tile_of(F.col("id"), grid.down))
+        if pairs is not None:
+            where = {"q_tile": tiles.tile_of(F.col("id"), grid.across), "i_tile": tiles.tile_of(F.col("other"), grid.down)}
+            pairs = pairs.withColumns(where)
+        return tiles.lay(grid, asked, held, pairs)
+
+    def _probed(self, k: int, n_probe: int, cosine: bool, of_query: Callable, of_item: Callable) -> Callable:
+        """Arrow function over one cell of the grid: each query's best ``k`` items among its ``n_probe`` cells."""
+        quantizer = self.quantizer
+        n_cells = len(quantizer.centers)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            tile = tiles.read_cell(batches, of_query, of_item)
+            if tile is None:
+                return
+            q, m, _ = tile
+            if not cosine:
+                m.raw = quantizer.decode(m.block, m.raw)
+            none = np.zeros(0, np.int64)
+            scorer = tiles.Scorer(q, m, k, cosine, 9 if cosine else None, (none, none))
+            spans = {int(m.block[x]): np.arange(x, y) for x, y in m.spans()}
+            # Queries near each other stand together, so that what none of them probes is left out.
+            for a in range(0, len(q), tiles.ROWS):
+                b = min(a + tiles.ROWS, len(q))
+                scorer.open(a, b)
+                order = quantizer.cell_order(scorer.exact_q)[:, :n_probe]
+                allowed = np.zeros((b - a, n_cells), bool)
+                np.put_along_axis(allowed, order, True, axis=1)
+                met = [spans[c] for c in np.flatnonzero(allowed.any(axis=0)) if c in spans]
+                if met:
+                    at = np.concatenate(met)
+                    if n_probe == n_cells:
+                        scorer.scan(at)
+                    else:
+                        for c in range(0, len(at), tiles.COLUMNS):
+                            part = at[c : c + tiles.COLUMNS]
+                            scorer.scan(part, allowed[:, m.block[part]])
+                yield scorer.close(a)
+
+        return run
+
     def candidates(self, queries: DataFrame, n_probe: int, most: int) -> DataFrame:
         """(query_id, item_id, near, rank): best ``most`` items per query by decoded vectors of ``n_probe`` cells.
 
-        ``queries`` is (query_id, v) with unit vectors.
+        ``queries`` is (query_id, v) with unit vectors. Tiles of queries meet tiles of codes, and a task
+        gives out ``most`` rows a query, however many cells it probes.
         """
         quantizer, dim = self.quantizer, self.settings.dim
-        n_probe = min(n_probe, len(quantizer.centers))
+        n_probe, parts = min(n_probe, len(quantizer.centers)), len(quantizer.books)
+        rows = self.codes.select("cell", F.explode("rows").alias("r"))
+        codes = rows.select(F.col("r.item_id").alias("id"), F.col("cell").cast("long").alias("block"), F.col("r.code").alias("v"))
 
-        def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                order = quantizer.cell_order(_matrix(batch.column("v"), dim))[:, :n_probe]
-                for r in range(n_probe):
-                    yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(order[:, r], pa.int32())], ["query_id", "v", "cell"])
-
-        # One row per cell: a crowded cell is more blocks, each met by all its queries.
-        cells = self.codes.groupBy("cell").agg(F.array_sort(F.collect_set("block")).alias("blocks"))
-        probed = queries.select("query_id", "v").mapInArrow(probe, "query_id string, v array<float>, cell int")
-        wanted = probed.groupBy("cell", F.pmod(F.xxhash64("query_id"), F.lit(self._query_blocks(queries))).alias("q_block")).agg(
-            F.collect_list(F.struct("query_id", "v")).alias("asked")
-        )
-        work = wanted.join(F.broadcast(cells), "cell").withColumn("block", F.explode("blocks")).drop("blocks")
-        work = work.join(self.codes, ["cell", "block"])
-
-        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for r in range(batch.num_rows):
-                    asked, rows = batch.column("asked")[r].values, batch.column("rows")[r].values
-                    q = _matrix(asked.field(1), dim)
-                    codes = np.frombuffer(b"".join(rows.field(1).to_pylist()), np.uint8).reshape(len(rows), -1)
-                    near = q @ quantizer.decode(batch.column("cell")[r].as_py(), codes).T
-                    n = min(most, len(rows))
-                    best = np.argpartition(-near, n - 1, axis=1)[:, :n]
-                    names = asked.field(0)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            names.take(pa.array(np.repeat(np.arange(len(q)), n))),
-                            rows.field(0).take(pa.array(best.ravel())),
-                            pa.array(np.take_along_axis(near, best, axis=1).ravel()),
-                        ],
-                        ["query_id", "item_id", "near"],
-                    )
-
-        found = work.select("cell", "asked", "rows").mapInArrow(score, "query_id string, item_id string, near double")
+        def of_code(column: pa.Array) -> np.ndarray:
+            return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), parts)
+
+        run = self._probed(most, n_probe, False, lambda column: _matrix(column, dim), of_code)
+        found = self._laid(self._asked(queries), codes, most).mapInArrow(run, tiles.HITS).withColumnRenamed("score", "near")
         return top_k_per_group(found, ["query_id"], [F.desc("near"), F.asc("item_id")], most)
 
-    def _query_blocks(self, queries: DataFrame) -> int:
-        return max(1, math.ceil(queries.count() / QUERY_BLOCK))
+    def _asked(self, queries: DataFrame) -> DataFrame:
+        """``(id, block, v)`` of ``(query_id, v)`` with unit vectors; the block is the nearest cell."""
+        quantizer, dim = self.quantizer, self.settings.dim
+
+        def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                cell = _nearest(_matrix(batch.column("v"), dim), quantizer.centers)
+                yield pa.RecordBatch.from_arrays([batch.column("query_id"), pa.array(cell, pa.int64()), batch.column("v")], ["id", "block", "v"])
+
+        kind = queries.schema["v"].dataType.simpleString()
+        return queries.select("query_id", "v").mapInArrow(nearest, f"id string, block long, v {kind}")
 
     def search(self, queries: DataFrame, k: int = 10, n_probe: int | None = None, candidates: int | None = None) -> DataFrame:
-        """``(query_id, item_id, score, rank)`` for ``(query_id, vector)``; the measured settings by default."""
+        """``(query_id, item_id, score, rank)`` for ``(query_id, vector)``; the measured settings by default.
+
+        Where every stored item may be a candidate the decoded vectors decide nothing: the probed cells are scored exactly at once.
+        """
         dim = self.settings.dim
+        n_probe = min(n_probe or self.settings.n_probe, len(self.quantizer.centers))
+        most = candidates or self._candidates(k)
         q = queries.select(F.col("query_id").cast("string").alias("query_id"), l2_normalize(F.col("vector")).cast("array<float>").alias("v"))
         q = materialize(q, "index-queries")
-        near = self.candidates(q, n_probe or self.settings.n_probe, candidates or self._candidates(k))
-        exact = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("vector").cast("array<double>").alias("q"))
-        pairs = near.select("query_id", "item_id").join(self.vectors, "item_id").join(exact, "query_id")
-
-        def cosine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                a, b = (retrieval._unit_rows(_matrix(batch.column(c), dim)) for c in ("q", "v"))
-                scores = np.round((a * b).sum(axis=1), 9)
-                yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("item_id"), pa.array(scores)], ["query_id", "item_id", "score"])
-
-        scored = pairs.select("query_id", "item_id", "q", "v").mapInArrow(cosine, "query_id string, item_id string, score double")
+        exact = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("vector").cast("array<double>").alias("v"))
+        if most >= self.settings.n:
+            rows = self.codes.select("cell", F.explode("rows").alias("r")).select(F.col("r.item_id").alias("item_id"), F.col("cell").cast("long").alias("block"))
+            held = self.vectors.join(rows, "item_id").select(F.col("item_id").alias("id"), "block", "v")
+            run = self._probed(k, n_probe, True, lambda column: _matrix(column, dim), lambda column: _matrix(column, dim))
+            exact = exact.join(exact.select("query_id"), "query_id")  # an id that comes twice is asked twice for each
+            scored = self._laid(self._asked(exact), held, k).mapInArrow(run, tiles.HITS)
+        else:
+            near = self.candidates(q, n_probe, most)
+            pairs = near.select(F.col("query_id").alias("id"), F.col("item_id").alias("other"))
+            block = F.lit(0).cast("long").alias("block")
+            asked = exact.select(F.col("query_id").alias("id"), block, "v")
+            held = self.vectors.select(F.col("item_id").alias("id"), block, "v")
+            scored = self._laid(asked, held, k, pairs).mapInArrow(tiles.score_pairs(dim), tiles.HITS)
         return top_k_per_group(scored, ["query_id"], [F.desc("score"), F.asc("item_id")], k)
 
     def _save(self) -> None:
