@@ -12,90 +12,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastemill.functions.vectors import EPS
+from tastemill.operators import tiles as T
 from tastemill.operators.ordering import top_k_per_group
 from tastemill.session import materialize
 
 QUERY_BLOCK = 256
 ITEM_BLOCK = 2048
-# Item blocks are broadcast only while the whole table is below this many bytes.
+# Below this many bytes of items, small work takes few cells of the grid.
 BROADCAST_BYTES = 64 << 20
-# Beyond it, item blocks are copied so that at least this many join keys exist.
-MIN_JOIN_KEYS = 512
+# Beyond it, at least this many cells exist.
+MIN_JOIN_KEYS = 64
 # From this many item blocks on, blocks are formed around pivots and skipped by bounds; pivots are held by all tasks.
 PRUNE_FROM = 8
 MAX_PIVOTS = 1024
-# Block descriptions that meet a query block in one row, and the rounding that a bound allows for.
-SHELF = 1024
+# The rounding that a bound allows for.
 SLACK = 1e-6
 
 
-def _unpack(rows: pa.StructScalar, dim: int) -> tuple[list, np.ndarray]:
-    values = rows.values
-    ids = values.field(0).to_pylist()
-    flat = values.field(1).flatten().to_numpy(zero_copy_only=False)
-    return ids, flat.astype(np.float64).reshape(len(ids), dim)
-
-
 def _unit_rows(m: np.ndarray) -> np.ndarray:
     return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), EPS)
 
 
-def _scorer(k: int, dim: int, drop_seen: bool, cosine: bool):
-    """Arrow function: per row one block of queries against one block of items, top k per query."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cols = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-            for r in range(batch.num_rows):
-                q_ids, q = _unpack(cols["q_rows"][r], dim)
-                i_ids, m = _unpack(cols["i_rows"][r], dim)
-                if cosine:
-                    q, m = _unit_rows(q), _unit_rows(m)
-                # Rounded, so that equal vectors tie and the id decides.
-                scores = np.round(q @ m.T, 9)
-                gone = np.zeros(scores.shape, dtype=bool)
-                seen = cols["seen"][r].as_py() if "seen" in cols else None
-                if seen:
-                    q_at = {v: i for i, v in enumerate(q_ids)}
-                    i_at = {v: i for i, v in enumerate(i_ids)}
-                    for pair in seen:
-                        a, b = q_at.get(pair["q"]), i_at.get(pair["i"])
-                        if a is not None and b is not None:
-                            gone[a, b] = True
-                scores[gone] = -np.inf if drop_seen else -1.0
-                n = min(k, len(i_ids))
-                cut = -np.partition(-scores, n - 1, axis=1)[:, n - 1]
-                out_q, out_i, out_s = [], [], []
-                for a, q_id in enumerate(q_ids):
-                    s = scores[a]
-                    cand = np.flatnonzero(s >= cut[a])
-                    if drop_seen:
-                        cand = cand[s[cand] > -np.inf]
-                    # Items arrive sorted by id, so a stable sort breaks ties by id.
-                    best = cand[np.argsort(-s[cand], kind="stable")][:n]
-                    out_q += [q_id] * len(best)
-                    out_i += [i_ids[b] for b in best]
-                    out_s.append(s[best])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(out_q, pa.string()),
-                        pa.array(out_i, pa.string()),
-                        pa.array(np.concatenate(out_s) if out_s else [], pa.float64()),
-                    ],
-                    names=["query_id", "item_id", "score"],
-                )
-
-    return run
-
-
 def _bucket(id_col: Column, n) -> Column:
     return F.pmod(F.xxhash64(id_col), n if isinstance(n, Column) else F.lit(n)).cast("int")
 
 
-def _rows(id_col: str) -> Column:
-    return F.array_sort(F.collect_list(F.struct(F.col(id_col).alias("id"), F.col("_v").alias("v"))))
-
-
 def _directions(m: np.ndarray, cosine: bool, longest: float | None) -> np.ndarray:
     """Rows as unit vectors whose angles order the scores.
 
@@ -140,106 +81,112 @@ def _geometry(items: DataFrame, n_items: int, dim: int, cosine: bool, item_block
     return replace(found, pivots=found.items(pivots)) if len(pivots) else found
 
 
-def _in_blocks(
-    df: DataFrame, id_col: str, geometry: Geometry, size: int, is_item: bool, n: int
-) -> tuple[DataFrame, DataFrame]:
-    """Vectors in blocks of about ``size`` near each other: (id, block), and (block, rows) with rows by id."""
-    placed = df.select(F.col(id_col).cast("string").alias("id"), F.col("vector").alias("_v"))
+def _in_blocks(df: DataFrame, id_col: str, geometry: Geometry, size: int, is_item: bool, n: int, tiles: int) -> DataFrame:
+    """``(id, tile, block, v)``: vectors in blocks of about ``size`` near each other, whole blocks in tiles."""
+    placed = df.select(F.col(id_col).cast("string").alias("id"), F.col("vector").alias("v"))
     if not len(geometry.pivots):
-        placed = placed.withColumn("block", _bucket(F.col("id"), math.ceil(n / size)).cast("long"))
-        return placed.select("id", "block"), placed.groupBy("block").agg(_rows("id").alias("rows"))
+        block = _bucket(F.col("id"), math.ceil(n / size)).cast("long")
+        return placed.select("id", T.tile_of(F.col("id"), tiles).alias("tile"), block.alias("block"), "v")
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat = batch.column("_v").flatten().to_numpy(zero_copy_only=False)
-            m = flat.astype(np.float64).reshape(batch.num_rows, geometry.dim)
+            m = T.matrix(batch.column("v"), geometry.dim).astype(np.float64)
             unit = geometry.items(m) if is_item else geometry.queries(m)
             cell = np.argmax(unit @ geometry.pivots.T, axis=1) if len(m) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32())], ["id", "_v", "cell"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32())], ["id", "v", "cell"])
 
     kind = df.schema["vector"].dataType.simpleString()
-    placed = materialize(placed.mapInArrow(nearest, f"id string, _v {kind}, cell int"), "placed")
-    # One row per cell. A crowded cell is cut into more blocks.
+    placed = materialize(placed.mapInArrow(nearest, f"id string, v {kind}, cell int"), "placed")
+    # One row per cell. A crowded cell is cut into more blocks, which are dealt to the tiles in turn.
     cells = placed.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(size)).alias("_n"))
-    block = F.col("cell").cast("long") * (1 << 32) + _bucket(F.col("id"), F.col("_n"))
-    placed = placed.join(F.broadcast(cells), "cell").select("id", "_v", block.alias("block"))
-    return placed.select("id", "block"), materialize(placed.groupBy("block").agg(_rows("id").alias("rows")), "blocks")
+    bucket = _bucket(F.col("id"), F.col("_n"))
+    block = F.col("cell").cast("long") * (1 << 32) + bucket
+    tile = F.pmod(F.col("cell") + bucket, F.lit(tiles)).cast("int")
+    return placed.join(F.broadcast(cells), "cell").select("id", tile.alias("tile"), block.alias("block"), "v")
 
 
-def _described(blocks: DataFrame, geometry: Geometry) -> DataFrame:
-    """block, center, radius (largest angle to the center), n of each item block."""
+@dataclass(frozen=True)
+class _Described:
+    """Center of each item block of a cell, and cosine and sine of the largest angle to it."""
+
+    centers: np.ndarray
+    cos: np.ndarray
+    sin: np.ndarray
+
+    @staticmethod
+    def of(m: T.Side, geometry: Geometry) -> _Described:
+        centers, cos = [], []
+        for a, b in m.spans():
+            unit = geometry.items(m.exact(slice(a, b)))
+            center = _unit_rows(unit.mean(axis=0, keepdims=True))[0]
+            # A zero vector has no direction: it scores 0 with every query, so it is no nearer than a right angle.
+            centers.append(center)
+            cos.append(float(np.clip(unit @ center, -1.0, 1.0).min()))
+        held = np.array(cos)
+        return _Described(np.array(centers), held, np.sqrt(1 - held * held))
+
+    def ceilings(self, q: np.ndarray, geometry: Geometry) -> np.ndarray:
+        """Upper bound of the score of each query with any item of each block."""
+        near = np.clip(geometry.queries(q) @ self.centers.T, -1.0, 1.0)
+        best = np.where(near >= self.cos, 1.0, near * self.cos + np.sqrt(1 - near * near) * self.sin)
+        if not geometry.cosine:
+            best = best * (np.linalg.norm(q, axis=1) * geometry.longest)[:, None]
+        return np.where(np.isfinite(best), best, np.inf)
+
+
+def _cell_search(k: int, drop_seen: bool, geometry: Geometry):
+    """Arrow function over one cell: the first k of each query, and a row of the block pairs met and scored."""
+    pruned = len(geometry.pivots) > 0
+
+    def one_block(scorer: T.Scorer, a: int, b: int, described: _Described, spans: list[tuple[int, int]]) -> int:
+        sizes = np.array([y - x for x, y in spans])
+        rows_of = lambda blocks: np.concatenate([np.arange(*spans[c]) for c in blocks])
+        q = scorer.q.exact(slice(a, b))
+        middle = _unit_rows(geometry.queries(q).mean(axis=0, keepdims=True))[0]
+        near = np.argsort(-(described.centers @ middle), kind="stable")
+        first = near[: np.searchsorted(np.cumsum(sizes[near]), k) + 1]
+        scorer.scan(rows_of(first))
+        scorer.best.settle()
+        # The k-th score so far is a floor: blocks that can't pass it for any query are skipped.
+        top = described.ceilings(q, geometry)
+        keep = (top + SLACK * np.maximum(1.0, np.abs(top)) >= scorer.best.kth[:, None]).any(axis=0)
+        keep[first] = False
+        rest = near[keep[near]]
+        if len(rest):
+            scorer.scan(rows_of(rest))
+        return len(first) + len(rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            centers, radii, sizes = [], [], []
-            for r in batch.column("rows"):
-                unit = geometry.items(_unpack(r, geometry.dim)[1])
-                center = _unit_rows(unit.mean(axis=0, keepdims=True))
-                cos = np.clip(unit @ center[0], -1.0, 1.0)
-                # A zero vector has no direction: it scores 0 with every query, so it is no nearer than a right angle.
-                centers.append(center[0].tolist())
-                radii.append(float(np.arccos(cos).max()))
-                sizes.append(len(unit))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), pa.array(centers, pa.list_(pa.float64())), pa.array(radii), pa.array(sizes, pa.int32())],
-                ["block", "center", "radius", "n"],
-            )
-
-    return blocks.select("block", "rows").mapInArrow(run, "block long, center array<double>, radius double, n int")
-
-
-def _ceilings(q: np.ndarray, metas: list[dict], geometry: Geometry) -> np.ndarray:
-    """Upper bound of the score of each query with any item of each block."""
-    centers = np.array([m["center"] for m in metas])
-    radii = np.array([m["radius"] for m in metas])
-    angle = np.arccos(np.clip(geometry.queries(q) @ centers.T, -1.0, 1.0))
-    best = np.cos(np.maximum(angle - radii, 0.0))
-    if not geometry.cosine:
-        best = best * (np.linalg.norm(q, axis=1) * geometry.longest)[:, None]
-    return np.where(np.isfinite(best), best, np.inf)
-
-
-def _block_pairs(
-    q_blocks: DataFrame, shelves: DataFrame, n_shelves: int, geometry: Geometry, k: int, floors: DataFrame | None
-) -> DataFrame:
-    """(q_block, block) worth scoring.
-
-    Without ``floors`` (query id and its k-th score so far): the blocks nearest to the query block that hold k items.
-    With them: every other block in which some query may still find a better item.
-    """
-    second = floors is not None
-    work = q_blocks.join(floors, "q_block", "left") if second else q_blocks
-    # Descriptions of item blocks, a thousand to a row, meet the query blocks; no item vectors.
-    each = F.explode(F.sequence(F.lit(0), F.lit(n_shelves - 1)))
-    work = work.withColumn("shelf", each).join(shelves, "shelf")
+        of = lambda column: T.matrix(column, geometry.dim)
+        cell = T.read_cell(batches, of, of)
+        if cell is None:
+            return
+        q, m, pairs = cell
+        seen = (T.places(q, pairs.column("id")), T.places(m, pairs.column("other"))) if len(pairs) else (np.zeros(0, np.int64),) * 2
+        both = (seen[0] >= 0) & (seen[1] >= 0)
+        seen = (seen[0][both], seen[1][both])
+        scorer = T.Scorer(q, m, k, geometry.cosine, 9, seen)
+        spans = m.spans() if pruned else []
+        described = _Described.of(m, geometry) if pruned else None
+        every = np.arange(len(m))
+        scored = 0
+        for a, b in q.spans() if pruned else [(a, min(a + T.ROWS, len(q))) for a in range(0, len(q), T.ROWS)]:
+            scorer.open(a, b)
+            if not drop_seen and len(scorer.gone_at):
+                scorer.best.add(scorer.gone_row, scorer.gone_at, np.full(len(scorer.gone_at), -1.0))
+            if pruned:
+                scored += one_block(scorer, a, b, described, spans)
+            else:
+                scorer.scan(every)
+            hits = scorer.close(a)
+            none = pa.nulls(hits.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([*hits.columns, none, none], [*hits.schema.names, "pairs", "scored"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(1, pa.string()), pa.nulls(1, pa.string()), pa.nulls(1, pa.float64()), pa.array([len(q.spans()) * len(spans)]), pa.array([scored])],
+            ["query_id", "item_id", "score", "pairs", "scored"],
+        )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                ids, q = _unpack(batch.column("q_rows")[r], geometry.dim)
-                metas = batch.column("metas")[r].as_py()
-                name = batch.column("q_block")[r].as_py()
-                top = _ceilings(q, metas, geometry)
-                sizes = np.array([m["n"] for m in metas])
-                middle = _unit_rows(geometry.queries(q).mean(axis=0, keepdims=True))[0]
-                near = np.argsort(-(np.array([m["center"] for m in metas]) @ middle), kind="stable")
-                enough = np.searchsorted(np.cumsum(sizes[near]), k) + 1
-                first = near[:enough]
-                if second:
-                    floor = {x["query_id"]: x["score"] for x in batch.column("floors")[r].as_py() or []}
-                    least = np.array([floor.get(i, -np.inf) for i in ids])[:, None]
-                    keep = (top + SLACK * np.maximum(1.0, np.abs(top)) >= least).any(axis=0)
-                    keep[first] = False
-                    chosen = np.flatnonzero(keep)
-                else:
-                    chosen = first
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(chosen), pa.int64()), pa.array([metas[c]["block"] for c in chosen], pa.int64())],
-                    ["q_block", "block"],
-                )
-
-    columns = ["q_block", "q_rows", "metas"] + (["floors"] if second else [])
-    return work.select(*columns).mapInArrow(run, "q_block long, block long")
+    return run
 
 
 def block_search(
@@ -254,9 +201,9 @@ def block_search(
 ) -> tuple[DataFrame, DataFrame]:
     """Exact top k by blocks: hits, and a row (pairs, scored) of block pairs there are and that were scored.
 
-    Blocks hold vectors near each other. Each query block is scored against the nearest item blocks first; the k-th
-    score found is a floor, and blocks whose center and radius rule out a better score for all its queries are
-    skipped, which changes no result. Few blocks are all scored.
+    Queries and items meet on a grid of tiles (``tiles``). Blocks hold vectors near each other. In a cell each query
+    block is scored against the nearest item blocks first; the k-th score found is a floor, and blocks whose center
+    and radius rule out a better score for all its queries are skipped, which changes no result. Few blocks are all scored.
     """
     item_block, query_block = item_block or ITEM_BLOCK, query_block or QUERY_BLOCK
     spark = queries.sparkSession
@@ -268,55 +215,32 @@ def block_search(
     if not n_items:
         none = "query_id string, item_id string, score double, rank int"
         return spark.createDataFrame([], none), spark.createDataFrame([(0, 0)], "pairs long, scored long")
+    n_queries = max(1, queries.count())
     geometry = _geometry(items, n_items, dim, cosine, item_block)
-    of_item, blocks = _in_blocks(items, "item_id", geometry, item_block, True, n_items)
-    of_query, q_blocks = _in_blocks(queries, "query_id", geometry, query_block, False, max(1, queries.count()))
-    q_blocks = q_blocks.select(F.col("block").alias("q_block"), F.col("rows").alias("q_rows"))
     small = n_items * (dim * 8 + 64) <= BROADCAST_BYTES
-    copies = 1 if small else max(1, math.ceil(MIN_JOIN_KEYS * item_block / n_items))
-    held = blocks.withColumnRenamed("rows", "i_rows")
+    cells = T.cells_for(n_queries, n_items, dim, MIN_JOIN_KEYS) if small else MIN_JOIN_KEYS
+    grid = T.grid_of(n_queries, n_items, dim, k, cells)
+    of_item = _in_blocks(items, "item_id", geometry, item_block, True, n_items, grid.down)
+    of_query = _in_blocks(queries, "query_id", geometry, query_block, False, n_queries, grid.across)
+    pairs = None
     if seen is not None:
-        pairs = seen.select(F.col("query_id").cast("string").alias("q"), F.col("item_id").cast("string").alias("i")).distinct()
-        met = of_query.select(F.col("id").alias("q"), F.col("block").alias("q_block"))
-        where = of_item.select(F.col("id").alias("i"), "block")
-        pairs = pairs.join(met, "q").join(where, "i").groupBy("q_block", "block")
-        pairs = materialize(pairs.agg(F.collect_list(F.struct("q", "i")).alias("seen")), "seen")  # at most block area entries
-
-    def scored(wanted: DataFrame) -> DataFrame:
-        work = wanted.join(q_blocks, "q_block")
-        if seen is not None:
-            work = work.join(pairs, ["q_block", "block"], "left")
-        if small:
-            work = work.join(F.broadcast(held), "block")
+        pairs = seen.select(F.col("query_id").cast("string").alias("id"), F.col("item_id").cast("string").alias("other")).distinct()
+        if len(geometry.pivots):
+            met, where = of_query.select("id", F.col("tile").alias("q_tile")), of_item.select(F.col("id").alias("other"), F.col("tile").alias("i_tile"))
+            pairs = pairs.join(met, "id").join(where, "other").distinct()
         else:
-            copied = held.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-            work = work.withColumn("copy", F.pmod(F.xxhash64("q_block"), F.lit(copies)).cast("int")).join(copied, ["block", "copy"])
-        cols = ["q_rows", "i_rows"] + (["seen"] if seen is not None else [])
-        hits = work.select(*cols).mapInArrow(_scorer(k, dim, drop_seen, cosine), "query_id string, item_id string, score double")
-        return top_k_per_group(hits, ["query_id"], order, k)
-
-    order = [F.desc("score"), F.asc("item_id")]
+            pairs = pairs.withColumns({"q_tile": T.tile_of(F.col("id"), grid.across), "i_tile": T.tile_of(F.col("other"), grid.down)})
+    laid = T.lay(grid, of_query, of_item, pairs)
+    found = laid.mapInArrow(_cell_search(k, drop_seen, geometry), f"{T.HITS}, pairs long, scored long")
+    hits = found.where(F.col("scored").isNull()).select("query_id", "item_id", "score")
+    best = top_k_per_group(hits, ["query_id"], [F.desc("score"), F.asc("item_id")], k)
     if not len(geometry.pivots):
         # A handful of blocks: all of them.
         n_blocks = math.ceil(n_items / item_block)
-        every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long")))
-        share = q_blocks.agg((F.count("*") * n_blocks).alias("pairs")).withColumn("scored", F.col("pairs"))
-        return scored(q_blocks.select("q_block", every.alias("block"))), share
-    metas = materialize(_described(blocks, geometry), "described")
-    n_blocks = metas.count()
-    n_shelves = math.ceil(n_blocks / SHELF)
-    shelf = F.pmod(F.xxhash64("block"), F.lit(n_shelves)).cast("int").alias("shelf")
-    described = F.array_sort(F.collect_list(F.struct("block", "center", "radius", "n"))).alias("metas")
-    shelves = materialize(metas.groupBy(shelf).agg(described), "shelves")
-    first = materialize(_block_pairs(q_blocks, shelves, n_shelves, geometry, k, None), "first-pairs")
-    found = materialize(scored(first), "first-hits")
-    floors = found.where(F.col("rank") == k).join(of_query.withColumnRenamed("id", "query_id"), "query_id")
-    floors = floors.groupBy(F.col("block").alias("q_block")).agg(F.collect_list(F.struct("query_id", "score")).alias("floors"))
-    more = materialize(_block_pairs(q_blocks, shelves, n_shelves, geometry, k, floors), "more-pairs")
-    both = found.drop("rank").unionByName(scored(more).drop("rank"))
-    share = first.unionByName(more).agg(F.count("*").alias("scored"))
-    share = share.join(q_blocks.agg((F.count("*") * n_blocks).alias("pairs"))).select("pairs", "scored")
-    return top_k_per_group(both, ["query_id"], order, k), share
+        share = of_query.agg((F.count_distinct("block") * n_blocks).alias("pairs")).withColumn("scored", F.col("pairs"))
+    else:
+        share = found.where(F.col("scored").isNotNull()).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("pairs", "scored")])
+    return best, share
 
 
 def retrieve_top_k(
