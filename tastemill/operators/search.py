@@ -13,7 +13,7 @@ from tastemill.functions.text import (
 )
 from tastemill.operators.keyword_index import KeywordIndex, build_keyword_index
 from tastemill.operators.ordering import top_k_per_group
-from tastemill.session import materialize
+from tastemill.session import materialize, shuffled
 
 # Re-ranking bonuses, the cap on title evidence and the cap on the whole bonus.
 CATEGORY_BONUS = 0.15
@@ -146,7 +146,7 @@ def minmax(df: DataFrame, by: str = "request_id", score: str = "score", name: st
     """Scale scores to [0, 1] within each list; a list of equal scores becomes 0."""
     span = df.groupBy(by).agg(F.min(score).alias("_lo"), F.max(score).alias("_hi"))
     width = F.when(F.col("_hi") == F.col("_lo"), F.lit(1.0)).otherwise(F.col("_hi") - F.col("_lo"))
-    return df.join(span, by).withColumn(name, (F.col(score) - F.col("_lo")) / width).drop("_lo", "_hi")
+    return shuffled(df).join(span, by).withColumn(name, (F.col(score) - F.col("_lo")) / width).drop("_lo", "_hi")
 
 
 def fusion_weight(preset: Column, message: Column) -> Column:
@@ -168,7 +168,7 @@ def fuse_rankings(semantic: DataFrame, personal: DataFrame, weights: DataFrame,
     per = minmax(personal, name="per").select("request_id", "item_id", "per")
     both = (
         sem.join(per, ["request_id", "item_id"], "full")
-        .join(weights.select("request_id", "w_sem"), "request_id")
+        .join(shuffled(weights.select("request_id", "w_sem")), "request_id")
         .withColumn("from_sem", F.col("sem").isNotNull())
         .fillna(0.0, ["sem", "per"])
         .withColumn("fused", F.col("w_sem") * F.col("sem") + (1.0 - F.col("w_sem")) * F.col("per"))
@@ -193,7 +193,7 @@ def order_reranked(scored: DataFrame, k: int = 20, cap_before_sort: bool = False
 
 def without(requests: DataFrame, other: DataFrame, key: str = "request_id") -> DataFrame:
     """Requests that the other result does not answer."""
-    return requests.join(other.select(key).distinct(), key, "left_anti")
+    return requests.join(shuffled(other.select(key).distinct()), key, "left_anti")
 
 
 __all__ = [

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tastemill.functions.text import ITEM_TEXT_FIELDS, item_text, strip_accents
 from tastemill.operators.ordering import top_k_per_group, with_global_index
-from tastemill.session import materialize, scratch_path
+from tastemill.session import materialize, scratch_path, shuffled
 
 _VOCABULARY = "word string, df long, idf double, word_idx long"
 
@@ -60,7 +60,7 @@ class SparseText:
         """
         a = queries.select("query_id", "word_idx", F.col("weight").alias("_q"))
         b = items.select("item_id", "word_idx", F.col("weight").alias("_i"))
-        sums = a.join(b, "word_idx").groupBy("query_id", "item_id").agg(F.sum(F.col("_q") * F.col("_i")).alias("_s"))
+        sums = a.join(shuffled(b), "word_idx").groupBy("query_id", "item_id").agg(F.sum(F.col("_q") * F.col("_i")).alias("_s"))
         # Rounded, so that equal vectors tie and the id decides.
         found = sums.select("query_id", "item_id", F.round("_s", 9).alias("score")).where("score > 0")
         return top_k_per_group(found, ["query_id"], [F.desc("score"), F.asc("item_id")], k)

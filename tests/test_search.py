@@ -10,7 +10,9 @@ from tastemill.functions import text as X
 from tastemill.operators import messages as J
 from tastemill.operators import search as E
 from tastemill.operators.keyword_index import KeywordIndex, build_keyword_index
+from tastemill.operators.sparse_text import SparseText
 from tastemill.plans import serve
+from tastemill.session import materialize
 
 ITEMS = "item_id string, title string, category string, tags string, text_description string"
 
@@ -256,3 +258,14 @@ def test_tokens_and_explanations(make):
     df = make([("", None), ("x" * 41, ["red"])], "t string, a array<string>")
     rows = df.select(J.estimate_tokens(F.col("t")).alias("n"), J.explanation(F.lit("i1"), F.col("a")).alias("e")).collect()
     assert [(r.n, r.e) for r in rows] == [(1, "Recommended i1."), (10, "Recommended for i1.")]
+
+
+def test_large_lists_are_not_broadcast(spark, make):
+    """Files of repeated ids are small, their rows are not: no list of all requests goes through the driver."""
+    rows = spark.range(3000).selectExpr("cast(id % 300 AS string) AS request_id", "cast(id AS string) AS item_id", "id / 7.0 AS score")
+    lists, weights = materialize(rows, "lists"), materialize(rows.select("request_id").distinct().selectExpr("request_id", "0.5D AS w_sem"), "w")
+    words = materialize(rows.selectExpr("request_id AS item_id", "cast(item_id AS long) AS word_idx", "0.1D AS weight"), "words")
+    asked = words.withColumnRenamed("item_id", "query_id").where("word_idx < 50")
+    vocabulary = SparseText.fit(make([("a", "red shoe")], "id string, text string"))
+    for plan in (E.fuse_rankings(lists, lists, weights, 3), E.without(weights, lists), vocabulary.search(asked, words, 2)):
+        assert "Broadcast" not in plan._jdf.queryExecution().sparkPlan().toString()
