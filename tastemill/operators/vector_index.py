@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tastemill.functions.vectors import l2_normalize
 from tastemill.operators import retrieval, tiles
 from tastemill.operators.ordering import top_k_per_group
-from tastemill.session import materialize, scratch_path
+from tastemill.session import materialize, scratch_path, shuffled
 
 #: Centers are held by all tasks: at most this many, whatever the number of items.
 MAX_CELLS = 4096
@@ -306,10 +306,10 @@ def _audited(index: VectorIndex, vectors: DataFrame, unit: DataFrame, filed: Dat
     asked = materialize(asked.withColumnRenamed("item_id", "query_id"), "audit")
     exact = retrieval.retrieve_top_k(asked.withColumnRenamed("v", "vector"), vectors.withColumnRenamed("v", "vector"), s.k + 1)
     truth = exact.where("query_id != item_id").where(F.col("rank") <= s.k + 1)
-    truth = truth.join(filed.select("item_id", "cell"), "item_id").select("query_id", "item_id", "cell")
+    truth = F.broadcast(truth).join(filed.select("item_id", "cell"), "item_id").select("query_id", "item_id", "cell")
     most = math.ceil(GRID[-1] * s.k)
     near = index.candidates(asked, len(quantizer.centers), most).select("query_id", "item_id", F.col("rank").alias("place"))
-    found = truth.join(near, ["query_id", "item_id"], "left").collect()  # audit_rows * k rows at most
+    found = truth.join(shuffled(near), ["query_id", "item_id"], "left").collect()  # audit_rows * k rows at most
     places = {r["query_id"]: np.array(r["v"]) for r in asked.collect()}
     names = list(places)
     order = quantizer.cell_order(np.stack([places[n] for n in names])).argsort(axis=1)

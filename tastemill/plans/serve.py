@@ -25,7 +25,7 @@ from tastemill.operators.search import (
 )
 from tastemill.operators.sparse_text import SparseText
 from tastemill.operators.vector_index import VectorIndex
-from tastemill.session import materialize
+from tastemill.session import materialize, shuffled
 
 TEXT_DIM = 256
 CANDIDATES = 50
@@ -126,7 +126,7 @@ def semantic_candidates(
     near = near.select(F.col("query_id").alias("normalized"), "item_id", F.col("score").alias("semantic"))
     best = F.max("semantic").over(Window.partitionBy("normalized"))  # at most `candidates` rows
     near = near.withColumn("_best", best).where(F.col("_best") > 0).drop("_best")
-    scored = rerank(texts.join(near, "normalized").join(folded_catalog(catalog), "item_id"))
+    scored = rerank(texts.join(near, "normalized").join(shuffled(folded_catalog(catalog)), "item_id"))
     return scored.select("q", "item_id", "title", "category", "final")
 
 
