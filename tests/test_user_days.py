@@ -47,3 +47,25 @@ def test_state_survives_restarts_late_events_and_repeats(spark, place):
     scans = [line for line in one._jdf.queryExecution().toString().splitlines() if "PartitionFilters" in line]
     assert scans and all("bucket" in line.partition("PartitionFilters")[2].partition("PushedFilters")[0] for line in scans)
     assert read_days(spark, place("out"), [], 8).count() == 0
+
+
+def test_a_batch_costs_two_looks_at_the_state():
+    """One call reads a day, one adds to it, and rows go out without a table of their own for each day."""
+    from datetime import date
+
+    from pyspark.sql import Row
+
+    from tastemill.streaming.user_days import _Day
+
+    calls = []
+
+    class Held:
+        def __getattr__(self, name):
+            return lambda *a: calls.append(name) or iter([(2, "b", "view", 20)])
+
+    day = _Day()
+    day.events = Held()
+    fresh = [Row(event_id=k, item_id="a", event_type="view", at=at) for k, at in ((3, 30), (2, 20), (1, 10), (3, 30))]
+    out = list(day.handleInputRows(("u", date(2024, 1, 1)), iter(fresh), None))
+    assert [(r.event_id, r.place, r.n) for r in out] == [(1, 0, 3), (2, 1, 3), (3, 2, 3)]
+    assert calls == ["get", "appendList"]
