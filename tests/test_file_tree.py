@@ -3,9 +3,10 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 
-from tastemill.sources.file_tree import FAN, chunk_hashes, compare_trees, tree_roots
+from tastemill.sources.file_tree import FAN, _pieces, chunk_hashes, compare_trees, tree_roots
 
 
 def leaves(folder, chunk):
@@ -73,3 +74,21 @@ def test_roots_by_hand(spark, make):
     chunks = make([("f", k, h, 77) for k, h in enumerate(hashes)], "name string, chunk long, sha256 string, size_bytes long")
     row = tree_roots(chunks).first()
     assert row["sha256"] == hashlib.sha256(f"77-{level[0]}".encode()).hexdigest() and row["n_chunks"] == n
+
+
+def test_only_the_edges_of_a_block_leave_the_task_as_line_hashes():
+    lines = [b"%d,x" % k for k in range(5000)]
+    h = [hashlib.sha256(line).digest() for line in lines]
+    names = ["file", "size_bytes", "block", "first", "step", "h"]
+    whole = pa.RecordBatch.from_arrays(
+        [pa.array(["f"] * 5000), pa.array([99] * 5000), pa.array([7] * 5000), pa.array([2500] * 5000), pa.array([len(x) + 1 for x in lines]), pa.array(h)], names
+    )
+    rows = [r for part in _pieces(1000)(whole.slice(k, 700) for k in range(0, 5000, 700)) for r in part.to_pylist()]
+    assert sum(r["hashes"] is not None for r in rows) == 2 and len(rows) > 25
+    assert rows[0]["chunk"] == 2 and rows[0]["start"] == 2500 and rows[0]["hashes"] and rows[-1]["hashes"]
+    starts, at = {}, 2500
+    for line, digest in zip(lines, h):
+        starts.setdefault(at // 1000, []).append(digest.hex())
+        at += len(line) + 1
+    assert [r["chunk"] for r in rows] == sorted(starts)
+    assert all(r["sha256"] == hashlib.sha256("".join(starts[r["chunk"]]).encode()).hexdigest() for r in rows[1:-1])
