@@ -24,6 +24,8 @@ EPS = 1e-12
 TILE_BYTES = 64 << 20
 #: Products of one cell that are worth a task of their own.
 CELL_WORK = 1 << 31
+#: Queries, with their lists and pairs, that are worth a task of their own, however few the items are.
+CELL_QUERIES = 4096
 ROWS, COLUMNS = 256, 4096
 QUERY, ITEM, PAIR = 0, 1, 2
 HITS = "query_id string, item_id string, score double"
@@ -50,7 +52,7 @@ def grid_of(n_queries: int, n_items: int, dim: int, k: int, cells: int) -> Grid:
 
 
 def cells_for(n_queries: int, n_items: int, dim: int, most: int) -> int:
-    return max(1, min(most, math.ceil(n_queries * n_items * dim / CELL_WORK)))
+    return max(1, min(most, max(math.ceil(n_queries * n_items * dim / CELL_WORK), math.ceil(n_queries / CELL_QUERIES))))
 
 
 def tile_of(name: Column, tiles: int) -> Column:

@@ -89,3 +89,9 @@ def test_what_the_grid_moves_follows_the_rows():
     assert moved(600_000) <= moved(100_000)
     small = T.grid_of(2000, 2000, 64, 10, T.cells_for(2000, 2000, 64, R.MIN_JOIN_KEYS))
     assert small == T.Grid(1, 1)
+
+
+def test_many_queries_over_few_items_are_the_work_of_many_tasks():
+    cells = T.cells_for(540_000, 100, 64, R.MIN_JOIN_KEYS)
+    assert cells == R.MIN_JOIN_KEYS
+    assert T.grid_of(540_000, 100, 64, 10, cells) == T.Grid(R.MIN_JOIN_KEYS, 1)
