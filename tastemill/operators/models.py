@@ -148,13 +148,15 @@ def contrastive_loss(
     """Mean -log softmax of each positive against its negatives, for given vectors.
 
     ``positives`` and ``negatives`` are ``(pos_id, user_id, item_id)``; vectors ``(.., vector)``.
+    Pairs meet the vectors of their items first: popular items then crowd narrow rows, and the rows that carry
+    a vector are dealt by user. Both vector tables are hashed in shares, so no row with a vector is sorted.
     """
     pairs = positives.select("pos_id", "user_id", "item_id", F.lit(True).alias("is_pos")).unionByName(
         negatives.select("pos_id", "user_id", "item_id", F.lit(False).alias("is_pos"))
     )
     scored = (
-        pairs.join(user_vectors.select("user_id", F.col("vector").alias("_u")), "user_id")
-        .join(item_vectors.select("item_id", F.col("vector").alias("_i")), "item_id")
+        pairs.join(item_vectors.select("item_id", F.col("vector").alias("_i")).hint("shuffle_hash"), "item_id")
+        .join(user_vectors.select("user_id", F.col("vector").alias("_u")).hint("shuffle_hash"), "user_id")
         .select("pos_id", "is_pos", dot(F.col("_u"), F.col("_i")).alias("s"))
     )
     # One positive and K negatives per group; shifting by the largest keeps exp() in range.

@@ -174,6 +174,15 @@ def test_contrastive_loss(make):
     assert M.contrastive_loss(pos, neg, u, i).first().loss == pytest.approx(want)
 
 
+def test_contrastive_loss_sorts_no_vectors(make):
+    rows = make([(1, "a", "x")], "pos_id long, user_id string, item_id string")
+    u, i = (make([(k, [1.0, 0.0])], f"{c} string, vector array<double>") for c, k in (("user_id", "a"), ("item_id", "x")))
+    out = M.contrastive_loss(rows, rows.limit(0), u, i)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan
+    assert out.first().loss == pytest.approx(0.0) and out.first().n == 1
+
+
 def test_negatives(spark):
     """Hot users, users with almost no unseen item, and users who saw everything."""
     n_items = 60
