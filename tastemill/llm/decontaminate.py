@@ -158,9 +158,10 @@ def leaks(
         of_windows.join(weight, "h", "left").crossJoin(F.broadcast(top)).select("w", "h", F.coalesce("weight", "top").alias("weight")),
         "window-shingles",
     )
-    in_items = of_items.select("item", "h").distinct().join(weight, "h")
-    left = fingerprints(of_windows, "w", "fp")
-    right = fingerprints(in_items, "item", "item_fp")
+    in_items = store(of_items.select("item", "h").distinct().join(weight, "h"), "item-weighed")
+    # Written by themselves: sums over 64 bits make long plans, which the driver would plan again with each step of the join.
+    left = store(fingerprints(of_windows, "w", "fp"), "window-prints")
+    right = store(fingerprints(in_items, "item", "item_fp"), "item-prints")
 
     # 3. and 4. Candidates within the radius, decided by the shingles themselves.
     near = store(hamming_candidates(left, right, radius, blocks), "near")
@@ -170,6 +171,7 @@ def leaks(
     )
     sums = of_windows.groupBy("w").agg(F.sum("weight").alias("of_window"))
     item_sums = in_items.groupBy("item").agg(F.sum("weight").alias("of_item"))
+    both = store(both, "shared")
     scored = both.join(sums, "w").join(item_sums, "item").select(
         "w", "item", (F.col("shared") / (F.col("of_window") + F.col("of_item") - F.col("shared"))).alias("similarity")
     ).where(F.col("similarity") >= similarity)

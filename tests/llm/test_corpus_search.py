@@ -233,3 +233,19 @@ def test_pipeline(spark, tmp_path):
     assert {d for d, _ in good} | {210, 211, 212} == kept["decontamination"].keys()
     result = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in result} == kept["decontamination"].keys() and all(r["round_trip"] for r in result)
+
+
+def test_fingerprints_are_written_before_they_are_joined(spark, monkeypatch):
+    """Their 64 sums stay out of the plans of the join, which the driver holds."""
+    text = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, f"so {text} on"), (2, "other words")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, text)], "item_id long, text string")
+    plans, join = [], decontaminate.hamming_candidates
+
+    def candidates(left, right, *rest):
+        plans.extend(df._jdf.queryExecution().optimizedPlan().toString() for df in (left, right))
+        return join(left, right, *rest)
+
+    monkeypatch.setattr(decontaminate, "hamming_candidates", candidates)
+    assert [(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, items).collect()] == [(1, 7)]
+    assert len(plans) == 2 and not any("Aggregate" in p for p in plans)
