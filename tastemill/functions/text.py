@@ -143,14 +143,15 @@ def split_hangul(c: Column) -> Column:
 
 def strip_accents(c: Column) -> Column:
     """Case-folded text without combining marks; d with stroke becomes d, Hangul syllables become letters."""
-    c = split_hangul(c)
+    ascii_only = F.octet_length(c) == F.length(c)  # folding then changes only A-Z
+    given, c = c, split_hangul(c)
     source, target, several = _fold_tables()
     special = "".join(a for a, _ in several)
     # The long replacement list only runs on the rare rows that hold such a character.
     expanded = F.when(
         F.translate(c, special, "") != c, F.aggregate(_pairs(several), c, lambda s, p: F.replace(s, p["a"], p["b"]))
     ).otherwise(c)
-    return F.translate(expanded, source, target)
+    return F.when(ascii_only, F.lower(given)).otherwise(F.translate(expanded, source, target))
 
 
 def squeeze(c: Column) -> Column:

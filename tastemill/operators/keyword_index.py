@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tastemill.functions.text import strip_accents
 from tastemill.operators.ordering import top_k_per_group
-from tastemill.session import scratch_path
+from tastemill.session import materialize, scratch_path, shuffled, spread
 
 FIELDS = ("title", "tags", "category", "text_description")
 GRAM = 3
@@ -59,7 +59,7 @@ class KeywordIndex:
             return False
         where, number = f"{self.root}/data/{name}", len(known)
         fields = [folded(c).alias(f"{c}_f") if c in catalog.columns else F.lit("").alias(f"{c}_f") for c in FIELDS]
-        items = catalog.select(F.col("item_id").cast("string").alias("item_id"), F.col("category").alias("cat"), *fields, F.lit(number).alias("batch"))
+        items = spread(catalog).select(F.col("item_id").cast("string").alias("item_id"), F.col("category").alias("cat"), *fields, F.lit(number).alias("batch"))
         items.write.mode("overwrite").parquet(f"{where}/items")
         items = self.spark.read.schema(items.schema).parquet(f"{where}/items")
         texts = [F.concat(F.col(f"{c}_f"), F.expr(f"'{_PAD}'")) for c in FIELDS]
@@ -104,19 +104,31 @@ class KeywordIndex:
         """
         asked = terms.select("term", "in_cat").distinct()
         counts, t = self.counts(), F.col("term")
-        own = asked.where(F.length("term") >= GRAM).withColumn("gram", F.explode(_pieces(t, F.length("term") - (GRAM - 1))))
-        ranked = F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram")))
+
+        def cut(some: DataFrame) -> DataFrame:
+            own = some.withColumn("gram", F.explode(_pieces(t, F.length("term") - (GRAM - 1)))).join(counts, "gram", "left")
+            return own.withColumn("df", F.coalesce("df", F.lit(0)))
+
+        # A piece no item holds: the term matches nothing. Most terms of long texts end here, before any sort.
+        rarest = cut(asked.where(F.length("term") >= GRAM)).groupBy("term", "in_cat").agg(F.min("df").alias("least"))
+        own = cut(materialize(rarest.where("least > 0").select("term", "in_cat"), "found-terms"))
+        ranked = F.array_sort(F.collect_list(F.struct("df", "gram")))
         # A term has no more pieces than characters.
-        best = own.join(counts, "gram", "left").groupBy("term", "in_cat").agg(F.slice(ranked, 1, 2).alias("best"))
-        best = best.where(F.col("best")[0]["df"] > 0)  # a piece no item holds: the term matches nothing
+        best = own.groupBy("term", "in_cat").agg(F.slice(ranked, 1, 2).alias("best"))
         near = F.filter("best", lambda x: x["df"] <= F.col("best")[0]["df"] * SECOND)
-        wanted = best.select("term", "in_cat", F.explode(near).alias("b"), F.size(near).alias("n")).select("term", "in_cat", "b.gram", "n")
+        wanted = best.select("term", "in_cat", F.posexplode(near).alias("at", "b"), F.size(near).alias("n"))
+        bits = F.when(F.col("at") == 0, 1).otherwise(2)
+        wanted = wanted.select("term", "in_cat", "b.gram", bits.alias("bit"), F.when(F.col("n") == 1, 1).otherwise(3).alias("all"))
         for size in range(1, GRAM):
             short = asked.where(F.length("term") == size)
             begin = counts.select("gram", F.substring("gram", 1, size).alias("term"))
-            wanted = wanted.unionByName(short.join(begin, "term").select("term", "in_cat", "gram", F.lit(1).alias("n")))
-        met = wanted.join(self.postings(), "gram").groupBy("term", "in_cat", "item_id")
-        pairs = met.agg(F.count("*").alias("found"), F.max("n").alias("n")).where("found >= n").select("term", "in_cat", "item_id")
+            wanted = wanted.unionByName(short.join(begin, "term").select("term", "in_cat", "gram", F.lit(1).alias("bit"), F.lit(1).alias("all")))
+        wanted = materialize(wanted, "wanted")
+        # Only postings of wanted pieces move; an item in several batches may come more than once, which its bits do not show.
+        pieces = materialize(wanted.select("gram").distinct(), "pieces")
+        held = self._table("postings", "gram string, item_id string").join(pieces, "gram", "left_semi")
+        met = held.join(shuffled(wanted), "gram").groupBy("term", "in_cat", "item_id")
+        pairs = met.agg(F.bit_or("bit").alias("found"), F.max("all").alias("all")).where("found = all").select("term", "in_cat", "item_id")
         inside = F.lit(False)
         for c in FIELDS:
             has = F.contains(F.col(f"{c}_f"), t)

@@ -159,6 +159,20 @@ def test_keyword_search_brute_force(make):
     assert grown == want
 
 
+def test_index_batches_are_worked_out_by_all_cores(make, tmp_path):
+    """A catalog of one partition is folded and cut by as many tasks as there are cores."""
+    items = make([(str(k), f"star {k}", "War", "x", None) for k in range(64)], ITEMS).coalesce(1)
+    index = build_keyword_index(items, str(tmp_path / "index"))
+    assert len(list((tmp_path / "index/data/first/items").glob("part-*"))) > 1
+    assert index.items().count() == 64
+
+
+def test_ascii_folds_like_any_other_text(make):
+    texts = ["".join(map(chr, range(128))), "AZ az 09", "", "K\u212a \u017f", "\u0130I", None]
+    for r in make([(x,) for x in texts], "q string").select("q", X.strip_accents(F.col("q")).alias("k")).collect():
+        assert r.k == (None if r.q is None else folded(r.q))
+
+
 def test_an_empty_keyword_index(make):
     queries = make([("q", "star")], "request_id string, q string")
     assert E.keyword_search(queries, make([], ITEMS)).count() == 0
