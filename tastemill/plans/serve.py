@@ -25,7 +25,7 @@ from tastemill.operators.search import (
 )
 from tastemill.operators.sparse_text import SparseText
 from tastemill.operators.vector_index import VectorIndex
-from tastemill.session import materialize, shuffled
+from tastemill.session import materialize, shuffled, spread
 
 TEXT_DIM = 256
 CANDIDATES = 50
@@ -126,11 +126,11 @@ def semantic_candidates(
     near = near.select(F.col("query_id").alias("normalized"), "item_id", F.col("score").alias("semantic"))
     best = F.max("semantic").over(Window.partitionBy("normalized"))  # at most `candidates` rows
     near = near.withColumn("_best", best).where(F.col("_best") > 0).drop("_best")
-    scored = rerank(texts.join(near, "normalized").join(shuffled(folded_catalog(catalog)), "item_id"))
+    scored = rerank(texts.join(near, "normalized").join(shuffled(folded_catalog(spread(catalog))), "item_id"))
     return scored.select("q", "item_id", "title", "category", "final")
 
 
-def semantic_search(
+def semantic_lists(
     requests: DataFrame,
     catalog: DataFrame,
     item_vectors: DataFrame,
@@ -140,9 +140,23 @@ def semantic_search(
     candidates: int = CANDIDATES,
     index: VectorIndex | None = None,
 ) -> DataFrame:
+    """The ``k`` best re-ranked items of each distinct text ``q`` of the requests."""
     scored = semantic_candidates(requests, catalog, item_vectors, encoder, max(k, candidates), index)
     best = order_reranked(scored.withColumnRenamed("q", "request_id"), k, cap_before_sort)
-    best = best.withColumnRenamed("request_id", "q")
+    return best.withColumnRenamed("request_id", "q")
+
+
+def semantic_search(
+    requests: DataFrame,
+    catalog: DataFrame,
+    item_vectors: DataFrame,
+    encoder: PipelineModel | Encoder | SparseText,
+    k: int = 20,
+    cap_before_sort: bool = False,
+    candidates: int = CANDIDATES,
+    index: VectorIndex | None = None,
+) -> DataFrame:
+    best = semantic_lists(requests, catalog, item_vectors, encoder, k, cap_before_sort, candidates, index)
     return requests.join(best, "q").select(
         "request_id", "q", "rank", "item_id", "title", "category", "score", "final"
     )
@@ -160,10 +174,13 @@ def search_with_fallback(
     cols = ["request_id", "q", "rank", "item_id", "title", "category", "score"]
     if item_vectors is None or encoder is None:
         return keyword_search(requests, catalog, index=keywords).select(*cols, F.lit("keyword").alias("source"))
-    found = materialize(semantic_search(requests, catalog, item_vectors, encoder, index=index), "semantic")
-    rest = keyword_search(without(requests, found), catalog, index=keywords)
+    # Lists are kept by text: requests are many more rows, and meet their lists only as they are returned.
+    best = materialize(semantic_lists(requests, catalog, item_vectors, encoder, index=index), "semantic")
+    answered = requests.join(shuffled(best.where("rank = 1").select("q")), "q", "left_semi")
+    rest = keyword_search(materialize(without(requests, answered), "rest"), catalog, index=keywords)
     return (
-        found.select(*cols)
+        requests.join(shuffled(best), "q")
+        .select(*cols)
         .withColumn("source", F.lit("semantic"))
         .unionByName(rest.select(*cols).withColumn("source", F.lit("keyword")))
     )

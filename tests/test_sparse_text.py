@@ -58,3 +58,36 @@ def test_serving_with_sparse_vectors(make):
     out = serve.search_with_fallback(asked, items, vectors, encoder)
     best = {r["request_id"]: (r["item_id"], r["source"]) for r in out.where("rank = 1").collect()}
     assert best == {"a": ("3", "semantic"), "b": ("4", "semantic"), "c": ("2", "keyword")}
+
+
+def shuffled_rows(df):
+    """Rows that the stages of a finished query sent through shuffles, and what it returned."""
+    rows = df.collect()
+    sent, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        p = todo.pop()
+        if p.getClass().getSimpleName() == "ShuffleExchangeExec":
+            sent += p.metrics().apply("shuffleRecordsWritten").value()
+        kids = p.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+        if p.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            todo.append(p.executedPlan())
+        elif hasattr(p, "plan") and p.getClass().getSimpleName().endswith("QueryStageExec"):
+            todo.append(p.plan())
+    return sent, rows
+
+
+def test_search_does_not_shuffle_pairs(make):
+    """60 queries share a word with 1,500 items each: 90,000 pairs, of which each query keeps 3."""
+    encoder = SparseText.fit(make([(f"i{k}", f"common w{k % 50}") for k in range(1500)] + [("other", "strange")], "id string, text string"))
+    items = encoder.encode(make([(f"i{k}", f"common w{k % 50}") for k in range(1500)], "id string, text string")).withColumnRenamed("id", "item_id")
+    asked = encoder.encode(make([(f"q{k:02d}", f"common w{k % 50}") for k in range(60)], "id string, text string")).withColumnRenamed("id", "query_id")
+    sent, rows = shuffled_rows(encoder.search(asked, items, 3))
+    assert 0 < sent < 20_000
+    got = {}
+    for r in rows:
+        got.setdefault(r["query_id"], []).append((r["rank"], r["item_id"], r["score"]))
+    assert len(got) == 60
+    for q, found in got.items():
+        same = sorted(f"i{k}" for k in range(1500) if k % 50 == int(q[1:]) % 50)[:3]
+        assert [(n, i) for n, i, _ in sorted(found)] == [*enumerate(same, 1)] and {s for *_, s in found} == {1.0}
