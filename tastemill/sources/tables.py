@@ -228,15 +228,17 @@ def file_checksums(spark: SparkSession, path: str) -> DataFrame:
     """SHA-256 of each file below a path: rows ``(name, sha256, size_bytes)``.
 
     Files spread over the tasks. Those on a mounted file system are hashed in chunks whatever
-    their size; object stores hand a file over whole, so there a file must fit in a task.
+    their size, and Spark only lists them; object stores hand a file over whole, so there a file must fit in a task.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    mounted = F.col("path").startswith("file:")
-    local = files.where(mounted).select("path", "length").mapInPandas(
-        _hash_files, "path string, length long, sha256 string"
-    )
-    remote = files.where(~mounted).select("path", "length", F.sha2("content", 256).alias("sha256"))
-    return local.unionByName(remote).select(
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    # Decided once: a filter on the path comes too late, since the reader has then loaded the whole file.
+    if system.getUri().getScheme() == "file":
+        hashed = files.select("path", "length").mapInPandas(_hash_files, "path string, length long, sha256 string")
+    else:
+        hashed = files.select("path", "length", F.sha2("content", 256).alias("sha256"))
+    return hashed.select(
         F.element_at(F.split("path", "/"), -1).alias("name"),
         "sha256",
         F.col("length").alias("size_bytes"),

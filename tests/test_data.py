@@ -262,6 +262,19 @@ def test_file_checksums(spark, tmp_path):
     assert (row.name, row.sha256, row.size_bytes) == ("a.bin", hashlib.sha256(b"hello").hexdigest(), 5)
 
 
+def test_mounted_files_are_not_loaded_whole(spark, tmp_path):
+    """Spark's reader refuses files beyond a length (2 GB unless told otherwise); here 4 bytes."""
+    import hashlib
+
+    (tmp_path / "a.bin").write_bytes(b"hello")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "4")
+    try:
+        row = T.file_checksums(spark, str(tmp_path)).first()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert (row.name, row.sha256, row.size_bytes) == ("a.bin", hashlib.sha256(b"hello").hexdigest(), 5)
+
+
 def test_sample_is_stable(history):
     a = sample_rows(history(50), ["item_id"], 5).collect()
     assert a == sample_rows(history(50).repartition(7), ["item_id"], 5).collect() and len(a) == 5
