@@ -29,6 +29,8 @@ from tastemill.session import materialize, shuffled, spread
 
 TEXT_DIM = 256
 CANDIDATES = 50
+#: Copies of each text's list, when requests meet the lists.
+SHARES = 8
 Encoder = Callable[[DataFrame], DataFrame]
 
 
@@ -178,8 +180,11 @@ def search_with_fallback(
     best = materialize(semantic_lists(requests, catalog, item_vectors, encoder, index=index), "semantic")
     answered = requests.join(shuffled(best.where("rank = 1").select("q")), "q", "left_semi")
     rest = keyword_search(materialize(without(requests, answered), "rest"), catalog, index=keywords)
+    # Many requests may share one text: they are dealt to SHARES groups, each with its copy of the lists.
+    share = F.pmod(F.xxhash64("request_id"), F.lit(SHARES)).cast("int")
+    lists = best.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
     return (
-        requests.join(shuffled(best), "q")
+        requests.withColumn("_share", share).join(shuffled(lists), ["q", "_share"])
         .select(*cols)
         .withColumn("source", F.lit("semantic"))
         .unionByName(rest.select(*cols).withColumn("source", F.lit("keyword")))
