@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastemill.llm import decontaminate, ngram_join, quality, sentencepiece, suffix
-from tastemill.llm.common import partitions, store
+from tastemill.llm.common import partitions, store, tidy
 from tastemill.llm.queries_text import PIECES
 from tastemill.llm.registry import table
 from tastemill.llm.repeats import covered
@@ -92,7 +92,7 @@ def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
                 columns[count] = pa.array([None if t is None else len(t) for t in texts], pa.int64()).cast(columns[count].type)
             yield pa.RecordBatch.from_arrays(columns, batch.drop_columns([spans]).schema.names)
 
-    cut = joined.select(*_columns(docs), spans).mapInArrow(run, schema)
+    cut = joined.select(*_columns(docs), spans).mapInArrow(tidy(run), schema)
     return cut.where(F.length(F.btrim("text", F.lit(" \t\r\n\f\v"))) > 0)
 
 

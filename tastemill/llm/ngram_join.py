@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastemill.llm import graph
-from tastemill.llm.common import SpanHash, as_bytes, chunks, mix, partitions, split_words, store, word_names
+from tastemill.llm.common import SpanHash, as_bytes, chunks, mix, partitions, split_words, store, tidy, word_names
 from tastemill.llm.repeats import SPREAD, bucketed, unpack, with_row
 from tastemill.operators.ordering import top_k_per_group
 
@@ -146,7 +146,7 @@ def describe(docs: DataFrame, rule: Rule, cells: int = CELLS) -> DataFrame:
                 fields,
             )
 
-    return store(docs.mapInArrow(run, "kind int, doc_id long, n_names long, sig long, row long, blob binary"), "name-sets")
+    return store(docs.mapInArrow(tidy(run), "kind int, doc_id long, n_names long, sig long, row long, blob binary"), "name-sets")
 
 
 def name_counts(described: DataFrame, cells: int = CELLS) -> np.ndarray:
@@ -175,7 +175,7 @@ def name_counts(described: DataFrame, cells: int = CELLS) -> np.ndarray:
     blobs = described.where("kind = 1").select("sig", "blob").repartition(parts, "sig")
     out = np.zeros(cells, np.uint8)
     starts = np.cumsum([0, *sizes])
-    for r in blobs.mapInArrow(run, "sig long, blob binary").collect():
+    for r in blobs.mapInArrow(tidy(run), "sig long, blob binary").collect():
         out[starts[r["sig"]] : starts[r["sig"] + 1]] = np.frombuffer(r["blob"], np.uint8)
     return out
 
@@ -258,8 +258,8 @@ def postings(docs: DataFrame, counts: np.ndarray, rule: Rule) -> DataFrame:
                 ["name", "sig", "size", "at", "need", "many", "lead"],
             )
 
-    met = docs.select("text").mapInArrow(emit, "bucket int, blob binary").repartition(n, "bucket")
-    found = met.mapInArrow(group, "name long, sig long, size int, at int, need int, many long, lead long")
+    met = docs.select("text").mapInArrow(tidy(emit), "bucket int, blob binary").repartition(n, "bucket")
+    found = met.mapInArrow(tidy(group), "name long, sig long, size int, at int, need int, many long, lead long")
     # At most one row per name of a prefix.
     places = Window.partitionBy("sig").orderBy("at")
     found = found.withColumn("before", F.row_number().over(places) - 1)
@@ -286,12 +286,20 @@ def _counted(g: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, more: tuple
 def _summed_pairs(pairs: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     """One row per (a, b): the sum of n, the largest value of the others (they grow with the place)."""
     order = np.lexsort((pairs["b"], pairs["a"]))
-    pairs = {c: v[order] for c, v in pairs.items()}
-    a, b = pairs["a"], pairs["b"]
+    a, b = pairs["a"][order], pairs["b"][order]
     new = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)])
     if not len(new):
         return pairs
-    return {c: v[new] if c in "ab" else (np.add if c == "n" else np.maximum).reduceat(v, new) for c, v in pairs.items()}
+    out = {"a": a[new], "b": b[new]}
+    # One sorted column at a time.
+    return out | {c: (np.add if c == "n" else np.maximum).reduceat(v[order], new) for c, v in pairs.items() if c not in out}
+
+
+def _joined_pairs(held: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    """The rows of all of ``held``, which is emptied: a column goes as soon as it is joined."""
+    out = {c: np.concatenate([h.pop(c) for h in held]) for c in list(held[0])}
+    held.clear()
+    return out
 
 
 def _pair_batch(pairs: dict[str, np.ndarray]) -> pa.RecordBatch:
@@ -359,7 +367,7 @@ def star_candidates(groups: DataFrame, labels: DataFrame | None, rule: Rule, blo
             k, h = k[fit], h[fit]
             yield _pair_batch(_counted(g, k, h))
 
-    counted = _sorted_groups(salted).mapInArrow(run, _PAIRS)
+    counted = _sorted_groups(salted).mapInArrow(tidy(run), _PAIRS)
     shared = counted.groupBy("a", "b").agg(F.sum("n").alias("n"))
     return top_k_per_group(shared, ["a"], [F.desc("n"), F.desc("b")], HUBS).select("a", "b")
 
@@ -425,20 +433,20 @@ def cross_candidates(groups: DataFrame, labels: DataFrame, rule: Rule, block: in
                     held.append(_counted(g, np.where(turn, j, i), np.where(turn, i, j), _HERE))
                     size += len(held[-1]["a"])
                     if size > HELD_PAIRS:
-                        held = [_summed_pairs({c: np.concatenate([h[c] for h in held]) for c in held[0]})]
+                        held = [_summed_pairs(_joined_pairs(held))]
                         size = len(held[0]["a"])
                         if size > HELD_PAIRS // 2:
                             # Too many pairs to hold: their counts go on as they are and are summed by Spark.
                             yield _pair_batch(held[0])
                             held, size, whole = [], 0, False
             if held:
-                pairs = _summed_pairs({c: np.concatenate([h[c] for h in held]) for c in held[0]})
+                pairs = _summed_pairs(_joined_pairs(held))
                 if whole:
                     fit = _possible(pairs, rule)
                     pairs = {c: v[fit] for c, v in pairs.items()}
                 yield _pair_batch(pairs)
 
-    return _sorted_groups(dealt).mapInArrow(run, _PAIRS)
+    return _sorted_groups(dealt).mapInArrow(tidy(run), _PAIRS)
 
 
 _HERE = ("before", "here", "away")
@@ -539,7 +547,7 @@ def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule) ->
                 good.append(rule.den * common >= rule.num * (len(one) + len(two) - common))
             yield from table.select(["a", "b"]).filter(pa.array(good, pa.bool_())).to_batches()
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(tidy(run), "a long, b long")
 
 
 def join_classes(docs: DataFrame, rule: Rule = Rule(), cells: int = CELLS, block: int = BLOCK) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastemill.llm.common import SPACE, as_bytes, chunks, split_words, word_names
+from tastemill.llm.common import SPACE, as_bytes, chunks, split_words, tidy, word_names
 
 #: Labelled rows and preference pairs that the fit may use.
 MAX_LABELLED = 20_000
@@ -155,7 +155,7 @@ def labelled_features(
                 ["x", "quality"],
             )
 
-    got = joined.mapInArrow(run, "x array<double>, quality int").toArrow()
+    got = joined.mapInArrow(tidy(run), "x array<double>, quality int").toArrow()
     wide = features(pa.array([""])).shape[1]
     x = np.array(got["x"].to_pylist(), float).reshape(-1, wide)
     y = got["quality"].to_numpy().astype(int)
@@ -174,7 +174,7 @@ def score_quality(docs: DataFrame, ranker: Ranker, name: str = "score") -> DataF
             score = ranker.score(features(table["text"]))
             yield from table.append_column(name, pa.array(score)).to_batches()
 
-    return docs.select(*[f"`{c}`" for c in kept]).mapInArrow(run, schema)
+    return docs.select(*[f"`{c}`" for c in kept]).mapInArrow(tidy(run), schema)
 
 
 def threshold_at(scored: DataFrame, share: float, name: str = "score") -> float:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastemill.llm.common import SpanHash, chunks, mix, partitions, ranges, store
+from tastemill.llm.common import SpanHash, chunks, mix, partitions, ranges, store, tidy
 
 FAR = 1 << 40
 #: Buckets per shuffle partition, so that the partitions fill evenly.
@@ -74,8 +74,8 @@ def positions(first: np.ndarray) -> Parse:
 
 
 def _next(p: Parse, keep: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> Parse:
-    lo, hi = np.where(p.edge, -FAR, lo), np.where(p.edge, FAR, hi)
-    return Parse(p.at[keep], lo[keep], hi[keep], p.edge[keep])
+    edge = p.edge[keep]
+    return Parse(p.at[keep], np.where(edge, -FAR, lo[keep]), np.where(edge, FAR, hi[keep]), edge)
 
 
 def recompress(p: Parse, spans: SpanHash, level: int) -> Parse:
@@ -110,7 +110,8 @@ def leftmost_minima(p: Parse, names: np.ndarray) -> Parse:
         lo[j] = np.minimum(p.lo[j - 1], p.lo[j])
         hi[j] = np.maximum(p.hi[after], p.hi[j])
         # An edge between the blocks that were compared leaves the boundary uncertified.
-        sums = np.concatenate([[0], np.cumsum(p.edge)])
+        sums = np.zeros(len(p.edge) + 1, np.int32)
+        np.cumsum(p.edge, out=sums[1:])
         broken = sums[after] - sums[j] > 0
         lo[j[broken]], hi[j[broken]] = -FAR, FAR
     return _next(p, keep, lo, hi)
@@ -225,8 +226,8 @@ def repeated_anchors(docs: DataFrame, scan: Scan, width: int, hot: int) -> DataF
             ["bucket", "blob", "key", "size"],
         )
 
-    met = docs.select("_row", "text").mapInArrow(emit, "bucket int, blob binary").repartition(n, "bucket")
-    return store(met.mapInArrow(find, "bucket int, blob binary, key long, size long"), "anchors")
+    met = docs.select("_row", "text").mapInArrow(tidy(emit), "bucket int, blob binary").repartition(n, "bucket")
+    return store(met.mapInArrow(tidy(find), "bucket int, blob binary, key long, size long"), "anchors")
 
 
 def pair_blobs(row: np.ndarray, a: np.ndarray, b: np.ndarray, buckets: int) -> pa.RecordBatch:
@@ -254,7 +255,7 @@ def pairs_by_row(found: DataFrame, name: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(row[ends[:-1]]), held], ["_row", name])
 
     met = found.where("bucket IS NOT NULL").select("bucket", "blob").repartition(partitions(found.sparkSession), "bucket")
-    return met.mapInArrow(run, f"_row long, `{name}` binary")
+    return met.mapInArrow(tidy(run), f"_row long, `{name}` binary")
 
 
 def hot_keys(found: DataFrame, most: int = 100_000) -> np.ndarray:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tastemill.llm import repeats as R
-from tastemill.llm.common import BYTE_NAMES, SpanHash, as_bytes, chunks, mix, partitions, ranges
+from tastemill.llm.common import BYTE_NAMES, SpanHash, as_bytes, chunks, mix, partitions, ranges, tidy
 
 WIDTH = 200
 ROUNDS = 3
@@ -79,8 +79,7 @@ def induce(part, suffix: pa.Array, prefix: pa.Array, width: int) -> tuple[np.nda
     left, lcut = as_bytes_binary(prefix)
     length, reach = np.diff(cut), np.diff(lcut)
     grid = np.zeros((n, width), np.uint8)
-    at, which = ranges(np.zeros(n, np.int64), length)
-    grid[which, at] = text
+    grid[np.arange(width) < length[:, None]] = text
     same = grid[1:] == grid[:-1]
     common = np.where(same.all(1), width, same.argmin(1)) if n > 1 else np.zeros(0, np.int64)
     common = np.where(part[1:] == part[:-1], common, 0)
@@ -220,8 +219,8 @@ def repeated_bytes(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS, ho
         row, start = R.resolve_windows(blobs, False)
         yield R.pair_blobs(*R.runs(row, start), n * R.SPREAD)
 
-    met = joined.mapInArrow(emit, _TUPLE).repartition(n, "part").sortWithinPartitions("kind", "part", "suffix")
-    return R.pairs_by_row(met.mapInArrow(resolve, "bucket int, blob binary"), "ranges")
+    met = joined.mapInArrow(tidy(emit), _TUPLE).repartition(n, "part").sortWithinPartitions("kind", "part", "suffix")
+    return R.pairs_by_row(met.mapInArrow(tidy(resolve), "bucket int, blob binary"), "ranges")
 
 
 def _window_tuples(name, check, row, start, buckets: int) -> pa.RecordBatch:
@@ -270,7 +269,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS, ho
             columns = [pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], [f.split(" ")[0] for f in _RESULT.split(", ")])
 
-    return joined.mapInArrow(run, _RESULT)
+    return joined.mapInArrow(tidy(run), _RESULT)
 
 
 _RESULT = (

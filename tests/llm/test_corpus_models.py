@@ -260,3 +260,18 @@ def test_sentencepiece_round_trip(docs, corpus):
     back = sorted(((r["doc_id"], r["text"]) for r in sentencepiece.decode_documents(some, PIECES).collect()), key=repr)
     assert back == sorted(((d, t or "") for d, t in rows), key=repr)
     assert sentencepiece.encode_documents(df.limit(0), PIECES).count() == 0
+
+
+def test_workers_hold_no_encoder_after_its_job(docs, spark, corpus):
+    sentencepiece.encode_documents(docs([r[:2] for r in corpus]), PIECES).count()
+
+    def left(batches):
+        import gc
+
+        import pyarrow as pa
+
+        for batch in batches:
+            n = sum(type(x).__name__ == "WordEncoder" for x in gc.get_objects())
+            yield pa.RecordBatch.from_arrays([pa.array([n] * batch.num_rows, pa.int64())], ["n"])
+
+    assert spark.range(0, 8, 1, 8).mapInArrow(left, "n long").agg(F.max("n")).first()[0] == 0

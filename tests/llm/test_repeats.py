@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -160,3 +161,25 @@ def test_equal_windows_share_their_anchor():
             of[i] = seg.key[a] if a >= 0 else None
     assert all(of[30 + k] == of[150 + k] for k in range(48))
     assert brute.words(" a\x0bb ") == ["a", "b"]
+
+
+def test_memory_of_induction_and_of_held_pairs():
+    n, width = 4_000, 200
+    suffixes = pa.array([b"%05d" % (k // 2) + b"a" * (width - 5) for k in range(n)], pa.binary())
+    tracemalloc.start()
+    try:
+        t, x = X.induce(np.zeros(n, np.int64), suffixes, pa.array([b""] * n, pa.binary()), width)
+        induced = tracemalloc.get_traced_memory()[1]
+        rng = np.random.default_rng(1)
+        names = ["a", "b", "need", "n", *(f"c{k}" for k in range(10))]
+        held = [{c: rng.integers(0, 9, 50_000) for c in names} for _ in range(2)]
+        tracemalloc.reset_peak()
+        size = sum(v.nbytes for h in held for v in h.values())
+        before = tracemalloc.get_traced_memory()[0]
+        ngram_join._summed_pairs(ngram_join._joined_pairs(held))
+        summed = tracemalloc.get_traced_memory()[1] - before
+    finally:
+        tracemalloc.stop()
+    assert sorted(t.tolist()) == list(range(n)) and not x.any()
+    assert induced < 6 * n * width
+    assert summed < size
