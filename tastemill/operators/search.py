@@ -149,13 +149,18 @@ def minmax(df: DataFrame, by: str = "request_id", score: str = "score", name: st
     return shuffled(df).join(span, by).withColumn(name, (F.col(score) - F.col("_lo")) / width).drop("_lo", "_hi")
 
 
-def fusion_weight(preset: Column, message: Column) -> Column:
-    """Semantic share: the preset's, else weak for a message without category or content token."""
+def preset_weight(preset: Column) -> Column:
+    """Semantic share that a preset fixes, null for any other."""
     out = None
     for name, weight in FUSION_PRESETS.items():
         out = (F if out is None else out).when(preset == name, F.lit(weight))
+    return out
+
+
+def fusion_weight(preset: Column, message: Column) -> Column:
+    """Semantic share: the preset's, else weak for a message without category or content token."""
     generic = (F.size(detect_categories(message)) == 0) & (F.size(content_tokens(message)) == 0)
-    return out.when(generic, F.lit(FUSION_WEAK)).otherwise(F.lit(FUSION_STRONG))
+    return preset_weight(preset).when(generic, F.lit(FUSION_WEAK)).otherwise(F.lit(FUSION_STRONG))
 
 
 def fuse_rankings(semantic: DataFrame, personal: DataFrame, weights: DataFrame, k: int = 10) -> DataFrame:
@@ -202,6 +207,7 @@ __all__ = [
     "keyword_search",
     "minmax",
     "order_reranked",
+    "preset_weight",
     "query_terms",
     "rerank",
     "without",

@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 
 from tastemill.functions.text import ITEM_TEXT_FIELDS, item_text, normalize_query, strip_accents
 from tastemill.operators.keyword_index import KeywordIndex
+from tastemill.operators.list_fusion import fuse_lists
 from tastemill.operators.retrieval import enrich_with_catalog, retrieve_top_k, vector_search
 from tastemill.operators.search import (
     folded_catalog,
-    fuse_rankings,
-    fusion_weight,
     keyword_search,
     order_reranked,
     query_features,
@@ -208,29 +207,14 @@ def hybrid_recommend(
     Both sides give their first ``depth`` items, or ``k`` if that is more, found exactly or through an index of
     the text or item vectors. Unknown users get the intent side alone; a request with neither side gets the catalog head.
     """
-    sem = semantic_search(
-        requests.select("request_id", "q"), catalog, text_vectors, encoder, max(k, depth), cap_before_sort=True, index=text_index
-    )
-    sem = materialize(sem.select("request_id", "item_id", F.col("final").alias("score")), "intent")
+    depth = max(k, depth)
+    # Both lists are made once for each text and each user; requests meet them only as they are blended.
+    requests = materialize(requests.select("request_id", "user_id", "q", "preset"), "requests")
+    sem = semantic_lists(requests, catalog, text_vectors, encoder, depth, cap_before_sort=True, index=text_index)
+    sem = materialize(sem.select("q", "item_id", F.col("final").alias("score")), "intent")
     asked = requests.select("user_id").distinct()
     known = user_vectors.join(asked, "user_id", "left_semi").withColumnRenamed("user_id", "query_id")
-    depth = max(k, depth)
     near = item_index.search(known, depth) if item_index else retrieve_top_k(known, item_vectors, depth)
-    per_user = enrich_with_catalog(near.withColumnRenamed("query_id", "user_id"), catalog)
-    per = requests.select("request_id", "user_id").join(per_user, "user_id")
-    per = materialize(per.select("request_id", "item_id", "score"), "personal")
-    weights = requests.select("request_id", fusion_weight(F.col("preset"), F.col("q")).alias("w_sem"))
-    fused = materialize(fuse_rankings(sem, per, weights, k), "fused")
-    head = catalog.orderBy("item_id").limit(k).agg(
-        F.array_sort(F.collect_list("item_id")).alias("ids")
-    )  # k ids
-    default = (
-        without(requests.select("request_id"), fused)
-        .select("request_id", F.posexplode(head.scalar()).alias("p", "item_id"))
-        .select("request_id", "item_id", (F.col("p") + 1).alias("rank"), F.lit(1.0).alias("score"))
-    )
-    both = fused.unionByName(default)
-    return enrich_with_catalog(both, catalog).select(
-        "request_id", "rank", "item_id", "title", "category", "score"
-    )
-
+    per = enrich_with_catalog(near.withColumnRenamed("query_id", "user_id"), catalog)
+    per = materialize(per.select("user_id", "item_id", "score"), "personal")
+    return fuse_lists(requests, sem, per, catalog, k, depth)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tastemill.functions import text as X
+from tastemill.operators import list_fusion as L
 from tastemill.operators import messages as J
 from tastemill.operators import search as E
 from tastemill.operators.keyword_index import KeywordIndex, build_keyword_index
@@ -283,3 +284,58 @@ def test_large_lists_are_not_broadcast(spark, make):
     vocabulary = SparseText.fit(make([("a", "red shoe")], "id string, text string"))
     for plan in (E.fuse_rankings(lists, lists, weights, 3), E.without(weights, lists), vocabulary.search(asked, words, 2)):
         assert "Broadcast" not in plan._jdf.queryExecution().sparkPlan().toString()
+
+
+def _fused_by_rows(asked, sem, per, items, k):
+    """Each request's lists written out row by row, as (request_id, rank, item_id, title, category, score)."""
+    sem, per = asked.join(sem, "q"), asked.join(per, "user_id")
+    weights = asked.select("request_id", E.fusion_weight(F.col("preset"), F.col("q")).alias("w_sem"))
+    fused = E.fuse_rankings(sem, per, weights, k).localCheckpoint()
+    head = [r.item_id for r in items.orderBy("item_id").limit(k).collect() if r.item_id]
+    default = E.without(asked.select("request_id"), fused).select("request_id", F.posexplode(F.array(*map(F.lit, head))).alias("p", "item_id"))
+    both = fused.unionByName(default.select("request_id", "item_id", (F.col("p") + 1).alias("rank"), F.lit(1.0).alias("score")))
+    return both.join(items, "item_id").select("request_id", "rank", "item_id", "title", "category", "score")
+
+
+@pytest.mark.parametrize("odd", ["plain", "items twice", "requests twice"])
+def test_lists_fuse_as_their_rows_do(make, monkeypatch, odd):
+    rng = random.Random(odd)
+    catalog = [(f"i{k}", f"title {k}", rng.choice(["x", None])) for k in range(30)]
+    names = [r[0] for r in catalog]
+    some = lambda key, n: [(f"{key}{j}", i, rng.choice([0.5, rng.random()])) for j in range(n) for i in rng.sample(names, rng.randrange(1, 9))]
+    sem, per = some("red shoes ", 5), [*some("u", 9), ("flat", "i3", 0.2), ("flat", "i4", 0.2)]
+    asked = [(f"r{k}", rng.choice(["flat", "ghost", None, *(f"u{j}" for j in range(9))]),
+              rng.choice(["the", None, *(f"red shoes {j}" for j in range(6))]), rng.choice(["A", "B", "C", "D", None])) for k in range(150)]
+    asked += [(None, "u1", "red shoes 1", "A"), (None, "u2", "the", None)]
+    if odd == "items twice":
+        catalog += [("i1", "again", "y"), ("i2", "title 2", None)]
+        sem, per = sem + sem[:9], per + per[::4]
+    if odd == "requests twice":
+        asked += [(asked[k][0], *asked[k + 1][1:]) for k in range(12)]
+    items = make(catalog, "item_id string, title string, category string")
+    requests = make(asked, "request_id string, user_id string, q string, preset string").repartition(3)
+    by_text, by_user = make(sem, "q string, item_id string, score double"), make(per, "user_id string, item_id string, score double")
+    monkeypatch.setattr(L, "CELL_REQUESTS", 20)
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    got, want = (rows(f) for f in (L.fuse_lists(requests, by_text, by_user, items, 4), _fused_by_rows(requests, by_text, by_user, items, 4)))
+    assert got == want
+
+
+def test_hybrid_writes_no_row_for_each_item_of_a_request(make, shop, monkeypatch):
+    items, encoder, vectors = shop
+    v = make([(str(k), [float(k), 1.0]) for k in range(1, 5)], "item_id string, vector array<double>")
+    u = make([("u", [0.0, 1.0])], "user_id string, vector array<double>")
+    asked = make([(str(n), "u", "star wars", None) for n in range(300)], "request_id string, user_id string, q string, preset string")
+    written = []
+
+    def noted(df, label="stage"):
+        out = materialize(df, label)
+        written.append((label, out.count()))
+        return out
+
+    for module in (serve, L, E):
+        if hasattr(module, "materialize"):
+            monkeypatch.setattr(module, "materialize", noted)
+    out = serve.hybrid_recommend(asked, items, vectors, encoder, u, v, 3).collect()
+    assert len(out) == 900 and len({(r.item_id, r.rank, r.score) for r in out}) == 3
+    assert max(n for _, n in written) == 300, written
