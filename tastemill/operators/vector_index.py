@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from tastemill.functions.vectors import l2_normalize
 from tastemill.operators import retrieval, tiles
-from tastemill.operators.ordering import top_k_per_group
+from tastemill.operators.code_scan import merged, near_lists, score_lists, tiles_of_codes
+from tastemill.operators.ordering import top_k_per_group, with_global_index
 from tastemill.session import materialize, scratch_path, shuffled
 
 #: Centers are held by all tasks: at most this many, whatever the number of items.
@@ -136,12 +137,15 @@ def _fit(sample: DataFrame, cells: int, dim: int, s: IndexSettings) -> Quantizer
 
 
 class VectorIndex:
-    """A stored index: ``codes`` (cell, block, rows), ``vectors`` (item_id, v) and the quantizer."""
+    """A stored index: ``codes`` (cell, block, nums, codes), ``vectors`` (num, item_id, v) and the quantizer.
+
+    Items are numbered in the order of their ids; rows of one id share its number.
+    """
 
     def __init__(self, spark: SparkSession, path: str, quantizer: Quantizer, settings: IndexSettings) -> None:
         self.spark, self.path, self.quantizer, self.settings = spark, path, quantizer, settings
-        self.codes = spark.read.schema("cell int, block int, rows array<struct<item_id:string,code:binary>>").parquet(f"{path}/codes")
-        self.vectors = spark.read.schema("item_id string, v array<float>").parquet(f"{path}/vectors")
+        self.codes = spark.read.schema("cell int, block int, nums array<long>, codes array<binary>").parquet(f"{path}/codes")
+        self.vectors = spark.read.schema("num long, item_id string, v array<float>").parquet(f"{path}/vectors")
 
     def share_read(self, k: int | None = None) -> float:
         """Share of the stored vectors that one query reads."""
@@ -150,32 +154,25 @@ class VectorIndex:
     def _candidates(self, k: int) -> int:
         return max(k, self.settings.candidates * math.ceil(k / self.settings.k))
 
-    def _laid(self, queries: DataFrame, items: DataFrame, k: int, pairs: DataFrame | None = None) -> DataFrame:
-        """``(id, block, v)`` of both sides, and pairs (id, other), on a grid of tiles."""
-        n_queries, dim = max(1, queries.count()), self.settings.dim
-        cells = tiles.cells_for(n_queries, self.settings.n, dim, retrieval.MIN_JOIN_KEYS)
-        grid = tiles.grid_of(n_queries, self.settings.n, dim, k, cells)
+    def _laid(self, queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
+        """``(id, block, v)`` of both sides on a grid of tiles."""
+        n_queries, n, dim = max(1, queries.count()), self.settings.n, self.settings.dim
+        grid = tiles.grid_of(n_queries, n, dim, k, tiles.cells_for(n_queries, n, dim, retrieval.MIN_JOIN_KEYS))
         asked = queries.withColumn("tile", tiles.tile_of(F.col("id"), grid.across))
-        held = items.withColumn("tile", tiles.tile_of(F.col("id"), grid.down))
-        if pairs is not None:
-            where = {"q_tile": tiles.tile_of(F.col("id"), grid.across), "i_tile": tiles.tile_of(F.col("other"), grid.down)}
-            pairs = pairs.withColumns(where)
-        return tiles.lay(grid, asked, held, pairs)
+        return tiles.lay(grid, asked, items.withColumn("tile", tiles.tile_of(F.col("id"), grid.down)))
 
-    def _probed(self, k: int, n_probe: int, cosine: bool, of_query: Callable, of_item: Callable) -> Callable:
+    def _probed(self, k: int, n_probe: int) -> Callable:
         """Arrow function over one cell of the grid: each query's best ``k`` items among its ``n_probe`` cells."""
-        quantizer = self.quantizer
+        quantizer, dim = self.quantizer, self.settings.dim
         n_cells = len(quantizer.centers)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tile = tiles.read_cell(batches, of_query, of_item)
+            tile = tiles.read_cell(batches, lambda column: _matrix(column, dim), lambda column: _matrix(column, dim))
             if tile is None:
                 return
             q, m, _ = tile
-            if not cosine:
-                m.raw = quantizer.decode(m.block, m.raw)
             none = np.zeros(0, np.int64)
-            scorer = tiles.Scorer(q, m, k, cosine, 9 if cosine else None, (none, none))
+            scorer = tiles.Scorer(q, m, k, True, 9, (none, none))
             spans = {int(m.block[x]): np.arange(x, y) for x, y in m.spans()}
             # Queries near each other stand together, so that what none of them probes is left out.
             for a in range(0, len(q), tiles.ROWS):
@@ -197,23 +194,28 @@ class VectorIndex:
 
         return run
 
+    def _lists(self, queries: DataFrame, n_probe: int, most: int) -> tuple[DataFrame, int]:
+        """``(query_id, v, nums, near)`` of ``(query_id, v)``, the best ``most`` items by decoded vectors of ``n_probe`` cells; and the number of queries."""
+        n_probe = min(n_probe, len(self.quantizer.centers))
+        size = queries.agg(F.count("*").alias("n"), F.count_distinct("query_id").alias("ids"), F.count("query_id").alias("named")).first()
+        n = max(1, size["n"])
+        cells = tiles.cells_for(n, self.settings.n, self.settings.dim, retrieval.MIN_JOIN_KEYS)
+        asked = self._asked(queries).select(F.col("id").alias("query_id"), F.col("block").cast("int").alias("cell"), "v")
+        lists = near_lists(asked, n, self.codes, self.settings.n, self.quantizer, n_probe, most, cells)
+        if tiles_of_codes(self.settings.n, self.quantizer) > 1 or size["ids"] < size["named"]:
+            best = merged(lists, most)
+            lists = shuffled(queries.select("query_id", F.col("v").cast("array<double>").alias("v"))).join(best, "query_id")
+        return lists.withColumn("nums", F.col("near.num")), n
+
     def candidates(self, queries: DataFrame, n_probe: int, most: int) -> DataFrame:
         """(query_id, item_id, near, rank): best ``most`` items per query by decoded vectors of ``n_probe`` cells.
 
-        ``queries`` is (query_id, v) with unit vectors. Tiles of queries meet tiles of codes, and a task
-        gives out ``most`` rows a query, however many cells it probes.
+        ``queries`` is (query_id, v) with distinct ids.
         """
-        quantizer, dim = self.quantizer, self.settings.dim
-        n_probe, parts = min(n_probe, len(quantizer.centers)), len(quantizer.books)
-        rows = self.codes.select("cell", F.explode("rows").alias("r"))
-        codes = rows.select(F.col("r.item_id").alias("id"), F.col("cell").cast("long").alias("block"), F.col("r.code").alias("v"))
-
-        def of_code(column: pa.Array) -> np.ndarray:
-            return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), parts)
-
-        run = self._probed(most, n_probe, False, lambda column: _matrix(column, dim), of_code)
-        found = self._laid(self._asked(queries), codes, most).mapInArrow(run, tiles.HITS).withColumnRenamed("score", "near")
-        return top_k_per_group(found, ["query_id"], [F.desc("near"), F.asc("item_id")], most)
+        names = self.vectors.select("num", "item_id").distinct()
+        lists = self._lists(queries, n_probe, most)[0].select("query_id", F.posexplode("near").alias("p", "x"))
+        found = lists.select("query_id", F.col("x.num").alias("num"), F.col("x.near").alias("near"), (F.col("p") + 1).alias("rank"))
+        return shuffled(found).join(names, "num").select("query_id", "item_id", "near", "rank")
 
     def _asked(self, queries: DataFrame) -> DataFrame:
         """``(id, block, v)`` of ``(query_id, v)`` with unit vectors; the block is the nearest cell."""
@@ -232,25 +234,21 @@ class VectorIndex:
 
         Where every stored item may be a candidate the decoded vectors decide nothing: the probed cells are scored exactly at once.
         """
-        dim = self.settings.dim
         n_probe = min(n_probe or self.settings.n_probe, len(self.quantizer.centers))
         most = candidates or self._candidates(k)
-        q = queries.select(F.col("query_id").cast("string").alias("query_id"), l2_normalize(F.col("vector")).cast("array<float>").alias("v"))
-        q = materialize(q, "index-queries")
         exact = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("vector").cast("array<double>").alias("v"))
         if most >= self.settings.n:
-            rows = self.codes.select("cell", F.explode("rows").alias("r")).select(F.col("r.item_id").alias("item_id"), F.col("cell").cast("long").alias("block"))
-            held = self.vectors.join(rows, "item_id").select(F.col("item_id").alias("id"), "block", "v")
-            run = self._probed(k, n_probe, True, lambda column: _matrix(column, dim), lambda column: _matrix(column, dim))
+            rows = self.codes.select(F.explode("nums").alias("num"), F.col("cell").cast("long").alias("block"))
+            held = self.vectors.where("item_id IS NOT NULL").join(rows, "num").select(F.col("item_id").alias("id"), "block", "v")
+            run = self._probed(k, n_probe)
             exact = exact.join(exact.select("query_id"), "query_id")  # an id that comes twice is asked twice for each
             scored = self._laid(self._asked(exact), held, k).mapInArrow(run, tiles.HITS)
         else:
-            near = self.candidates(q, n_probe, most)
-            pairs = near.select(F.col("query_id").alias("id"), F.col("item_id").alias("other"))
-            block = F.lit(0).cast("long").alias("block")
-            asked = exact.select(F.col("query_id").alias("id"), block, "v")
-            held = self.vectors.select(F.col("item_id").alias("id"), block, "v")
-            scored = self._laid(asked, held, k, pairs).mapInArrow(tiles.score_pairs(dim), tiles.HITS)
+            lists, n_queries = self._lists(materialize(exact.where("query_id IS NOT NULL"), "index-queries"), n_probe, most)
+            lists = materialize(lists.select("query_id", "v", "nums"), "candidates")
+            n, dim = self.settings.n, self.settings.dim
+            grid = tiles.grid_of(n_queries, n, dim, k, tiles.cells_for(n_queries, most, dim, retrieval.MIN_JOIN_KEYS))
+            scored = score_lists(lists, self.vectors, grid, k)
         return top_k_per_group(scored, ["query_id"], [F.desc("score"), F.asc("item_id")], k)
 
     def _save(self) -> None:
@@ -269,13 +267,16 @@ def build_index(items: DataFrame, path: str | None = None, settings: IndexSettin
     path = path or scratch_path(spark, "vector-index")
     s = settings
     named = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("vector").cast("array<float>").alias("v"))
-    named.write.parquet(f"{path}/vectors")
-    vectors = spark.read.schema(named.schema).parquet(f"{path}/vectors")
+    named = materialize(named, "items")
+    numbers = with_global_index(named.select("item_id").distinct(), ["item_id"], "num").select(F.col("item_id").alias("_id"), "num")
+    numbered = shuffled(named).join(numbers, F.col("item_id").eqNullSafe(F.col("_id"))).select("num", "item_id", "v")
+    numbered.write.parquet(f"{path}/vectors")
+    vectors = spark.read.schema("num long, item_id string, v array<float>").parquet(f"{path}/vectors")
     size = vectors.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim")).first()
     if not size["n"]:
         raise ValueError("an index needs at least one vector")
     s = replace(s, n=size["n"], dim=size["dim"])
-    unit = vectors.select("item_id", l2_normalize(F.col("v")).cast("array<float>").alias("v"))
+    unit = vectors.select("num", "item_id", l2_normalize(F.col("v")).cast("array<float>").alias("v"))
     sample = materialize(unit.orderBy(F.xxhash64("item_id"), "item_id").limit(s.sample_rows), "index-sample")
     cells = max(1, min(s.cells or math.ceil(math.sqrt(s.n)), MAX_CELLS, s.n, s.sample_rows))
     quantizer = _fit(sample, cells, s.dim, s)
@@ -284,15 +285,15 @@ def build_index(items: DataFrame, path: str | None = None, settings: IndexSettin
         for batch in batches:
             cell, codes = quantizer.encode(_matrix(batch.column("v"), s.dim))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("item_id"), pa.array(cell, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary())],
-                ["item_id", "cell", "code"],
+                [batch.column("num"), batch.column("item_id"), pa.array(cell, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary())],
+                ["num", "item_id", "cell", "code"],
             )
 
-    filed = materialize(unit.mapInArrow(file, "item_id string, cell int, code binary"), "filed")
+    filed = materialize(unit.mapInArrow(file, "num long, item_id string, cell int, code binary"), "filed")
     blocks = filed.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("n_blocks"))  # a row per cell
     placed = filed.join(F.broadcast(blocks), "cell").withColumn("block", F.pmod(F.xxhash64("item_id"), F.col("n_blocks")).cast("int"))
-    rows = F.array_sort(F.collect_list(F.struct("item_id", "code"))).alias("rows")
-    placed.groupBy("cell", "block").agg(rows).write.parquet(f"{path}/codes")
+    rows = placed.groupBy("cell", "block").agg(F.array_sort(F.collect_list(F.struct("num", "code"))).alias("rows"))
+    rows.select("cell", "block", F.col("rows.num").alias("nums"), F.col("rows.code").alias("codes")).write.parquet(f"{path}/codes")
     index = VectorIndex(spark, path, quantizer, s)
     index.settings = _audited(index, vectors, unit, filed)
     index._save()
@@ -302,9 +303,10 @@ def build_index(items: DataFrame, path: str | None = None, settings: IndexSettin
 def _audited(index: VectorIndex, vectors: DataFrame, unit: DataFrame, filed: DataFrame) -> IndexSettings:
     """The fewest cells and candidates that find ``target`` of the true neighbours of ``audit_rows`` items."""
     s, quantizer = index.settings, index.quantizer
-    asked = unit.orderBy(F.xxhash64(F.lit(s.seed), "item_id"), "item_id").limit(s.audit_rows)
+    asked = unit.select("item_id", "v").orderBy(F.xxhash64(F.lit(s.seed), "item_id"), "item_id").limit(s.audit_rows)
     asked = materialize(asked.withColumnRenamed("item_id", "query_id"), "audit")
-    exact = retrieval.retrieve_top_k(asked.withColumnRenamed("v", "vector"), vectors.withColumnRenamed("v", "vector"), s.k + 1)
+    items = vectors.select("item_id", F.col("v").alias("vector"))
+    exact = retrieval.retrieve_top_k(asked.withColumnRenamed("v", "vector"), items, s.k + 1)
     truth = exact.where("query_id != item_id").where(F.col("rank") <= s.k + 1)
     truth = F.broadcast(truth).join(filed.select("item_id", "cell"), "item_id").select("query_id", "item_id", "cell")
     most = math.ceil(GRID[-1] * s.k)

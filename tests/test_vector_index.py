@@ -6,6 +6,7 @@ import pytest
 from tastemill.operators import retrieval as R
 from tastemill.operators import vector_index as V
 from tastemill.plans.train import als_recommend
+from tastemill.session import materialize
 
 
 def frame(spark, key, names, m):
@@ -123,3 +124,55 @@ def test_approximate_with_everything_probed_is_exact(spark):
     every = lists(V.approx_vector_search(asked, items, 10, n_cells=5, n_probe=5, candidates=120))
     exact = lists(R.vector_search(asked, items, 10))
     assert {k: [i for i, _ in v] for k, v in every.items()} == {k: [i for i, _ in v] for k, v in exact.items()}
+
+
+def _reference(index, queries, items, k, n_probe, most):
+    """Lists of (query_id, vector) by hand: the best decoded vectors of the probed cells, then their exact cosines."""
+    unit = lambda x: x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    m = unit(np.array([v for _, v in items], np.float32).astype(float))
+    cell, codes = index.quantizer.encode(m.astype(np.float32).astype(float))
+    decoded, out = index.quantizer.decode(cell, codes), {}
+    for name, v in queries:
+        q = unit(np.array([v], np.float32).astype(float))
+        probed = set(index.quantizer.cell_order(q)[0, :n_probe].tolist())
+        near = sorted((-np.round(decoded[j] @ q[0], 5), items[j][0], j) for j in range(len(items)) if cell[j] in probed)[:most]
+        hits = sorted((-np.round(m[j] @ q[0], 9), items[j][0]) for *_, j in near)
+        out[name] = [(i, -s) for s, i in hits[:k]]
+    return out
+
+
+@pytest.mark.parametrize("tile_bytes", [None, 6000])
+def test_candidate_lists_by_hand(spark, monkeypatch, tile_bytes):
+    m = np.round(groups(7, 300, dim=10, tight=0.6), 2)
+    m[40:90] = m[40]  # equal vectors: their ids decide who is a candidate
+    rows = [(f"i{(7 * k) % 300:03d}", m[k].tolist()) for k in range(300)]
+    items = frame(spark, "item_id", [r[0] for r in rows], m)
+    index = V.build_index(items)
+    asked = rows[30:120]
+    if tile_bytes:
+        monkeypatch.setattr(V.tiles, "TILE_BYTES", tile_bytes)
+    written = {}
+
+    def noted(df, label="stage"):
+        out = materialize(df, label)
+        written[label] = out.count()
+        return out
+
+    monkeypatch.setattr(V, "materialize", noted)
+    got = lists(index.search(frame(spark, "query_id", [r[0] for r in asked], np.array([r[1] for r in asked])), 5, n_probe=9, candidates=20))
+    assert written["candidates"] == len(asked)  # one list for each query, whatever its candidates
+    for name, want in _reference(index, asked, rows, 5, 9, 20).items():
+        assert [i for i, _ in got[name]] == [i for i, _ in want]
+        assert [s for _, s in got[name]] == pytest.approx([s for _, s in want], abs=1e-6)
+
+
+def test_ids_that_come_twice_or_not_at_all(spark):
+    m = groups(8, 200, dim=8, tight=0.8)
+    names = [f"i{k:03d}" for k in range(198)] + ["i000", None]
+    index = V.build_index(frame(spark, "item_id", names, m))
+    asked = frame(spark, "query_id", ["a", "a", "b", None], m[[0, 5, 198, 3]])
+    got = lists(index.search(asked, 40, n_probe=99, candidates=60))
+    assert set(got) == {"a", "b"} and len(got["a"]) == len(got["b"]) == 40
+    assert all(i for hits in got.values() for i, _ in hits)
+    # Both vectors of i000 are met through each of its two candidates.
+    assert sum(i == "i000" for i, _ in lists(index.search(asked, 150, n_probe=99, candidates=190))["b"]) == 4
