@@ -275,3 +275,18 @@ def test_workers_hold_no_encoder_after_its_job(docs, spark, corpus):
             yield pa.RecordBatch.from_arrays([pa.array([n] * batch.num_rows, pa.int64())], ["n"])
 
     assert spark.range(0, 8, 1, 8).mapInArrow(left, "n long").agg(F.max("n")).first()[0] == 0
+
+
+def test_words_outside_the_table_get_the_same_lattice(docs):
+    """Long and rare words are encoded in the tasks: ids are those the relational lattice gives, whatever the table holds."""
+    rng = random.Random(9)
+    long = ["".join(rng.choice("theanodrs日é\U0001f600x01") for _ in range(n)) for n in (64, 65, 66, 120, 300)]
+    pieces = sentencepiece.PieceTable.load(PIECES)
+    df = docs([(k, f"the {w} and {w}") for k, w in enumerate(long)] + [(9, "of the of the rarely")])
+    table = df.sparkSession.createDataFrame([(f" {w}",) for w in [*long, "the", "and", "of", "rarely"]], "word string")
+    ids = {r["word"]: r["ids"] for r in sentencepiece.encode_words(table, pieces).collect()}
+    assert not any(len(w) > 64 for w in sentencepiece.relational_vocabulary(df, pieces))
+    for most in (0, 2, sentencepiece.FREQUENT_WORDS):
+        for r in sentencepiece.encode_documents(df, PIECES, most=most).collect():
+            text = "of the of the rarely" if r["doc_id"] == 9 else f"the {long[r['doc_id']]} and {long[r['doc_id']]}"
+            assert r["ids"] == [i for w in sentencepiece.words_of(text) for i in ids[w]] and r["round_trip"]
